@@ -68,19 +68,21 @@ def default_country(c, default: str = DEFAULT_COUNTRY) -> Column:
 
 
 DATE_FORMATS = ("yyyy-MM-dd", "MM/dd/yyyy", "yyyy/MM/dd", "dd-MM-yyyy")
-TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd")
+TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "MM/dd/yyyy HH:mm:ss", "yyyy-MM-dd")
 
 
 def parse_date(c, formats=DATE_FORMATS) -> Column:
     """Tolerant date parse: the first format that fits wins, none -> NULL.
     Formats are tried per value (no format locked from the first row)."""
     t = blank_to_null(c)
-    return F.coalesce(*[F.try_to_date(t, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(t, f) for f in formats])
 
 
 def parse_timestamp(c, formats=TIMESTAMP_FORMATS) -> Column:
+    """Tolerant wall-clock timestamp parse (TIMESTAMP_NTZ: independent of the
+    session time zone); none of the formats fits -> NULL."""
     t = blank_to_null(c)
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats]).cast("timestamp_ntz")
 
 
 def product_type(c) -> Column:
