@@ -7,7 +7,8 @@ task. ``dense_number`` avoids both:
 1. range-partition on (group, order) with an explicit partition count (so AQE
    never coalesces it and partition ids stay stable), sort inside each
    partition and tag rows with ``monotonically_increasing_id`` — the partition
-   id sits in the upper bits, the position inside the partition in the lower;
+   id sits in the upper bits, the position inside the partition in the lower —
+   and checkpoint the tagged rows so both uses below see one copy;
 2. count rows per (partition, group) — one row per pair, at most
    #groups + #partitions rows — and prefix-sum those counts over earlier
    partitions of the same group (a hot group spans many partitions but has
@@ -26,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmart.session import ensure_checkpoint_dir
+
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
@@ -48,6 +51,12 @@ def dense_number(df: DataFrame, order: Sequence[str | Column], name: str,
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
               .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_POS_MASK))))
+    # The tags are read twice (stats and join back). Range bounds are sampled
+    # from the input, whose row order after a shuffle is not reproducible, so
+    # the tagged rows are written once to the shared checkpoint folder
+    # (reliable: survives executor loss) and both branches read that copy.
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = tagged.checkpoint(eager=True)
     stats = tagged.groupBy("_pid", *group).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -119,3 +119,162 @@ def q_dedup_lineitem_latest(spark, sf):
     li = tbl(spark, sf, "lineitem")
     return D.latest_wins(li, ["l_orderkey", "l_linenumber"],
                          ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"], "l_shipdate")
+
+
+# ------------------------------------------------------ snapshots, SCD2, keys
+
+def _pipeline():
+    from quillmart.plans import pipeline
+    return pipeline
+
+
+for _d in ["dim_location", "dim_user", "dim_product", "dim_merchant", "dim_staff", "dim_campaign",
+           "dim_issuing_bank"]:
+    def _mks(d):
+        return lambda spark, sf: _pipeline().snapshots(spark, sf)[d]
+    QUERIES[f"{_d}_snapshot"] = _mks(_d)
+
+
+@query("surrogate_keys")
+def q_surrogate_keys(spark, sf):
+    from quillmart.operators.keys import surrogate_keys
+    c = tbl(spark, sf, "customer").select("c_custkey", "c_name")
+    return surrogate_keys(c, ["c_custkey"], "user_sk")
+
+
+@query("location_sk_lookup")
+def q_location_sk_lookup(spark, sf):
+    """Users get the surrogate key of their address (4-column NULL-safe
+    match against the location dimension; 0 when not found)."""
+    p = _pipeline()
+    loc = p.initial_dimension(p.snapshots(spark, sf)["dim_location"], p.SCD_SPECS["dim_location"])
+    users = deduped(spark, sf, "user").select("user_id", "street", "city", "state", "country")
+    cols = ["street", "city", "state", "country"]
+    dl = loc.where(F.col("is_current")).select(*[F.col(c).alias("_l_" + c) for c in cols], "location_sk")
+    cond = None
+    for c in cols:
+        e = F.col(c).eqNullSafe(F.col("_l_" + c))
+        cond = e if cond is None else cond & e
+    j = users.join(dl, cond, "left")
+    return j.select("user_id", *cols, F.coalesce("location_sk", F.lit(0)).cast("bigint").alias("location_sk"))
+
+
+# SCD2 recipes on driver tables: version 1 = rows whose key is not a
+# multiple of 5, loaded 2024-01-01; snapshot 2 = rows whose key is not a
+# multiple of 7 with a changed (key % 3) or NULLed (key % 13) column, loaded
+# 2024-02-01. Every row of the table is in at least one of the two.
+SCD_RECIPES = {
+    "customer": ("c_custkey", ["c_name", "c_mktsegment", "c_nationkey"], "c_mktsegment"),
+    "part": ("p_partkey", ["p_name", "p_type", "p_size"], "p_type"),
+    "supplier": ("s_suppkey", ["s_name", "s_nationkey"], "s_name"),
+    "nation": ("n_nationkey", ["n_name", "n_regionkey"], "n_name"),
+}
+
+
+def scd_inputs(spark, sf, table):
+    from quillmart.operators.scd import ScdSpec
+    key, tracked, ch = SCD_RECIPES[table]
+    src = tbl(spark, sf, table).select(key, *tracked)
+    k = F.col(key)
+    v1 = src.where(k % 5 != 0)
+    chv = F.when(k % 13 == 0, F.lit(None)).when(k % 3 == 0, F.concat(F.col(ch), F.lit("-X"))).otherwise(F.col(ch))
+    snap = src.where(k % 7 != 0).withColumn(ch, chv)
+    return v1, snap, ScdSpec(f"dim_{table}", "sk", (key,), tuple(tracked))
+
+
+def scd_merged(spark, sf, table):
+    from quillmart.operators import scd
+    v1, snap, spec = scd_inputs(spark, sf, table)
+    cur = scd.scd2_initial(v1, spec, "2024-01-01")
+    return scd.scd2_merge(cur, snap, spec, "2024-02-01")
+
+
+@query("scd2_initial")
+def q_scd2_initial(spark, sf):
+    from quillmart.operators import scd
+    v1, _, spec = scd_inputs(spark, sf, "customer")
+    return scd.scd2_initial(v1, spec, "2024-01-01")
+
+
+@query("scd2_merge")
+def q_scd2_merge(spark, sf):
+    return scd_merged(spark, sf, "customer")
+
+
+@query("scd2_expire")
+def q_scd2_expire(spark, sf):
+    m = scd_merged(spark, sf, "customer")
+    return m.where(~F.col("is_current"))
+
+
+@query("scd2_insert")
+def q_scd2_insert(spark, sf):
+    m = scd_merged(spark, sf, "customer")
+    return m.where(F.col("valid_from") == F.lit("2024-02-01").cast("date"))
+
+
+@query("scd2_current_view")
+def q_scd2_current_view(spark, sf):
+    from quillmart.operators import scd
+    return scd.current_view(scd_merged(spark, sf, "customer"))
+
+
+for _tb in ["part", "supplier", "nation"]:
+    def _mkscd(t):
+        return lambda spark, sf: scd_merged(spark, sf, t)
+    QUERIES[f"scd2_{_tb}"] = _mkscd(_tb)
+
+
+@query("scd2_dimensions")
+def q_scd2_dimensions(spark, sf):
+    """Row and current-version counts of the seven pipeline dimensions."""
+    p = _pipeline()
+    dims = p.dimensions(spark, sf)
+    out = None
+    for n, d in dims.items():
+        r = d.agg(F.lit(n).alias("dimension"), F.count(F.lit(1)).cast("bigint").alias("versions"),
+                  F.count_if(F.col("is_current")).cast("bigint").alias("current_versions"),
+                  F.max(p.SCD_SPECS[n].sk).cast("bigint").alias("max_sk"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+# -------------------------------------------------------------------- facts
+
+@query("fact_orders")
+def q_fact_orders(spark, sf):
+    fo, _ = _pipeline().facts(spark, sf)
+    return fo
+
+
+@query("fact_line_items")
+def q_fact_line_items(spark, sf):
+    _, fli = _pipeline().facts(spark, sf)
+    return fli
+
+
+@query("fact_orders_incremental")
+def q_fact_orders_incremental(spark, sf):
+    """Second load: orders dated before 1998 are already in the fact table;
+    only the others are appended (anti join on order id)."""
+    p = _pipeline()
+    dims = p.dimensions(spark, sf, ["dim_user", "dim_merchant", "dim_staff", "dim_campaign"])
+    orders = deduped(spark, sf, "order")
+    full = S.fact_orders(orders, dims["dim_user"], dims["dim_merchant"], dims["dim_staff"], dims["dim_campaign"])
+    existing = full.where(F.col("date_sk") < 19980101)
+    return S.fact_orders(orders, dims["dim_user"], dims["dim_merchant"], dims["dim_staff"],
+                         dims["dim_campaign"], existing=existing)
+
+
+@query("fact_line_items_incremental")
+def q_fact_line_items_incremental(spark, sf):
+    fo, fli = _pipeline().facts(spark, sf)
+    existing = fli.where(F.col("date_sk") < 19980101)
+    p = _pipeline()
+    dims = p.dimensions(spark, sf, ["dim_product"])
+    return S.fact_line_items(deduped(spark, sf, "line_item"), fo, dims["dim_product"], existing=existing)
+
+
+@query("segment_revenue_pipeline")
+def q_segment_revenue_pipeline(spark, sf):
+    return _pipeline().flagship(spark, sf)
