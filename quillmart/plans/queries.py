@@ -278,3 +278,37 @@ def q_fact_line_items_incremental(spark, sf):
 @query("segment_revenue_pipeline")
 def q_segment_revenue_pipeline(spark, sf):
     return _pipeline().flagship(spark, sf)
+
+
+# ------------------------------------------------------------------- merges
+
+def _merges():
+    from quillmart.plans import merges
+    return merges
+
+
+@query("broadcast_index_join")
+def q_broadcast_index_join(spark, sf):
+    m = _merges()
+    prices, products = m.line_item_files(spark, sf)
+    return m.index_join(prices, products)
+
+
+@query("outer_merge_keep_left")
+def q_outer_merge_keep_left(spark, sf):
+    return _merges().outer_merge_periods(spark, sf)
+
+
+@query("order_period_union")
+def q_order_period_union(spark, sf):
+    return _merges().order_period_union(spark, sf)
+
+
+@query("left_join_keep_left")
+def q_left_join_keep_left(spark, sf):
+    return _merges().left_join_chain(spark, sf, keep_left=True)
+
+
+@query("left_join_coalesce")
+def q_left_join_coalesce(spark, sf):
+    return _merges().left_join_chain(spark, sf, keep_left=False)
