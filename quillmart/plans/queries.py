@@ -312,3 +312,69 @@ def q_left_join_keep_left(spark, sf):
 @query("left_join_coalesce")
 def q_left_join_coalesce(spark, sf):
     return _merges().left_join_chain(spark, sf, keep_left=False)
+
+
+# ------------------------------------------------------------ data quality
+
+def _dq():
+    from quillmart.plans import quality_suite
+    return quality_suite
+
+
+def _mkdq(n):
+    return lambda spark, sf: _dq().run_suite(spark, sf, n)
+
+
+for _n in ["dq_row_count", "dq_null_counts", "dq_max_length", "dq_business_rules", "dq_digits_only",
+           "dq_allowed_values", "dq_missing_ratio", "dq_range", "dq_nonnegative", "dq_order_thresholds",
+           "dq_bank_pattern", "dq_state_coverage"]:
+    QUERIES[_n] = _mkdq(_n)
+
+
+@query("dq_duplicate_keys")
+def q_dq_duplicate_keys(spark, sf):
+    return _dq().duplicate_keys(spark, sf)
+
+
+@query("dq_surplus_duplicates")
+def q_dq_surplus_duplicates(spark, sf):
+    return _dq().surplus_duplicates(spark, sf)
+
+
+@query("dq_row_reconcile")
+def q_dq_row_reconcile(spark, sf):
+    return _dq().row_reconcile(spark, sf)
+
+
+@query("dq_primary_key")
+def q_dq_primary_key(spark, sf):
+    p = _pipeline()
+    dims = p.dimensions(spark, sf)
+    return _dq().primary_keys(dims, {n: s.sk for n, s in p.SCD_SPECS.items()})
+
+
+@query("dq_foreign_keys")
+def q_dq_foreign_keys(spark, sf):
+    fo, fli = _pipeline().facts(spark, sf)
+    return _dq().foreign_keys(fo, fli)
+
+
+@query("dq_verdict")
+def q_dq_verdict(spark, sf):
+    from quillmart.operators.quality import verdict
+    return verdict(_dq().full_report(spark, sf))
+
+
+@query("dq_schema_contract")
+def q_dq_schema_contract(spark, sf):
+    """Expected vs actual column types of the nine cleaned tables (schema
+    metadata of the derived tables; rows-only check)."""
+    from quillmart.operators.quality import schema_report, union_reports
+    return union_reports([schema_report(cleaned(spark, sf, t), t, contracts.CLEANED[t]) for t in contracts.CLEANED])
+
+
+@query("dq_required_columns")
+def q_dq_required_columns(spark, sf):
+    from quillmart.operators.quality import required_columns, union_reports
+    return union_reports([required_columns(raw_table(spark, sf, C.RAW_OF[t]), t, contracts.required(t))
+                          for t in contracts.CLEANED])
