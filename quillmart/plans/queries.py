@@ -378,3 +378,177 @@ def q_dq_required_columns(spark, sf):
     from quillmart.operators.quality import required_columns, union_reports
     return union_reports([required_columns(raw_table(spark, sf, C.RAW_OF[t]), t, contracts.required(t))
                           for t in contracts.CLEANED])
+
+
+# ---------------------------------------------------------- ingest, formats
+
+def _run_dir(spark, tag: str) -> str:
+    """A fresh folder under the shared checkpoint folder for this run."""
+    import uuid
+
+    from quillmart.session import shared_scratch
+    return shared_scratch(spark, f"{tag}-{uuid.uuid4().hex[:12]}")
+
+
+@query("raw_text_stamp")
+def q_raw_text_stamp(spark, sf):
+    from quillmart.plans.standins import STAMP1
+    from quillmart.sources.files import as_raw
+    return as_raw(tbl(spark, sf, "orders"), STAMP1)
+
+
+MESSY_HEADERS = {"c_custkey": "C Custkey", "c_name": "c-Name!!", "c_nationkey": "  C__NationKey ",
+                 "c_acctbal": "C.AcctBal", "c_mktsegment": "C MKT Segment"}
+
+
+@query("sanitize_columns")
+def q_sanitize_columns(spark, sf):
+    from quillmart.sources.files import sanitize_columns
+    c = tbl(spark, sf, "customer")
+    messy = c.select(*[F.col(k).alias(v) for k, v in MESSY_HEADERS.items()])
+    return sanitize_columns(messy)
+
+
+@query("drop_sensitive")
+def q_drop_sensitive(spark, sf):
+    """Credit-card export with sensitive columns under display names: they
+    are caught after sanitising ('CVV' -> 'cvv')."""
+    from quillmart.sources.files import drop_sensitive, sanitize_columns
+    c = tbl(spark, sf, "customer")
+    src = c.select(F.col("c_custkey").alias("User ID"), F.col("c_name").alias("Name"),
+                   F.col("c_mktsegment").alias("Issuing Bank"),
+                   F.concat(F.lit("4111"), F.lpad(F.col("c_custkey").cast("string"), 12, "0")).alias(
+                       "Credit Card Number"),
+                   (F.col("c_custkey") % 1000).alias("CVV"))
+    return drop_sensitive(sanitize_columns(src))
+
+
+@query("drop_unnamed")
+def q_drop_unnamed(spark, sf):
+    from quillmart.plans.clean import drop_all_unnamed
+    from quillmart.sources.files import normalise_index_column
+    c = tbl(spark, sf, "customer")
+    src = c.select(F.col("c_custkey").alias("Unnamed: 0"), F.col("c_nationkey").alias("unnamed_extra"),
+                   "c_name", "c_acctbal", "c_mktsegment")
+    return drop_all_unnamed(normalise_index_column(src))
+
+
+@query("row_index_column")
+def q_row_index_column(spark, sf):
+    """Parquet row position within its file as the ``unnamed_0`` index."""
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return li.select(F.col("_metadata.row_index").alias("unnamed_0"), F.col("_metadata.file_name").alias("file"),
+                     "l_orderkey", "l_linenumber")
+
+
+@query("ingest_audit_upsert")
+def q_ingest_audit_upsert(spark, sf):
+    """Audit after two ingest runs: run 1 logged the events with value < 50,
+    run 2 the rest plus a new table (orders); per (schema, table) the
+    newest stamp survives."""
+    from quillmart.sources.sinks import audit_entries, audit_upsert
+    ev = tbl(spark, sf, "events")
+    first = audit_entries(ev.where(F.col("value") < 50), "raw", "event_type", "ts")
+    second = audit_entries(ev.where(~(F.col("value") < 50) | F.col("value").isNull()), "raw", "event_type", "ts")
+    orders = tbl(spark, sf, "orders").select(F.lit("orders").alias("t"), F.col("o_orderdate").alias("ts"))
+    second = second.unionByName(audit_entries(orders, "raw", "t", "ts"))
+    return audit_upsert(first, second)
+
+
+@query("raw_append_two_batches")
+def q_raw_append_two_batches(spark, sf):
+    """Two appends to one raw table; batch 2 brings a new column. Read back
+    with schema merging: batch-1 rows have NULL in the new column."""
+    from quillmart.plans.standins import STAMP1, STAMP2
+    from quillmart.sources.files import as_raw
+    from quillmart.sources.sinks import append_raw, read_raw
+    path = _run_dir(spark, "raw-orders")
+    o = tbl(spark, sf, "orders")
+    append_raw(as_raw(o.drop("o_orderpriority"), STAMP1), path)
+    append_raw(as_raw(o, STAMP2), path)
+    return read_raw(spark, path)
+
+
+@query("staging_overwrite")
+def q_staging_overwrite(spark, sf):
+    """Truncate-and-load twice: the second load fully replaces the first."""
+    from quillmart.sources.sinks import overwrite
+    path = _run_dir(spark, "staging-line-item")
+    overwrite(C.clean_line_item(raw_table(spark, sf, "raw_line_item", batches=False)), path)
+    overwrite(cleaned(spark, sf, "line_item"), path)
+    return spark.read.parquet(path)
+
+
+@query("preview_sample")
+def q_preview_sample(spark, sf):
+    """Ordered preview of the deduplicated campaigns (unique key, so the
+    first 10 are well defined; the limit is the feature)."""
+    return deduped(spark, sf, "campaign").orderBy("campaign_id").limit(10)
+
+
+def _customer_text(spark, sf):
+    c = tbl(spark, sf, "customer")
+    return c.select(*[F.col(x).cast("string").alias(x) for x in ["c_custkey", "c_nationkey", "c_acctbal",
+                                                                "c_mktsegment"]],
+                    F.concat(F.col("c_name"), F.lit(', "'), F.col("c_mktsegment"), F.lit('"')).alias("c_label"))
+
+
+@query("csv_delimiter_fallback")
+def q_csv_delimiter_fallback(spark, sf):
+    """The same export written comma-, TAB- (named .csv) and ';'-separated,
+    with quoted fields holding commas and doubled quotes; each read back
+    with the delimiter fallback."""
+    from quillmart.sources.formats import read_csv_fallback, write_delimited
+    base = _run_dir(spark, "csv")
+    src = _customer_text(spark, sf)
+    out = None
+    for label, sep in [("comma", ","), ("tab", "\t"), ("semicolon", ";")]:
+        p = f"{base}/{label}.csv"
+        write_delimited(src, p, sep)
+        df = read_csv_fallback(spark, p).withColumn("source", F.lit(label))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+JSON_COLUMNS = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@query("json_column_orient_scan")
+def q_json_column_orient_scan(spark, sf):
+    """Orders exported as column-oriented JSON documents (1,000 rows each,
+    keyed by order key) and read back into rows."""
+    from quillmart.sources.formats import column_docs, read_json_columns
+    path = _run_dir(spark, "json")
+    o = tbl(spark, sf, "orders").withColumn("_chunk", F.floor(F.col("o_orderkey") / 1000))
+    column_docs(o, "_chunk", "o_orderkey", JSON_COLUMNS).write.mode("overwrite").text(path)
+    return read_json_columns(spark, path, JSON_COLUMNS)
+
+
+HTML_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+
+
+@query("html_table_scan")
+def q_html_table_scan(spark, sf):
+    """Orders published as HTML pages (500 rows per <table>) and scanned back."""
+    from quillmart.sources.formats import html_pages, read_html_tables
+    path = _run_dir(spark, "html")
+    o = tbl(spark, sf, "orders").withColumn("_chunk", F.floor(F.col("o_orderkey") / 500))
+    html_pages(o, "_chunk", HTML_COLUMNS).write.mode("overwrite").text(path)
+    return read_html_tables(spark, path)
+
+
+@query("file_inventory")
+def q_file_inventory(spark, sf):
+    from quillmart.sources.files import file_inventory
+    return file_inventory(spark, sf).select("file_name", "table_name", "reader", "size_bytes", "skipped_empty")
+
+
+@query("incremental_file_ingest")
+def q_incremental_file_ingest(spark, sf):
+    """Two availableNow runs over the same folder: the second finds no new
+    file, so the raw table holds each event exactly once."""
+    from quillmart.streaming.incremental import ingest_once, read_ingested
+    base = _run_dir(spark, "stream")
+    for _ in range(2):
+        ingest_once(spark, sf, "events.parquet", f"{base}/raw_events", f"{base}/_checkpoint")
+    return read_ingested(spark, f"{base}/raw_events").drop("ingested_at")
