@@ -71,18 +71,46 @@ DATE_FORMATS = ("yyyy-MM-dd", "MM/dd/yyyy", "yyyy/MM/dd", "dd-MM-yyyy")
 TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "MM/dd/yyyy HH:mm:ss", "yyyy-MM-dd")
 
 
+def _shape(fmt: str) -> str:
+    """A loose regex of the text a datetime pattern can parse (pattern
+    letters become digit runs, quoted text stays literal), used to skip
+    hopeless parse attempts: a failed parse raises and catches an exception
+    inside the JVM, which is slow."""
+    import re as _re
+
+    out, quoted, prev = [], False, None
+    for ch in fmt:
+        if ch == "'":
+            quoted = not quoted
+            prev = None
+            continue
+        if ch.isalpha() and not quoted:
+            if prev != ch:
+                out.append(r"\d+")
+            prev = ch
+            continue
+        out.append(_re.escape(ch))
+        prev = None
+    return "^" + "".join(out) + "$"
+
+
+def _guarded(t: Column, fmt: str, parse) -> Column:
+    return F.when(t.rlike(_shape(fmt)), parse(t, fmt))
+
+
 def parse_date(c, formats=DATE_FORMATS) -> Column:
     """Tolerant date parse: the first format that fits wins, none -> NULL.
     Formats are tried per value (no format locked from the first row)."""
     t = blank_to_null(c)
-    return F.coalesce(*[F.try_to_date(t, f) for f in formats])
+    return F.coalesce(*[_guarded(t, f, lambda x, f: F.try_to_date(x, f)) for f in formats])
 
 
 def parse_timestamp(c, formats=TIMESTAMP_FORMATS) -> Column:
     """Tolerant wall-clock timestamp parse (TIMESTAMP_NTZ: independent of the
     session time zone); none of the formats fits -> NULL."""
     t = blank_to_null(c)
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    return F.coalesce(*[_guarded(t, f, lambda x, f: F.try_to_timestamp(x, F.lit(f)))
+                        for f in formats]).cast("timestamp_ntz")
 
 
 def product_type(c) -> Column:

@@ -24,11 +24,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmart.operators.joins import estimated_bytes
 from quillmart.session import ensure_checkpoint_dir
 
+# Inputs whose estimated size is below this are numbered with a plain window.
+SMALL_INPUT_BYTES = 16 * 1024 * 1024
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
@@ -44,9 +48,20 @@ def dense_number(df: DataFrame, order: Sequence[str | Column], name: str,
     """Add ``name`` = start - 1 + row_number() OVER (PARTITION BY group ORDER BY order)."""
     group = list(group)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    start_col = start if isinstance(start, Column) else F.lit(start)
+    est = estimated_bytes(df)
+    if est is not None and est <= SMALL_INPUT_BYTES:
+        # Proven small (the optimizer's estimate bounds it): a plain window is
+        # cheaper than the distributed numbering and cannot overload a task.
+        w = Window.partitionBy(*[F.col(g) for g in group]).orderBy(*order_cols) if group \
+            else Window.orderBy(*order_cols)
+        return df.withColumn(name, (F.row_number().over(w) - 1 + start_col).cast("long"))
     n = num_partitions or _num_partitions(df)
     cols = df.columns
-    part = df.repartitionByRange(n, *[F.col(g) for g in group], *order_cols)
+    # Sampling the range bounds is a pass over the input of its own; keep
+    # the input once (memory, spilling to disk) so it is not computed twice.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    part = src.repartitionByRange(n, *[F.col(g) for g in group], *order_cols)
     tagged = (part.sortWithinPartitions(*[F.col(g) for g in group], *order_cols)
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
@@ -57,6 +72,7 @@ def dense_number(df: DataFrame, order: Sequence[str | Column], name: str,
     # (reliable: survives executor loss) and both branches read that copy.
     ensure_checkpoint_dir(df.sparkSession)
     tagged = tagged.checkpoint(eager=True)
+    src.unpersist()
     stats = tagged.groupBy("_pid", *group).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -71,7 +87,6 @@ def dense_number(df: DataFrame, order: Sequence[str | Column], name: str,
         cond = cond & F.col(g).eqNullSafe(F.col("_s" + g))
     joined = tagged.join(stats, on=cond, how="inner").withColumnRenamed(
         "_s_first", "_first").withColumnRenamed("_s_before", "_before")
-    start_col = start if isinstance(start, Column) else F.lit(start)
     number = (F.col("_pos") - F.col("_first") + F.col("_before") + start_col).cast("long")
     return joined.select(*[F.col(c) for c in cols], number.alias(name))
 

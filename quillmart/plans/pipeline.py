@@ -61,10 +61,18 @@ def dimensions(spark: SparkSession, sf: str, names=None) -> dict[str, DataFrame]
     return {n: initial_dimension(snaps[n], SCD_SPECS[n]) for n in names}
 
 
-def facts(spark: SparkSession, sf: str, dims: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    dims = dims or dimensions(spark, sf, ["dim_user", "dim_merchant", "dim_staff", "dim_campaign", "dim_product"])
+ORDER_DIMS = ["dim_user", "dim_merchant", "dim_staff", "dim_campaign"]
+
+
+def fact_orders(spark: SparkSession, sf: str, dims: dict | None = None) -> DataFrame:
+    dims = dims or dimensions(spark, sf, ORDER_DIMS)
     orders = deduped(spark, sf, "order")
-    fo = S.fact_orders(orders, dims["dim_user"], dims["dim_merchant"], dims["dim_staff"], dims["dim_campaign"])
+    return S.fact_orders(orders, dims["dim_user"], dims["dim_merchant"], dims["dim_staff"], dims["dim_campaign"])
+
+
+def facts(spark: SparkSession, sf: str, dims: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    dims = dims or dimensions(spark, sf, [*ORDER_DIMS, "dim_product"])
+    fo = fact_orders(spark, sf, dims)
     fli = S.fact_line_items(deduped(spark, sf, "line_item"), fo, dims["dim_product"])
     return fo, fli
 

@@ -243,8 +243,7 @@ def q_scd2_dimensions(spark, sf):
 
 @query("fact_orders")
 def q_fact_orders(spark, sf):
-    fo, _ = _pipeline().facts(spark, sf)
-    return fo
+    return _pipeline().fact_orders(spark, sf)
 
 
 @query("fact_line_items")

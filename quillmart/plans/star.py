@@ -111,10 +111,13 @@ def fact_line_items(line_items: DataFrame, fact_orders_df: DataFrame, dim_produc
 
     Line numbers come from ``dense_number``: a hot order is spread over
     several range partitions instead of one window task."""
-    li = line_items.join(fact_orders_df.select(
-        "order_id", "merchant_sk", "user_sk", "staff_sk", "date_sk"), "order_id", "inner")
-    numbered = dense_number(li, ["product_id", "price", "quantity", "product_name"],
+    # Numbering first: an order's lines are all kept or all dropped by the
+    # inner join (one fact row per order), so the numbers are the same, and
+    # the numbering does not have to carry the order facts' lineage.
+    numbered = dense_number(line_items, ["product_id", "price", "quantity", "product_name"],
                             "line_item_id", group=["order_id"])
+    numbered = numbered.join(fact_orders_df.select(
+        "order_id", "merchant_sk", "user_sk", "staff_sk", "date_sk"), "order_id", "inner")
     p = _current(dim_product, ["product_id", "product_sk"])
     j = numbered.join(p, "product_id", "left")
     out = j.select(
