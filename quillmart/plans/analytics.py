@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmart.operators.joins import small_dim
+from quillmart.sources.tables import read_table
 
 REVENUE_TYPE = "decimal(38,2)"
 
@@ -94,7 +95,7 @@ def job_level_band(acctbal: F.Column) -> F.Column:
 
 
 def star_dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    c = read_table(spark, sf_dir, "customer")
     return c.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"),
                     F.col("c_mktsegment").alias("user_type"),
                     job_level_band(F.col("c_acctbal")).alias("job_level"),
@@ -102,21 +103,21 @@ def star_dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_dim_merchant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    s = read_table(spark, sf_dir, "supplier")
     return s.select(F.col("s_suppkey").alias("merchant_id"), F.col("s_name").alias("name"),
                     F.col("s_nationkey").alias("location_id"))
 
 
 def star_dim_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One campaign per order priority (derived by a distinct over orders)."""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    o = read_table(spark, sf_dir, "orders")
     return (o.select(F.substring("o_orderpriority", 1, 1).cast("int").alias("campaign_id"),
                      F.substring("o_orderpriority", 3, 40).alias("campaign_name")).distinct())
 
 
 def star_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    o = read_table(spark, sf_dir, "orders")
+    li = read_table(spark, sf_dir, "lineitem")
     link = li.groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("merchant_id"), F.max("l_suppkey").alias("staff_id"),
         F.datediff(F.max("l_shipdate"), F.min("l_shipdate")).alias("delay_in_days"))
@@ -131,8 +132,8 @@ def star_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_fact_line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
+    li = read_table(spark, sf_dir, "lineitem")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("merchant_id"), F.col("o_custkey").alias("user_id"),

@@ -18,12 +18,13 @@ from quillmart.operators.joins import (
     union_all,
 )
 from quillmart.operators.keys import dense_number
+from quillmart.sources.tables import read_table
 
 PERIOD_BOUNDS = ("1997-01-01", "1999-01-01")
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    return read_table(spark, sf, name)
 
 
 def period_of(d: F.Column) -> F.Column:

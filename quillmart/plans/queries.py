@@ -16,6 +16,7 @@ from quillmart.plans import clean as C
 from quillmart.plans import contracts
 from quillmart.plans import star as S
 from quillmart.plans.standins import raw_table
+from quillmart.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -28,7 +29,7 @@ def query(name: str):
 
 
 def tbl(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    return read_table(spark, sf, name)
 
 
 def cleaned(spark: SparkSession, sf: str, table: str) -> DataFrame:

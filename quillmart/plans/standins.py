@@ -18,6 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmart.sources.tables import read_table
+
 STAMP1 = "2024-01-01 00:00:00"
 STAMP2 = "2024-02-01 00:00:00"
 
@@ -209,7 +211,7 @@ FROM orders o LEFT JOIN (
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 def orders_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
