@@ -28,11 +28,12 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmart.operators.joins import estimated_bytes
+from quillmart.operators.joins import fits_in
 from quillmart.session import ensure_checkpoint_dir
 
-# Inputs whose estimated size is below this are numbered with a plain window.
-SMALL_INPUT_BYTES = 16 * 1024 * 1024
+# Inputs whose rows provably fit in this many bytes of memory are numbered
+# with a plain window (one sorted task per group, or one task without groups).
+SMALL_INPUT_BYTES = 64 * 1024 * 1024
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
@@ -49,8 +50,7 @@ def dense_number(df: DataFrame, order: Sequence[str | Column], name: str,
     group = list(group)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     start_col = start if isinstance(start, Column) else F.lit(start)
-    est = estimated_bytes(df)
-    if est is not None and est <= SMALL_INPUT_BYTES:
+    if fits_in(df, SMALL_INPUT_BYTES):
         # Proven small (the optimizer's estimate bounds it): a plain window is
         # cheaper than the distributed numbering and cannot overload a task.
         w = Window.partitionBy(*[F.col(g) for g in group]).orderBy(*order_cols) if group \
