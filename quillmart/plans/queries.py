@@ -253,6 +253,11 @@ def q_fact_line_items(spark, sf):
     return fli
 
 
+@query("fact_orders_composite_key")
+def q_fact_orders_composite_key(spark, sf):
+    return _pipeline().fact_orders_composite_key(spark, sf)
+
+
 @query("fact_orders_incremental")
 def q_fact_orders_incremental(spark, sf):
     """Second load: orders dated before 1998 are already in the fact table;
