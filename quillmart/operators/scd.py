@@ -85,8 +85,8 @@ def scd2_merge(current: DataFrame, snapshot: DataFrame, spec: ScdSpec, load_date
     snap = snapshot.select(*key, *tracked).withColumn("_in", F.lit(True)).alias("s")
 
     cond = None
-    for k in key:
-        e = F.col(f"c.{k}") == F.col(f"s.{k}")
+    for k in key:  # NULL-safe: a NULL part of a natural key (an address) is a value
+        e = F.col(f"c.{k}").eqNullSafe(F.col(f"s.{k}"))
         cond = e if cond is None else cond & e
     j = cur.join(snap, cond, "full_outer")
     c_in = F.col(f"c.{spec.sk}").isNotNull()

@@ -36,8 +36,12 @@ def cleaned(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return C.CLEANERS[table](raw_table(spark, sf, C.RAW_OF[table]))
 
 
-def deduped(spark: SparkSession, sf: str, table: str) -> DataFrame:
+def deduped(spark: SparkSession, sf: str, table: str, until: str | None = None) -> DataFrame:
+    """Cleaned and deduplicated table; with ``until``, only the batches
+    ingested up to that stamp (the state of an earlier daily run)."""
     df = cleaned(spark, sf, table)
+    if until is not None:
+        df = df.where(F.col("ingested_at") <= F.lit(until).cast("timestamp_ntz"))
     cols = contracts.columns(table)
     if table in contracts.LATEST_WINS:
         keys = contracts.LATEST_WINS[table]
@@ -226,6 +230,12 @@ for _tb in ["part", "supplier", "nation"]:
     QUERIES[f"scd2_{_tb}"] = _mkscd(_tb)
 
 
+for _d in ["location", "user", "product", "merchant", "staff", "campaign", "issuing_bank"]:
+    def _mkr(d):
+        return lambda spark, sf: _pipeline().reloaded_dimension(spark, sf, f"dim_{d}")
+    QUERIES[f"scd2_reload_{_d}"] = _mkr(_d)
+
+
 @query("scd2_dimensions")
 def q_scd2_dimensions(spark, sf):
     """Row and current-version counts of the seven pipeline dimensions."""
