@@ -3,24 +3,43 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
+# (application, path) -> (schema, scan partitions). The input tables are
+# immutable for the life of an application, so the footer read that infers
+# the schema (a Spark job of its own) and the scan planning that counts the
+# splits happen once per table, not once per query that reads it.
+_SCAN_META: dict[tuple[str, str], tuple[StructType, int]] = {}
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+
+def _scan_meta(spark: SparkSession, path: str) -> tuple[StructType, int]:
+    key = (spark.sparkContext.applicationId, path)
+    meta = _SCAN_META.get(key)
+    if meta is None:
+        df = spark.read.parquet(path)
+        meta = (df.schema, df.rdd.getNumPartitions())
+        _SCAN_META[key] = meta
+    return meta
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """Parquet table ``<sf_dir>/<name>.parquet``.
 
-    A scan yields one task per file split / row group. When a table arrives
-    as fewer splits than the cluster has cores (e.g. one large row group), the
-    per-row work after the scan would run on a handful of tasks; the rows
-    are then spread round-robin over ``defaultParallelism`` partitions. On a
-    real 100 TB layout (thousands of splits) this never triggers. Column
-    pruning and filters still reach the scan below the repartition."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if not spread:
-        return df
+    A scan yields one task per file split / row group. With ``spread``, a
+    table that arrives as fewer splits than the cluster has cores (e.g. one
+    large row group) is spread round-robin over ``defaultParallelism``
+    partitions, so heavy per-row work after the scan does not run on a
+    handful of tasks. Only readers followed by such work ask for it: a scan
+    feeding an aggregate or a join is shuffled by key anyway, and a spread
+    before it would move every row before the partial aggregate shrinks
+    them. On a real 100 TB layout (thousands of splits) it never triggers.
+    Column pruning and filters still reach the scan below the repartition."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     try:
-        target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            return df.repartition(target)
+        schema, splits = _scan_meta(spark, path)
     except Exception:  # noqa: BLE001  (no RDD access, e.g. Spark Connect)
-        pass
+        return spark.read.parquet(path)
+    df = spark.read.schema(schema).parquet(path)
+    if spread and splits < spark.sparkContext.defaultParallelism:
+        return df.repartition(spark.sparkContext.defaultParallelism)
     return df
