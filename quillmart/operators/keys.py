@@ -38,6 +38,29 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
+def row_bytes(df: DataFrame) -> int:
+    """A generous in-memory width of one row: fixed-width columns at their
+    size, text and other variable-width columns at 64 bytes, plus a header."""
+    from pyspark.sql.types import DecimalType, NumericType, BooleanType, DateType, TimestampNTZType, TimestampType
+
+    width = 16
+    for f in df.schema.fields:
+        t = f.dataType
+        if isinstance(t, DecimalType):
+            width += 16
+        elif isinstance(t, (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)):
+            width += 8
+        else:
+            width += 64
+    return width
+
+
+def _window_number(df: DataFrame, order_cols, name: str, group: list, start_col) -> DataFrame:
+    w = Window.partitionBy(*[F.col(g) for g in group]).orderBy(*order_cols) if group \
+        else Window.orderBy(*order_cols)
+    return df.withColumn(name, (F.row_number().over(w) - 1 + start_col).cast("long"))
+
+
 def _num_partitions(df: DataFrame) -> int:
     spark = df.sparkSession
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
@@ -53,14 +76,18 @@ def dense_number(df: DataFrame, order: Sequence[str | Column], name: str,
     if fits_in(df, SMALL_INPUT_BYTES):
         # Proven small (the optimizer's estimate bounds it): a plain window is
         # cheaper than the distributed numbering and cannot overload a task.
-        w = Window.partitionBy(*[F.col(g) for g in group]).orderBy(*order_cols) if group \
-            else Window.orderBy(*order_cols)
-        return df.withColumn(name, (F.row_number().over(w) - 1 + start_col).cast("long"))
+        return _window_number(df, order_cols, name, group, start_col)
     n = num_partitions or _num_partitions(df)
     cols = df.columns
     # Sampling the range bounds is a pass over the input of its own; keep
     # the input once (memory, spilling to disk) so it is not computed twice.
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    # The estimate has no bound for joins (it multiplies their inputs), so
+    # measure: one count fills the cache the sampling below reads anyway.
+    # When the rows do fit the budget, the window path holds them.
+    if src.count() * row_bytes(df) <= SMALL_INPUT_BYTES:
+        src.unpersist()
+        return _window_number(df, order_cols, name, group, start_col)
     part = src.repartitionByRange(n, *[F.col(g) for g in group], *order_cols)
     tagged = (part.sortWithinPartitions(*[F.col(g) for g in group], *order_cols)
               .withColumn("_mid", F.monotonically_increasing_id())

@@ -220,14 +220,16 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> Da
 def orders_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders ⟕ (per-order aggregate of lineitem): partial aggregation before
     the shuffle, then a shuffle join on the order key."""
-    # both sides are shuffled by the order key (aggregate, join): no spread
+    # the line items go straight into an aggregate: no spread before it
     li = load(spark, sf_dir, "lineitem", spread=False)
     agg = li.groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("merchant_key"),
         F.max("l_suppkey").alias("staff_key"),
         F.datediff(F.max("l_shipdate"), F.min("l_shipdate")).alias("ship_span"),
     )
-    o = load(spark, sf_dir, "orders", spread=False)
+    # the orders keep the spread: the join may become a broadcast (the
+    # aggregate is small), and the per-row recipes and cleaning follow it
+    o = load(spark, sf_dir, "orders")
     return o.join(agg, o.o_orderkey == agg.l_orderkey, "left").drop("l_orderkey")
 
 

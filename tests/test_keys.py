@@ -28,3 +28,16 @@ def test_small_path_same_result(spark):
     a = keys.dense_number(df, ["o"], "n", group=["g"])
     want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("long"))
     assert a.exceptAll(want).count() == 0
+
+
+def test_measured_small_join_input_uses_window(spark):
+    # a join's estimate multiplies its inputs (never proven small), but the
+    # measured rows fit the budget: numbered by the plain window, same result
+    a = spark.range(0, 200).select((F.col("id") % 20).alias("g"), F.col("id").alias("o"))
+    b = spark.range(0, 20).select(F.col("id").alias("g"), (F.col("id") * 2).alias("w"))
+    df = a.join(b, "g")
+    got = keys.dense_number(df, ["o"], "n", group=["g"])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and "_pid" not in plan
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("long"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
