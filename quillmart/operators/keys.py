@@ -2,7 +2,9 @@
 
 ``row_number()`` over a window without PARTITION BY moves every row into one
 task, and a window PARTITIONED BY a hot key puts that key's rows into one
-task. ``dense_number`` avoids both:
+task. ``dense_number`` uses the plain window only where it is bounded — the
+whole input (no groups) or the largest group fits a task's budget, by the
+optimizer's estimate or by a measured count — and otherwise:
 
 1. range-partition on (group, order) with an explicit partition count (so AQE
    never coalesces it and partition ids stay stable), sort inside each
@@ -83,11 +85,23 @@ def dense_number(df: DataFrame, order: Sequence[str | Column], name: str,
     # the input once (memory, spilling to disk) so it is not computed twice.
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     # The estimate has no bound for joins (it multiplies their inputs), so
-    # measure: one count fills the cache the sampling below reads anyway.
-    # When the rows do fit the budget, the window path holds them.
-    if src.count() * row_bytes(df) <= SMALL_INPUT_BYTES:
+    # measure; the pass fills the cache the sampling below reads anyway.
+    # Without groups the window is one task: all rows must fit the budget.
+    # With groups each window partition is one group, so only the largest
+    # group must fit (found by a partial aggregate, one row per group); a
+    # hot group that does not fit takes the range-split path below.
+    if group:
+        largest = src.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+    else:
+        largest = src.count()
+    if largest * row_bytes(df) <= SMALL_INPUT_BYTES:
+        # numbered from the cached rows and written once to the shared
+        # checkpoint folder: the query using the numbers neither recomputes
+        # the input nor depends on the cache (which is released here)
+        ensure_checkpoint_dir(df.sparkSession)
+        out = _window_number(src, order_cols, name, group, start_col).checkpoint(eager=True)
         src.unpersist()
-        return _window_number(df, order_cols, name, group, start_col)
+        return out
     part = src.repartitionByRange(n, *[F.col(g) for g in group], *order_cols)
     tagged = (part.sortWithinPartitions(*[F.col(g) for g in group], *order_cols)
               .withColumn("_mid", F.monotonically_increasing_id())

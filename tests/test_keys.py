@@ -38,6 +38,21 @@ def test_measured_small_join_input_uses_window(spark):
     df = a.join(b, "g")
     got = keys.dense_number(df, ["o"], "n", group=["g"])
     plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert "Window" in plan and "_pid" not in plan
+    assert "_pid" not in plan  # no range-split tags: the window path
     want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("long"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_hot_group_takes_the_range_split_path(spark, monkeypatch):
+    monkeypatch.setattr(keys, "SMALL_INPUT_BYTES", 5000)
+    ids = spark.range(0, 1100)
+    # one group holds 1000 rows (a third of all rows and more), others 10 each
+    hot = ids.select(F.when(F.col("id") < 1000, F.lit(0)).otherwise(1 + F.col("id") % 10).alias("g"),
+                     (F.col("id") * 7919 % 1103).alias("o"))
+    calm = ids.select((F.col("id") % 110).alias("g"), (F.col("id") * 7919 % 1103).alias("o"))
+    for df, split in [(hot, True), (calm, False)]:
+        got = keys.dense_number(df, ["o"], "n", group=["g"])
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert ("_pid" in plan) == split
+        want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("long"))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
