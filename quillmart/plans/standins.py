@@ -220,7 +220,8 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> Da
 def orders_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders ⟕ (per-order aggregate of lineitem): partial aggregation before
     the shuffle, then a shuffle join on the order key."""
-    # the line items go straight into an aggregate: no spread before it
+    # the line items go straight into a cheap aggregate of three narrow
+    # columns: no spread before it
     li = load(spark, sf_dir, "lineitem", spread=False)
     agg = li.groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("merchant_key"),

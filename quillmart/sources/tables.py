@@ -22,18 +22,19 @@ def _scan_meta(spark: SparkSession, path: str) -> tuple[StructType, int]:
     return meta
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Parquet table ``<sf_dir>/<name>.parquet``.
 
     A scan yields one task per file split / row group. With ``spread``, a
     table that arrives as fewer splits than the cluster has cores (e.g. one
     large row group) is spread round-robin over ``defaultParallelism``
-    partitions, so heavy per-row work after the scan does not run on a
-    handful of tasks. Only readers followed by such work ask for it: a scan
-    feeding an aggregate or a join is shuffled by key anyway, and a spread
-    before it would move every row before the partial aggregate shrinks
-    them. On a real 100 TB layout (thousands of splits) it never triggers.
-    Column pruning and filters still reach the scan below the repartition."""
+    partitions, so the per-row work after the scan — parsing, or a partial
+    aggregate of wide rows — does not run on a handful of tasks. A reader
+    whose next step is a cheap aggregate of a few narrow columns passes
+    ``spread=False``: there the partial aggregate in the scan task shrinks the
+    rows before any shuffle. On a real 100 TB layout (thousands of splits)
+    the spread never triggers. Column pruning and filters still reach the
+    scan below the repartition."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     try:
         schema, splits = _scan_meta(spark, path)
