@@ -283,10 +283,13 @@ def q_fact_orders_incremental(spark, sf):
 
 @query("fact_line_items_incremental")
 def q_fact_line_items_incremental(spark, sf):
-    fo, fli = _pipeline().facts(spark, sf)
-    existing = fli.where(F.col("date_sk") < 19980101)
+    """Second load: lines of orders dated before 1998 are already loaded;
+    only the other (order, line) pairs are appended (anti join). The
+    dimensions are built once and serve both loads."""
     p = _pipeline()
-    dims = p.dimensions(spark, sf, ["dim_product"])
+    dims = p.dimensions(spark, sf, [*p.ORDER_DIMS, "dim_product"])
+    fo, fli = p.facts(spark, sf, dims)
+    existing = fli.where(F.col("date_sk") < 19980101)
     return S.fact_line_items(deduped(spark, sf, "line_item"), fo, dims["dim_product"], existing=existing)
 
 
