@@ -29,6 +29,14 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DecimalType,
+    NumericType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from quillmart.operators.joins import fits_in
 from quillmart.session import ensure_checkpoint_dir
@@ -43,8 +51,6 @@ _POS_MASK = (1 << _POS_BITS) - 1
 def row_bytes(df: DataFrame) -> int:
     """A generous in-memory width of one row: fixed-width columns at their
     size, text and other variable-width columns at 64 bytes, plus a header."""
-    from pyspark.sql.types import DecimalType, NumericType, BooleanType, DateType, TimestampNTZType, TimestampType
-
     width = 16
     for f in df.schema.fields:
         t = f.dataType
