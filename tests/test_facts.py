@@ -57,3 +57,16 @@ def test_fact_line_items(spark):
     assert out == [("O1", 1, 10, "1.00"), ("O1", 2, 10, "3.00"), ("O1", 3, 0, "5.00")]  # OX dropped
     existing = S.fact_line_items(li, fo, dp)
     assert S.fact_line_items(li, fo, dp, existing=existing).count() == 0
+
+
+def test_composite_user_key_needs_id_and_name(spark):
+    # J-11: the user is found by id AND name; a missing or different name
+    # falls to the unknown member 0 even when the id exists
+    du = spark.createDataFrame([("U1", "Ann", 1, True), ("U2", "Bo", 3, True)],
+                               "user_id string, name string, user_sk long, is_current boolean")
+    o = orders(spark).join(spark.createDataFrame(
+        [("O1", "Ann"), ("O2", "Cy"), ("O3", None)], "order_id string, name string"), "order_id")
+    d = star(spark)
+    got = {r.order_id: r.user_sk for r in S.fact_orders(
+        o, du, d["dim_merchant"], d["dim_staff"], d["dim_campaign"], user_keys=("user_id", "name")).collect()}
+    assert got == {"O1": 1, "O2": 0, "O3": 0}

@@ -55,3 +55,14 @@ def test_audit_upsert_keeps_greatest(spark):
     b = spark.createDataFrame([("raw", "t1", 7), ("raw", "t2", 3), ("raw", "t3", 1)], a.schema)
     got = sorted(map(tuple, sinks.audit_upsert(a, b).collect()))
     assert got == [("raw", "t1", 7), ("raw", "t2", 9), ("raw", "t3", 1)]
+
+
+def test_read_table_reuses_metadata_and_spreads_single_split(spark):
+    from quillmart.sources import tables
+
+    a = tables.read_table(spark, "/root/testdata/sf0.001", "nation")
+    b = tables.read_table(spark, "/root/testdata/sf0.001", "nation", spread=False)
+    assert a.schema == b.schema and a.count() == b.count() == 25
+    # a one-row-group file is spread over the cores only when asked
+    assert b.rdd.getNumPartitions() == 1
+    assert a.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
