@@ -3,10 +3,13 @@ and stable row keys."""
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -14,6 +17,19 @@ from pyspark.sql.types import StructType
 from quillmart.session import ensure_checkpoint_dir
 
 ROWS_PER_CALL = 256
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that their
+    Python workers can import it. A package that is not a plain folder was
+    itself shipped with the application."""
+    app, package = spark.sparkContext.applicationId, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if app in _SHIPPED or not os.path.isdir(package):
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="package-"), os.path.basename(package))
+    spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
+    _SHIPPED.add(app)
 
 
 def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
@@ -31,6 +47,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schem
     ``columns`` maps a name to a list of values. ``fn`` sees at most
     ``rows_per_call`` rows at once and may return another number of rows, so
     the memory of a call is bounded whatever the partition holds."""
+    ship(df.sparkSession)
     out = StructType.fromDDL(schema)
     arrow = to_arrow_schema(out)
 
@@ -54,7 +71,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def row_key(*cols: str) -> list[Column]:
-    """Null-safe join key of a document row: its id and the hash of its text.
-    Repeated rows share a key and everything computed from them."""
-    return [F.col(c) for c in cols]
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
+    """Two hashes (128 bits) of a document row's id and text, ``k1`` and
+    ``k2``. Documents are found again by them, null ids included; repeated
+    rows share a key and with it everything computed from the row."""
+    i = F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("null"))
+    t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return [F.xxhash64(i, t).alias("k1"), F.xxhash64(t, F.lit("|"), i).alias("k2")]

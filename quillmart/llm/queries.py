@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillmart.llm import token_counts
+from quillmart.llm import quality, simhash, token_counts
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -19,8 +20,21 @@ def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf, "documents"), words=3, max_bits=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    rules = quality.fit(docs, table(spark, sf, "labels"))
+    return quality.judge(docs, rules).select("doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE: dict[str, str] = {}
