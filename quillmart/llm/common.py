@@ -63,6 +63,25 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schem
     return df.mapInArrow(run, out)
 
 
+def filter_rows(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[bool]]], text_col: str = "text",
+                rows_per_call: int = ROWS_PER_CALL) -> DataFrame:
+    """The rows whose whole text (null: empty) passes a test, all columns as
+    they are, without a shuffle. ``make()`` runs once per task and returns the
+    test of a list of texts."""
+    ship(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = make()
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows_per_call):
+                part = batch.slice(start, rows_per_call)
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                yield part.filter(pa.array(passes(texts), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared folder of the
     session; it survives lost executors and Spark's cleaner removes it when

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.llm import quality, simhash, token_counts
+from quillmart.llm import decontaminate, packing, quality, simhash, token_counts
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -31,9 +31,20 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(docs, rules).select("doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.contained_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "item_id", "n_found", "n_shingles", F.round("containment", 6).alias("containment"))
+
+
+def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
