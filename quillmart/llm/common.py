@@ -4,6 +4,7 @@ and stable row keys."""
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
@@ -17,6 +18,9 @@ from pyspark.sql.types import StructType
 from quillmart.session import ensure_checkpoint_dir
 
 ROWS_PER_CALL = 256
+_PUNCTUATION = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127))
+_TO_SPACES = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
+_WIDE_PUNCTUATION = re.compile("[\u00a1\u00a7\u00ab\u00b7\u00bb\u00bf\u2010-\u2027\u2030-\u205e\u3001-\u3003\u3008-\u3011\uff01-\uff0f]")
 _SHIPPED: set[str] = set()
 
 
@@ -32,6 +36,12 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def words_of(text: str) -> list[str]:
+    """Lower-case words without punctuation."""
+    text = text.lower().encode().translate(_TO_SPACES).decode()
+    return (text if text.isascii() else _WIDE_PUNCTUATION.sub(" ", text)).split()
+
+
 def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """The id as long ``doc_id`` and the whole text as ``text`` (null: empty);
     every other column of ``docs`` is left out, whatever its name."""

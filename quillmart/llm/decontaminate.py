@@ -25,7 +25,6 @@ match counts; no items or no documents: no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -34,21 +33,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmart.llm.common import filter_rows, map_batches, row_key, ship, text_rows
+from quillmart.llm.common import filter_rows, map_batches, row_key, ship, text_rows, words_of
 
-_MARKS = re.compile(r"[^\w\s]+|_+")
-_ASCII_MARKS = str.maketrans({c: " " for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"})
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _word_hash = xxhash.xxh3_64_intdigest
 FOUND = "doc_id long, k1 long, k2 long, item_id long, n_found long, n_shingles long, containment double"
 
 
-def words_of(text: str) -> list[str]:
-    """Lower-case words without punctuation."""
-    text = text.lower().translate(_ASCII_MARKS)
-    return (text if text.isascii() else _MARKS.sub(" ", text)).split()
-
-
 def shingle_hashes(hashes: np.ndarray, words: int) -> np.ndarray:
     """64-bit hash of every run of ``words`` word hashes."""
     n = len(hashes) - words + 1

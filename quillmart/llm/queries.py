@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.llm import decontaminate, packing, quality, simhash, token_counts
+from quillmart.llm import chat, decontaminate, packing, pii, quality, simhash, token_counts, toxicity
+from quillmart.llm.common import map_batches, text_rows
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -20,6 +21,26 @@ def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = pii.fit(docs)
+    names = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+
+    def make():
+        def run(c: dict) -> dict:
+            return {"doc_id": c["doc_id"], **dict(zip(names, zip(*(pii.digest(t, model) for t in c["text"]))))}
+
+        return run
+
+    return map_batches(text_rows(docs), make, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, "
+                                              "base_sha256 string, spans string")
+
+
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")), threshold=0.3)
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf, "documents"), words=3, max_bits=2)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -31,6 +52,17 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(docs, rules).select("doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
 
 
+def op6_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    more = spark.range(1).select(F.explode(F.array(
+        F.struct(F.lit(0).alias("turn"), F.lit("user").alias("role")),
+        F.struct(F.lit(1).alias("turn"), F.lit("assistant").alias("role")))).alias("t"))
+    more = more.select(F.lit(-7).cast("long").alias("conv_id"), F.col("t.turn").cast("long").alias("turn"),
+                       F.col("t.role").alias("role"), F.lit(said).alias("text"))
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.read_back(chat.windows(rows, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.contained_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "item_id", "n_found", "n_shingles", F.round("containment", 6).alias("containment"))
@@ -42,7 +74,10 @@ def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_pii": op2_pii,
+    "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_chat_formatting": op6_chat_formatting,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
