@@ -42,7 +42,7 @@ def _split_values(column: np.ndarray, bins: int) -> np.ndarray:
 
 
 def fit_boosted(x: np.ndarray, y: np.ndarray, rounds: int = 80, depth: int = 4, rate: float = 0.15,
-                bins: int = 48, least: float = 1.0, l2: float = 1.0) -> Boosted:
+                bins: int = 48, least: float = 0.3, l2: float = 1.0) -> Boosted:
     """Logistic boosting with histogram splits. ``least`` is the smallest
     hessian sum of a child. One class, or no rows: the class's log-odds."""
     x, y = np.asarray(x, float), np.asarray(y, float)

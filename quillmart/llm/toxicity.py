@@ -1,11 +1,11 @@
 """Toxicity scores by gradient-boosted trees over dense features (operator 3).
 
 Features of a whole text: densities of a seed lexicon and of one learned from
-labelled rows, how close their words stand to a second person, capitals,
+labelled rows (whole words and beginnings of words), how close their words stand to a second person, capitals,
 punctuation and obfuscation rates. The trees' margin is calibrated by isotonic
 regression. Labels are learned from a bounded sample of the rows outside the
 held-out fold (crc32 of the id as text, modulo 4, is 2): one part for the
-lexicon, one for the trees, one for the calibration. Id, language, source and
+lexicon, the other for the trees, cross-fitted for the calibration. Id, language, source and
 label are not features.
 
 Defined results: a null or empty text has all features zero and gets their
@@ -47,19 +47,44 @@ def held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 4 == 2
 
 
-def features(text: str, lexicon: dict[str, float]) -> list[float]:
+STEMS = (4, 5)
+
+
+class Lexicon:
+    """Learned words and word beginnings with their weights."""
+
+    def __init__(self, entries: list[tuple[int, str, float]]):
+        """Entries (stem length or 0 for a whole word, string, weight)."""
+        self.words = {w: v for k, w, v in entries if k == 0}
+        self.stems = [(k, {w: v for n, w, v in entries if n == k}) for k in STEMS]
+
+    def weight(self, word: str) -> float:
+        """The largest weight of the word and its beginnings; 0 for none."""
+        return max(self.words.get(word, 0.0), *(d.get(word[:k], 0.0) if len(word) > k else 0.0 for k, d in self.stems))
+
+    def hits(self, words: list[str]) -> list[int]:
+        whole, (a, first), (b, second) = self.words, *self.stems
+        return [i for i, w in enumerate(words)
+                if w in whole or (w[:a] in first and len(w) > a) or (w[:b] in second and len(w) > b)]
+
+
+def entries_of(word: str) -> list[tuple[int, str]]:
+    return [(0, word), *((k, word[:k]) for k in STEMS if len(word) > k)]
+
+
+def features(text: str, lexicon: Lexicon) -> list[float]:
     words = words_of(text)
     n = len(words)
     if not n:
         return [0.0] * N_FEATURES
-    learned = [i for i, w in enumerate(words) if w in lexicon]
+    learned = lexicon.hits(words)
     seed = sum(map(SEED_LEXICON.__contains__, words))
     person = [i for i, w in enumerate(words) if w in SECOND_PERSON] if learned else []
     near = 0
     if person:
         gaps = np.abs(np.array(learned)[:, None] - np.array(person)[None, :1000])
         near = int((gaps.min(1) <= 5).sum())
-    weights = [lexicon[words[i]] for i in learned]
+    weights = [lexicon.weight(words[i]) for i in learned]
     raw = text.encode()
 
     def among(chars: bytes) -> int:
@@ -67,7 +92,7 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
 
     hidden = [m for t in text.split() for m in _OBFUSCATED.findall(t)] if among(_HIDERS) else []
     plain = [h.lower().translate(LOOK_ALIKE) for h in hidden]
-    hits = sum(p in lexicon or p in SEED_LEXICON for p in plain) + _spelled_out(words)
+    hits = sum(lexicon.weight(p) > 0 or p in SEED_LEXICON for p in plain) + _spelled_out(words)
     return [
         len(learned) / n, np.log1p(len(learned)), sum(set(weights)), max(weights, default=0.0),
         len({words[i] for i in learned}), seed / n, np.log1p(seed), near, near / max(len(learned), 1),
@@ -90,7 +115,7 @@ def _spelled_out(words: list[str]) -> int:
 
 @dataclass
 class ToxicityModel:
-    lexicon: dict[str, float]
+    lexicon: Lexicon
     trees: Boosted
     calibration: Isotonic
 
@@ -99,26 +124,27 @@ class ToxicityModel:
         return np.clip(self.calibration(self.trees.margin(x)), 0.0, 1.0)
 
 
-def _learn_lexicon(rows: DataFrame, most: int, least_docs: int) -> dict[str, float]:
-    """Words whose documents are labelled 1 far more often than others: the
+def _learn_lexicon(rows: DataFrame, most: int, least_docs: int) -> Lexicon:
+    """Words and word beginnings whose documents are labelled 1 far more often than others: the
     smoothed log-odds, counted on the executors; at most ``most`` words, each in
     ``least_docs`` and 2 % of the documents labelled 1."""
 
     def make():
         def run(c: dict) -> dict:
-            out = [(w, y) for t, y in zip(c["text"], c["toxic"]) for w in set(words_of(t))]
-            return {"word": [w for w, _ in out], "toxic": [y for _, y in out]}
+            out = [(k, w, y) for t, y in zip(c["text"], c["toxic"])
+                   for k, w in {e for w in set(words_of(t)) for e in entries_of(w)}]
+            return {"stem": [k for k, _, _ in out], "word": [w for _, w, _ in out], "toxic": [y for _, _, y in out]}
 
         return run
 
     totals = rows.agg(F.sum("toxic"), F.count("*")).first()
     ones, zeros = totals[0] or 0, (totals[1] or 0) - (totals[0] or 0)
     odds = F.log((F.col("ones") + 0.5) / (ones + 1)) - F.log((F.col("n") - F.col("ones") + 0.5) / (zeros + 1))
-    found = (map_batches(rows.select("text", "toxic"), make, "word string, toxic int").groupBy("word")
+    found = (map_batches(rows.select("text", "toxic"), make, "stem int, word string, toxic int").groupBy("stem", "word")
              .agg(F.sum("toxic").alias("ones"), F.count("*").alias("n")).where(F.col("ones") >= max(least_docs, 0.02 * ones))
-             .select("word", odds.alias("odds"), (odds * F.col("ones")).alias("strength")).where("odds > 2")
-             .orderBy(F.desc("strength"), "word").limit(most).collect())
-    return {r["word"]: round(r["odds"], 4) for r in found}
+             .select("stem", "word", odds.alias("odds"), (odds * F.col("ones")).alias("strength")).where("odds > 2")
+             .orderBy(F.desc("strength"), "word", "stem").limit(most).collect())
+    return Lexicon([(r["stem"], r["word"], round(r["odds"], 4)) for r in found])
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, lexicon_words: int = 400, rounds: int = 60,
@@ -136,17 +162,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, lexicon_words:
 
     def make():
         def run(c: dict) -> dict:
-            return {"x": [features(t, lexicon) for t in c["text"]], "toxic": c["toxic"], "part": c["part"],
-                    "doc_id": c["doc_id"]}
+            return {"x": [features(t, lexicon) for t in c["text"]], "toxic": c["toxic"], "doc_id": c["doc_id"]}
 
         return run
 
-    got = map_batches(rows.where("part >= 3"), make, "doc_id long, toxic int, part long, x array<double>")
+    got = map_batches(rows.where("part >= 3"), make, "doc_id long, toxic int, x array<double>")
     got = sorted((tuple(r) for r in got.limit(4 * sample).collect()))
-    x = np.array([r[3] for r in got], float).reshape(-1, N_FEATURES)
-    y, p = np.array([r[1] for r in got], int), np.array([r[2] for r in got], int)
-    trees = fit_boosted(x[p < 8], y[p < 8], rounds=rounds)
-    return ToxicityModel(lexicon, trees, fit_isotonic(trees.margin(x[p >= 8]), y[p >= 8]))
+    x, y = np.array([r[2] for r in got], float).reshape(-1, N_FEATURES), np.array([r[1] for r in got], int)
+    # Each row's margin for the calibration comes from trees that have not seen it.
+    margins, fold_of = np.zeros(len(y)), np.arange(len(y)) % 5
+    for k in range(5):
+        margins[fold_of == k] = fit_boosted(x[fold_of != k], y[fold_of != k], rounds=rounds).margin(x[fold_of == k])
+    return ToxicityModel(lexicon, fit_boosted(x, y, rounds=rounds), fit_isotonic(margins, y))
 
 
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3, id_col: str = "doc_id",
