@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.llm import chat, decontaminate, packing, pii, quality, simhash, token_counts, toxicity
+from quillmart.llm import (chat, decontaminate, packing, pii, quality, repeated_windows, sentence_spans, simhash,
+                           token_counts, toxicity)
 from quillmart.llm.common import map_batches, text_rows
 
 
@@ -52,6 +53,11 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(docs, rules).select("doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return repeated_windows.remove_repeats(table(spark, sf, "documents"), depth=200).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     more = spark.range(1).select(F.explode(F.array(
@@ -63,6 +69,10 @@ def op6_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat.read_back(chat.windows(rows, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op7_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return sentence_spans.remove_repeats(table(spark, sf, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.contained_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "item_id", "n_found", "n_shingles", F.round("containment", 6).alias("containment"))
@@ -77,7 +87,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
