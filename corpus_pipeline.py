@@ -18,6 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quillmart.llm import decontaminate, packing, pii, quality, simhash
+from quillmart.llm.common import cut
 
 ORACLE_SQL = None
 
@@ -56,8 +57,9 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages, in order, over the whole ``documents`` table."""
+    """The stages, in order, over the whole ``documents`` table. What a stage
+    keeps is checkpointed, as the next one reads it more than once."""
     docs = _table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
