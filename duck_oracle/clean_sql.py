@@ -3,9 +3,20 @@ expressions (same documented semantics)."""
 
 from __future__ import annotations
 
-from quillmart.functions.fixed_values import BANK_ACRONYMS, DEFAULT_COUNTRY, NULL_TOKENS, US_STATES
 from quillmart.plans.standins import raw_table_sql
 
+# FIXED VALUES, stated here again so that a wrong entry in the library shows.
+DEFAULT_COUNTRY = "United States"
+NULL_TOKENS = ["", "nan", "none", "null", "n/a", "<na>"]
+BANK_ACRONYMS = "BDO BPI PNB DBP RCBC UCPB CHINABANK METROBANK MAYABANK ROBINSONSBANK SECURITYBANK EASTWEST".split()
+US_STATES = dict(x.split(" ", 1) for x in """AL Alabama, AK Alaska, AZ Arizona, AR Arkansas, CA California, CO Colorado,
+CT Connecticut, DE Delaware, FL Florida, GA Georgia, HI Hawaii, ID Idaho, IL Illinois, IN Indiana, IA Iowa, KS Kansas,
+KY Kentucky, LA Louisiana, ME Maine, MD Maryland, MA Massachusetts, MI Michigan, MN Minnesota, MS Mississippi,
+MO Missouri, MT Montana, NE Nebraska, NV Nevada, NH New Hampshire, NJ New Jersey, NM New Mexico, NY New York,
+NC North Carolina, ND North Dakota, OH Ohio, OK Oklahoma, OR Oregon, PA Pennsylvania, RI Rhode Island, SC South Carolina,
+SD South Dakota, TN Tennessee, TX Texas, UT Utah, VT Vermont, VA Virginia, WA Washington, WV West Virginia, WI Wisconsin,
+WY Wyoming, DC District of Columbia""".replace("\n", " ").split(", "))
+
 
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -106,7 +117,7 @@ CLEAN_SELECT = {
                    f"{bank('issuing_bank')} AS issuing_bank, ingested_at",
     "user": f"user_id, {parse_date('creation_date')} AS creation_date, name, street, "
             f"{state_name('state')} AS state, city, {country('country')} AS country, "
-            f"{parse_ts('birthdate')} AS birthdate, gender, device_address, user_type, ingested_at",
+            f"{parse_ts('birthdate')} AS birthdate, NULLIF(gender, '') AS gender, device_address, user_type, ingested_at",
     "user_job": f"user_id, {title_case('name')} AS name, {title_case('job_title')} AS job_title, "
                 f"{title_case('job_level')} AS job_level, ingested_at",
 }

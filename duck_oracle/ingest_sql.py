@@ -45,11 +45,22 @@ _CUST = """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(c_nationkey AS V
 ORACLE["csv_delimiter_fallback"] = "\nUNION ALL\n".join(
     f"{_CUST}, '{lab}' AS source FROM customer" for lab in ["comma", "tab", "semicolon"])
 
-ORACLE["json_column_orient_scan"] = """
-SELECT CAST(o_orderkey AS VARCHAR) AS unnamed_0, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
-       CAST(o_totalprice AS VARCHAR) AS o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority
-FROM orders"""
+_ORDERS = """CAST(o_orderkey AS VARCHAR) AS unnamed_0, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       CAST(o_totalprice AS VARCHAR) AS o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders"""
+ORACLE["json_column_orient_scan"] = f"SELECT 'columns' AS form, {_ORDERS} UNION ALL SELECT 'lines', {_ORDERS}"
 
 ORACLE["html_table_scan"] = """
-SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
-       CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders"""
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       NULLIF(o_orderstatus, 'F') AS o_orderstatus, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders"""
+
+ORACLE["row_index_column"] = """
+SELECT row_number() OVER () - 1 AS unnamed_0, 'lineitem.parquet' AS file, l_orderkey, l_linenumber FROM lineitem"""
+
+ORACLE["incremental_file_ingest"] = """
+SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(ts AS VARCHAR) AS ts, CAST(user_id AS VARCHAR) AS user_id, event_type,
+       CAST(value AS VARCHAR) AS value, props FROM events"""
+
+ORACLE["dedup_sink"] = ORACLE["dedup_order"]
+ORACLE["snapshot_sink"] = ORACLE["dim_user_snapshot"]
+ORACLE["calendar_sink"] = ORACLE["dim_date"]
+ORACLE["fact_orders_reload"] = ORACLE["fact_orders"]

@@ -1,91 +1,146 @@
-"""DuckDB SQL for snapshots, SCD2 loads, keys and fact loads."""
+"""DuckDB SQL for snapshots, SCD2 loads, keys and fact loads.
+
+A chain of common table expressions: deduplicated tables with their stamps,
+snapshots, one newest row per natural key, numbered dimensions, facts. A query
+selects from the chain; what it does not use is not run.
+"""
 
 from __future__ import annotations
 
 from duck_oracle import ORACLE, dedup_sql
 
-SCD_SPECS = {
-    "dim_location": ("location_sk", ["street", "city", "state", "country"], []),
-    "dim_user": ("user_sk", ["user_id"],
-                 ["name", "birthdate", "gender", "device_address", "user_type", "job_title", "job_level"]),
-    "dim_product": ("product_sk", ["product_id"], ["product_name", "product_type", "price"]),
-    "dim_merchant": ("merchant_sk", ["merchant_id"], ["name", "contact_number"]),
-    "dim_staff": ("staff_sk", ["staff_id"], ["name", "job_level", "contact_number"]),
-    "dim_campaign": ("campaign_sk", ["campaign_id"], ["campaign_name", "campaign_description", "discount"]),
-    "dim_issuing_bank": ("issuing_bank_sk", ["user_id", "issuing_bank"], []),
+ADDRESS = ["street", "city", "state", "country"]
+# Dimension: (surrogate key, natural key, tracked columns, key columns that must be given).
+DIMS = {
+    "dim_location": ("location_sk", ADDRESS, [], []),
+    "dim_user": ("user_sk", ["user_id"], ["name", "birthdate", "gender", "device_address", "user_type", "job_title",
+                                          "job_level", "location_sk"], ["user_id"]),
+    "dim_product": ("product_sk", ["product_id"], ["product_name", "product_type", "price"], ["product_id"]),
+    "dim_merchant": ("merchant_sk", ["merchant_id"], ["name", "contact_number", "location_sk"], ["merchant_id"]),
+    "dim_staff": ("staff_sk", ["staff_id"], ["name", "job_level", "contact_number", "location_sk"], ["staff_id"]),
+    "dim_campaign": ("campaign_sk", ["campaign_id"], ["campaign_name", "campaign_description", "discount"], ["campaign_id"]),
+    "dim_issuing_bank": ("issuing_bank_sk", ["user_id", "issuing_bank"], [], ["user_id"]),
+}
+SNAPSHOT_COLUMNS = {
+    "dim_location": ADDRESS,
+    "dim_user": ["user_id", "name", "birthdate", "gender", "device_address", "creation_date", "user_type", "job_title",
+                 "job_level", *ADDRESS],
+    "dim_product": ["product_id", "product_name", "product_type", "price"],
+    "dim_merchant": ["merchant_id", "name", "contact_number", "creation_date", *ADDRESS],
+    "dim_staff": ["staff_id", "name", "job_level", "contact_number", "creation_date", *ADDRESS],
+    "dim_campaign": ["campaign_id", "campaign_name", "campaign_description", "discount"],
+    "dim_issuing_bank": ["user_id", "issuing_bank"],
 }
+SOURCE = {"dim_product": "product", "dim_merchant": "merchant", "dim_staff": "staff", "dim_campaign": "campaign",
+          "dim_issuing_bank": "credit_card"}
 LOAD_DATE = "2024-03-01"
 
 
-def dd(t: str, until: str | None = None) -> str:
-    return f"({dedup_sql(t, until)})"
-
+def nf(cols) -> str:
+    return ", ".join(f"{c} NULLS FIRST" for c in cols)
 
-def snap_sql(name: str, until: str | None = None) -> str:
-    """Dimension snapshot from the deduplicated tables (optionally as of an
-    earlier batch)."""
-    def d(t):
-        return dd(t, until)
-    return {
-        "dim_location": f"""(SELECT street, city, state, country FROM (
-        SELECT street, city, state, country FROM {d('user')} a
-        UNION ALL SELECT street, city, state, country FROM {d('merchant')} b
-        UNION ALL SELECT street, city, state, country FROM {d('staff')} c) l WHERE street IS NOT NULL)""",
-        "dim_user": f"""(SELECT ud.user_id, ud.name, CAST(ud.birthdate AS DATE) AS birthdate, ud.gender, ud.device_address,
-        ud.creation_date, ud.user_type, uj.job_title, uj.job_level, ud.street, ud.city, ud.state, ud.country
-        FROM {d('user')} ud LEFT JOIN {d('user_job')} uj ON ud.user_id = uj.user_id)""",
-        "dim_product": f"(SELECT product_id, product_name, product_type, price FROM {d('product')} p)",
-        "dim_merchant": f"""(SELECT merchant_id, name, contact_number, creation_date, street, city, state, country
-        FROM {d('merchant')} m)""",
-        "dim_staff": f"""(SELECT staff_id, name, job_level, contact_number, creation_date, street, city, state, country
-        FROM {d('staff')} s)""",
-        "dim_campaign": f"(SELECT campaign_id, campaign_name, campaign_description, discount FROM {d('campaign')} c)",
-        "dim_issuing_bank": f"(SELECT user_id, issuing_bank FROM {d('credit_card')} b)",
-    }[name]
 
+def same(a: str, b: str, cols) -> str:
+    return " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in cols)
+
+
+def snapshots(p: str, until: str | None) -> list[str]:
+    """Deduplicated tables and snapshots with their stamps, names prefixed."""
+    out = [f"{p}{t} AS ({dedup_sql(t, until, keep_stamp=True)})" for t in
+           ["user", "user_job", "merchant", "staff", "product", "campaign", "credit_card"]]
+    addresses = " UNION ALL ".join(f"SELECT {', '.join(ADDRESS)} FROM {p}{t}" for t in ["user", "merchant", "staff"])
+    out.append(f"{p}s_dim_location AS (SELECT * FROM ({addresses}) a WHERE street IS NOT NULL)")
+    user = ", ".join({"birthdate": "CAST(u.birthdate AS DATE) AS birthdate", "job_title": "j.job_title",
+                      "job_level": "j.job_level"}.get(c, f"u.{c}") for c in SNAPSHOT_COLUMNS["dim_user"])
+    out.append(f"""{p}s_dim_user AS (SELECT {user}, u.ingested_at AS at1, j.ingested_at AS at2
+        FROM {p}user u LEFT JOIN {p}user_job j ON j.user_id = u.user_id)""")
+    out += [f"{p}s_{d} AS (SELECT {', '.join(SNAPSHOT_COLUMNS[d])}, ingested_at AS at1, NULL AS at2 FROM {p}{t})"
+            for d, t in SOURCE.items()]
+    return out
+
+
+def newest(p: str, name: str, locations: str) -> str:
+    """The newest row per natural key; ties go to the greatest tracked tuple."""
+    _, key, tracked, given = DIMS[name]
+    if not tracked:
+        cond = "".join(f" WHERE {g} IS NOT NULL" for g in given)
+        return f"{p}n_{name} AS (SELECT DISTINCT {', '.join(key)} FROM {p}s_{name}{cond})"
+    rows = f"SELECT s.* FROM {p}s_{name} s"
+    if "location_sk" in tracked:
+        rows = f"""SELECT s.*, COALESCE(l.location_sk, 0) AS location_sk FROM {p}s_{name} s
+            LEFT JOIN (SELECT * FROM {locations} WHERE is_current AND location_sk > 0) l ON {same('s', 'l', ADDRESS)}"""
+    best = ", ".join(f"{c} DESC NULLS LAST" for c in ["at1", "at2", *tracked])
+    return f"""{p}n_{name} AS (SELECT {', '.join(key + tracked)} FROM ({rows}) r WHERE {key[0]} IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY {', '.join(key)} ORDER BY {best}) = 1)"""
+
+
+def first_load(p: str, name: str, day: str) -> str:
+    """Numbered in key order, all current, and the unknown member 0."""
+    sk, key, tracked, _ = DIMS[name]
+    cols = key + tracked
+    return f"""{p}{name} AS (
+        SELECT row_number() OVER (ORDER BY {nf(cols)}) AS {sk}, {', '.join(cols)}, DATE '{day}' AS valid_from,
+               CAST(NULL AS DATE) AS valid_to, TRUE AS is_current FROM {p}n_{name}
+        UNION ALL SELECT 0, {', '.join('NULL' for _ in cols)}, DATE '1900-01-01', NULL, TRUE)"""
 
-SNAP = {n: snap_sql(n) for n in SCD_SPECS}
 
-for _n, _s in SNAP.items():
-    ORACLE[f"{_n}_snapshot"] = f"SELECT * FROM {_s} x"
+def loaded(p: str, until: str | None, day: str) -> list[str]:
+    out = snapshots(p, until)
+    for name in DIMS:
+        out += [newest(p, name, f"{p}dim_location"), first_load(p, name, day)]
+    return out
 
 
-def nf(cols) -> str:
-    return ", ".join(f"{c} NULLS FIRST" for c in cols)
+def merged(name: str, old: str, new: str, day: str, out: str) -> list[str]:
+    """Old versions, expired where a tracked column changed, and a version for
+    every new or changed key, numbered after the largest key."""
+    sk, key, tracked, _ = DIMS[name]
+    return merge_ctes(sk, key, tracked, old, new, day, out)
 
 
-def unique_snap_sql(name: str, until: str | None = None) -> str:
-    """One row per natural key: the greatest tracked tuple (NULL lowest)."""
-    sk, key, tracked = SCD_SPECS[name]
+def merge_ctes(sk, key, tracked, old, new, day, out) -> list[str]:
     cols = key + tracked
-    if tracked:
-        order = ", ".join(f"{t} DESC NULLS LAST" for t in tracked)
-        return f"""(SELECT {', '.join(cols)} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {', '.join(key)}
-            ORDER BY {order}) AS _r FROM {snap_sql(name, until)} s) x WHERE _r = 1)"""
-    return f"(SELECT DISTINCT {', '.join(cols)} FROM {snap_sql(name, until)} s)"
+    diff = " OR ".join(f"o.{t} IS DISTINCT FROM n.{t}" for t in tracked) or "FALSE"
+    return [
+        f"{out}_changed AS (SELECT o.{sk} FROM {old} o JOIN {new} n ON {same('o', 'n', key)} WHERE o.is_current AND ({diff}))",
+        f"""{out}_fresh AS (SELECT n.* FROM {new} n WHERE NOT EXISTS (
+            SELECT 1 FROM {old} o WHERE o.is_current AND {same('o', 'n', key)} AND NOT ({diff})))""",
+        f"""{out} AS (
+            SELECT {sk}, {', '.join(cols)}, valid_from, CASE WHEN c THEN DATE '{day}' ELSE valid_to END AS valid_to,
+                   is_current AND NOT c AS is_current
+            FROM (SELECT *, {sk} IN (SELECT {sk} FROM {out}_changed) AS c FROM {old}) o
+            UNION ALL SELECT (SELECT max({sk}) FROM {old}) + row_number() OVER (ORDER BY {nf(cols)}), {', '.join(cols)},
+                   DATE '{day}', NULL, TRUE FROM {out}_fresh)"""]
 
 
-def initial_dim(name: str, load_date: str = LOAD_DATE, until: str | None = None) -> str:
-    """One version per key (greatest tracked tuple, NULL lowest), keys 1..n
-    in (key, tracked) order, all current."""
-    sk, key, tracked = SCD_SPECS[name]
-    cols = key + tracked
-    one = unique_snap_sql(name, until)
-    return f"""(SELECT ROW_NUMBER() OVER (ORDER BY {nf(cols)}) AS {sk}, {', '.join(cols)},
-        DATE '{load_date}' AS valid_from, CAST(NULL AS DATE) AS valid_to, TRUE AS is_current FROM {one} o)"""
+def with_(ctes: list[str], query: str) -> str:
+    return "WITH " + ",\n".join(ctes) + "\n" + query
 
 
-ORACLE["surrogate_keys"] = """
-SELECT c_custkey, c_name, ROW_NUMBER() OVER (ORDER BY c_custkey) AS user_sk FROM customer"""
+FULL = loaded("f_", None, LOAD_DATE)
 
-ORACLE["location_sk_lookup"] = f"""
-SELECT u.user_id, u.street, u.city, u.state, u.country, COALESCE(l.location_sk, 0) AS location_sk
-FROM {dd('user')} u LEFT JOIN {initial_dim('dim_location')} l
-  ON u.street IS NOT DISTINCT FROM l.street AND u.city IS NOT DISTINCT FROM l.city
- AND u.state IS NOT DISTINCT FROM l.state AND u.country IS NOT DISTINCT FROM l.country AND l.is_current"""
+for _n, _cols in SNAPSHOT_COLUMNS.items():
+    ORACLE[f"{_n}_snapshot"] = with_(snapshots("f_", None), f"SELECT {', '.join(_cols)} FROM f_s_{_n}")
+
+ORACLE["surrogate_keys"] = """
+SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_custkey) AS user_sk FROM customer"""
+
+ORACLE["location_sk_lookup"] = with_(FULL, f"""
+SELECT u.user_id, {', '.join('u.' + c for c in ADDRESS)}, COALESCE(max(l.location_sk), 0) AS location_sk
+FROM (SELECT row_number() OVER () AS r, * FROM ({dedup_sql('user')}) d) u
+LEFT JOIN f_dim_location l ON {same('u', 'l', ADDRESS)} AND l.location_sk > 0 GROUP BY u.r, u.user_id, {', '.join('u.' + c for c in ADDRESS)}""")
+
+ORACLE["scd2_quarantine"] = with_(snapshots("f_", None), " UNION ALL ".join(f"""
+SELECT '{n}' AS dimension, (SELECT count(*) FROM f_s_{n} WHERE {given[0]} IS NULL) AS null_key_rows,
+       (SELECT count(*) FROM (
+          SELECT {', '.join(key)} FROM (SELECT DISTINCT {', '.join([*key, 'at1', 'at2', *[t for t in tracked if t != 'location_sk']])}
+                                       FROM f_s_{n} WHERE {given[0]} IS NOT NULL
+                                       QUALIFY rank() OVER (PARTITION BY {', '.join(key)} ORDER BY at1 DESC NULLS LAST, at2 DESC NULLS LAST) = 1) x
+          GROUP BY {', '.join(key)} HAVING count(*) > 1) t) AS tied_keys"""
+    for n, (_, key, tracked, given) in DIMS.items() if given))
 
 # ------------------------------------------------------------------ SCD2
-SCD_RECIPES = {
+RECIPES = {
     "customer": ("c_custkey", ["c_name", "c_mktsegment", "c_nationkey"], "c_mktsegment"),
     "part": ("p_partkey", ["p_name", "p_type", "p_size"], "p_type"),
     "supplier": ("s_suppkey", ["s_name", "s_nationkey"], "s_name"),
@@ -93,145 +148,80 @@ SCD_RECIPES = {
 }
 
 
-def scd_sql(table: str, part: str = "merge") -> str:
-    """Initial load, then the source pipeline's two statements as queries:
-    expire changed current rows (UPDATE ... FROM) and insert new/changed
-    keys (LEFT JOIN ... IS NULL OR IS DISTINCT FROM)."""
-    key, tracked, ch = SCD_RECIPES[table]
-    cols = [key] + tracked
-    snap_cols = ", ".join(
-        (f"CASE WHEN {key} % 13 = 0 THEN NULL WHEN {key} % 3 = 0 THEN {ch} || '-X' ELSE {ch} END AS {ch}"
-         if c == ch else c) for c in cols)
-    diff = " OR ".join(f"c.{t} IS DISTINCT FROM s.{t}" for t in tracked)
-    v1 = f"""(SELECT ROW_NUMBER() OVER (ORDER BY {key}) AS sk, {', '.join(cols)}, DATE '2024-01-01' AS valid_from,
-        CAST(NULL AS DATE) AS valid_to, TRUE AS is_current FROM {table} WHERE {key} % 5 <> 0)"""
-    if part == "initial":
-        return f"SELECT * FROM {v1} v"
-    q = f"""
-WITH cur AS {v1},
-snap AS (SELECT {snap_cols} FROM {table} WHERE {key} % 7 <> 0),
-expired AS (
-  SELECT c.sk, {', '.join('c.' + x for x in cols)}, c.valid_from,
-         CASE WHEN s.{key} IS NOT NULL AND c.is_current AND ({diff}) THEN DATE '2024-02-01' ELSE c.valid_to END AS valid_to,
-         CASE WHEN s.{key} IS NOT NULL AND c.is_current AND ({diff}) THEN FALSE ELSE c.is_current END AS is_current
-  FROM cur c LEFT JOIN snap s ON c.{key} = s.{key}),
-ins AS (
-  SELECT {', '.join('s.' + x for x in cols)} FROM snap s LEFT JOIN cur c ON c.{key} = s.{key} AND c.is_current
-  WHERE c.{key} IS NULL OR ({diff})),
-merged AS (
-  SELECT * FROM expired
-  UNION ALL
-  SELECT (SELECT max(sk) FROM cur) + ROW_NUMBER() OVER (ORDER BY {nf(cols)}) AS sk, {', '.join(cols)},
-         DATE '2024-02-01' AS valid_from, CAST(NULL AS DATE) AS valid_to, TRUE AS is_current FROM ins)
-SELECT * FROM merged"""
-    if part == "merge":
-        return q
-    if part == "expire":
-        return q + " WHERE NOT is_current"
-    if part == "insert":
-        return q + " WHERE valid_from = DATE '2024-02-01'"
-    if part == "current":
-        return q + " WHERE is_current"
-    raise ValueError(part)
-
-
-ORACLE["scd2_initial"] = scd_sql("customer", "initial")
-ORACLE["scd2_merge"] = scd_sql("customer", "merge")
-ORACLE["scd2_expire"] = scd_sql("customer", "expire")
-ORACLE["scd2_insert"] = scd_sql("customer", "insert")
-ORACLE["scd2_current_view"] = scd_sql("customer", "current")
+def scd_ctes(table: str) -> list[str]:
+    key, tracked, ch = RECIPES[table]
+    values = ", ".join(f"CASE WHEN {key} % 13 = 0 THEN NULL WHEN {key} % 3 = 0 THEN {ch} || '-X' ELSE {ch} END AS {ch}"
+                       if c == ch else c for c in tracked)
+    return [f"""cur AS (SELECT row_number() OVER (ORDER BY {key}) AS sk, {', '.join([key, *tracked])},
+                DATE '2024-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to, TRUE AS is_current FROM {table})""",
+            f"snap AS (SELECT CASE WHEN {key} % 7 = 3 THEN -{key} ELSE {key} END AS {key}, {values} FROM {table})",
+            *merge_ctes("sk", [key], tracked, "cur", "snap", "2024-02-01", "done")]
+
+
+ORACLE["scd2_initial"] = with_(scd_ctes("customer")[:1], "SELECT * FROM cur")
+for _n, _where in {"merge": "TRUE", "expire": "NOT is_current", "insert": "valid_from = DATE '2024-02-01'",
+                   "current_view": "is_current"}.items():
+    ORACLE[f"scd2_{_n}"] = with_(scd_ctes("customer"), f"SELECT * FROM done WHERE {_where}")
 for _tb in ["part", "supplier", "nation"]:
-    ORACLE[f"scd2_{_tb}"] = scd_sql(_tb, "merge")
+    ORACLE[f"scd2_{_tb}"] = with_(scd_ctes(_tb), "SELECT * FROM done")
 
 
 def reload_sql(name: str) -> str:
-    """Daily reload of a pipeline dimension: initial load from the first
-    batch (load day 2024-01-02), then the loader's two statements for the
-    full snapshot on 2024-02-02 — expire changed current rows, insert new and
-    changed keys numbered after the largest key. Natural keys match NULL-safe."""
-    sk, key, tracked = SCD_SPECS[name]
-    cols = key + tracked
-    on = " AND ".join(f"c.{k} IS NOT DISTINCT FROM s.{k}" for k in key)
-    diff = " OR ".join(f"c.{t} IS DISTINCT FROM s.{t}" for t in tracked) or "FALSE"
-    return f"""
-WITH cur AS {initial_dim(name, '2024-01-02', until='2024-01-01 00:00:00')},
-snap AS (SELECT *, TRUE AS _in FROM {unique_snap_sql(name)} s0),
-expired AS (
-  SELECT c.{sk}, {', '.join('c.' + x for x in cols)}, c.valid_from,
-         CASE WHEN s._in AND c.is_current AND ({diff}) THEN DATE '2024-02-02' ELSE c.valid_to END AS valid_to,
-         CASE WHEN s._in AND c.is_current AND ({diff}) THEN FALSE ELSE c.is_current END AS is_current
-  FROM cur c LEFT JOIN snap s ON {on}),
-ins AS (
-  SELECT {', '.join('s.' + x for x in cols)} FROM snap s LEFT JOIN cur c ON {on} AND c.is_current
-  WHERE c.{sk} IS NULL OR ({diff}))
-SELECT * FROM expired
-UNION ALL
-SELECT (SELECT COALESCE(max({sk}), 0) FROM cur) + ROW_NUMBER() OVER (ORDER BY {nf(cols)}) AS {sk},
-       {', '.join(cols)}, DATE '2024-02-02' AS valid_from, CAST(NULL AS DATE) AS valid_to, TRUE AS is_current
-FROM ins"""
-
-
-for _n in SCD_SPECS:
-    ORACLE[f"scd2_reload_{_n[4:]}"] = reload_sql(_n)
+    """First batch on 2024-01-02, all batches on 2024-02-02; addresses are
+    looked up in the locations of the same day."""
+    ctes = loaded("a_", "2024-01-01 00:00:00", "2024-01-02") + snapshots("b_", None)
+    ctes += [newest("b_", "dim_location", "")] + merged("dim_location", "a_dim_location", "b_n_dim_location", "2024-02-02", "places")
+    if name == "dim_location":
+        return with_(ctes, "SELECT * FROM places")
+    ctes += [newest("b_", name, "places")] + merged(name, f"a_{name}", f"b_n_{name}", "2024-02-02", "done")
+    return with_(ctes, "SELECT * FROM done")
 
-ORACLE["scd2_dimensions"] = "\nUNION ALL\n".join(
-    f"""SELECT '{n}' AS dimension, CAST(COUNT(*) AS BIGINT) AS versions,
-        CAST(COUNT(*) FILTER (WHERE is_current) AS BIGINT) AS current_versions,
-        CAST(MAX({sk}) AS BIGINT) AS max_sk FROM {initial_dim(n)} d"""
-    for n, (sk, _, _) in SCD_SPECS.items())
 
-# ------------------------------------------------------------------ facts
+for _n in DIMS:
+    ORACLE[f"scd2_reload_{_n[4:]}"] = reload_sql(_n)
 
+ORACLE["scd2_dimensions"] = with_(FULL, " UNION ALL ".join(
+    f"""SELECT '{n}' AS dimension, CAST(count(*) AS BIGINT) AS versions, CAST(count(*) FILTER (WHERE is_current) AS BIGINT)
+        AS current_versions, CAST(max({sk}) AS BIGINT) AS max_sk FROM f_{n}""" for n, (sk, _, _, _) in DIMS.items()))
 
-ORDERS_WITH_NAME = f"""(SELECT o.*, c.name FROM {dd('order')} o LEFT JOIN (
-    SELECT 'U' || CAST(c_custkey AS VARCHAR) AS user_id,
-           CASE WHEN c_custkey % 29 <> 0 THEN c_name END AS name FROM customer) c ON o.user_id = c.user_id)"""
-
-
-def fact_orders_sql(existing: str | None = None, composite: bool = False) -> str:
-    ex = ""
-    if existing:
-        ex = f"WHERE NOT EXISTS (SELECT 1 FROM {existing} fo WHERE fo.order_id = od.order_id)"
-    src = ORDERS_WITH_NAME if composite else dd('order')
-    user_on = "od.user_id = u.user_id AND od.name = u.name" if composite else "od.user_id = u.user_id"
-    return f"""(SELECT od.order_id,
-        COALESCE(u.user_sk, 0) AS user_sk, COALESCE(m.merchant_sk, 0) AS merchant_sk,
-        COALESCE(s.staff_sk, 0) AS staff_sk, COALESCE(c.campaign_sk, 0) AS campaign_sk,
-        CAST(strftime(od.transaction_date, '%Y%m%d') AS INTEGER) AS date_sk,
-        od.estimated_arrival, od.delay_in_days, COALESCE(od.availed, FALSE) AS campaign_availed
-    FROM {src} od
-    LEFT JOIN {initial_dim('dim_user')} u ON {user_on} AND u.is_current = TRUE
-    LEFT JOIN {initial_dim('dim_merchant')} m ON od.merchant_id = m.merchant_id AND m.is_current = TRUE
-    LEFT JOIN {initial_dim('dim_staff')} s ON od.staff_id = s.staff_id AND s.is_current = TRUE
-    LEFT JOIN {initial_dim('dim_campaign')} c ON od.campaign_id = c.campaign_id AND c.is_current = TRUE
-    {ex})"""
-
-
-def fact_line_items_sql(fo: str, existing: str | None = None) -> str:
-    base = f"""(SELECT ROW_NUMBER() OVER (PARTITION BY li.order_id
-                    ORDER BY li.product_id, li.price, li.quantity, li.product_name) AS line_item_id,
-        fo.order_id AS order_sk, COALESCE(p.product_sk, 0) AS product_sk, fo.merchant_sk, fo.user_sk,
-        fo.staff_sk, fo.date_sk, li.price, li.quantity
-    FROM {dd('line_item')} li JOIN {fo} fo ON li.order_id = fo.order_id
-    LEFT JOIN {initial_dim('dim_product')} p ON li.product_id = p.product_id AND p.is_current = TRUE)"""
-    if not existing:
-        return base
-    return f"""(SELECT * FROM {base} n WHERE NOT EXISTS (
-        SELECT 1 FROM {existing} fli WHERE fli.order_sk = n.order_sk AND fli.line_item_id = n.line_item_id))"""
-
-
-ORACLE["fact_orders"] = f"SELECT * FROM {fact_orders_sql()} f"
-ORACLE["fact_orders_composite_key"] = f"SELECT * FROM {fact_orders_sql(composite=True)} f"
-ORACLE["fact_line_items"] = f"SELECT * FROM {fact_line_items_sql(fact_orders_sql())} f"
-ORACLE["fact_orders_incremental"] = (
-    f"SELECT * FROM {fact_orders_sql(existing=f'(SELECT * FROM {fact_orders_sql()} a WHERE date_sk < 19980101)')} f")
-ORACLE["fact_line_items_incremental"] = (
-    f"""SELECT * FROM {fact_line_items_sql(fact_orders_sql(),
-        existing=f'(SELECT * FROM {fact_line_items_sql(fact_orders_sql())} a WHERE date_sk < 19980101)')} f""")
-
-ORACLE["segment_revenue_pipeline"] = f"""
-WITH fli AS {fact_line_items_sql(fact_orders_sql())}, du AS {initial_dim('dim_user')}
-SELECT du.user_type, du.job_level, CAST(COUNT(DISTINCT fli.order_sk) AS BIGINT) AS number_of_orders,
-       CAST(SUM(fli.price * fli.quantity) AS DECIMAL(38,2)) AS total_revenue
-FROM fli JOIN du ON fli.user_sk = du.user_sk AND du.is_current
-GROUP BY du.user_type, du.job_level"""
+# ------------------------------------------------------------------ facts
+# A surrogate key is looked up per id; ids are unique among a dimension's current versions.
+
+
+def key_of(dim: str, sk: str, natural: str, more: str = "") -> str:
+    return f"COALESCE((SELECT max({sk}) FROM f_{dim} d WHERE d.is_current AND d.{natural} = o.{natural}{more}), 0) AS {sk}"
+
+
+NAMES = """SELECT o.*,
+    (SELECT max(c_name) FROM customer WHERE 'U' || c_custkey = o.user_id AND c_custkey % 29 <> 0) AS user_name,
+    (SELECT max('Staff ' || s_suppkey) FROM supplier WHERE 'S' || s_suppkey = o.staff_id AND s_suppkey % 23 <> 0) AS staff_name
+    FROM orders_clean o"""
+
+
+def fact_ctes(composite: bool = False) -> list[str]:
+    by_name = {"user": " AND d.name = o.user_name", "staff": " AND d.name = o.staff_name"} if composite else {}
+    return [*FULL, f"orders_clean AS ({dedup_sql('order')})", f"lines_clean AS ({dedup_sql('line_item')})",
+            f"named AS ({NAMES})",
+            f"""fo AS (SELECT order_id, {key_of('dim_user', 'user_sk', 'user_id', by_name.get('user', ''))},
+                {key_of('dim_merchant', 'merchant_sk', 'merchant_id')},
+                {key_of('dim_staff', 'staff_sk', 'staff_id', by_name.get('staff', ''))},
+                {key_of('dim_campaign', 'campaign_sk', 'campaign_id')},
+                CAST(strftime(transaction_date, '%Y%m%d') AS INTEGER) AS date_sk, estimated_arrival, delay_in_days,
+                COALESCE(availed, FALSE) AS campaign_availed FROM {'named' if composite else 'orders_clean'} o)""",
+            """numbered AS (SELECT *, row_number() OVER (PARTITION BY order_id
+                ORDER BY product_id, price, quantity, product_name) AS line_item_id FROM lines_clean)""",
+            f"""fli AS (SELECT o.line_item_id, o.order_id AS order_sk, {key_of('dim_product', 'product_sk', 'product_id')},
+                fo.merchant_sk, fo.user_sk, fo.staff_sk, fo.date_sk, o.price, o.quantity
+                FROM numbered o JOIN fo ON fo.order_id = o.order_id)"""]
+
+
+LATER = "date_sk >= 19980101 OR date_sk IS NULL"
+ORACLE["fact_orders"] = with_(fact_ctes(), "SELECT * FROM fo")
+ORACLE["fact_orders_composite_key"] = with_(fact_ctes(composite=True), "SELECT * FROM fo")
+ORACLE["fact_line_items"] = with_(fact_ctes(), "SELECT * FROM fli")
+ORACLE["fact_orders_incremental"] = with_(fact_ctes(), f"SELECT * FROM fo WHERE {LATER}")
+ORACLE["fact_line_items_incremental"] = with_(fact_ctes(), f"SELECT * FROM fli WHERE {LATER}")
+ORACLE["segment_revenue_pipeline"] = with_(fact_ctes(), """
+SELECT user_type, job_level, CAST(count(DISTINCT order_sk) AS BIGINT) AS number_of_orders,
+       CAST(sum(price * quantity) AS DECIMAL(38,2)) AS total_revenue
+FROM fli JOIN f_dim_user u ON u.user_sk = fli.user_sk AND u.is_current GROUP BY ALL""")

@@ -52,12 +52,3 @@ DEFAULT_COUNTRY = "United States"
 MAX_MISSING_RATIO = 0.30
 MAX_FAILED_LOOKUP_RATIO = 0.10
 MAX_UNPARSED_DATE_RATIO = 0.05
-
-# FIXED VALUES: source departments scanned at ingest.
-DEPARTMENTS = [
-    "Business Department",
-    "Customer Management Department",
-    "Enterprise Department",
-    "Marketing Department",
-    "Operations Department",
-]

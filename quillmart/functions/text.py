@@ -145,11 +145,14 @@ def parse_date(c, formats=DATE_FORMATS) -> Column:
 
 @reusable
 def parse_timestamp(c, formats=TIMESTAMP_FORMATS) -> Column:
-    """Tolerant wall-clock timestamp parse (TIMESTAMP_NTZ: independent of the
-    session time zone); none of the formats fits -> NULL."""
+    """Tolerant wall-clock timestamp parse (TIMESTAMP_NTZ); none of the
+    formats fits -> NULL. The text is read as UTC and its microseconds are
+    counted from a zoneless epoch, so the session time zone plays no part."""
     t = blank_to_null(c)
-    return F.coalesce(*[_guarded(t, f, lambda x, f: F.try_to_timestamp(x, F.lit(f)))
-                        for f in formats]).cast("timestamp_ntz")
+    utc = F.coalesce(*[_guarded(t, f, lambda x, f: F.try_to_timestamp(F.concat(x, F.lit("Z")), F.lit(f + "X")))
+                       for f in formats])
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(utc), epoch)
 
 
 @reusable
@@ -159,12 +162,6 @@ def product_type(c) -> Column:
     return F.when(t.isNull() | t.isin(*NULL_TOKENS), F.lit("unknown")).otherwise(t)
 
 
-@reusable
-def null_token_to_unknown(c) -> Column:
-    t = F.trim(_c(c))
-    return F.when(t.isNull() | F.lower(t).isin(*NULL_TOKENS), F.lit("unknown")).otherwise(t)
-
-
 @reusable
 def title_case(c, missing: str = "Unknown") -> Column:
     """Title case that restarts after any non-letter ('front-end' ->
@@ -187,7 +184,7 @@ def bank_name(c) -> Column:
     fixed = F.transform(
         words,
         lambda w: F.when(F.upper(w).isin(*BANK_ACRONYMS), F.upper(w))
-        .otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1 << 20)))),
+        .otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substr(w, F.lit(2))))),
     )
     return F.when(t.isNull(), F.lit(None)).otherwise(F.array_join(fixed, " "))
 

@@ -4,62 +4,52 @@
 * ``exact_rows``    — identical business rows collapse; NULLs are values.
 * ``exact_rows_no_nulls`` — same, but any row with a NULL field is dropped.
 
-All three are single hash aggregates: map-side partial aggregation collapses
-a hot key (or a hot group of copies) to one row per map task before the
-exchange, so a key holding a third of all rows never lands whole on a reducer.
+All three start with a hash aggregate over whole rows, whose partial step
+collapses copies (a hot key's too) before the exchange; nothing is sorted or
+joined before that. ``latest_wins`` then decides on the distinct rows left.
+Stamps are compared as they are, so the session time zone plays no part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _stamp_number(df: DataFrame, ts: str) -> Column:
-    """A number whose order equals the stamp's order (micros for
-    timestamps, days for dates, the value itself for numbers)."""
-    kind = dict(df.dtypes)[ts]
-    if kind.startswith("timestamp"):
-        return F.unix_micros(F.col(ts).cast("timestamp"))
-    if kind == "date":
-        return F.unix_date(F.col(ts))
-    return F.col(ts)
+def _not_null(cols: Sequence[str]):
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).isNotNull()
+    return cond
 
 
-def latest_wins(df: DataFrame, keys: Sequence[str], business: Sequence[str], ts: str) -> DataFrame:
+def latest_wins(df: DataFrame, keys: Sequence[str], business: Sequence[str], ts: str,
+                keep_stamp: bool = False) -> DataFrame:
     """Latest-wins dedup with conflicting keys rejected.
 
     Per key: keep the business row at the newest ``ts``; if rows at that
     stamp differ in any business column (NULL equal to NULL) the key is
     dropped. Rows with a NULL key or NULL stamp are dropped first. Output:
-    keys + business (no stamp).
-
-    One aggregate, no window and no self join: the greatest and the least
-    business tuple among the newest rows are both tracked by max/min over
-    ``struct(stamp, tuple)`` and ``struct(-stamp, tuple)``; the key survives
-    iff they are equal. Both aggregates are algebraic, so partial aggregation
-    runs before the shuffle.
-    """
+    keys + business (and the stamp with ``keep_stamp``).
+
+    Distinct (key, business, stamp) rows, then two small facts per key: its
+    newest stamp, and whether more than one distinct row carries it. The
+    distinct rows are one exchange that all three uses read."""
     keys, business = list(keys), list(business)
-    t = F.col(ts)
-    stamp = _stamp_number(df, ts)
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    clean = df.where(cond & t.isNotNull())
-    tup = F.struct(*[F.col(b) for b in business])
-    agg = clean.groupBy(*keys).agg(
-        F.max(F.struct(stamp.alias("s"), tup.alias("b"))).alias("_hi"),
-        F.min(F.struct((-stamp).alias("s"), tup.alias("b"))).alias("_lo"),
-    )
-    kept = agg.where(F.col("_hi.b").eqNullSafe(F.col("_lo.b")))
-    return kept.select(*keys, *[F.col(f"_hi.b.{b}").alias(b) for b in business])
-
-
-def exact_rows(df: DataFrame, business: Sequence[str]) -> DataFrame:
-    """Identical business rows collapse to one; NULL counts as a value."""
+    versions = df.where(_not_null([*keys, ts])).select(*keys, *business, ts).distinct()
+    newest = versions.groupBy(*keys).agg(F.max(ts).alias("_newest"))
+    top = versions.join(newest, keys).where(F.col(ts) == F.col("_newest"))
+    clashes = top.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys)
+    return top.join(clashes, keys, "left_anti").select(*keys, *business, *([ts] if keep_stamp else []))
+
+
+def exact_rows(df: DataFrame, business: Sequence[str], ts: str | None = None) -> DataFrame:
+    """Identical business rows collapse to one; NULL counts as a value. With
+    ``ts`` the newest stamp of the identical rows comes along."""
+    if ts:
+        return df.groupBy(*business).agg(F.max(ts).alias(ts))
     return df.select(*business).distinct()
 
 
@@ -70,22 +60,19 @@ def exact_rows_no_nulls(df: DataFrame, business: Sequence[str], ts: str | None =
     return df.dropna(subset=subset).select(*business).distinct()
 
 
-def latest_row_window(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """The window form (ROW_NUMBER ... ORDER BY ts DESC plus COUNT(*) per
-    (key, ts)), kept as an operator for users who want the rank columns.
-    Spark plans ``rn = 1`` with a group limit before the sort."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*keys).orderBy(F.col(ts).desc_nulls_last())
-    wc = Window.partitionBy(*keys, ts)
-    return df.withColumn("rn", F.row_number().over(w)).withColumn("cnt_same_ts", F.count(F.lit(1)).over(wc))
+def ranked_stamps(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """Per (key, stamp) the number of rows and the stamp's rank, newest
+    first. Rows are counted per stamp before the ranking window, so a window
+    partition holds one row per distinct stamp of a key."""
+    counted = df.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("rows_at_stamp"))
+    newest_first = Window.partitionBy(*keys).orderBy(F.col(ts).desc_nulls_last())
+    return counted.withColumn("stamp_rank", F.row_number().over(newest_first))
 
 
 def conflict_stats(df: DataFrame, keys: Sequence[str], business: Sequence[str], ts: str) -> DataFrame:
-    """Per (key, ts): row count and number of distinct business tuples
-    (a tuple with NULL fields counts as a value)."""
-    tup = F.struct(*[F.col(b) for b in business])
-    return df.groupBy(*keys, ts).agg(
-        F.count(F.lit(1)).alias("cnt_rows"),
-        F.count_distinct(tup).alias("distinct_business"),
-    )
+    """Per (key, ts): row count and number of distinct business tuples (a
+    tuple with NULL fields counts as a value): counted distinct rows first,
+    then the two totals."""
+    distinct = df.groupBy(*keys, ts, *business).agg(F.count(F.lit(1)).alias("_n"))
+    return distinct.groupBy(*keys, ts).agg(F.sum("_n").alias("rows_at_stamp"),
+                                           F.count(F.lit(1)).alias("distinct_rows"))

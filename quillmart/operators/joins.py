@@ -1,5 +1,6 @@
-"""Join helpers: broadcast only what is proven small, and the merge joins of
-the order/line-item assembly."""
+"""The merge joins of the order/line-item assembly. No side is forced to
+broadcast: adaptive execution decides from the measured size of the finished
+stage."""
 
 from __future__ import annotations
 
@@ -8,42 +9,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its in-memory size bound is below this.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-# Catalyst sizes a file scan by its bytes on disk; Parquet is compressed and
-# encoded, so rows in memory take several times more. Estimates are scaled by
-# this allowance before they are compared with an in-memory budget.
-SCAN_EXPANSION = 10
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (None when unknown,
-    e.g. over Spark Connect). Without column statistics it is an upper bound
-    in plan terms: joins multiply, unions add, aggregates and filters keep
-    their input's size."""
-    try:
-        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    except Exception:  # noqa: BLE001
-        return None
-    # py4j returns the Scala BigInt as a Python int; older bridges return a
-    # Java object.
-    return int(v) if isinstance(v, int) else int(v.toString())
-
-
-def fits_in(df: DataFrame, budget: int) -> bool:
-    """True when the plan's rows provably take at most ``budget`` bytes in
-    memory (estimate times the scan allowance)."""
-    est = estimated_bytes(df)
-    return est is not None and est * SCAN_EXPANSION <= budget
-
-
-def small_dim(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast hint only behind a size check; otherwise leave the choice to
-    AQE, which re-plans from the measured size of the finished stage."""
-    if fits_in(df, max_bytes):
-        return F.broadcast(df)
-    return df
-
 
 def join_keep_left(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join where columns present on both sides keep the left value: only the

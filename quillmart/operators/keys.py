@@ -2,19 +2,17 @@
 
 ``row_number()`` over a window without PARTITION BY moves every row into one
 task, and a window PARTITIONED BY a hot key puts that key's rows into one
-task. ``dense_number`` uses the plain window only where it is bounded — the
-whole input (no groups) or the largest group fits a task's budget, by the
-optimizer's estimate or by a measured count — and otherwise:
+task. ``dense_number`` has one way for every input:
 
 1. range-partition on (group, order) with an explicit partition count (so AQE
    never coalesces it and partition ids stay stable), sort inside each
-   partition and tag rows with ``monotonically_increasing_id`` — the partition
-   id sits in the upper bits, the position inside the partition in the lower —
-   and checkpoint the tagged rows so both uses below see one copy;
-2. count rows per (partition, group) — one row per pair, at most
-   #groups + #partitions rows — and prefix-sum those counts over earlier
-   partitions of the same group (a hot group spans many partitions but has
-   only one stats row per partition, so this window is small);
+   partition, tag rows with ``monotonically_increasing_id`` — the partition id
+   sits in the upper bits, the position inside the partition in the lower — and
+   checkpoint the tagged rows (range bounds are sampled from an input whose row
+   order after a shuffle is not reproducible, so both uses read one copy);
+2. count rows per (partition, group) and prefix-sum those counts over earlier
+   partitions of the same group: at most #groups + #partitions rows, and one
+   per partition in a group's window;
 3. number = position - first position of the group in the partition
    + rows of the group in earlier partitions + 1.
 
@@ -26,116 +24,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BooleanType,
-    DateType,
-    DecimalType,
-    NumericType,
-    TimestampNTZType,
-    TimestampType,
-)
 
-from quillmart.operators.joins import fits_in
 from quillmart.session import ensure_checkpoint_dir
 
-# Inputs whose rows provably fit in this many bytes of memory are numbered
-# with a plain window (one sorted task per group, or one task without groups).
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
-def row_bytes(df: DataFrame) -> int:
-    """A generous in-memory width of one row: fixed-width columns at their
-    size, text and other variable-width columns at 64 bytes, plus a header."""
-    width = 16
-    for f in df.schema.fields:
-        t = f.dataType
-        if isinstance(t, DecimalType):
-            width += 16
-        elif isinstance(t, (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)):
-            width += 8
-        else:
-            width += 64
-    return width
-
-
-def _window_number(df: DataFrame, order_cols, name: str, group: list, start_col) -> DataFrame:
-    w = Window.partitionBy(*[F.col(g) for g in group]).orderBy(*order_cols) if group \
-        else Window.orderBy(*order_cols)
-    return df.withColumn(name, (F.row_number().over(w) - 1 + start_col).cast("long"))
-
-
-def _num_partitions(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
 def dense_number(df: DataFrame, order: Sequence[str | Column], name: str,
                  group: Sequence[str] = (), start: int | Column = 1,
                  num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = start - 1 + row_number() OVER (PARTITION BY group ORDER BY order)."""
-    group = list(group)
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    group, cols = list(group), df.columns
+    keys = [*map(F.col, group), *(F.col(o) if isinstance(o, str) else o for o in order)]
     start_col = start if isinstance(start, Column) else F.lit(start)
-    if fits_in(df, SMALL_INPUT_BYTES):
-        # Proven small (the optimizer's estimate bounds it): a plain window is
-        # cheaper than the distributed numbering and cannot overload a task.
-        return _window_number(df, order_cols, name, group, start_col)
-    n = num_partitions or _num_partitions(df)
-    cols = df.columns
-    # Sampling the range bounds is a pass over the input of its own; keep
-    # the input once (memory, spilling to disk) so it is not computed twice.
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    # The estimate has no bound for joins (it multiplies their inputs), so
-    # measure; the pass fills the cache the sampling below reads anyway.
-    # Without groups the window is one task: all rows must fit the budget.
-    # With groups each window partition is one group, so only the largest
-    # group must fit (found by a partial aggregate, one row per group); a
-    # hot group that does not fit takes the range-split path below.
-    if group:
-        largest = src.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-    else:
-        largest = src.count()
-    if largest * row_bytes(df) <= SMALL_INPUT_BYTES:
-        # numbered from the cached rows and written once to the shared
-        # checkpoint folder: the query using the numbers neither recomputes
-        # the input nor depends on the cache (which is released here)
-        ensure_checkpoint_dir(df.sparkSession)
-        out = _window_number(src, order_cols, name, group, start_col).checkpoint(eager=True)
-        src.unpersist()
-        return out
-    part = src.repartitionByRange(n, *[F.col(g) for g in group], *order_cols)
-    tagged = (part.sortWithinPartitions(*[F.col(g) for g in group], *order_cols)
+    n = num_partitions or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
-              .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_POS_MASK))))
-    # The tags are read twice (stats and join back). Range bounds are sampled
-    # from the input, whose row order after a shuffle is not reproducible, so
-    # the tagged rows are written once to the shared checkpoint folder
-    # (reliable: survives executor loss) and both branches read that copy.
-    ensure_checkpoint_dir(df.sparkSession)
-    tagged = tagged.checkpoint(eager=True)
-    src.unpersist()
-    stats = tagged.groupBy("_pid", *group).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-    w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    stats = stats.select("_pid", *group, "_first", "_before")
-    if not group:
-        # one stats row per partition: bounded by the partition count
-        stats = F.broadcast(stats)
-    stats = stats.select(*[F.col(c).alias("_s" + c) for c in stats.columns])
+              .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_POS_MASK))).drop("_mid").checkpoint(eager=True))
+    stats = tagged.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+    earlier = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    stats = stats.select("_first", "_before", *[F.col(c).alias("_s" + c) for c in ["_pid", *group]])
     cond = F.col("_pid") == F.col("_s_pid")
     for g in group:  # NULL group keys are a group of their own
         cond = cond & F.col(g).eqNullSafe(F.col("_s" + g))
-    joined = tagged.join(stats, on=cond, how="inner").withColumnRenamed(
-        "_s_first", "_first").withColumnRenamed("_s_before", "_before")
     number = (F.col("_pos") - F.col("_first") + F.col("_before") + start_col).cast("long")
-    return joined.select(*[F.col(c) for c in cols], number.alias(name))
+    return tagged.join(stats, cond).select(*cols, number.alias(name))
 
 
 def surrogate_keys(df: DataFrame, order: Sequence[str | Column], name: str,
@@ -150,11 +69,3 @@ def current_max(df: DataFrame, name: str) -> int:
     """Largest existing key (0 for an empty table): a one-number action."""
     v = df.agg(F.max(name)).first()[0]
     return int(v or 0)
-
-
-def unknown_member(spark, schema, sk_name: str, defaults: dict | None = None) -> DataFrame:
-    """The sk=0 row standing for 'not found'."""
-    row = {f.name: None for f in schema.fields}
-    row[sk_name] = 0
-    row.update(defaults or {})
-    return spark.createDataFrame([tuple(row[f.name] for f in schema.fields)], schema)

@@ -22,7 +22,7 @@ DIGITS = r"^[0-9]+$"
 @dataclass(frozen=True)
 class Check:
     """kind: rows | nulls | missing_ratio | max_length | negative | out_of_range_01
-    | non_digits | not_value | has_digits | null_ratio | non_null | all_not_null.
+    | non_digits | not_value | other_value | has_digits | null_ratio | non_null | all_not_null.
     ``op`` compares observed with threshold for ``passed`` (None: always passes)."""
 
     kind: str
@@ -54,6 +54,8 @@ def observed(check: Check) -> Column:
         return F.count_if(c.isNotNull() & ~c.rlike(DIGITS))
     if k == "not_value":  # the pandas form: NULL counts as a violation
         return F.count_if(c.isNull() | (c != F.lit(check.value)))
+    if k == "other_value":  # NULL is ignored
+        return F.count_if(c != F.lit(check.value))
     if k == "has_digits":
         return F.count_if(c.rlike("[0-9]"))
     if k == "all_not_null":
@@ -92,19 +94,20 @@ def duplicate_keys(df: DataFrame, table: str, keys: Sequence[str], severity: str
         cond = cond & F.col(k).isNotNull()
     per_key = df.where(cond).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     obs = per_key.agg(F.count_if(F.col("n") > 1).cast("double").alias("observed"))
-    return _single(obs, table, "duplicate_keys", ",".join(keys), threshold, severity)
+    return single(obs, table, "duplicate_keys", ",".join(keys), threshold, severity)
 
 
 def surplus_duplicates(df: DataFrame, table: str, cols: Sequence[str] | None = None,
                        severity: str = "info") -> DataFrame:
-    """Rows beyond the first of each group of identical rows (NULL is a value)."""
+    """Rows beyond the first of each group with equal ``cols`` (default: all
+    columns; NULL is a value)."""
     cols = list(cols or df.columns)
     per = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
     obs = per.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("double").alias("observed"))
-    return _single(obs, table, "surplus_duplicates", None, None, severity)
+    return single(obs, table, "surplus_duplicates", ",".join(cols), None, severity)
 
 
-def _single(obs: DataFrame, table, check, column, threshold, severity) -> DataFrame:
+def single(obs: DataFrame, table, check, column, threshold, severity) -> DataFrame:
     passed = F.lit(True) if threshold is None else (F.col("observed") <= F.lit(float(threshold)))
     return obs.select(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
                       F.lit(column).cast("string").alias("column_name"), "observed",
@@ -139,18 +142,16 @@ def require(report: DataFrame) -> DataFrame:
     return report
 
 
-def schema_report(df: DataFrame, table: str, contract: Sequence[tuple]) -> DataFrame:
-    """Expected vs actual column type, in contract order (metadata only; the
-    rows are built from the DataFrame's schema, no scan)."""
-    actual = dict(df.dtypes)
-    rows = [(table, i + 1, c, t, actual.get(c), actual.get(c) == t) for i, (c, t, _) in enumerate(contract)]
-    rows += [(table, 0, c, None, t, False) for c, t in df.dtypes if c not in {x[0] for x in contract}
-             and c != "ingested_at"]
-    return df.sparkSession.createDataFrame(
-        rows, "table_name string, ordinal int, column_name string, expected_type string, "
-              "actual_type string, matches boolean")
-
-
-def required_columns(df: DataFrame, table: str, required: Sequence[str]) -> DataFrame:
-    rows = [(table, c, c in df.columns) for c in required]
-    return df.sparkSession.createDataFrame(rows, "table_name string, column_name string, present boolean")
+def contract_rows(df: DataFrame, table: str, contract: Sequence[tuple]) -> DataFrame:
+    """Per contract column, from the rows: how many there are, how many of
+    their values are missing, and how many don't have the contract's type
+    (the value, as text, no longer casts to it). One aggregate a table."""
+    rows = []
+    for i, (c, t, _) in enumerate(contract):
+        missing = F.lit(None) if c not in df.columns else F.count_if(F.col(c).isNull())
+        lost = F.lit(None) if c not in df.columns else F.count_if(
+            F.col(c).isNotNull() & F.col(c).cast("string").try_cast(t).isNull())
+        rows.append(F.struct(F.lit(table).alias("table_name"), F.lit(i + 1).alias("ordinal"), F.lit(c).alias("column_name"),
+                             F.count(F.lit(1)).cast("bigint").alias("rows"), missing.cast("bigint").alias("missing"),
+                             lost.cast("bigint").alias("other_type")))
+    return df.agg(F.array(*rows).alias("r")).select(F.explode("r").alias("r")).select("r.*")

@@ -4,12 +4,15 @@ A dimension version row is: sk, natural key columns, tracked columns,
 valid_from, valid_to (NULL while open), is_current. Validity is half-open:
 [valid_from, valid_to).
 
-``scd2_merge`` applies one snapshot in a single shuffle: the current versions
-FULL OUTER JOIN the snapshot on the natural key; each joined row yields the
-old version (expired when a tracked column changed, NULL-safe) and/or a new
-version (new key, or changed key). History rows pass through untouched.
-Only the inserted versions are then numbered (``dense_number``, no
-single-partition window), starting after the largest existing key.
+Surrogate key 0 is the unknown member, a row of its own in every loaded
+dimension, so facts that point to it find it.
+
+``scd2_merge`` joins the current versions FULL OUTER with the snapshot on the
+natural key, once (the joined rows are checkpointed); each joined row yields
+the old version (expired when a tracked column changed, NULL-safe) and/or a
+new version (new key, or changed key). History rows pass through untouched.
+Only the inserted versions are then numbered (``dense_number``), starting
+after the largest existing key.
 """
 
 from __future__ import annotations
@@ -21,17 +24,24 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmart.operators.keys import current_max, surrogate_keys
+from quillmart.operators.keys import current_max, dense_number, surrogate_keys
+from quillmart.session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
 class ScdSpec:
-    """Configuration of one type-2 dimension."""
+    """Configuration of one type-2 dimension. ``required``: the key columns
+    that may not be NULL (rows without them are quarantined)."""
 
     name: str
     sk: str
     key: tuple
     tracked: tuple
+    required: tuple = ()
+
+    @property
+    def columns(self) -> list[str]:
+        return [*self.key, *self.tracked]
 
 
 def _date(d) -> Column:
@@ -50,24 +60,81 @@ def changed_any(tracked: Sequence[str], left: str, right: str) -> Column:
     return cond
 
 
-def one_version_per_key(snapshot: DataFrame, key: Sequence[str], tracked: Sequence[str]) -> DataFrame:
-    """Make a snapshot unique per natural key: the greatest tracked tuple
-    wins (NULL lowest) — one aggregate, partial before the shuffle."""
-    key, tracked = list(key), list(tracked)
-    agg = snapshot.groupBy(*key).agg(F.max(F.struct(*[F.col(t) for t in tracked])).alias("_v"))
-    return agg.select(*key, *[F.col(f"_v.{t}").alias(t) for t in tracked])
+def without_null_keys(snapshot: DataFrame, spec: ScdSpec) -> DataFrame:
+    """The rows that have their natural key."""
+    return snapshot.dropna(subset=list(spec.required)) if spec.required else snapshot
+
+
+def null_key_rows(snapshot: DataFrame, spec: ScdSpec) -> DataFrame:
+    """The quarantine: rows that lack a required part of their key."""
+    cond = F.lit(False)
+    for k in spec.required:
+        cond = cond | F.col(k).isNull()
+    return snapshot.where(cond)
+
+
+def one_version_per_key(snapshot: DataFrame, spec: ScdSpec, stamps: Sequence[str]) -> DataFrame:
+    """Make a snapshot unique per natural key: the newest row by its stamps
+    wins; between different rows of the same stamps (see ``stamp_ties``) the
+    greatest tracked tuple, NULL lowest."""
+    if not spec.tracked:
+        return snapshot.select(*spec.key).distinct()
+    newest = F.max(F.struct(*[F.col(c) for c in [*stamps, *spec.tracked]])).alias("_v")
+    agg = snapshot.groupBy(*spec.key).agg(newest)
+    return agg.select(*spec.key, *[F.col(f"_v.{t}").alias(t) for t in spec.tracked])
+
+
+def stamp_ties(snapshot: DataFrame, spec: ScdSpec, stamps: Sequence[str]) -> DataFrame:
+    """Keys whose newest stamps carry several different tracked tuples, with
+    their number: what ``one_version_per_key`` had to choose between."""
+    rows = snapshot.select(*spec.key, *stamps, *spec.tracked).distinct()
+    per = rows.groupBy(*spec.key, *stamps).agg(F.count(F.lit(1)).alias("candidates"))
+    best = per.groupBy(*spec.key).agg(F.max(F.struct(*stamps, "candidates")).alias("_v"))
+    return best.select(*spec.key, F.col("_v.candidates").alias("candidates")).where("candidates > 1")
+
+
+def unknown_member(like: DataFrame, spec: ScdSpec) -> DataFrame:
+    """The row with key 0: everything NULL, valid from the beginning."""
+    fixed = {spec.sk: F.lit(0), "valid_from": _date("1900-01-01"), "is_current": F.lit(True)}
+    one = like.sparkSession.range(1)
+    return one.select(*[fixed.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in like.schema.fields])
+
+
+def with_unknown_member(dim: DataFrame, spec: ScdSpec) -> DataFrame:
+    return dim.unionByName(unknown_member(dim, spec))
+
+
+def _first_versions(keyed: DataFrame, spec: ScdSpec, load_date) -> DataFrame:
+    return keyed.select(
+        F.col(spec.sk), *spec.columns, _date(load_date).alias("valid_from"),
+        F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current"))
 
 
 def scd2_initial(snapshot: DataFrame, spec: ScdSpec, load_date) -> DataFrame:
     """First load: every snapshot row becomes a current version; keys 1..n
     in natural-key order."""
-    cols = [*spec.key, *spec.tracked]
-    base = snapshot.select(*cols)
-    keyed = surrogate_keys(base, [*spec.key, *spec.tracked], spec.sk, offset=0)
-    return keyed.select(
-        F.col(spec.sk), *cols,
-        _date(load_date).alias("valid_from"), F.lit(None).cast("date").alias("valid_to"),
-        F.lit(True).alias("is_current"))
+    keyed = surrogate_keys(snapshot.select(*spec.columns), spec.columns, spec.sk, offset=0)
+    return _first_versions(keyed, spec, load_date)
+
+
+def scd2_initial_many(snapshots: dict[str, DataFrame], specs: dict[str, ScdSpec], load_date) -> dict[str, DataFrame]:
+    """The first load of several dimensions, numbered together: their rows
+    are one table grouped by dimension, so one range partitioning and one
+    checkpoint serve them all. Each gets the keys that ``scd2_initial`` gives."""
+    stacked, order = None, []
+    for i, (name, snap) in enumerate(snapshots.items()):
+        cols = [F.col(c).alias(f"_{i}_{c}") for c in specs[name].columns]
+        order += [f"_{i}_{c}" for c in specs[name].columns]
+        part = snap.select(F.lit(name).alias("_dim"), *cols)
+        stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
+    numbered = dense_number(stacked, order, "_sk", group=["_dim"])
+    out = {}
+    for i, name in enumerate(snapshots):
+        spec = specs[name]
+        mine = numbered.where(F.col("_dim") == name)
+        keyed = mine.select(F.col("_sk").alias(spec.sk), *[F.col(f"_{i}_{c}").alias(c) for c in spec.columns])
+        out[name] = _first_versions(keyed, spec, load_date)
+    return out
 
 
 def scd2_merge(current: DataFrame, snapshot: DataFrame, spec: ScdSpec, load_date,
@@ -104,7 +171,8 @@ def scd2_merge(current: DataFrame, snapshot: DataFrame, spec: ScdSpec, load_date
         *[F.col(f"s.{t}").alias(t) for t in tracked],
         ld.alias("valid_from"), F.lit(None).cast("date").alias("valid_to"),
         F.lit(True).alias("is_current")))
-    rows = j.select(F.explode(F.filter(F.array(old, new), lambda x: x.isNotNull())).alias("v")).select("v.*")
+    ensure_checkpoint_dir(current.sparkSession)
+    rows = j.select(F.explode(F.filter(F.array(old, new), lambda x: x.isNotNull())).alias("v")).select("v.*").checkpoint()
 
     kept = rows.where(F.col(spec.sk).isNotNull())
     inserts = rows.where(F.col(spec.sk).isNull()).drop(spec.sk)

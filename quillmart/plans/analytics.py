@@ -1,9 +1,8 @@
 """The three business questions on the star schema (plus a per-order variant).
 
-Each takes star DataFrames and returns the report. Line items are
-pre-aggregated to one row per (order, ...) before any join, so the wide
-line-item table is never shuffled row by row and a hot order collapses in
-the map-side partial aggregate.
+``order_lines`` collapses the line items to one row per order in one scan, and
+the order's own columns are joined to that; the reports take these rows. A hot
+order collapses in the map-side partial aggregate, and no line item is joined.
 """
 
 from __future__ import annotations
@@ -11,79 +10,58 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.operators.joins import small_dim
 from quillmart.sources.tables import read_table
 
 REVENUE_TYPE = "decimal(38,2)"
 
 
-def _line_revenue() -> F.Column:
-    return F.col("price") * F.col("quantity")
-
-
-def campaign_order_volume(fact_orders: DataFrame, dim_campaign: DataFrame) -> DataFrame:
+def campaign_order_volume(orders: DataFrame, dim_campaign: DataFrame) -> DataFrame:
     """Order volume per campaign name, availed orders only, largest first."""
-    fo = (fact_orders.where(F.col("campaign_availed") == F.lit(True))
-          .groupBy("campaign_id").agg(F.count("order_id").alias("n")))
-    dc = small_dim(dim_campaign.select("campaign_id", "campaign_name"))
-    return (fo.join(dc, "campaign_id")
+    per_campaign = (orders.where(F.col("campaign_availed") == F.lit(True))
+                    .groupBy("campaign_id").agg(F.count("order_id").alias("n")))
+    return (per_campaign.join(dim_campaign.select("campaign_id", "campaign_name"), "campaign_id")
             .groupBy("campaign_name").agg(F.sum("n").cast("bigint").alias("total_order_volume"))
             .orderBy(F.desc("total_order_volume"), "campaign_name"))
 
 
-def _lines_per_order(fact_line_items: DataFrame) -> DataFrame:
-    return fact_line_items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum(_line_revenue()).alias("revenue"))
+def _per_merchant_name(per_merchant: DataFrame, dim_merchant: DataFrame, *more) -> DataFrame:
+    names = dim_merchant.select("merchant_id", F.col("name").alias("merchant_name"))
+    return (per_merchant.join(names, "merchant_id").groupBy("merchant_name").agg(
+        (F.sum("delay_sum").cast("double") / F.sum("delay_n").cast("double")).alias("avg_delay_days"), *more,
+        F.sum("revenue").cast(REVENUE_TYPE).alias("total_revenue"))
+        .orderBy(F.desc_nulls_last("avg_delay_days"), "merchant_name"))
 
 
-def merchant_performance(fact_orders: DataFrame, fact_line_items: DataFrame,
-                         dim_merchant: DataFrame) -> DataFrame:
+def merchant_performance(orders: DataFrame, dim_merchant: DataFrame) -> DataFrame:
     """Average delay and revenue per merchant name. As in the source query,
-    the average runs over joined line-item rows (an order with more lines
-    weighs more): sum(delay * lines) / lines-with-a-delay, exact in integers."""
-    lines = _lines_per_order(fact_line_items)
-    fo = fact_orders.select("order_id", "merchant_id", "delay_in_days")
-    per_order = fo.join(lines, "order_id")
-    per_merchant = per_order.groupBy("merchant_id").agg(
+    the average runs over line items (an order with more lines weighs more):
+    sum(delay * lines) / lines-with-a-delay, exact in integers."""
+    per_merchant = orders.where("n_lines > 0").groupBy("merchant_id").agg(
         F.sum(F.col("delay_in_days").cast("bigint") * F.col("n_lines")).alias("delay_sum"),
         F.sum(F.when(F.col("delay_in_days").isNotNull(), F.col("n_lines"))).alias("delay_n"),
         F.sum("revenue").alias("revenue"))
-    dm = dim_merchant.select("merchant_id", F.col("name").alias("merchant_name"))
-    return (per_merchant.join(dm, "merchant_id")
-            .groupBy("merchant_name").agg(
-                (F.sum("delay_sum").cast("double") / F.sum("delay_n").cast("double")).alias("avg_delay_days"),
-                F.sum("revenue").cast(REVENUE_TYPE).alias("total_revenue"))
-            .orderBy(F.desc_nulls_last("avg_delay_days"), "merchant_name"))
+    return _per_merchant_name(per_merchant, dim_merchant)
 
 
-def merchant_performance_per_order(fact_orders: DataFrame, fact_line_items: DataFrame,
-                                   dim_merchant: DataFrame) -> DataFrame:
+def merchant_performance_per_order(orders: DataFrame, dim_merchant: DataFrame) -> DataFrame:
     """Variant: each order counts once in the average delay."""
-    lines = _lines_per_order(fact_line_items)
-    fo = fact_orders.select("order_id", "merchant_id", "delay_in_days")
-    per_merchant = fo.join(lines, "order_id").groupBy("merchant_id").agg(
+    per_merchant = orders.where("n_lines > 0").groupBy("merchant_id").agg(
         F.sum("delay_in_days").alias("delay_sum"), F.count("delay_in_days").alias("delay_n"),
         F.count(F.lit(1)).alias("n_orders"), F.sum("revenue").alias("revenue"))
-    dm = dim_merchant.select("merchant_id", F.col("name").alias("merchant_name"))
-    return (per_merchant.join(dm, "merchant_id")
-            .groupBy("merchant_name").agg(
-                (F.sum("delay_sum").cast("double") / F.sum("delay_n").cast("double")).alias("avg_delay_days"),
+    return _per_merchant_name(per_merchant, dim_merchant,
+                              F.sum("n_orders").cast("bigint").alias("number_of_orders"))
+
+
+def customer_segment_revenue(orders: DataFrame, dim_user: DataFrame) -> DataFrame:
+    """Orders with lines and their revenue per (user type, job level),
+    largest first: totals per user, then the segment join."""
+    per_user = orders.where("n_lines > 0").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.sum("revenue").alias("revenue"))
+    return (per_user.join(dim_user.select("user_id", "user_type", "job_level"), "user_id")
+            .groupBy("user_type", "job_level").agg(
                 F.sum("n_orders").cast("bigint").alias("number_of_orders"),
                 F.sum("revenue").cast(REVENUE_TYPE).alias("total_revenue"))
-            .orderBy(F.desc_nulls_last("avg_delay_days"), "merchant_name"))
-
-
-def customer_segment_revenue(fact_line_items: DataFrame, dim_user: DataFrame) -> DataFrame:
-    """Distinct orders and revenue per (user type, job level), largest first.
-    Lines collapse to (order, user) first; the distinct count then runs as a
-    two-level aggregate on (segment, order)."""
-    per_order = fact_line_items.groupBy("order_id", "user_id").agg(F.sum(_line_revenue()).alias("revenue"))
-    du = dim_user.select("user_id", "user_type", "job_level")
-    joined = per_order.join(du, "user_id")
-    return (joined.groupBy("user_type", "job_level").agg(
-        F.count_distinct("order_id").cast("bigint").alias("number_of_orders"),
-        F.sum("revenue").cast(REVENUE_TYPE).alias("total_revenue"))
-        .orderBy(F.desc("total_revenue"), "user_type", "job_level"))
+            .orderBy(F.desc("total_revenue"), "user_type", "job_level"))
 
 
 # ------------------------------------------------------------------ star views
@@ -108,35 +86,37 @@ def star_dim_merchant(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("s_nationkey").alias("location_id"))
 
 
+def campaign_columns(priority: F.Column) -> tuple[F.Column, F.Column]:
+    """Campaign id and name of an order priority such as ``2-HIGH``."""
+    return (F.substring(priority, 1, 1).cast("int").alias("campaign_id"),
+            F.expr("substring(o_orderpriority, 3)").alias("campaign_name"))
+
+
 def star_dim_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One campaign per order priority (derived by a distinct over orders)."""
-    o = read_table(spark, sf_dir, "orders")
-    return (o.select(F.substring("o_orderpriority", 1, 1).cast("int").alias("campaign_id"),
-                     F.substring("o_orderpriority", 3, 40).alias("campaign_name")).distinct())
+    return read_table(spark, sf_dir, "orders").select(*campaign_columns(F.col("o_orderpriority"))).distinct()
 
 
-def star_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    li = read_table(spark, sf_dir, "lineitem")
-    link = li.groupBy("l_orderkey").agg(
-        F.min("l_suppkey").alias("merchant_id"), F.max("l_suppkey").alias("staff_id"),
-        F.datediff(F.max("l_shipdate"), F.min("l_shipdate")).alias("delay_in_days"))
-    return o.join(link, o.o_orderkey == link.l_orderkey, "left").select(
+def star_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order facts without what only the lines know."""
+    return read_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
-        "merchant_id", "staff_id",
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("campaign_id"),
+        campaign_columns(F.col("o_orderpriority"))[0],
         F.col("o_orderdate").cast("date").alias("transaction_date"),
         (F.col("o_custkey") % 10 + 1).cast("int").alias("estimated_arrival"),
-        "delay_in_days",
         (F.col("o_orderstatus") == "F").alias("campaign_availed"))
 
 
-def star_fact_line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return li.join(o, li.l_orderkey == o.o_orderkey).select(
-        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("merchant_id"), F.col("o_custkey").alias("user_id"),
-        F.col("o_orderdate").cast("date").alias("transaction_date"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
-        F.col("l_quantity").cast("int").alias("quantity"))
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order of the line items: merchant, staff, delay, number of
+    lines and revenue (exact decimals)."""
+    price, quantity = F.col("l_extendedprice").cast("decimal(12,2)"), F.col("l_quantity").cast("int")
+    return read_table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        F.min("l_suppkey").alias("merchant_id"), F.max("l_suppkey").alias("staff_id"),
+        F.datediff(F.max("l_shipdate"), F.min("l_shipdate")).alias("delay_in_days"),
+        F.count(F.lit(1)).alias("n_lines"), F.sum(price * quantity).alias("revenue"))
+
+
+def star_order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order facts with their lines' totals (NULL for an order without lines)."""
+    return star_orders(spark, sf_dir).join(order_lines(spark, sf_dir), "order_id", "left")

@@ -33,11 +33,12 @@ def require_columns(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def _finish(df: DataFrame, table: str, exprs: dict) -> DataFrame:
-    """Project to the contract order, casting to the contract types."""
+    """Project to the contract order, casting to the contract types; an empty
+    text is NULL in every text column."""
     out = []
     for c, typ, _ in contracts.CLEANED[table]:
-        e = exprs.get(c, F.col(c))
-        out.append(e.cast(typ).alias(c))
+        e = exprs.get(c, F.col(c)).cast(typ)
+        out.append((F.nullif(e, F.lit("")) if typ == "string" else e).alias(c))
     if "ingested_at" in df.columns:
         out.append(F.col("ingested_at"))
     return df.select(*out)

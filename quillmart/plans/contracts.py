@@ -63,6 +63,3 @@ LATEST_WINS = {
     "order": ["order_id"],
     "product": ["product_id"],
 }
-
-# Exact-row dedup tables.
-EXACT_ROWS = ["staff", "user", "user_job", "credit_card"]

@@ -14,7 +14,6 @@ from quillmart.operators.joins import (
     join_coalesce,
     join_keep_left,
     outer_merge_keep_left,
-    small_dim,
     union_all,
 )
 from quillmart.operators.keys import dense_number
@@ -103,10 +102,9 @@ def line_item_files(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]
 
 def index_join(prices: DataFrame, products: DataFrame) -> DataFrame:
     """Left join of prices to products on the shared index column (the first
-    column starting with 'unnamed'). The products side is broadcast only when
-    its estimated size is small; otherwise AQE picks from measured sizes."""
+    column starting with 'unnamed'); AQE picks the join from measured sizes."""
     key = next(c for c in prices.columns if c.lower().startswith("unnamed"))
     clash = [c for c in products.columns if c in prices.columns and c != key]
     prod = products.select(key, *[F.col(c).alias(c + "_prod") if c in clash else F.col(c)
                                   for c in products.columns if c != key])
-    return prices.join(small_dim(prod), key, "left")
+    return prices.join(prod, key, "left")

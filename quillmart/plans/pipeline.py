@@ -1,8 +1,9 @@
-"""The warehouse chain as lazy DataFrame functions:
+"""The warehouse chain:
 raw -> clean -> dedup -> snapshots -> SCD2 dimensions -> facts -> reports.
 
-Writes happen only at the edges (``quillmart.sources.sinks``); everything
-here is a plan Catalyst can fuse and prune.
+Numbering a table runs Spark jobs while the plan is built (range bounds and
+one checkpoint); the dimensions of a load are numbered together. The rest are
+plans that Catalyst can fuse and prune.
 """
 
 from __future__ import annotations
@@ -19,22 +20,34 @@ from quillmart.sources.tables import read_table
 
 LOAD_DATE = "2024-03-01"
 
-# M-06: the seven type-2 dimensions (natural key, tracked columns).
+# M-06: the seven type-2 dimensions (key, tracked columns, required key columns).
 SCD_SPECS = {
     "dim_location": ScdSpec("dim_location", "location_sk", ("street", "city", "state", "country"), ()),
     "dim_user": ScdSpec("dim_user", "user_sk", ("user_id",),
-                        ("name", "birthdate", "gender", "device_address", "user_type", "job_title", "job_level")),
-    "dim_product": ScdSpec("dim_product", "product_sk", ("product_id",), ("product_name", "product_type", "price")),
-    "dim_merchant": ScdSpec("dim_merchant", "merchant_sk", ("merchant_id",), ("name", "contact_number")),
-    "dim_staff": ScdSpec("dim_staff", "staff_sk", ("staff_id",), ("name", "job_level", "contact_number")),
+                        ("name", "birthdate", "gender", "device_address", "user_type", "job_title", "job_level",
+                         "location_sk"), ("user_id",)),
+    "dim_product": ScdSpec("dim_product", "product_sk", ("product_id",), ("product_name", "product_type", "price"),
+                           ("product_id",)),
+    "dim_merchant": ScdSpec("dim_merchant", "merchant_sk", ("merchant_id",),
+                            ("name", "contact_number", "location_sk"), ("merchant_id",)),
+    "dim_staff": ScdSpec("dim_staff", "staff_sk", ("staff_id",),
+                         ("name", "job_level", "contact_number", "location_sk"), ("staff_id",)),
     "dim_campaign": ScdSpec("dim_campaign", "campaign_sk", ("campaign_id",),
-                            ("campaign_name", "campaign_description", "discount")),
-    "dim_issuing_bank": ScdSpec("dim_issuing_bank", "issuing_bank_sk", ("user_id", "issuing_bank"), ()),
+                            ("campaign_name", "campaign_description", "discount"), ("campaign_id",)),
+    "dim_issuing_bank": ScdSpec("dim_issuing_bank", "issuing_bank_sk", ("user_id", "issuing_bank"), (), ("user_id",)),
 }
+LOCATED = ("dim_user", "dim_merchant", "dim_staff")
+STAMPS = {"dim_user": ["ingested_at", "job_ingested_at"]}
+
+
+def stamps_of(name: str) -> list[str]:
+    return STAMPS.get(name, ["ingested_at"])
 
 
 def snapshots(spark: SparkSession, sf: str, until: str | None = None) -> dict[str, DataFrame]:
-    d = {t: deduped(spark, sf, t, until) for t in
+    """The dimension snapshots with their stamps, of all batches or of those
+    up to ``until``."""
+    d = {t: deduped(spark, sf, t, until, keep_stamp=True) for t in
          ["user", "user_job", "merchant", "staff", "product", "campaign", "credit_card"]}
     return {
         "dim_location": S.location_snapshot(d["user"], d["merchant"], d["staff"]),
@@ -47,17 +60,34 @@ def snapshots(spark: SparkSession, sf: str, until: str | None = None) -> dict[st
     }
 
 
-def unique_snapshot(snapshot: DataFrame, spec: ScdSpec) -> DataFrame:
-    """A snapshot with one row per natural key (greatest tracked tuple wins;
-    key-only dimensions are their distinct keys)."""
-    if spec.tracked:
-        return scd.one_version_per_key(snapshot, spec.key, spec.tracked)
-    return snapshot.select(*spec.key).distinct()
+def unique_snapshot(name: str, snapshot: DataFrame, dim_location: DataFrame | None) -> DataFrame:
+    """A snapshot's newest row per natural key, without NULL keys, and with
+    the key of its address where the dimension tracks it."""
+    spec = SCD_SPECS[name]
+    rows = scd.without_null_keys(snapshot, spec)
+    if name in LOCATED:
+        rows = S.with_location_sk(rows, dim_location)
+    return scd.one_version_per_key(rows, spec, stamps_of(name))
+
+
+def _initial(snaps: dict[str, DataFrame], names, load_date: str) -> dict[str, DataFrame]:
+    """First loads, each with its unknown member: locations first, as the
+    others look their addresses up, then all others together."""
+    names, out = list(names), {}
+    if "dim_location" in names or set(names) & set(LOCATED):
+        spec = SCD_SPECS["dim_location"]
+        out["dim_location"] = scd.scd2_initial(unique_snapshot("dim_location", snaps["dim_location"], None), spec, load_date)
+    rest = [n for n in names if n != "dim_location"]
+    if rest:
+        unique = {n: unique_snapshot(n, snaps[n], out.get("dim_location")) for n in rest}
+        out |= scd.scd2_initial_many(unique, SCD_SPECS, load_date)
+    return {n: scd.with_unknown_member(d, SCD_SPECS[n]) for n, d in out.items()}
 
 
-def initial_dimension(snapshot: DataFrame, spec: ScdSpec, load_date: str = LOAD_DATE) -> DataFrame:
-    """First SCD2 load of a snapshot made unique per natural key."""
-    return scd.scd2_initial(unique_snapshot(snapshot, spec), spec, load_date)
+def dimensions(spark: SparkSession, sf: str, names=None) -> dict[str, DataFrame]:
+    """The dimensions after a first load of all batches (and dim_location
+    where another one needs it)."""
+    return _initial(snapshots(spark, sf), names or list(SCD_SPECS), LOAD_DATE)
 
 
 # Daily reload: the first run saw only the first ingest batch; the next run
@@ -70,18 +100,33 @@ def reloaded_dimension(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """Dimension ``name`` after two daily runs: the initial load from the
     first batch, then an SCD2 merge of the full snapshot (changed tracked
     columns expire the old version, new keys get versions, keys that vanish
-    from the snapshot stay current)."""
-    spec = SCD_SPECS[name]
+    from the snapshot stay current). Addresses are looked up in the locations
+    of the same day."""
     until, first_day = RELOAD_FIRST
-    day1 = initial_dimension(snapshots(spark, sf, until)[name], spec, first_day)
-    snap = unique_snapshot(snapshots(spark, sf)[name], spec)
-    return scd.scd2_merge(day1, snap, spec, RELOAD_NEXT)
+    full = snapshots(spark, sf)
+    first = _initial(snapshots(spark, sf, until), [name], first_day)
 
+    def merged(n: str, dim_location: DataFrame | None) -> DataFrame:
+        return scd.scd2_merge(first[n], unique_snapshot(n, full[n], dim_location), SCD_SPECS[n], RELOAD_NEXT)
 
-def dimensions(spark: SparkSession, sf: str, names=None) -> dict[str, DataFrame]:
-    snaps = snapshots(spark, sf)
-    names = names or list(SCD_SPECS)
-    return {n: initial_dimension(snaps[n], SCD_SPECS[n]) for n in names}
+    return merged(name, merged("dim_location", None) if name in LOCATED else None)
+
+
+def null_key_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Per dimension the snapshot rows kept out for lack of a key, and the
+    keys whose newest stamps carry several values."""
+    out = None
+    for name, snap in snapshots(spark, sf).items():
+        spec = SCD_SPECS[name]
+        if not spec.required:
+            continue
+        bad = scd.null_key_rows(snap, spec).agg(F.count(F.lit(1)).cast("bigint").alias("null_key_rows"))
+        own = ScdSpec(spec.name, spec.sk, spec.key, tuple(c for c in spec.tracked if c != "location_sk"), spec.required)
+        ties = scd.stamp_ties(scd.without_null_keys(snap, spec), own, stamps_of(name)).agg(
+            F.count(F.lit(1)).cast("bigint").alias("tied_keys"))
+        row = bad.crossJoin(ties).select(F.lit(name).alias("dimension"), "null_key_rows", "tied_keys")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 ORDER_DIMS = ["dim_user", "dim_merchant", "dim_staff", "dim_campaign"]
@@ -93,22 +138,25 @@ def fact_orders(spark: SparkSession, sf: str, dims: dict | None = None) -> DataF
     return S.fact_orders(orders, dims["dim_user"], dims["dim_merchant"], dims["dim_staff"], dims["dim_campaign"])
 
 
-def orders_with_user_name(spark: SparkSession, sf: str) -> DataFrame:
-    """Deduplicated orders carrying the customer name the order system
-    recorded (driver ``customer`` by the order's customer key; missing for
-    every 29th key). A join on the customer key, no per-row lookup."""
-    names = read_table(spark, sf, "customer").select(
+def orders_with_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Deduplicated orders carrying the customer and staff names the order
+    system recorded (missing for every 29th customer and 23rd staff key)."""
+    users = read_table(spark, sf, "customer").select(
         F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias("user_id"),
-        F.when(F.col("c_custkey") % 29 != 0, F.col("c_name")).alias("name"))
-    return deduped(spark, sf, "order").join(names, "user_id", "left")
+        F.when(F.col("c_custkey") % 29 != 0, F.col("c_name")).alias("user_name"))
+    staff = read_table(spark, sf, "supplier").select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("staff_id"),
+        F.when(F.col("s_suppkey") % 23 != 0, F.concat(F.lit("Staff "), F.col("s_suppkey").cast("string")))
+        .alias("staff_name"))
+    return deduped(spark, sf, "order").join(users, "user_id", "left").join(staff, "staff_id", "left")
 
 
 def fact_orders_composite_key(spark: SparkSession, sf: str, dims: dict | None = None) -> DataFrame:
-    """Order facts whose user key is found by id AND name: an order whose
-    recorded name is missing or differs gets the unknown member 0."""
+    """Order facts whose user and staff keys are found by id AND name: an
+    order whose recorded name is missing or differs gets the unknown member 0."""
     dims = dims or dimensions(spark, sf, ORDER_DIMS)
-    return S.fact_orders(orders_with_user_name(spark, sf), dims["dim_user"], dims["dim_merchant"],
-                         dims["dim_staff"], dims["dim_campaign"], user_keys=("user_id", "name"))
+    return S.fact_orders(orders_with_names(spark, sf), dims["dim_user"], dims["dim_merchant"], dims["dim_staff"],
+                         dims["dim_campaign"], user_name="user_name", staff_name="staff_name")
 
 
 def facts(spark: SparkSession, sf: str, dims: dict | None = None) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ SUITES: dict[str, dict[str, list[Check]]] = {
     "dq_null_counts": {
         "credit_card": [Check("nulls", c, None, None, "info") for c in contracts.columns("credit_card")],
         "user_job": [Check("nulls", c, None, None, "info") for c in contracts.columns("user_job")],
-        "user": [Check("nulls", "creation_date", None, None, "info"), Check("nulls", "birthdate", None, None, "info")],
+        "user": [Check("nulls", c, None, None, "info") for c in contracts.columns("user")],
     },
     "dq_max_length": {t: [Check("max_length", c, n, "<=") for c, n in _text_cols(t)] for t in TABLES},
     "dq_business_rules": {
@@ -40,6 +42,7 @@ SUITES: dict[str, dict[str, list[Check]]] = {
     },
     "dq_allowed_values": {
         "merchant": [Check("not_value", "country", 0, "<=", value=DEFAULT_COUNTRY)],
+        "staff": [Check("other_value", "country", 0, "<=", value=DEFAULT_COUNTRY)],
         "user": [Check("not_value", "country", 0, "<=", value=DEFAULT_COUNTRY)],
     },
     "dq_missing_ratio": {
@@ -63,7 +66,7 @@ SUITES: dict[str, dict[str, list[Check]]] = {
 
 DUPLICATE_KEYS = {"merchant": (["merchant_id"], "critical"), "staff": (["staff_id"], "critical"),
                   "credit_card": (["user_id"], "info")}
-SURPLUS = ["user", "user_job"]
+SURPLUS = {"user": ["user_id"], "user_job": ["user_id"]}
 
 
 def run_suite(spark: SparkSession, sf: str, name: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -84,56 +87,78 @@ def duplicate_keys(spark, sf) -> DataFrame:
 
 def surplus_duplicates(spark, sf) -> DataFrame:
     from quillmart.plans.queries import cleaned
-    return Q.union_reports([Q.surplus_duplicates(cleaned(spark, sf, t).drop("ingested_at"), t) for t in SURPLUS])
+    return Q.union_reports([Q.surplus_duplicates(cleaned(spark, sf, t), t, k) for t, k in SURPLUS.items()])
 
 
 def row_reconcile(spark, sf) -> DataFrame:
-    """Source rows (raw layer) vs target rows (cleaned layer) per table:
-    count both sides, full outer join on the table name."""
+    """Per raw table the rows of its source and of the table as ingested:
+    each source is appended batch by batch to a raw table in the shared
+    folder, and that table is read back and counted."""
     from quillmart.plans.clean import RAW_OF
-    from quillmart.plans.queries import cleaned
-    from quillmart.plans.standins import raw_table
-    src = tgt = None
-    for t, raw in RAW_OF.items():
-        s = raw_table(spark, sf, raw).agg(F.count(F.lit(1)).alias("source_rows")).select(
-            F.lit(t).alias("table_name"), "source_rows")
-        g = cleaned(spark, sf, t).agg(F.count(F.lit(1)).alias("target_rows")).select(
-            F.lit(t).alias("table_name"), "target_rows")
-        src = s if src is None else src.unionByName(s)
-        tgt = g if tgt is None else tgt.unionByName(g)
-    j = src.join(tgt, "table_name", "full_outer")
-    return j.select("table_name", F.col("source_rows").cast("bigint"), F.col("target_rows").cast("bigint"),
+    from quillmart.plans.standins import STAMP1, STAMP2, raw_table
+    from quillmart.session import run_folder
+    from quillmart.sources.sinks import append_raw, read_raw
+    base, loaded = run_folder(spark, "reconcile"), {}
+    for raw in RAW_OF.values():
+        src = raw_table(spark, sf, raw)
+        for stamp in (STAMP1, STAMP2):
+            append_raw(src.where(F.col("ingested_at") == F.lit(stamp).cast("timestamp_ntz")), f"{base}/{raw}")
+        loaded[raw] = read_raw(spark, f"{base}/{raw}")
+    return reconcile({raw: raw_table(spark, sf, raw) for raw in RAW_OF.values()}, loaded)
+
+
+def reconcile(sources: dict[str, DataFrame], targets: dict[str, DataFrame]) -> DataFrame:
+    """Source and target row counts per table, joined on the table name."""
+    def counts(frames, name):
+        return reduce(DataFrame.unionByName, [
+            d.agg(F.count(F.lit(1)).cast("bigint").alias(name)).select(F.lit(t).alias("table_name"), name)
+            for t, d in frames.items()])
+    j = counts(sources, "source_rows").join(counts(targets, "target_rows"), "table_name", "full_outer")
+    return j.select("table_name", "source_rows", "target_rows",
                     F.coalesce(F.col("source_rows") == F.col("target_rows"), F.lit(False)).alias("matched"))
 
 
-def primary_keys(dims: dict[str, DataFrame], sks: dict[str, str]) -> DataFrame:
-    """Declared primary keys: duplicate surrogate keys per dimension."""
-    return Q.union_reports([Q.duplicate_keys(d, n, [sks[n]]) for n, d in dims.items()])
-
-
-def foreign_keys(fact_orders: DataFrame, fact_line_items: DataFrame) -> DataFrame:
-    """Unknown-member references (sk 0) per foreign key of the facts, plus
-    line facts whose order is not in the order facts (left anti count)."""
-    fo_checks = [Check("zero_refs", c, None, None, "info") for c in
-                 ["user_sk", "merchant_sk", "staff_sk", "campaign_sk"]]
-    fo = fact_orders.agg(*[F.count_if(F.col(ch.column) == 0).cast("double").alias(ch.column) for ch in fo_checks])
-    li = fact_line_items.agg(F.count_if(F.col("product_sk") == 0).cast("double").alias("product_sk"))
-    orphans = (fact_line_items.select("order_sk").join(
-        fact_orders.select(F.col("order_id").alias("order_sk")), "order_sk", "left_anti")
-        .agg(F.count(F.lit(1)).cast("double").alias("order_sk")))
-
-    def rows(df, table, cols, check, severity, thr):
-        return df.select(F.explode(F.array(*[F.struct(
-            F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), F.lit(c).alias("column_name"),
-            F.col(c).alias("observed"), F.lit(thr).cast("double").alias("threshold"),
-            (F.lit(True) if thr is None else F.col(c) <= F.lit(float(thr))).alias("passed"),
-            F.lit(severity).alias("severity")) for c in cols])).alias("r")).select("r.*")
-
-    return Q.union_reports([
-        rows(fo, "fact_orders", [c.column for c in fo_checks], "zero_refs", "info", None),
-        rows(li, "fact_line_items", ["product_sk"], "zero_refs", "info", None),
-        rows(orphans, "fact_line_items", ["order_sk"], "orphans", "critical", 0),
-    ])
+def primary_keys(tables: dict[str, DataFrame], sks: dict[str, list[str]], naturals: dict[str, tuple]) -> DataFrame:
+    """Declared primary keys of the star's tables, and the natural keys among
+    a dimension's current versions."""
+    reports = [Q.duplicate_keys(d, n, sks[n]) for n, d in tables.items()]
+    reports += [Q.duplicate_keys(tables[n].where("is_current"), n, list(k)) for n, k in naturals.items()]
+    return Q.union_reports(reports)
+
+
+# The star's foreign keys: table, column -> table, column.
+FOREIGN_KEYS = [
+    ("dim_user", "location_sk", "dim_location", "location_sk"),
+    ("dim_issuing_bank", "user_id", "dim_user", "user_id"),
+    ("dim_merchant", "location_sk", "dim_location", "location_sk"),
+    ("dim_staff", "location_sk", "dim_location", "location_sk"),
+    ("fact_orders", "user_sk", "dim_user", "user_sk"),
+    ("fact_orders", "merchant_sk", "dim_merchant", "merchant_sk"),
+    ("fact_orders", "staff_sk", "dim_staff", "staff_sk"),
+    ("fact_orders", "campaign_sk", "dim_campaign", "campaign_sk"),
+    ("fact_orders", "date_sk", "dim_date", "date_sk"),
+    ("fact_line_items", "order_sk", "fact_orders", "order_id"),
+    ("fact_line_items", "product_sk", "dim_product", "product_sk"),
+    ("fact_line_items", "merchant_sk", "dim_merchant", "merchant_sk"),
+    ("fact_line_items", "user_sk", "dim_user", "user_sk"),
+    ("fact_line_items", "date_sk", "dim_date", "date_sk"),
+]
+
+
+def foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    """Per foreign key the rows whose key is missing from the referenced
+    table (anti join of the counted key values; NULL refers to nothing), and
+    the rows that refer to the unknown member 0."""
+    reports = []
+    for table, column, other, key in FOREIGN_KEYS:
+        used = tables[table].where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_k")).agg(
+            F.count(F.lit(1)).alias("_n"))
+        known = tables[other].select(F.col(key).alias("_k")).distinct()
+        total = F.coalesce(F.sum("_n"), F.lit(0)).cast("double").alias("observed")
+        reports.append(Q.single(used.join(known, "_k", "left_anti").agg(total), table, "orphans", column, 0, "critical"))
+        if column.endswith("_sk") and column not in ("date_sk", "order_sk"):
+            reports.append(Q.single(used.where("_k = 0").agg(total), table, "zero_refs", column, None, "info"))
+    return Q.union_reports(reports)
 
 
 def checks_by_table() -> dict[str, list[Check]]:

@@ -16,6 +16,7 @@ from quillmart.plans import clean as C
 from quillmart.plans import contracts
 from quillmart.plans import star as S
 from quillmart.plans.standins import raw_table
+from quillmart.session import run_folder
 from quillmart.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,54 +37,60 @@ def cleaned(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return C.CLEANERS[table](raw_table(spark, sf, C.RAW_OF[table]))
 
 
-def deduped(spark: SparkSession, sf: str, table: str, until: str | None = None) -> DataFrame:
+def deduped(spark: SparkSession, sf: str, table: str, until: str | None = None,
+            keep_stamp: bool = False) -> DataFrame:
     """Cleaned and deduplicated table; with ``until``, only the batches
-    ingested up to that stamp (the state of an earlier daily run)."""
+    ingested up to that stamp (the state of an earlier daily run); with
+    ``keep_stamp``, the newest stamp of each row."""
     df = cleaned(spark, sf, table)
     if until is not None:
         df = df.where(F.col("ingested_at") <= F.lit(until).cast("timestamp_ntz"))
     cols = contracts.columns(table)
     if table in contracts.LATEST_WINS:
         keys = contracts.LATEST_WINS[table]
-        return D.latest_wins(df, keys, [c for c in cols if c not in keys], "ingested_at")
+        return D.latest_wins(df, keys, [c for c in cols if c not in keys], "ingested_at", keep_stamp)
     if table == "line_item":
         return D.exact_rows_no_nulls(df, cols, "ingested_at")
-    return D.exact_rows(df, cols)
+    return D.exact_rows(df, cols, "ingested_at" if keep_stamp else None)
 
 
 # ----------------------------------------------------------------- analytics
 
 @query("customer_segment_revenue")
 def q_customer_segment_revenue(spark, sf):
-    return A.customer_segment_revenue(A.star_fact_line_items(spark, sf), A.star_dim_user(spark, sf))
+    return A.customer_segment_revenue(A.star_order_facts(spark, sf), A.star_dim_user(spark, sf))
 
 
 @query("campaign_order_volume")
 def q_campaign_order_volume(spark, sf):
-    return A.campaign_order_volume(A.star_fact_orders(spark, sf), A.star_dim_campaign(spark, sf))
+    return A.campaign_order_volume(A.star_orders(spark, sf), A.star_dim_campaign(spark, sf))
 
 
 @query("merchant_performance")
 def q_merchant_performance(spark, sf):
-    return A.merchant_performance(A.star_fact_orders(spark, sf), A.star_fact_line_items(spark, sf),
-                                  A.star_dim_merchant(spark, sf))
+    return A.merchant_performance(A.star_order_facts(spark, sf), A.star_dim_merchant(spark, sf))
 
 
 @query("merchant_performance_per_order")
 def q_merchant_performance_per_order(spark, sf):
-    return A.merchant_performance_per_order(A.star_fact_orders(spark, sf), A.star_fact_line_items(spark, sf),
-                                            A.star_dim_merchant(spark, sf))
+    return A.merchant_performance_per_order(A.star_order_facts(spark, sf), A.star_dim_merchant(spark, sf))
 
 
 # ------------------------------------------------------------------ calendar
 
 @query("dim_date")
 def q_dim_date(spark, sf):
-    """Calendar spanning the order dates (the 2020-2030 default is the
-    library default; the driver's orders are dated 1995-2001)."""
+    """Calendar spanning the order dates."""
     return S.dim_date_spanning(tbl(spark, sf, "orders"), "o_orderdate")
 
 
+@query("dim_date_default_usage")
+def q_dim_date_default_usage(spark, sf):
+    """The default calendar (2020-2030) with the cleaned orders of each day."""
+    return S.orders_per_day(S.dim_date(spark), cleaned(spark, sf, "order").where("transaction_date IS NOT NULL"),
+                            "transaction_date")
+
+
 # ------------------------------------------------------------------ cleaning
 
 for _t in C.CLEANERS:
@@ -104,17 +111,15 @@ for _t in ["campaign", "merchant", "order", "product", "line_item", "staff", "us
 def q_dedup_latest_window(spark, sf):
     """Window form on lineitem (key l_orderkey, stamp l_shipdate): the newest
     stamp per order and how many lines share it."""
-    li = tbl(spark, sf, "lineitem")
-    w = D.latest_row_window(li, ["l_orderkey"], "l_shipdate")
-    return w.where(F.col("rn") == 1).select("l_orderkey", "l_shipdate", F.col("cnt_same_ts").cast("bigint"))
+    ranked = D.ranked_stamps(tbl(spark, sf, "lineitem"), ["l_orderkey"], "l_shipdate")
+    return ranked.where("stamp_rank = 1").select("l_orderkey", "l_shipdate", "rows_at_stamp")
 
 
 @query("dedup_conflict_stats")
 def q_dedup_conflict_stats(spark, sf):
     li = tbl(spark, sf, "lineitem")
     return D.conflict_stats(li, ["l_orderkey"], ["l_partkey", "l_suppkey", "l_quantity"], "l_shipdate") \
-        .select("l_orderkey", "l_shipdate", F.col("cnt_rows").cast("bigint"),
-                F.col("distinct_business").cast("bigint"))
+        .select("l_orderkey", "l_shipdate", "rows_at_stamp", "distinct_rows")
 
 
 @query("dedup_lineitem_latest")
@@ -136,7 +141,7 @@ def _pipeline():
 for _d in ["dim_location", "dim_user", "dim_product", "dim_merchant", "dim_staff", "dim_campaign",
            "dim_issuing_bank"]:
     def _mks(d):
-        return lambda spark, sf: _pipeline().snapshots(spark, sf)[d]
+        return lambda spark, sf: _pipeline().snapshots(spark, sf)[d].drop("ingested_at", "job_ingested_at")
     QUERIES[f"{_d}_snapshot"] = _mks(_d)
 
 
@@ -151,23 +156,19 @@ def q_surrogate_keys(spark, sf):
 def q_location_sk_lookup(spark, sf):
     """Users get the surrogate key of their address (4-column NULL-safe
     match against the location dimension; 0 when not found)."""
-    p = _pipeline()
-    loc = p.initial_dimension(p.snapshots(spark, sf)["dim_location"], p.SCD_SPECS["dim_location"])
-    users = deduped(spark, sf, "user").select("user_id", "street", "city", "state", "country")
-    cols = ["street", "city", "state", "country"]
-    dl = loc.where(F.col("is_current")).select(*[F.col(c).alias("_l_" + c) for c in cols], "location_sk")
-    cond = None
-    for c in cols:
-        e = F.col(c).eqNullSafe(F.col("_l_" + c))
-        cond = e if cond is None else cond & e
-    j = users.join(dl, cond, "left")
-    return j.select("user_id", *cols, F.coalesce("location_sk", F.lit(0)).cast("bigint").alias("location_sk"))
-
-
-# SCD2 recipes on driver tables: version 1 = rows whose key is not a
-# multiple of 5, loaded 2024-01-01; snapshot 2 = rows whose key is not a
-# multiple of 7 with a changed (key % 3) or NULLed (key % 13) column, loaded
-# 2024-02-01. Every row of the table is in at least one of the two.
+    loc = _pipeline().dimensions(spark, sf, ["dim_location"])["dim_location"]
+    return S.with_location_sk(deduped(spark, sf, "user").select("user_id", *S.ADDRESS), loc)
+
+
+@query("scd2_quarantine")
+def q_scd2_quarantine(spark, sf):
+    return _pipeline().null_key_quarantine(spark, sf)
+
+
+# SCD2 recipes on driver tables: version 1 = the whole table, loaded
+# 2024-01-01; snapshot 2 = the whole table again, loaded 2024-02-01, with a
+# column changed (key % 3) or NULLed (key % 13), and the rows of key % 7 = 3
+# under new keys (negative ones): their old keys vanish, the new ones appear.
 SCD_RECIPES = {
     "customer": ("c_custkey", ["c_name", "c_mktsegment", "c_nationkey"], "c_mktsegment"),
     "part": ("p_partkey", ["p_name", "p_type", "p_size"], "p_type"),
@@ -181,10 +182,9 @@ def scd_inputs(spark, sf, table):
     key, tracked, ch = SCD_RECIPES[table]
     src = tbl(spark, sf, table).select(key, *tracked)
     k = F.col(key)
-    v1 = src.where(k % 5 != 0)
     chv = F.when(k % 13 == 0, F.lit(None)).when(k % 3 == 0, F.concat(F.col(ch), F.lit("-X"))).otherwise(F.col(ch))
-    snap = src.where(k % 7 != 0).withColumn(ch, chv)
-    return v1, snap, ScdSpec(f"dim_{table}", "sk", (key,), tuple(tracked))
+    snap = src.withColumn(ch, chv).withColumn(key, F.when(k % 7 == 3, -k).otherwise(k))
+    return src, snap, ScdSpec(f"dim_{table}", "sk", (key,), tuple(tracked))
 
 
 def scd_merged(spark, sf, table):
@@ -364,17 +364,27 @@ def q_dq_row_reconcile(spark, sf):
     return _dq().row_reconcile(spark, sf)
 
 
+def star_tables(spark, sf) -> dict[str, DataFrame]:
+    """All ten tables of the star."""
+    p = _pipeline()
+    dims = p.dimensions(spark, sf)
+    fo, fli = p.facts(spark, sf, dims)
+    return {**dims, "dim_date": S.dim_date_spanning(tbl(spark, sf, "orders"), "o_orderdate"),
+            "fact_orders": fo, "fact_line_items": fli}
+
+
 @query("dq_primary_key")
 def q_dq_primary_key(spark, sf):
     p = _pipeline()
-    dims = p.dimensions(spark, sf)
-    return _dq().primary_keys(dims, {n: s.sk for n, s in p.SCD_SPECS.items()})
+    tables = star_tables(spark, sf)
+    sks = {n: [s.sk] for n, s in p.SCD_SPECS.items()} | {
+        "dim_date": ["date_sk"], "fact_orders": ["order_id"], "fact_line_items": ["order_sk", "line_item_id"]}
+    return _dq().primary_keys(tables, sks, {n: s.key for n, s in p.SCD_SPECS.items() if s.required == s.key})
 
 
 @query("dq_foreign_keys")
 def q_dq_foreign_keys(spark, sf):
-    fo, fli = _pipeline().facts(spark, sf)
-    return _dq().foreign_keys(fo, fli)
+    return _dq().foreign_keys(star_tables(spark, sf))
 
 
 @query("dq_verdict")
@@ -385,29 +395,13 @@ def q_dq_verdict(spark, sf):
 
 @query("dq_schema_contract")
 def q_dq_schema_contract(spark, sf):
-    """Expected vs actual column types of the nine cleaned tables (schema
-    metadata of the derived tables; rows-only check)."""
-    from quillmart.operators.quality import schema_report, union_reports
-    return union_reports([schema_report(cleaned(spark, sf, t), t, contracts.CLEANED[t]) for t in contracts.CLEANED])
-
-
-@query("dq_required_columns")
-def q_dq_required_columns(spark, sf):
-    from quillmart.operators.quality import required_columns, union_reports
-    return union_reports([required_columns(raw_table(spark, sf, C.RAW_OF[t]), t, contracts.required(t))
-                          for t in contracts.CLEANED])
+    """The nine cleaned tables against their column contracts, over the rows."""
+    from quillmart.operators.quality import contract_rows, union_reports
+    return union_reports([contract_rows(cleaned(spark, sf, t), t, contracts.CLEANED[t]) for t in contracts.CLEANED])
 
 
 # ---------------------------------------------------------- ingest, formats
 
-def _run_dir(spark, tag: str) -> str:
-    """A fresh folder under the shared checkpoint folder for this run."""
-    import uuid
-
-    from quillmart.session import shared_scratch
-    return shared_scratch(spark, f"{tag}-{uuid.uuid4().hex[:12]}")
-
-
 @query("raw_text_stamp")
 def q_raw_text_stamp(spark, sf):
     from quillmart.plans.standins import STAMP1
@@ -480,18 +474,57 @@ def q_raw_append_two_batches(spark, sf):
     from quillmart.plans.standins import STAMP1, STAMP2
     from quillmart.sources.files import as_raw
     from quillmart.sources.sinks import append_raw, read_raw
-    path = _run_dir(spark, "raw-orders")
+    path = run_folder(spark, "raw") + "/orders"
     o = tbl(spark, sf, "orders")
     append_raw(as_raw(o.drop("o_orderpriority"), STAMP1), path)
     append_raw(as_raw(o, STAMP2), path)
     return read_raw(spark, path)
 
 
+@query("dedup_sink")
+def q_dedup_sink(spark, sf):
+    """Deduplicated orders replace the staging table, twice, and are read back."""
+    from quillmart.sources.sinks import overwrite
+    path = run_folder(spark, "dedup") + "/order"
+    overwrite(cleaned(spark, sf, "order").drop("ingested_at"), path)
+    overwrite(deduped(spark, sf, "order"), path)
+    return spark.read.parquet(path)
+
+
+@query("snapshot_sink")
+def q_snapshot_sink(spark, sf):
+    from quillmart.sources.sinks import overwrite
+    path = run_folder(spark, "snapshot") + "/dim_user"
+    overwrite(QUERIES["dim_user_snapshot"](spark, sf), path)
+    return spark.read.parquet(path)
+
+
+@query("calendar_sink")
+def q_calendar_sink(spark, sf):
+    from quillmart.sources.sinks import overwrite
+    path = run_folder(spark, "calendar") + "/dim_date"
+    overwrite(q_dim_date(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+@query("fact_orders_reload")
+def q_fact_orders_reload(spark, sf):
+    """Truncate-load of the orders before 1998, then an append of the others
+    (those the table does not have): the whole fact table, once."""
+    from quillmart.sources.sinks import load_fact
+    p, path = _pipeline(), run_folder(spark, "fact") + "/fact_orders"
+    dims, orders = p.dimensions(spark, sf, p.ORDER_DIMS), deduped(spark, sf, "order")
+    chosen = [dims[n] for n in p.ORDER_DIMS]
+    load_fact(S.fact_orders(orders, *chosen).where("date_sk < 19980101"), path, "truncate")
+    load_fact(S.fact_orders(orders, *chosen, existing=spark.read.parquet(path)), path, "append")
+    return spark.read.parquet(path)
+
+
 @query("staging_overwrite")
 def q_staging_overwrite(spark, sf):
     """Truncate-and-load twice: the second load fully replaces the first."""
     from quillmart.sources.sinks import overwrite
-    path = _run_dir(spark, "staging-line-item")
+    path = run_folder(spark, "staging") + "/line_item"
     overwrite(C.clean_line_item(raw_table(spark, sf, "raw_line_item", batches=False)), path)
     overwrite(cleaned(spark, sf, "line_item"), path)
     return spark.read.parquet(path)
@@ -516,14 +549,15 @@ def q_csv_delimiter_fallback(spark, sf):
     """The same export written comma-, TAB- (named .csv) and ';'-separated,
     with quoted fields holding commas and doubled quotes; each read back
     with the delimiter fallback."""
-    from quillmart.sources.formats import read_csv_fallback, write_delimited
-    base = _run_dir(spark, "csv")
+    from quillmart.sources.files import read_source
+    from quillmart.sources.formats import write_delimited
+    base = run_folder(spark, "csv")
     src = _customer_text(spark, sf)
     out = None
     for label, sep in [("comma", ","), ("tab", "\t"), ("semicolon", ";")]:
         p = f"{base}/{label}.csv"
         write_delimited(src, p, sep)
-        df = read_csv_fallback(spark, p).withColumn("source", F.lit(label))
+        df = read_source(spark, p).withColumn("source", F.lit(label))
         out = df if out is None else out.unionByName(df)
     return out
 
@@ -534,12 +568,17 @@ JSON_COLUMNS = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_
 @query("json_column_orient_scan")
 def q_json_column_orient_scan(spark, sf):
     """Orders exported as column-oriented JSON documents (1,000 rows each,
-    keyed by order key) and read back into rows."""
-    from quillmart.sources.formats import column_docs, read_json_columns
-    path = _run_dir(spark, "json")
+    keyed by order key) and as records, each read back into rows."""
+    from quillmart.sources.files import read_source
+    from quillmart.sources.formats import column_docs
+    path = run_folder(spark, "json")
     o = tbl(spark, sf, "orders").withColumn("_chunk", F.floor(F.col("o_orderkey") / 1000))
-    column_docs(o, "_chunk", "o_orderkey", JSON_COLUMNS).write.mode("overwrite").text(path)
-    return read_json_columns(spark, path, JSON_COLUMNS)
+    column_docs(o, "_chunk", "o_orderkey", JSON_COLUMNS).write.text(f"{path}/columns.json")
+    records = o.select(F.col("o_orderkey").alias("unnamed_0"), *JSON_COLUMNS)
+    records.select([F.col(c).cast("string") for c in records.columns]).write.json(f"{path}/records.json")
+    cols = ["unnamed_0", *JSON_COLUMNS]
+    return (read_source(spark, f"{path}/columns.json").select(F.lit("columns").alias("form"), *cols)
+            .unionByName(read_source(spark, f"{path}/records.json").select(F.lit("lines").alias("form"), *cols)))
 
 
 HTML_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
@@ -547,26 +586,27 @@ HTML_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_or
 
 @query("html_table_scan")
 def q_html_table_scan(spark, sf):
-    """Orders published as HTML pages (500 rows per <table>) and scanned back."""
-    from quillmart.sources.formats import html_pages, read_html_tables
-    path = _run_dir(spark, "html")
+    """Orders published as HTML pages (500 rows per <table>, with line breaks
+    inside the pages and an empty cell in place of status F) and scanned back."""
+    from quillmart.sources.files import read_source
+    from quillmart.sources.formats import html_pages
+    path = run_folder(spark, "html") + "/orders.html"
     o = tbl(spark, sf, "orders").withColumn("_chunk", F.floor(F.col("o_orderkey") / 500))
-    html_pages(o, "_chunk", HTML_COLUMNS).write.mode("overwrite").text(path)
-    return read_html_tables(spark, path)
-
-
-@query("file_inventory")
-def q_file_inventory(spark, sf):
-    from quillmart.sources.files import file_inventory
-    return file_inventory(spark, sf).select("file_name", "table_name", "reader", "size_bytes", "skipped_empty")
+    o = o.withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "F", "").otherwise(F.col("o_orderstatus")))
+    pages = html_pages(o, "_chunk", HTML_COLUMNS)
+    pages.select(F.regexp_replace("value", "<tr>", "\n  <tr>").alias("value")).write.text(path)
+    return read_source(spark, path)
 
 
 @query("incremental_file_ingest")
 def q_incremental_file_ingest(spark, sf):
-    """Two availableNow runs over the same folder: the second finds no new
-    file, so the raw table holds each event exactly once."""
+    """Three availableNow runs over a folder: half of the events, then the
+    other half arrives, then nothing new: each event is ingested exactly once."""
     from quillmart.streaming.incremental import ingest_once, read_ingested
-    base = _run_dir(spark, "stream")
-    for _ in range(2):
-        ingest_once(spark, sf, "events.parquet", f"{base}/raw_events", f"{base}/_checkpoint")
-    return read_ingested(spark, f"{base}/raw_events").drop("ingested_at")
+    base = run_folder(spark, "stream")
+    events = tbl(spark, sf, "events")
+    for half in (0, 1, None):
+        if half is not None:
+            events.where(F.pmod("event_id", F.lit(2)) == half).write.mode("append").parquet(f"{base}/landing")
+        ingest_once(spark, f"{base}/landing", "*.parquet", f"{base}/raw_events", f"{base}/_checkpoint")
+    return read_ingested(spark, f"{base}/raw_events").drop("ingested_at", "source_file")

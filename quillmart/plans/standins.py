@@ -84,7 +84,7 @@ STANDINS: dict[str, Standin] = {
             ("country", "(CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_nationkey = 5 THEN 'Philippines' "
                         "ELSE 'United States' END)"),
             ("birthdate", date_text("c_custkey", 7) + " || ' 08:30:00'"),
-            ("gender", pick(["M", "F", "  "], "c_custkey")),
+            ("gender", pick(["M", "F", ""], "c_custkey")),
             ("device_address", "'DEV-' || cast(c_custkey as string)"),
             ("user_type", "c_mktsegment"),
         ],
@@ -162,7 +162,7 @@ STANDINS: dict[str, Standin] = {
         source="orders", key="o_orderkey",
         columns=[
             ("campaign_id", "'C' || cast(o_orderkey as string)"),
-            ("campaign_name", "substr(o_orderpriority, 3, 40)"),
+            ("campaign_name", "substr(o_orderpriority, 3)"),
             ("campaign_description", "'Priority ' || o_orderpriority || ' for status ' || o_orderstatus"),
             ("discount", "(CASE WHEN o_orderkey % 17 = 0 THEN 'free' ELSE cast(o_custkey % 40 as string) || "
                          + pick(["%", "pct", "%%", "percent"], "o_orderkey") + " END)"),
@@ -211,40 +211,23 @@ FROM orders o LEFT JOIN (
 """
 
 
-def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """A driver table feeding a raw-table recipe (per-row text work follows,
-    so a single-split table is spread over the cores)."""
-    return read_table(spark, sf_dir, name, spread=spread)
-
-
 def orders_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders ⟕ (per-order aggregate of lineitem): partial aggregation before
     the shuffle, then a shuffle join on the order key."""
-    # the line items go straight into a cheap aggregate of three narrow
-    # columns: no spread before it
-    li = load(spark, sf_dir, "lineitem", spread=False)
+    li = read_table(spark, sf_dir, "lineitem")
     agg = li.groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("merchant_key"),
         F.max("l_suppkey").alias("staff_key"),
         F.datediff(F.max("l_shipdate"), F.min("l_shipdate")).alias("ship_span"),
     )
-    # the orders keep the spread: the join may become a broadcast (the
-    # aggregate is small), and the per-row recipes and cleaning follow it
-    o = load(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders")
     return o.join(agg, o.o_orderkey == agg.l_orderkey, "left").drop("l_orderkey")
 
 
 def _source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     if source == "orders_linked":
         return orders_linked(spark, sf_dir)
-    return load(spark, sf_dir, source)
-
-
-def raw_base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One clean batch: the recipe columns plus the integer key ``_k``."""
-    st = STANDINS[name]
-    src = _source(spark, sf_dir, st.source)
-    return src.select(F.col(st.key).alias("_k"), *[F.expr(e).alias(c) for c, e in st.columns])
+    return read_table(spark, sf_dir, source)
 
 
 def raw_table(spark: SparkSession, sf_dir: str, name: str, batches: bool = True) -> DataFrame:

@@ -4,8 +4,11 @@ cluster)."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -40,16 +43,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a private scratch folder is
-    created; a cluster deployment always names a shared folder."""
+    A local session without one gets a private scratch folder; on any other
+    master that folder would be a machine's own, so it is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="quillmart-ckpt-", dir="/tmp")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def run_folder(spark: SparkSession, tag: str) -> str:
+    """A fresh folder under the shared checkpoint folder for one run's files,
+    removed when the Python process ends."""
+    path = shared_scratch(spark, f"{tag}-{uuid.uuid4().hex[:12]}")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(path))
+    fs.deleteOnExit(jvm.org.apache.hadoop.fs.Path(path))
+    return path
+
+
 def shared_scratch(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate
     tables (lineage cuts that survive executor loss)."""

@@ -1,4 +1,4 @@
-"""Raw-layer ingestion: file inventory, table naming, column sanitising,
+"""Raw-layer ingestion: one reader by file kind, table naming, column sanitising,
 sensitive-column removal, all-text typing with a batch stamp.
 
 All reads are single distributed ``spark.read`` calls; nothing is loaded on
@@ -11,7 +11,7 @@ import os
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmart.functions.fixed_values import SENSITIVE_COLUMNS
@@ -27,14 +27,6 @@ def table_name(file_name: str) -> str:
     return base.replace(" ", "_").replace("-", "_").lower() + "_" + ext.replace(".", "").lower()
 
 
-def table_name_col(file_name: Column) -> Column:
-    """The same rule as a column expression (for listings)."""
-    ext = F.regexp_extract(file_name, r"\.([^.]*)$", 1)
-    base = F.regexp_replace(file_name, r"\.[^.]*$", "")
-    clean = F.lower(F.regexp_replace(F.regexp_replace(base, " ", "_"), "-", "_"))
-    return F.concat(clean, F.lit("_"), F.lower(ext))
-
-
 def sanitize(name: str) -> str:
     """Lower case, non-word characters to '_', runs of '_' collapsed, trimmed."""
     n = re.sub(r"[^\w]", "_", name.lower())
@@ -67,41 +59,14 @@ def as_raw(df: DataFrame, stamp: str) -> DataFrame:
                      F.lit(stamp).cast("timestamp_ntz").alias("ingested_at"))
 
 
-def prepare_raw(df: DataFrame, stamp: str) -> DataFrame:
-    """Full raw-layer preparation of one source: index header, sanitise,
-    drop sensitive columns, all text + stamp."""
-    return as_raw(drop_sensitive(sanitize_columns(normalise_index_column(df))), stamp)
-
-
-def file_inventory(spark: SparkSession, folder: str, recursive: bool = True) -> DataFrame:
-    """List files (path, name, size) with their raw table name and reader.
-    Uses the binaryFile source with only metadata columns selected, so file
-    contents are never read."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-             .load(folder).select("path", "length", "modificationTime"))
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
-    ext = F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1))
-    fmt = F.lit(None).cast("string")
-    for e, f in reversed(list(FORMATS.items())):
-        fmt = F.when(ext == e, F.lit(f)).otherwise(fmt)
-    return files.select(
-        "path", name.alias("file_name"), table_name_col(name).alias("table_name"),
-        fmt.alias("reader"), F.col("length").alias("size_bytes"),
-        (F.col("length") == 0).alias("skipped_empty"))
-
-
-def read_source(spark: SparkSession, path: str) -> DataFrame | None:
-    """Reader dispatch by extension; None for an unsupported or empty file."""
+def read_source(spark: SparkSession, path: str) -> DataFrame:
+    """The one reader of an export, by its extension; an unsupported one is
+    an error."""
     from quillmart.sources import formats
 
-    ext = os.path.splitext(path)[1].lower()
+    ext = os.path.splitext(path.rstrip("/"))[1].lower()
     if ext not in FORMATS:
-        return None
-    kind = FORMATS[ext]
-    if kind == "parquet":
-        return spark.read.parquet(path)
-    if kind == "csv":
-        return formats.read_csv_fallback(spark, path)
-    if kind == "json":
-        return formats.read_json_any(spark, path)
-    return formats.read_html_tables(spark, path)
+        raise ValueError(f"{path}: {UNSUPPORTED.get(ext, 'unknown kind of file')}")
+    readers = {"parquet": lambda: spark.read.parquet(path), "csv": lambda: formats.read_csv_fallback(spark, path),
+               "json": lambda: formats.read_json_any(spark, path), "html": lambda: formats.read_html_tables(spark, path)}
+    return readers[FORMATS[ext]]()

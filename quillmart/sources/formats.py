@@ -2,15 +2,19 @@
 
 * CSV with delimiter fallback: ',' then TAB then a sniffed delimiter; only
   the header line is looked at on the driver.
-* JSON in records form (JSON lines) or pandas' default column form
-  ``{"col": {"0": v, ...}, ...}``: one document per line, parsed with
-  ``from_json`` into maps, exploded and re-assembled per row index.
-* HTML: the rows of the ``<table>`` in each page, via regex extraction and
-  ``posexplode`` (no Python per row).
+* JSON in records form (JSON lines or an array) or pandas' default column
+  form ``{"col": {"0": v, ...}, ...}``, told apart by how the file begins; a
+  column document per line is parsed with ``from_json`` into maps, exploded
+  and re-assembled per row index.
+* HTML: pages end at ``</html>``, whatever line breaks they hold; the rows of
+  each page's first ``<table>`` are named by that page's own header cells.
+
+Column names are metadata: only distinct header names reach the driver.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Sequence
 
@@ -57,11 +61,14 @@ def column_docs(df: DataFrame, chunk: str, index: str, columns: Sequence[str]) -
     return df.groupBy(chunk).agg(F.to_json(F.struct(*entries)).alias("value")).select("value")
 
 
-def read_json_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+def read_json_columns(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Parse column-oriented documents back into rows (all text, plus the
     row index ``unnamed_0`` the index keys carry)."""
     docs = spark.read.text(path).withColumn("_doc", F.monotonically_increasing_id())
     parsed = docs.select("_doc", F.from_json("value", "map<string, map<string, string>>").alias("m"))
+    if columns is None:
+        names = parsed.select(F.explode(F.map_keys("m")).alias("c")).distinct().collect()
+        columns = sorted(r["c"] for r in names)
     cells = (parsed.select("_doc", F.explode("m").alias("col", "vals"))
              .select("_doc", "col", F.explode("vals").alias("idx", "v")))
     rows = cells.groupBy("_doc", "idx").agg(*[F.max(F.when(F.col("col") == c, F.col("v"))).alias(c)
@@ -69,10 +76,20 @@ def read_json_columns(spark: SparkSession, path: str, columns: Sequence[str]) ->
     return rows.select(F.col("idx").alias("unnamed_0"), *columns)
 
 
+def json_form(start: str) -> str:
+    """'columns', 'array' or 'lines', from the beginning of a JSON file."""
+    if re.match(r'\s*\{\s*"(?:[^"\\]|\\.)*"\s*:\s*\{\s*("|\})', start):
+        return "columns"
+    return "array" if start.lstrip().startswith("[") else "lines"
+
+
 def read_json_any(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    if columns:
+    """A JSON export in any of the three forms."""
+    first = spark.read.text(path).where("trim(value) != ''").select(F.substring("value", 1, 4096)).limit(1).collect()
+    form = json_form(first[0][0]) if first else "lines"
+    if form == "columns":
         return read_json_columns(spark, path, columns)
-    return spark.read.json(path)
+    return spark.read.option("multiLine", form == "array").option("primitivesAsString", True).json(path)
 
 
 # ------------------------------------------------------------------ HTML
@@ -104,21 +121,23 @@ def html_pages(df: DataFrame, chunk: str, columns: Sequence[str]) -> DataFrame:
 
 
 def read_html_tables(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows of the first <table> of every page (one page per line; pass
-    ``wholetext=True`` pages through ``spark.read.text`` for one page per
-    file); header cells name the columns; empty cells are NULL."""
-    pages = spark.read.text(path)
-    table = F.regexp_extract("value", r"(?s)<table[^>]*>(.*?)</table>", 1)
-    rows = pages.select(F.posexplode(F.regexp_extract_all(table, F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), 1))
-                        .alias("pos", "tr"))
-    cells = F.regexp_extract_all("tr", F.lit(r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"), 1)
-    is_head = F.col("tr").contains("<th")
+    """Rows of the first <table> of every page; each page's header cells name
+    its columns, a column that a page lacks is NULL, empty cells are NULL."""
+    pages = spark.read.option("lineSep", "</html>").text(path)
+    table = F.regexp_extract("value", r"(?is)<table[^>]*>(.*?)</table>", 1)
+    trs = pages.select(F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1).alias("trs"))
+
+    def cells(tr: Column) -> Column:
+        found = F.regexp_extract_all(tr, F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), 1)
+        return F.transform(found, lambda x: F.nullif(_unescape(F.regexp_replace(x, r"^\s+|\s+$", "")), F.lit("")))
+
+    is_head = lambda tr: F.lower(tr).contains("<th")
+    pages = trs.select(cells(F.get(F.filter("trs", is_head), F.lit(0))).alias("head"),
+                       F.filter("trs", lambda tr: ~is_head(tr)).alias("trs"))
     if columns is None:
-        head = rows.where(is_head).select(cells.alias("c")).limit(1).collect()
-        columns = list(head[0]["c"]) if head else []
-    data = rows.where(~is_head).select(cells.alias("c"))
-    out = []
-    for i, c in enumerate(columns):
-        v = _unescape(F.trim(F.get(F.col("c"), i)))
-        out.append(F.when(v == "", F.lit(None)).otherwise(v).alias(c))
-    return data.select(*out)
+        names = (pages.select(F.posexplode("head").alias("at", "name")).where("name IS NOT NULL")
+                 .groupBy("name").agg(F.min("at").alias("at")).collect())
+        columns = [r["name"] for r in sorted(names, key=lambda r: (r["at"], r["name"]))]
+    rows = pages.select("head", F.explode("trs").alias("tr")).select("head", cells(F.col("tr")).alias("c"))
+    place = [F.array_position("head", c) for c in columns]
+    return rows.select(*[F.when(at > 0, F.get("c", (at - 1).cast("int"))).alias(c) for c, at in zip(columns, place)])

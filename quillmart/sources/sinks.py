@@ -1,12 +1,13 @@
 """Writes at the edges: raw append, staging overwrite, ingest audit upsert.
 
-Parquet has no transactions; a replaced table is written to a fresh
-location first and then read from there (the caller switches paths), so a
-failed write never leaves a half-replaced table behind.
+Parquet has no transactions; a replaced table is written to a new folder
+first, which takes the old one's place once it is complete, so a failed write
+leaves the old table as it was.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +28,23 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def overwrite(df: DataFrame, path: str) -> None:
-    """Truncate-and-load of a staging table."""
-    df.write.mode("overwrite").parquet(path)
+    """Truncate-and-load of a table: write beside it, then switch."""
+    incoming = f"{path.rstrip('/')}_incoming_{uuid.uuid4().hex[:12]}"
+    df.write.parquet(incoming)
+    sc = df.sparkSession.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path
+    fs = folder(path).getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.delete(folder(path), True)
+    if not fs.rename(folder(incoming), folder(path)):
+        raise OSError(f"could not move {incoming} to {path}")
+
+
+def load_fact(df: DataFrame, path: str, mode: str) -> None:
+    """Load fact rows: ``truncate`` replaces the table, ``append`` adds to it
+    (the rows must be those not loaded yet)."""
+    if mode not in ("truncate", "append"):
+        raise ValueError(f"mode {mode!r}")
+    (overwrite if mode == "truncate" else append_raw)(df, path)
 
 
 def audit_entries(raw: DataFrame, schema: str, table_col: str, ts_col: str) -> DataFrame:

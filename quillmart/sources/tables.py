@@ -3,44 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
-# (application, path) -> (schema, scan partitions). The input tables are
-# immutable for the life of an application, so the footer read that infers
-# the schema (a Spark job of its own) and the scan planning that counts the
-# splits happen once per table, not once per query that reads it.
-_SCAN_META: dict[tuple[str, str], tuple[StructType, int]] = {}
 
-
-def _scan_meta(spark: SparkSession, path: str) -> tuple[StructType, int]:
-    key = (spark.sparkContext.applicationId, path)
-    meta = _SCAN_META.get(key)
-    if meta is None:
-        df = spark.read.parquet(path)
-        meta = (df.schema, df.rdd.getNumPartitions())
-        _SCAN_META[key] = meta
-    return meta
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Parquet table ``<sf_dir>/<name>.parquet``.
-
-    A scan yields one task per file split / row group. With ``spread``, a
-    table that arrives as fewer splits than the cluster has cores (e.g. one
-    large row group) is spread round-robin over ``defaultParallelism``
-    partitions, so the per-row work after the scan — parsing, or a partial
-    aggregate of wide rows — does not run on a handful of tasks. A reader
-    whose next step is a cheap aggregate of a few narrow columns passes
-    ``spread=False``: there the partial aggregate in the scan task shrinks the
-    rows before any shuffle. On a real 100 TB layout (thousands of splits)
-    the spread never triggers. Column pruning and filters still reach the
-    scan below the repartition."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    try:
-        schema, splits = _scan_meta(spark, path)
-    except Exception:  # noqa: BLE001  (no RDD access, e.g. Spark Connect)
-        return spark.read.parquet(path)
-    df = spark.read.schema(schema).parquet(path)
-    if spread and splits < spark.sparkContext.defaultParallelism:
-        return df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet table ``<sf_dir>/<name>.parquet``, as Spark splits it."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

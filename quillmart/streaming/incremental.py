@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.sources.files import drop_sensitive, sanitize_columns
+from quillmart.sources.files import drop_sensitive, normalise_index_column, sanitize_columns
 
 
 def ingest_once(spark: SparkSession, source_dir: str, glob: str, target: str, checkpoint: str,
@@ -24,7 +24,7 @@ def ingest_once(spark: SparkSession, source_dir: str, glob: str, target: str, ch
     stream = (spark.readStream.format("parquet").schema(schema)
               .option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files_per_trigger)
               .load(source_dir))
-    raw = drop_sensitive(sanitize_columns(stream))
+    raw = drop_sensitive(sanitize_columns(normalise_index_column(stream)))
     raw = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns],
                      F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("ingested_at"),
                      F.col("_metadata.file_name").alias("source_file"))

@@ -40,10 +40,37 @@ def test_latest_wins_idempotent_and_order_free(spark):
     assert rows(once) == rows(D.latest_wins(shuffled, ["k"], ["a", "b"], "ts"))
 
 
-def test_latest_wins_one_exchange(spark):
+def test_latest_wins_never_sorts_raw_rows(spark):
     df = spark.createDataFrame([("a", "x", 1, T1)], SCHEMA)
     plan = D.latest_wins(df, ["k"], ["a", "b"], "ts")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+    assert "SortAggregate" not in plan and "Window" not in plan
+    scan = [line for line in plan.split("\n") if "Scan" in line]
+    below = plan.split("\n")
+    for i, line in enumerate(below):  # whatever reads the raw rows aggregates them by hash first
+        if "Scan" in line:
+            above = [x for x in below[:i] if "Aggregate" in x or "Sort " in x]
+            assert "HashAggregate" in above[-1]
+    assert scan
+
+
+def test_stamps_ignore_the_session_zone(spark):
+    from quillmart.functions import text as T
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    gap = [("k", "old", 1, dt.datetime(2024, 3, 10, 2, 30)), ("k", "new", 2, dt.datetime(2024, 3, 10, 3, 30))]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(k, a, b, t.isoformat(" ")) for k, a, b, t in gap], "k string, a string, b int, t string")
+        df = df.withColumn("ts", T.parse_timestamp("t"))
+        assert sorted(r.ts.isoformat(" ") for r in df.collect()) == ["2024-03-10 02:30:00", "2024-03-10 03:30:00"]
+        assert rows(D.latest_wins(df, ["k"], ["a", "b"], "ts")) == [("k", "new", 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_ranked_stamps(spark):
+    data = [("a", "x", 1, T1), ("a", "x", 1, T2), ("a", "y", 1, T2), ("b", "x", 1, None)]
+    got = rows(D.ranked_stamps(spark.createDataFrame(data, SCHEMA), ["k"], "ts"))
+    assert [(k, n, r) for k, _, n, r in got if k == "a"] == [("a", 1, 2), ("a", 2, 1)]
 
 
 def test_exact_rows_policies(spark):

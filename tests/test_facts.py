@@ -65,8 +65,21 @@ def test_composite_user_key_needs_id_and_name(spark):
     du = spark.createDataFrame([("U1", "Ann", 1, True), ("U2", "Bo", 3, True)],
                                "user_id string, name string, user_sk long, is_current boolean")
     o = orders(spark).join(spark.createDataFrame(
-        [("O1", "Ann"), ("O2", "Cy"), ("O3", None)], "order_id string, name string"), "order_id")
+        [("O1", "Ann", "Sam"), ("O2", "Cy", "Sam"), ("O3", None, "Tom")],
+        "order_id string, user_name string, staff_name string"), "order_id")
     d = star(spark)
-    got = {r.order_id: r.user_sk for r in S.fact_orders(
-        o, du, d["dim_merchant"], d["dim_staff"], d["dim_campaign"], user_keys=("user_id", "name")).collect()}
-    assert got == {"O1": 1, "O2": 0, "O3": 0}
+    ds = spark.createDataFrame([("S1", "Sam", 4, True)], "staff_id string, name string, staff_sk long, is_current boolean")
+    got = {r.order_id: (r.user_sk, r.staff_sk) for r in S.fact_orders(
+        o, du, d["dim_merchant"], ds, d["dim_campaign"], user_name="user_name", staff_name="staff_name").collect()}
+    assert got == {"O1": (1, 4), "O2": (0, 4), "O3": (0, 0)}
+
+
+def test_a_fact_with_key_0_finds_its_dimension_row(spark):
+    from quillmart.operators import scd
+    spec = scd.ScdSpec("dim_user", "user_sk", ("user_id",), ("name",), ("user_id",))
+    snap = spark.createDataFrame([("U1", "Ann"), (None, "nobody")], "user_id string, name string")
+    dim = scd.with_unknown_member(scd.scd2_initial(scd.without_null_keys(snap, spec), spec, "2024-01-01"), spec)
+    assert scd.null_key_rows(snap, spec).count() == 1
+    facts = spark.createDataFrame([("O1", 1), ("O2", 0)], "order_id string, user_sk long")
+    got = {r.order_id: r.name for r in facts.join(dim, "user_sk").collect()}
+    assert got == {"O1": "Ann", "O2": None}

@@ -1,58 +1,46 @@
 """Distributed dense numbering equals the window definition."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillmart.operators import keys
 
 
-def test_dense_number_matches_window(spark, monkeypatch):
-    monkeypatch.setattr(keys, "SMALL_INPUT_BYTES", -1)  # force the distributed path
-    df = spark.range(0, 3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 11 == 0, F.lit(None))
-        .otherwise(F.col("id") % 50).alias("g"), (F.col("id") * 7919 % 3001).alias("o"))
+def same(a, b):
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["mixed", "hot", "calm", "empty"])
+def test_dense_number_matches_window(spark, kind):
+    ids = spark.range(0, 0 if kind == "empty" else 1100)
+    group = {"mixed": F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id") % 50),
+             # one group holds 1000 rows, others 10 each
+             "hot": F.when(F.col("id") < 1000, F.lit(0)).otherwise(1 + F.col("id") % 10),
+             "calm": F.col("id") % 110, "empty": F.col("id")}[kind]
+    df = ids.select(group.alias("g"), (F.col("id") * 7919 % 1103).alias("o"))
     got = keys.dense_number(df, ["o"], "n", group=["g"])
-    want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("long"))
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    same(got, df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("long")))
+
+
+def test_hot_group_spreads_over_partitions(spark):
+    df = spark.range(0, 20000).select(F.lit(1).alias("g"), "id")
+    got = keys.dense_number(df, ["id"], "n", group=["g"], num_partitions=6)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_pid" in plan
+    assert [r.n for r in got.orderBy("id").limit(5).collect()] == [1, 2, 3, 4, 5] and got.agg(F.max("n")).first()[0] == 20000
 
 
-def test_surrogate_keys_offset(spark, monkeypatch):
-    monkeypatch.setattr(keys, "SMALL_INPUT_BYTES", -1)
+def test_surrogate_keys_offset(spark):
     df = spark.range(0, 500).select((F.col("id") * 13 % 500).alias("k"))
     got = keys.surrogate_keys(df, ["k"], "sk", offset=100).collect()
     assert sorted((r.k, r.sk) for r in got) == [(k, k + 101) for k in range(500)]
 
 
-def test_small_path_same_result(spark):
-    df = spark.range(0, 100).select((F.col("id") % 7).alias("g"), (F.col("id") * 3 % 100).alias("o"))
-    a = keys.dense_number(df, ["o"], "n", group=["g"])
-    want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("long"))
-    assert a.exceptAll(want).count() == 0
-
+def test_checkpoint_folder_must_be_shared():
+    from types import SimpleNamespace
 
-def test_measured_small_join_input_uses_window(spark):
-    # a join's estimate multiplies its inputs (never proven small), but the
-    # measured rows fit the budget: numbered by the plain window, same result
-    a = spark.range(0, 200).select((F.col("id") % 20).alias("g"), F.col("id").alias("o"))
-    b = spark.range(0, 20).select(F.col("id").alias("g"), (F.col("id") * 2).alias("w"))
-    df = a.join(b, "g")
-    got = keys.dense_number(df, ["o"], "n", group=["g"])
-    plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert "_pid" not in plan  # no range-split tags: the window path
-    want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("long"))
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-
-
-def test_hot_group_takes_the_range_split_path(spark, monkeypatch):
-    monkeypatch.setattr(keys, "SMALL_INPUT_BYTES", 5000)
-    ids = spark.range(0, 1100)
-    # one group holds 1000 rows (a third of all rows and more), others 10 each
-    hot = ids.select(F.when(F.col("id") < 1000, F.lit(0)).otherwise(1 + F.col("id") % 10).alias("g"),
-                     (F.col("id") * 7919 % 1103).alias("o"))
-    calm = ids.select((F.col("id") % 110).alias("g"), (F.col("id") * 7919 % 1103).alias("o"))
-    for df, split in [(hot, True), (calm, False)]:
-        got = keys.dense_number(df, ["o"], "n", group=["g"])
-        plan = got._jdf.queryExecution().optimizedPlan().toString()
-        assert ("_pid" in plan) == split
-        want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("long"))
-        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    from quillmart.session import ensure_checkpoint_dir
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(fake)

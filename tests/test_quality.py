@@ -30,3 +30,32 @@ def test_duplicates(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), (None, 3), (None, 3)], "k string, v int")
     assert Q.duplicate_keys(df, "t", ["k"]).collect()[0].observed == 1.0
     assert Q.surplus_duplicates(df, "t").collect()[0].observed == 2.0
+    assert Q.surplus_duplicates(df.withColumn("v", df.v * 0), "t", ["k"]).collect()[0].observed == 2.0
+
+
+def test_reports_that_can_fail(spark):
+    from quillmart.plans import quality_suite as suite
+    good, short = spark.range(5), spark.range(4)
+    got = {r.table_name: r.matched for r in suite.reconcile({"a": good, "b": good, "c": good}, {"a": good, "b": short}).collect()}
+    assert got == {"a": True, "b": False, "c": False}
+    one = spark.createDataFrame([(1, 2, 3)], "location_sk long, user_sk long, user_id long")
+    tables = {t: one for t in ("dim_location", "dim_user", "dim_merchant", "dim_staff", "dim_issuing_bank", "dim_campaign", "dim_product")}
+    for t, c in {"dim_merchant": "merchant_sk", "dim_staff": "staff_sk", "dim_campaign": "campaign_sk", "dim_product": "product_sk"}.items():
+        tables[t] = one.selectExpr("*", f"1L AS {c}")
+    tables["dim_date"] = spark.createDataFrame([(20240101,)], "date_sk int")
+    tables["fact_orders"] = spark.createDataFrame([("o", 2, 1, 1, 1, 20240101), ("p", 9, 1, 1, 0, None)],
+                                                  "order_id string, user_sk long, merchant_sk long, staff_sk long, campaign_sk long, date_sk int")
+    tables["fact_line_items"] = spark.createDataFrame([("o", 1, 1, 2, 20240101), ("gone", 1, 1, 2, 20250101)],
+                                                      "order_sk string, product_sk long, merchant_sk long, user_sk long, date_sk int")
+    rep = {(r.table_name, r.check_name, r.column_name): r.observed for r in suite.foreign_keys(tables).collect()}
+    bad = {k for k, v in rep.items() if k[1] == "orphans" and v}
+    assert bad == {("fact_orders", "orphans", "user_sk"), ("fact_orders", "orphans", "campaign_sk"),
+                   ("fact_line_items", "orphans", "order_sk"), ("fact_line_items", "orphans", "date_sk")}
+    assert rep["fact_orders", "zero_refs", "campaign_sk"] == 1 and len([k for k in rep if k[1] == "orphans"]) == 14
+    df = spark.createDataFrame([("x", "y"), (None, "z")], "id string, n string")
+    got = {r.column_name: (r.rows, r.missing, r.other_type) for r in Q.contract_rows(
+        df, "t", [("id", "string", 9), ("n", "int", None), ("absent", "int", None)]).collect()}
+    assert got == {"id": (2, 1, 0), "n": (2, 0, 2), "absent": (2, None, None)}
+    other = Q.run_checks(spark.createDataFrame([("United States",), (None,), ("Canada",)], "country string"), "t",
+                         [Check("other_value", "country", 0, value="United States")])
+    assert other.collect()[0].observed == 1.0

@@ -54,9 +54,39 @@ def test_at_most_one_current_and_as_of(spark):
 
 
 def test_one_version_per_key(spark):
-    s = snap(spark, [(1, "a", None), (1, "a", "z"), (2, None, "q")])
-    got = sorted(map(tuple, scd.one_version_per_key(s, ["k"], ["a", "b"]).collect()))
-    assert got == [(1, "a", "z"), (2, None, "q")]
+    s = spark.createDataFrame([(1, "z", None, 1), (1, "a", "z", 2), (2, None, "q", 1), (3, "x", None, 5), (3, "x", "y", 5)],
+                              "k int, a string, b string, t int")
+    got = sorted(map(tuple, scd.one_version_per_key(s, SPEC, ["t"]).collect()))
+    assert got == [(1, "a", "z"), (2, None, "q"), (3, "x", "y")]  # the newest; a tie goes to the greatest tuple
+    assert [tuple(r) for r in scd.stamp_ties(s, SPEC, ["t"]).collect()] == [(3, 2)]
+
+
+def test_many_dimensions_numbered_together(spark):
+    other = scd.ScdSpec("dim_u", "u_sk", ("id",), ("k",))
+    v = snap(spark, [(i, "a", None) for i in range(30)])
+    u = spark.createDataFrame([("u%02d" % i, i) for i in range(20)], "id string, k int")
+    got = scd.scd2_initial_many({"t": v, "u": u}, {"t": SPEC, "u": other}, "2024-01-01")
+    for d, s, spec in ((got["t"], v, SPEC), (got["u"], u, other)):
+        assert sorted(map(tuple, d.collect())) == sorted(map(tuple, scd.scd2_initial(s, spec, "2024-01-01").collect()))
+
+
+def test_staff_and_movers_get_their_versions(spark):
+    from quillmart.plans import pipeline as P
+    dim = P.reloaded_dimension(spark, "/root/testdata/sf0.01", "dim_staff").collect()
+    changed = {r.staff_id for r in dim if r.valid_from == dt.date(2024, 2, 2)}
+    assert {f"S{i}" for i in range(0, 100, 10)} <= changed  # every tenth staff member changes level
+    assert [r for r in dim if r.staff_sk == 0] and all(r.staff_id for r in dim if r.staff_sk)
+    # A new address alone makes a new version.
+    from quillmart.plans.star import ADDRESS, with_location_sk
+    loc_spec, spec = P.SCD_SPECS["dim_location"], scd.ScdSpec("d", "sk", ("id",), ("location_sk",), ("id",))
+    places = spark.createDataFrame([("1 A St", "X", None, "US"), ("2 B St", "Y", "CA", "US")], ", ".join(f"{c} string" for c in ADDRESS))
+    loc = scd.with_unknown_member(scd.scd2_initial(places, loc_spec, "2024-01-01"), loc_spec)
+    home = spark.createDataFrame([("u", "1 A St", "X", None, "US"), ("v", "9 Z St", "X", None, "US")], "id string, " + ", ".join(f"{c} string" for c in ADDRESS))
+    moved = home.selectExpr("id", "'2 B St' AS street", "'Y' AS city", "'CA' AS state", "country")
+    first = scd.scd2_initial(with_location_sk(home, loc), spec, "2024-01-01")
+    second = scd.scd2_merge(first, with_location_sk(moved, loc), spec, "2024-02-01").collect()
+    assert sorted((r.id, r.location_sk, r.is_current) for r in second) == [
+        ("u", 1, False), ("u", 2, True), ("v", 0, False), ("v", 2, True)]
 
 
 def test_null_part_of_natural_key_matches(spark):
@@ -83,7 +113,8 @@ def test_pipeline_reload_properties(spark):
         assert stats.n == stats.sks
         assert dim.where("is_current").groupBy(*spec.key).count().where("count > 1").count() == 0
         # applying the same snapshot again changes nothing
-        snap = P.unique_snapshot(P.snapshots(spark, SF0001)[name], spec)
+        places = P.reloaded_dimension(spark, SF0001, "dim_location")
+        snap = P.unique_snapshot(name, P.snapshots(spark, SF0001)[name], places)
         again = scd.scd2_merge(dim, snap, spec, "2024-03-03")
         assert again.exceptAll(dim).union(dim.exceptAll(again)).count() == 0
         dim.unpersist()

@@ -57,12 +57,43 @@ def test_audit_upsert_keeps_greatest(spark):
     assert got == [("raw", "t1", 7), ("raw", "t2", 9), ("raw", "t3", 1)]
 
 
-def test_read_table_reuses_metadata_and_spreads_single_split(spark):
-    from quillmart.sources import tables
-
-    a = tables.read_table(spark, "/root/testdata/sf0.001", "nation")
-    b = tables.read_table(spark, "/root/testdata/sf0.001", "nation", spread=False)
-    assert a.schema == b.schema and a.count() == b.count() == 25
-    # a one-row-group file is spread over the cores only when asked
-    assert b.rdd.getNumPartitions() == 1
-    assert a.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_html_pages_with_line_breaks_and_their_own_headers(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    pages = ["<html><body>\n<table border=1>\n<tr>\n<th>id</th><th>v</th></tr>\n<tr><td>1</td>\n<td> a&amp;b\n</td></tr></table></body>\n</html>",
+             "<HTML><TABLE><TR><TH>v</TH><TH>w</TH></TR><TR><TD></TD><TD>9</TD></TR></TABLE></html>", "<html>no table</html>"]
+    with open(f"{d}/p.html", "w") as f:
+        f.write("\n".join(pages).replace("</HTML>", "</html>"))
+    got = files.read_source(spark, f"{d}/p.html").select("id", "v", "w").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("1", "a&b", None), (None, None, "9")], key=str)
+
+
+def test_json_forms(spark):
+    assert formats.json_form('{"a": {"0": 1}}') == "columns" and formats.json_form(' {"a": {}}') == "columns"
+    assert formats.json_form('{"a": 1}') == "lines" and formats.json_form("[{") == "array"
+    d = tempfile.mkdtemp(dir="/tmp")
+    for name, text in {"c": '{"a": {"0": "x", "1": null}, "b": {"0": "1", "1": "2"}}', "l": '{"a": "x", "b": 1}\n{"a": null, "b": 2}',
+                       "r": '[{"a": "x", "b": 1},\n {"a": null, "b": 2}]'}.items():
+        with open(f"{d}/{name}.json", "w") as f:
+            f.write(text)
+        got = files.read_source(spark, f"{d}/{name}.json").select("a", "b").collect()
+        assert sorted(map(tuple, got), key=str) == sorted([("x", "1"), (None, "2")], key=str)
+
+
+def test_unsupported_kind_is_an_error(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        files.read_source(spark, "/tmp/x.pkl")
+
+
+def test_overwrite_keeps_the_old_table_when_a_write_fails(spark):
+    import pytest
+    path = tempfile.mkdtemp(dir="/tmp") + "/t"
+    sinks.overwrite(spark.range(5), path)
+    broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception):
+        sinks.overwrite(broken, path)
+    assert spark.read.parquet(path).count() == 5
+    sinks.overwrite(spark.range(2), path)
+    assert spark.read.parquet(path).count() == 2
+    sinks.load_fact(spark.range(2, 4), path, "append")
+    assert spark.read.parquet(path).count() == 4
