@@ -130,9 +130,13 @@ class Memo(dict):
         super().__init__()
         self.most = most
 
-    def make_room(self, n: int) -> None:
-        if len(self) + n > self.most:
+    def missing(self, wanted: set) -> list:
+        """What of ``wanted`` is to be computed: all of it after a clearing."""
+        new = [w for w in wanted if w not in self]
+        if len(self) + len(new) > self.most:
             self.clear()
+            return list(wanted)
+        return new
 
 
 class WordCounter:
@@ -172,33 +176,39 @@ class WordCounter:
         for i, t in enumerate(texts):
             parts, extra[i] = self._parts(t)
             chunked.append(self._chunks(parts[0]) if len(parts) == 1 else [c for p in parts for c in self._chunks(p)])
-        new = set().union(*chunked) - self.chunks.keys()
-        if len(self.chunks) + len(new) > self.chunks.most:
-            self.chunks.clear()
-            new = set().union(*chunked)
+        new = self.chunks.missing(set().union(*chunked))
         if new:
-            self._add(list(new))
+            self._add(new)
         return extra + np.fromiter((sum(map(self.chunks.__getitem__, c)) for c in chunked), np.int64, len(texts))
 
     def _add(self, chunks: list[str]) -> None:
         pieces = list(map(WORD_PIECES.findall, chunks))
-        new = set().union(*pieces) - self.pieces.keys()
-        if len(self.pieces) + len(new) > self.pieces.most:
-            self.pieces.clear()
-            new = set().union(*pieces)
-        if new:
-            todo = list(new)
+        todo = self.pieces.missing(set().union(*pieces))
+        if todo:
             _, n = self.merger.merge([p.encode() for p in todo])
             self.pieces.update(zip(todo, n.tolist()))
         got = self.pieces.__getitem__
         self.chunks.update((c, sum(map(got, p))) for c, p in zip(chunks, pieces))
 
 
+def _pieces_of_chunk(chunk: str) -> list[str]:
+    """Pre-tokens of a chunk: letters, and letters with one mark behind them,
+    need no pattern; a chunk begins with its line break or stands for itself
+    behind a space."""
+    body, lead = (chunk[1:], ["\n"]) if chunk[:1] == "\n" else (chunk, [])
+    before = "" if lead else " "
+    if body.isalpha():
+        return [*lead, before + body]
+    if body[:-1].isalpha() and body[-1] in ".,!?;:":
+        return [*lead, before + body[:-1], body[-1]]
+    return BYTE_PIECES.findall(chunk if lead else " " + chunk)
+
+
 class ByteEncoder:
     """Ids of whole texts for a byte-level vocabulary, as little-endian
     unsigned 16-bit values (vocabularies up to 65,536 ids)."""
 
-    def __init__(self, path: str, memo: int = 400_000):
+    def __init__(self, path: str, memo: int = 1_000_000):
         self.merger = RankMerger(path)
         self.pieces, self.chunks = Memo(memo), Memo(memo)
         specials = self.merger.specials
@@ -223,18 +233,11 @@ class ByteEncoder:
                 jobs.append((True, t.replace("\n", " \n").split(" ")))
         words = set().union(*(j[1:] for ok, j in jobs if ok))
         first = {j[0] for ok, j in jobs if ok and j[0]}
-        new = words - self.chunks.keys()
-        if len(self.chunks) + len(new) > self.chunks.most:
-            self.chunks.clear()
-            new = words
-        cut = {w: BYTE_PIECES.findall(w if w[:1] == "\n" else " " + w) for w in new}
+        new = self.chunks.missing(words)
+        cut = {w: _pieces_of_chunk(w) for w in new}
         heads = {w: BYTE_PIECES.findall(w) for w in first}
         need = set().union(*cut.values(), *heads.values(), *(j for ok, j in jobs if not ok))
-        fresh = need - self.pieces.keys()
-        if len(self.pieces) + len(fresh) > self.pieces.most:
-            self.pieces.clear()
-            fresh = need
-        todo = [p for p in fresh if p not in self.special_id]
+        todo = [p for p in self.pieces.missing(need) if p not in self.special_id]
         if todo:
             ids, n = self.merger.merge([p.encode() for p in todo])
             raw, ends = ids.astype("<u2").tobytes(), (np.cumsum(n) * 2).tolist()

@@ -39,38 +39,34 @@ class ShardIndex:
     """BM25 inverted index of a shard's rests: for each term (token id) the
     rests that hold it, with their weights, as one array sorted by term."""
 
-    def __init__(self, rests: list[np.ndarray], query_terms: int = 48, k1: float = 1.2, b: float = 0.75):
+    def __init__(self, rests: list[np.ndarray], query_terms: int = 32, k1: float = 1.2, b: float = 0.75):
         self.n, self.query_terms = len(rests), query_terms
-        lengths = np.array([len(r) for r in rests])
+        lengths = np.fromiter(map(len, rests), np.int64, self.n)
         norm = k1 * (1 - b + b * lengths / max(lengths.mean(), 1.0))
-        terms, docs, weights, self.own = [], [], [], []
-        for i, r in enumerate(rests):
-            t = np.sort(r, kind="stable")
-            first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]]) if len(t) else np.zeros(0, np.int64)
-            tf = np.diff(np.r_[first, len(t)])
-            terms.append(t[first])
-            docs.append(np.full(len(first), i, np.int32))
-            weights.append((tf * (k1 + 1) / (tf + norm[i])).astype(np.float32))
-            self.own.append(t[first])
-        term = np.concatenate(terms) if terms else np.zeros(0, np.uint16)
+        pairs = np.sort((np.repeat(np.arange(self.n), lengths) << 16) | np.concatenate(rests).astype(np.int64))
+        first = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1])))
+        tf = np.diff(first, append=len(pairs))
+        doc, term = pairs[first] >> 16, pairs[first] & 0xFFFF
+        weight = (tf * (k1 + 1) / (tf + norm[doc])).astype(np.float32)
+        # Terms of each rest, then the postings in the order of terms.
+        self.terms, self.own_ends = term, np.cumsum(np.bincount(doc, minlength=self.n))
         order = np.argsort(term, kind="stable")
-        self.docs, self.weights = np.concatenate(docs)[order], np.concatenate(weights)[order]
-        self.ends = np.cumsum(np.bincount(term, minlength=1 << 16))
-        df = np.diff(np.r_[0, self.ends])
-        self.df = df
-        self.idf = np.log(1 + (self.n - df + 0.5) / (df + 0.5))
-
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused rests by falling BM25 score for the seed's rarest shared
-        terms, then the others in order."""
-        own = self.own[seed]
-        own = own[self.df[own] > 1]
+        self.docs, self.weights = doc[order], weight[order]
+        self.df = np.bincount(term, minlength=1 << 16)
+        self.starts = np.cumsum(self.df) - self.df
+        self.idf = np.log(1 + (self.n - self.df + 0.5) / (self.df + 0.5))
+
+    def scores(self, seed: int, unused: np.ndarray) -> np.ndarray:
+        """BM25 scores of all rests for the seed's rarest shared terms; -1 for
+        the used ones."""
+        own = self.terms[self.own_ends[seed - 1] if seed else 0:self.own_ends[seed]]
+        df = self.df[own]
+        own, df = own[df > 1], df[df > 1]
         if len(own) > self.query_terms:
-            own = own[np.argsort(self.df[own], kind="stable")[:self.query_terms]]
-        score = np.zeros(self.n)
-        for t in own.tolist():
-            at = slice(self.ends[t] - self.df[t], self.ends[t])
-            score[self.docs[at]] += self.idf[t] * self.weights[at]
+            rarest = np.argsort(df, kind="stable")[:self.query_terms]
+            own, df = own[rarest], df[rarest]
+        at = np.arange(df.sum()) + np.repeat(self.starts[own] - np.cumsum(df) + df, df)
+        score = np.bincount(self.docs[at], self.weights[at] * np.repeat(self.idf[own], df), self.n)
         score[~unused] = -1
         return score
 
@@ -91,7 +87,7 @@ def pack_shard(docs: list[tuple[int | None, np.ndarray]], size: int, end_id: int
             starts.append(full * size)
     if not rests:
         return out, sequence
-    index = ShardIndex([r.astype(np.uint16) for r in rests])
+    index = ShardIndex(rests)
     unused = np.ones(len(rests), bool)
     used_to = np.zeros(len(rests), np.int64)  # ids of each rest that are packed
     left = np.array([len(r) for r in rests])
@@ -116,7 +112,7 @@ def pack_shard(docs: list[tuple[int | None, np.ndarray]], size: int, end_id: int
         unused[seed] = False
         filled = int(left[seed])
         put(seed, filled, 0)
-        score = index.neighbours(seed, unused)
+        score = index.scores(seed, unused)
         near = 8
         while filled < size:
             near = min(near, len(score))
