@@ -34,15 +34,16 @@ def latest_wins(df: DataFrame, keys: Sequence[str], business: Sequence[str], ts:
     dropped. Rows with a NULL key or NULL stamp are dropped first. Output:
     keys + business (and the stamp with ``keep_stamp``).
 
-    Distinct (key, business, stamp) rows, then two small facts per key: its
-    newest stamp, and whether more than one distinct row carries it. The
-    distinct rows are one exchange that all three uses read."""
+    Distinct (key, business, stamp) rows first; they are one exchange that
+    both uses read: the newest stamp per key, and the rows at it, of which a
+    key must have one."""
     keys, business = list(keys), list(business)
     versions = df.where(_not_null([*keys, ts])).select(*keys, *business, ts).distinct()
     newest = versions.groupBy(*keys).agg(F.max(ts).alias("_newest"))
     top = versions.join(newest, keys).where(F.col(ts) == F.col("_newest"))
-    clashes = top.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys)
-    return top.join(clashes, keys, "left_anti").select(*keys, *business, *([ts] if keep_stamp else []))
+    rest = [*business, *([ts] if keep_stamp else [])]
+    one = top.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in rest])
+    return one.where("_n = 1").select(*keys, *rest)
 
 
 def exact_rows(df: DataFrame, business: Sequence[str], ts: str | None = None) -> DataFrame:

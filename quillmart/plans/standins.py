@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.sources.tables import read_table
+from quillmart.sources.tables import read_for_row_work, read_table
 
 STAMP1 = "2024-01-01 00:00:00"
 STAMP2 = "2024-02-01 00:00:00"
@@ -220,14 +220,14 @@ def orders_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("l_suppkey").alias("staff_key"),
         F.datediff(F.max("l_shipdate"), F.min("l_shipdate")).alias("ship_span"),
     )
-    o = read_table(spark, sf_dir, "orders")
+    o = read_for_row_work(spark, sf_dir, "orders")
     return o.join(agg, o.o_orderkey == agg.l_orderkey, "left").drop("l_orderkey")
 
 
 def _source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     if source == "orders_linked":
         return orders_linked(spark, sf_dir)
-    return read_table(spark, sf_dir, source)
+    return read_for_row_work(spark, sf_dir, source)
 
 
 def raw_table(spark: SparkSession, sf_dir: str, name: str, batches: bool = True) -> DataFrame:
