@@ -95,4 +95,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+# Words as ``common.words_of`` has them: lower case, punctuation as white space.
+_WORDS = r"""regexp_extract_all(regexp_replace(lower(text),
+    '[!-/:-@\[-`{-~\x{a1}\x{a7}\x{ab}\x{b7}\x{bb}\x{bf}\x{2010}-\x{2027}\x{2030}-\x{205e}]', ' ', 'g'), '\S+')"""
+
+
+def _shingles(table: str, key: str) -> str:
+    """Distinct runs of five words, or all words of a shorter text."""
+    return f"""(SELECT DISTINCT k, array_to_string(w[i:i + 4], ' ') AS s
+        FROM (SELECT {key} AS k, {_WORDS} AS w FROM {table} WHERE text IS NOT NULL) t,
+             unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) r(i))"""
+
+
+ORACLE: dict[str, str] = {
+    "op8_benchmark_decontamination": f"""
+WITH of_items AS {_shingles('benchmark', 'item_id')}, of_docs AS {_shingles('documents', 'doc_id')},
+sizes AS (SELECT k, count(*) AS n FROM of_items GROUP BY k),
+found AS (SELECT d.k AS doc_id, i.k AS item_id, count(*) AS n_found FROM of_docs d JOIN of_items i USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, n_found, n AS n_shingles, round(n_found / n, 6) AS containment
+FROM found JOIN sizes ON k = item_id WHERE n_found >= 0.8 * n""",
+}
