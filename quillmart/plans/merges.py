@@ -32,23 +32,28 @@ def period_of(d: F.Column) -> F.Column:
             .when(d < F.lit(b).cast("timestamp_ntz"), 2).otherwise(3))
 
 
-def order_periods(spark: SparkSession, sf: str) -> list[DataFrame]:
-    """Three period files of orders, each with its own row index
-    ``unnamed_0`` (0-based, by order key) — indexes overlap across files."""
-    o = _t(spark, sf, "orders").select(
+def _orders_with_period(spark: SparkSession, sf: str) -> DataFrame:
+    return _t(spark, sf, "orders").select(
         period_of(F.col("o_orderdate")).alias("period"),
         F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("order_id"),
         F.concat(F.lit("U"), F.col("o_custkey").cast("string")).alias("user_id"),
         F.col("o_orderdate").cast("date").alias("transaction_date"),
         F.col("o_orderkey"))
-    idx = dense_number(o, ["o_orderkey"], "unnamed_0", group=["period"], start=0)
+
+
+def order_periods(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Three period files of orders, each with its own row index
+    ``unnamed_0`` (0-based, by order key) — indexes overlap across files."""
+    idx = dense_number(_orders_with_period(spark, sf), ["o_orderkey"], "unnamed_0", group=["period"], start=0)
     cols = ["unnamed_0", "order_id", "user_id", "transaction_date"]
     return [idx.where(F.col("period") == p).select(*cols) for p in (1, 2, 3)]
 
 
 def order_period_union(spark: SparkSession, sf: str) -> DataFrame:
-    """Intended assembly: the period files are rows of one table."""
-    return union_all([p.drop("unnamed_0") for p in order_periods(spark, sf)])
+    """Intended assembly: the period files are rows of one table (their row
+    indexes are not needed)."""
+    o = _orders_with_period(spark, sf)
+    return union_all([o.where(F.col("period") == p).drop("period", "o_orderkey") for p in (1, 2, 3)])
 
 
 def outer_merge_periods(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,15 +63,18 @@ def outer_merge_periods(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merchant_links(spark: SparkSession, sf: str) -> list[DataFrame]:
-    """Three order→merchant/staff link files (split by order key mod 3)."""
+    """Three order→merchant/staff link files (split by order key mod 3). The
+    split looks at an aggregate's value, not at the grouping key, so it stays
+    above the aggregate and all three files come from one scan."""
     li = _t(spark, sf, "lineitem")
-    link = li.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("m"), F.max("l_suppkey").alias("s"))
+    link = li.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("m"), F.max("l_suppkey").alias("s"),
+                                        F.max("l_orderkey").alias("file_key"))
     link = link.select(
-        F.col("l_orderkey"),
+        "file_key",
         F.concat(F.lit("O"), F.col("l_orderkey").cast("string")).alias("order_id"),
         F.concat(F.lit("M"), F.col("m").cast("string")).alias("merchant_id"),
         F.concat(F.lit("S"), F.col("s").cast("string")).alias("staff_id"))
-    return [link.where(F.col("l_orderkey") % 3 == i).drop("l_orderkey") for i in range(3)]
+    return [link.where(F.col("file_key") % 3 == i).drop("file_key") for i in range(3)]
 
 
 def _orders_base(spark: SparkSession, sf: str) -> DataFrame:
