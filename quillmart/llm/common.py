@@ -100,6 +100,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def smallest_hashes(rows: DataFrame, n: int, total: int, *order: str) -> DataFrame:
+    """The ``n`` rows with the smallest hashes of the first ``order`` column,
+    ties by the others: a sample that stays the same whatever the layout. Of
+    ``total`` rows those far above the expected cut are dropped first, so a
+    task hands on a few rows, however many tasks there are."""
+    h = F.xxhash64(order[0])
+    share = min(1.0, (4 * n + 100) / max(total, 1))
+    if share < 1:
+        rows = rows.where(h < F.lit(int(-2 ** 63 + share * 2 ** 64)))
+    return rows.orderBy(h, *order).limit(n)
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     """Two hashes (128 bits) of a document row's id and text, ``k1`` and
     ``k2``. Documents are found again by them, null ids included; repeated

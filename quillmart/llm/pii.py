@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmart.llm.boosting import Boosted, fit_boosted
-from quillmart.llm.common import map_batches, ship, text_rows
+from quillmart.llm.common import map_batches, ship, smallest_hashes, text_rows
 
 KINDS = ("email", "ip", "card", "phone")
 _ORDER = {k: i for i, k in enumerate(KINDS)}
@@ -234,8 +234,8 @@ def fit(docs: DataFrame, contexts: int = 400, examples: int = 8000, precision: f
     threshold is the lowest at which the selected share of right spans reaches
     ``precision`` (none: no spans of that kind are added)."""
     cut = F.substring("text", 200, 400)
-    rows = (text_rows(docs, id_col, text_col).where("length(text) > 100").select("doc_id", cut.alias("cut"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "cut").limit(contexts).collect())
+    rows = text_rows(docs, id_col, text_col).where("length(text) > 100").select("doc_id", cut.alias("cut"))
+    rows = smallest_hashes(rows, contexts, docs.count(), "doc_id", "cut").collect()
     x, y, kinds = training_rows([r["cut"] for r in rows], examples)
     grow = np.arange(len(y)) % 4 != 3
     trees = fit_boosted(x[grow], y[grow], rounds=60)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmart.llm.boosting import Boosted, Isotonic, fit_boosted, fit_isotonic
-from quillmart.llm.common import map_batches, text_rows, words_of
+from quillmart.llm.common import map_batches, smallest_hashes, text_rows, words_of
 
 # Common insults and abuse, and words for a second person.
 SEED_LEXICON = frozenset("""
@@ -152,9 +152,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, lexicon_words:
     """Learn from at most ``sample`` labelled rows outside the held-out fold,
     those of the smallest hashes of their ids."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
-    chosen = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(fold != 2)
-              .select(F.col("doc_id").cast("long"), F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample))
+    labelled = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(fold != 2)
+                .select(F.col("doc_id").cast("long"), F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")))
+    chosen = smallest_hashes(labelled, sample, labels.count(), "doc_id", "toxic")
     rows = text_rows(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(10))
     rows = rows.withColumn("part", part)
