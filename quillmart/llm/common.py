@@ -3,10 +3,12 @@ and stable row keys."""
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import shutil
 import tempfile
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -100,6 +102,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def drop_cut(*frames: DataFrame) -> None:
+    """Remove the checkpoint files of cuts that nothing will read again (what
+    was made from them is itself cut)."""
+    for df in frames:
+        path = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if path.isDefined():
+            sc = df.sparkSession.sparkContext
+            folder = sc._jvm.org.apache.hadoop.fs.Path(path.get())
+            folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def smallest_hashes(rows: DataFrame, n: int, total: int, *order: str) -> DataFrame:
     """The ``n`` rows with the smallest hashes of the first ``order`` column,
     ties by the others: a sample that stays the same whatever the layout. Of
@@ -112,6 +125,17 @@ def smallest_hashes(rows: DataFrame, n: int, total: int, *order: str) -> DataFra
     return rows.orderBy(h, *order).limit(n)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of plans that were cut and
+    are no longer held: it follows the driver's garbage collection, which on
+    its own may come long after they are useless. Python's side lets go of its
+    objects in the background, hence a second round."""
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.5)
+        spark.sparkContext._jvm.System.gc()
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     """Two hashes (128 bits) of a document row's id and text, ``k1`` and
     ``k2``. Documents are found again by them, null ids included; repeated

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmart.llm.common import cut, map_batches, row_key, text_rows
+from quillmart.llm.common import cut, drop_cut, map_batches, release, row_key, text_rows
 
 LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
@@ -112,11 +112,11 @@ def _columns(names: str, rows: list[tuple]) -> dict:
     return dict(zip(fields, zip(*rows))) if rows else {f: [] for f in fields}
 
 
-def repeated_spans(docs: DataFrame, depth: int = 200, digit: int = 100, id_col: str = "doc_id",
+def repeated_spans(docs: DataFrame, depth: int = 200, digit: int = 120, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """``d, k1`` (id and row key) and ``spans`` (first byte, byte after the
     last) of the repeated windows of each document that has any."""
-    rows = text_rows(docs, id_col, text_col)
+    spark, rows = docs.sparkSession, text_rows(docs, id_col, text_col)
     keyed = rows.select(F.coalesce("doc_id", F.lit(LAST)).alias("d"), row_key()[0], "text")
 
     def digits():
@@ -140,6 +140,7 @@ def repeated_spans(docs: DataFrame, depth: int = 200, digit: int = 100, id_col:
     shared = map_batches(keyed, digits, "d1 long").groupBy("d1").agg(F.count("*").alias("c")).where("c > 1").select("d1")
     # Pass 2: their runs, by content.
     runs = cut(map_batches(keyed, all_runs, RUNS).join(shared, "d1"))
+    release(spark)
     one = F.min(F.struct("d", "k1", "lo", "n")).alias("one")
     contents = cut(runs.groupBy("d1", "ch").agg(F.count("*").alias("c"), one))
     whole = runs.join(contents.where("c > 1").select("d1", "ch"), ["d1", "ch"], "left_semi")
@@ -150,6 +151,9 @@ def repeated_spans(docs: DataFrame, depth: int = 200, digit: int = 100, id_col:
     ends = contents.join(several, "d1", "left_semi").select(
         "d1", (F.col("c") == 1).alias("single"), "one.d", "one.k1", "one.lo", "one.n")
     by_doc = cut(ends.groupBy("d", "k1").agg(F.collect_list(F.struct("d1", "single", "lo", "n")).alias("runs")))
+    drop_cut(runs, contents)
+    del runs, contents, several, ends
+    release(spark)
 
     def every_window():
         def run(c: dict) -> dict:
@@ -171,6 +175,9 @@ def repeated_spans(docs: DataFrame, depth: int = 200, digit: int = 100, id_col:
     hits = windows.where("single").join(twice, ["d1", "h"], "left_semi")
     parts = cut(hits.select("d", "k1", F.col("lo").cast("long").alias("a"), (F.col("lo") + depth).cast("long").alias("b"))
                 .groupBy("d", "k1").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans")))
+    drop_cut(by_doc)
+    del windows, twice, hits, by_doc
+    release(spark)
     return whole.unionByName(parts).groupBy("d", "k1").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
@@ -185,7 +192,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, depth: int = 200, digit: int = 100, id_col: str = "doc_id",
+def remove_repeats(docs: DataFrame, depth: int = 200, digit: int = 120, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """One row per document (RESULT): bytes, removed bytes and maximal removed
     runs, their places, and the digest of the remaining bytes."""
