@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from quillmart.llm import packing
 from quillmart.llm.bpe import ByteEncoder, RankMerger, WordCounter
 from quillmart.llm.packing import pack, pack_shard
 from quillmart.llm.token_counts import count_tokens
@@ -113,3 +114,29 @@ def test_neighbours_share_words():
     for r in rows:
         by_sequence[r[5]].add(r[0] % 2)
     assert sum(len(s) == 1 for s in by_sequence.values()) >= len(by_sequence) - 2
+
+
+def test_neighbours_come_from_all_partitions(spark):
+    rng = random.Random(3)
+    topics = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(6)] for _ in range(24)]
+    # Partition p holds the p-th document of every topic, so no two of one topic lie together.
+    rows = [(p * 100 + i, " " + " ".join(rng.sample(w, 6) * 4)) for p in range(4) for i, w in enumerate(topics)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "doc_id long, text string")
+    of = defaultdict(list)
+    for r in pack(docs, BYTE, size=512, shard_docs=32).collect():
+        of[r["sequence_id"]].append(r)
+    topic_of = [{r["doc_id"] % 100 for r in s} for s in of.values()]
+    pieces = sum(len(s) for s in of.values())
+    assert sum(map(len, topic_of)) < 0.75 * pieces
+
+
+def test_statistics_cover_all_documents(spark, docs, rows):
+    encoder, size = ByteEncoder(BYTE), 256
+    ids = [np.append(i, 1).astype("<u2") for i in encoder.encode([t or "" for _, t in rows])]
+    rests = [r for r in (i[len(i) // size * size:] for i in ids) if len(r)]
+    df = np.zeros(1 << 16, int)
+    for r in rests:
+        df[list(set(r.tolist()))] += 1
+    encoded = spark.createDataFrame([(i.tobytes(),) for i in ids], "ids binary").repartition(5)
+    got = packing.corpus_of(encoded, size)
+    assert got.n == len(rests) and (got.df == df).all() and abs(got.mean - np.mean([len(r) for r in rests])) < 1e-9
