@@ -140,3 +140,28 @@ def test_statistics_cover_all_documents(spark, docs, rows):
     encoded = spark.createDataFrame([(i.tobytes(),) for i in ids], "ids binary").repartition(5)
     got = packing.corpus_of(encoded, size)
     assert got.n == len(rests) and (got.df == df).all() and abs(got.mean - np.mean([len(r) for r in rests])) < 1e-9
+
+
+def test_scores_are_bm25_over_all_terms():
+    rng = np.random.default_rng(4)
+    rests = [np.minimum(rng.zipf(1.3, 400), 3000).astype("<u4") for _ in range(60)]
+    index, df = packing.ShardIndex(rests), defaultdict(int)
+    for r in rests:
+        for w in set(r.tolist()):
+            df[w] += 1
+    mean = np.mean([len(r) for r in rests])
+    for seed in (0, 7, 59):
+        expected = []
+        for r in rests:
+            total = 0.0
+            for w in set(rests[seed].tolist()) & set(r.tolist()):
+                tf = (r == w).sum()
+                # A term of the seed alone scores nothing for another rest.
+                if df[w] > 1:
+                    total += np.log(1 + (60 - df[w] + 0.5) / (df[w] + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(r) / mean))
+            expected.append(total)
+        unused = np.ones(60, bool)
+        unused[seed] = False
+        got = index.scores(seed, unused)
+        assert len(set(rests[seed].tolist())) > 32 and got[seed] == -1
+        assert np.allclose(np.delete(got, seed), np.delete(expected, seed), rtol=1e-4)
