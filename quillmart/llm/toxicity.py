@@ -82,8 +82,10 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     person = [i for i, w in enumerate(words) if w in SECOND_PERSON] if learned else []
     near = 0
     if person:
-        gaps = np.abs(np.array(learned)[:, None] - np.array(person)[None, :1000])
-        near = int((gaps.min(1) <= 5).sum())
+        at, place = np.array(learned), np.array(person)
+        after = np.searchsorted(place, at)
+        gaps = np.minimum(np.abs(at - place[np.maximum(after - 1, 0)]), np.abs(at - place[np.minimum(after, len(place) - 1)]))
+        near = int((gaps <= 5).sum())
     weights = [lexicon.weight(words[i]) for i in learned]
     raw = text.encode()
 

@@ -123,6 +123,12 @@ def test_toxic_features():
 
 
 # ----------------------------------------------------------------- quality
+def test_second_person_counts_over_the_whole_text():
+    lexicon = toxicity.Lexicon([(0, "zonk", 3.0)])
+    text = "you " * 1500 + "calm " * 50 + "zonk you " + "calm " * 50 + "zonk " + "calm " * 50 + "you calm zonk"
+    assert toxicity.features(text, lexicon)[7] == 2
+
+
 def brute_statistics(t):
     w = re.findall(r"[^\x20\x09-\x0D]+", t)
     seen, dups = set(), 0
