@@ -1,8 +1,10 @@
 """Substring dedup by sliding sentence spans (operator 7).
 
-Every run of consecutive sentences is hashed: from each sentence on, the
-shortest run of at least ``sentences`` sentences and ``least_words`` words.
-The hashes are joined globally, and a sentence goes if any run that is not the
+For runs of consecutive sentences, at least ``sentences`` sentences and
+``least_words`` words long, two are hashed per sentence: the shortest that
+starts with it and the shortest that ends with it. Each sentence of a longer
+run lies in one of these inside that run, so a sentence is found as if every
+run were hashed. The hashes are joined globally, and a sentence goes if any run that is not the
 first of its hash covers it. First: the smallest document id, then the row
 key, then the place; so a passage stays in one document. Runs are counted
 before they are joined, and the join on a hash with very many runs is a plain
@@ -57,8 +59,9 @@ def sentences_of(text: str) -> list[tuple[int, int, str, int]]:
 
 
 def runs_of(found: list[tuple[int, int, str, int]], sentences: int, least_words: int) -> list[tuple[int, int, int, int]]:
-    """(hash high, hash low, first sentence, sentence after the last)."""
-    out, n = [], len(found)
+    """(hash high, hash low, first sentence, sentence after the last) of the
+    shortest runs from each sentence on and up to each sentence."""
+    spans, n = set(), len(found)
     j = words = 0
     for i in range(n):
         while j < n and (j - i < sentences or words < least_words):
@@ -66,9 +69,20 @@ def runs_of(found: list[tuple[int, int, str, int]], sentences: int, least_words:
             j += 1
         if j - i < sentences or words < least_words:
             break
+        spans.add((i, j))
+        words -= found[i][3]
+    i = words = 0
+    for j in range(1, n + 1):
+        words += found[j - 1][3]
+        while j - i > sentences and words - found[i][3] >= least_words:
+            words -= found[i][3]
+            i += 1
+        if j - i >= sentences and words >= least_words:
+            spans.add((i, j))
+    out = []
+    for i, j in sorted(spans):
         h = xxhash.xxh3_128_digest("\n".join(s[2] for s in found[i:j]).encode())
         out.append((int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True), i, j))
-        words -= found[i][3]
     return out
 
 

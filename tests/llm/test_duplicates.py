@@ -138,6 +138,35 @@ def test_sentence_spans_against_brute_force(docs, rows, empty):
     assert sentence_spans.remove_repeats(empty).count() == 0
 
 
+def test_sentence_spans_against_all_runs(spark, small):
+    words = lambda n, tag: " ".join(f"{tag}{i}" for i in range(n))
+    shared = f"{words(10, 'a')}. {words(10, 'b')}. {words(3, 'c')}."
+    rows = [*small, (20_001, f"{words(9, 'x')}. {shared} {words(12, 'y')}."), (20_002, f"{words(8, 'v')}. {shared} {words(14, 'w')}.")]
+    found = [[x[2:] for x in sentence_spans.sentences_of(t or "")] for _, t in rows]
+
+    def runs(s):
+        for a in range(len(s)):
+            n = 0
+            for b in range(a, len(s)):
+                n += s[b][1]
+                if b - a >= 1 and n >= 20:
+                    yield a, b + 1, tuple(w for w, _ in s[a:b + 1])
+
+    first = {}
+    for (i, _), s in zip(rows, found):
+        for a, _, run in runs(s):
+            at = (1 << 63 if i is None else i, a)
+            first[run] = min(first.get(run, at), at)
+    expected = []
+    for (i, _), s in zip(rows, found):
+        gone = {k for a, b, run in runs(s) if first[run] != (1 << 63 if i is None else i, a) for k in range(a, b)}
+        expected.append((i, len(s), len(gone)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sentence_spans.remove_repeats(df).select("doc_id", "n_sentences", "n_removed").collect()
+    same(got, expected)
+    assert (20_002, 5, 3) in set(map(tuple, got))
+
+
 def brute_containment(rows, items, words=5, share=0.8):
     out = []
     for doc_id, text in rows:
