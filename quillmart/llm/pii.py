@@ -4,7 +4,8 @@ High-recall generators propose overlapping spans of a kind (email, ip, card,
 phone): the base patterns and looser forms of them. Base matches are final.
 The other proposals get format and context features; boosted trees score them
 and a threshold per kind, calibrated for precision on rows the trees have not
-seen, selects further spans that overlap no base span.
+seen, selects further spans. They overlap no other span, but one may contain
+base spans whole (the base pattern then found only a part of the value).
 
 There is no table of marked personal data, so the trees learn from a training
 set made by rule: values of each kind in many written forms, and look-alikes
@@ -23,6 +24,7 @@ import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +53,7 @@ _WORDED_AT = re.compile(r"(?<!\S)[A-Za-z0-9._%+-]+ ?(?:\(at\)|\[at\]| at ) ?[A-Z
                         r"(?: ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]+)+", re.I)
 _LOOSE_IP = re.compile(r"(?<![\w.])[0-9]{1,3}(?: ?(?:\[\.\]|[.,-]) ?[0-9]{1,3}){3}(?![\w])")
 _LOOSE_DIGITS = re.compile(r"(?<!\w)[(]?[0-9][0-9 ().\-/_]{5,}[0-9]")
+_GROUP = re.compile(r"[(]?[0-9]+")
 
 
 def luhn(digits: str) -> bool:
@@ -100,23 +103,33 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def proposals(text: str) -> list[Span]:
+def _stretches(text: str, a: int, b: int) -> Iterator[Span]:
+    """Every stretch of neighbouring digit groups in a digit run that has the
+    digits of a card or phone number; at most 19 from each group on."""
+    groups = [(m.start(), m.end(), m.end() - m.start() - (text[m.start()] == "(")) for m in _GROUP.finditer(text, a, b)]
+    for i, (start, _, _) in enumerate(groups):
+        n = 0
+        for k in range(i, len(groups)):
+            n += groups[k][2]
+            if n > 19:
+                break
+            if n >= 13:
+                yield "card", start, groups[k][1]
+            if 7 <= n <= 15:
+                yield "phone", start, groups[k][1]
+
+
+def proposals(text: str) -> Iterator[Span]:
     """Overlapping spans beyond the base patterns, of every kind they could be."""
-    out: list[Span] = []
     if "@" in text:
-        out += [("email", *m.span()) for m in _ANY_AT.finditer(text)]
+        yield from (("email", *m.span()) for m in _ANY_AT.finditer(text))
     lower = text.lower()
     if "(dot)" in lower or "[dot]" in lower or " dot " in lower:
-        out += [("email", *m.span()) for m in _WORDED_AT.finditer(text)]
+        yield from (("email", *m.span()) for m in _WORDED_AT.finditer(text))
     if _DIGIT.search(text):
-        out += [("ip", *m.span()) for m in _LOOSE_IP.finditer(text)]
+        yield from (("ip", *m.span()) for m in _LOOSE_IP.finditer(text))
         for m in _LOOSE_DIGITS.finditer(text):
-            n = len(_only_digits(m.group()))
-            if 13 <= n <= 19:
-                out.append(("card", *m.span()))
-            if 7 <= n <= 15:
-                out.append(("phone", *m.span()))
-    return out
+            yield from _stretches(text, *m.span())
 
 
 # Words that speak for a kind, or against any.
@@ -126,6 +139,19 @@ _AGAINST = ("order", "invoice", "version", "isbn", "page", "date", "no.", "nr",
 _DATE = re.compile(r"(?:19|20)\d\d[-/.](?:0?\d|1[0-2])[-/.]\d{1,2}|\d{1,2}[-/.]\d{1,2}[-/.](?:19|20)\d\d")
 
 
+_BEFORE = re.compile(r"([0-9]+)([ ().\-/_]{1,3})\Z")
+_AFTER = re.compile(r"([ ().\-/_]{1,3})([0-9]+)")
+
+
+def _beside(text: str, a: int, b: int) -> tuple[int, ...]:
+    """The digit groups that stand next to a span (up to 24 characters): their
+    lengths and those of the separators, 0 for none, and whether these are a
+    single mark that a number is written with."""
+    left, right = _BEFORE.search(text[max(0, a - 24):a]), _AFTER.match(text, b, min(len(text), b + 24))
+    return (len(left[1]) if left else 0, len(left[2]) if left else 0, bool(left) and left[2] in "-./",
+            len(right[2]) if right else 0, len(right[1]) if right else 0, bool(right) and right[1] in "-./")
+
+
 def features(text: str, span: Span) -> list[float]:
     """Format features of the span and context features of 24 characters
     before and 8 after it."""
@@ -143,6 +169,7 @@ def features(text: str, span: Span) -> list[float]:
         bool(domain), len(labels), len(labels[-1]) if domain and labels[-1].isalpha() else 0, len(name) if domain else 0, spoken,
         bool(_DATE.search(s)), before[-1:].isalnum(), after[:1].isalnum(),
         any(h in before for h in _HINTS[kind]), any(h in before for h in _AGAINST), sizes[0] >= 3 and sizes[-1] == 4,
+        *_beside(text, a, b), len({c for c in s if not c.isalnum()}), sizes[0], sizes[-1],
     ]
 
 
@@ -152,19 +179,28 @@ class PiiModel:
     thresholds: dict[str, float]
 
     def spans(self, text: str, base: list[Span] | None = None) -> list[Span]:
-        """Base spans and the proposals selected beside them."""
+        """Base spans and the proposals selected beside them. A proposal may
+        contain base spans whole; one that cuts a base span, or lies in one,
+        is left out. Proposals are scored in blocks, and only those that reach
+        their threshold are held."""
         base = base_spans(text) if base is None else base
-        taken = bytearray(len(text))
+        taken, edge = bytearray(len(text)), bytearray(len(text) + 1)
         for _, a, b in base:
             taken[a:b] = b"\1" * (b - a)
-        open_ = ordered([p for p in set(proposals(text)) if taken.find(1, p[1], p[2]) < 0])
-        if not open_:
-            return base
-        scores = self.trees.probability(np.array([features(text, p) for p in open_], float))
+        for _, a, b in base:
+            edge[a + 1:b] = b"\1" * (b - a - 1)  # places inside a base span
+        stands = lambda a, b: taken.find(1, a, b) < 0 or not (edge[a] or edge[b])
+        own = {(a, b) for _, a, b in base}
+        open_ = (p for p in proposals(text) if p[1:] not in own and stands(p[1], p[2]))
+        good: set[tuple[float, Span]] = set()
+        while block := list(islice(open_, 4096)):
+            scores = self.trees.probability(np.array([features(text, p) for p in block], float))
+            good.update((float(x), p) for x, p in zip(scores, block) if x >= self.thresholds[p[0]])
         chosen: list[Span] = []
-        for score, p in sorted(zip(scores, open_), key=lambda x: (-x[0], x[1][1], _ORDER[x[1][0]], -x[1][2])):
-            if score >= self.thresholds[p[0]] and taken.find(1, p[1], p[2]) < 0:
-                taken[p[1]:p[2]] = b"\1" * (p[2] - p[1])
+        used = bytearray(len(text))
+        for _, p in sorted(good, key=lambda x: (-x[0], x[1][1], _ORDER[x[1][0]], -x[1][2])):
+            if used.find(1, p[1], p[2]) < 0:
+                used[p[1]:p[2]] = b"\1" * (p[2] - p[1])
                 chosen.append(p)
         return ordered(base + chosen)
 
@@ -217,11 +253,26 @@ def training_rows(contexts: list[str], n: int, seed: int = 11) -> tuple[np.ndarr
         if rng.random() < 0.3:
             cue = rng.choice(_HINTS[kind] if kind else _AGAINST) + rng.choice((" ", ": "))
         left, right = around[max(0, at - 60):at] + cue, " " + around[at:at + 40]
-        text, a, b = left + value + right, len(left), len(left) + len(value)
-        for p in {*proposals(text), *base_spans(text)}:
+        values = [(kind, value)]
+        if kind in ("card", "phone") and rng.random() < 0.4:  # another of its kind beside it
+            other, again = _example(rng)
+            while other != kind:
+                other, again = _example(rng)
+            values.append((kind, again))
+            between = rng.choice((" ", ", ", " / ", " - ", ". "))
+        elif rng.random() < 0.15:  # a number that a digit run takes in
+            right = rng.choice((". ", " ", " - ", ".  ")) + str(rng.randint(1, 99)) + right
+        text, true = left, []
+        for at, (k, v) in enumerate(values):
+            text += between if at else ""
+            true.append((k, len(text), len(text) + len(v)))
+            text += v
+        a, b = true[0][1], true[-1][2]
+        text += right
+        for p in sorted({*proposals(text), *base_spans(text)}):
             if p[1] < b and a < p[2]:
                 x.append(features(text, p))
-                y.append(p[0] == kind and abs(p[1] - a) <= 2 and abs(p[2] - b) <= 2)
+                y.append(any(p[0] == k and abs(p[1] - f) <= 2 and abs(p[2] - t) <= 2 for k, f, t in true))
                 kinds.append(p[0])
     return np.array(x, float).reshape(len(y), -1), np.array(y, int), np.array(kinds)
 

@@ -49,6 +49,30 @@ def test_selected_spans(pii_model):
         m.spans(long)
 
 
+@pytest.mark.parametrize("text, values", [
+    ("555-123-4567 / 555-987-6543", ["555-123-4567", "555-987-6543"]),
+    ("212-555-0188 212-555-0199", ["212-555-0188", "212-555-0199"]),
+    ("0301/1234567 - 0301/7654321", ["0301/1234567", "0301/7654321"]),
+    ("(212) 555-0188. 24 hours", ["(212) 555-0188"]),
+])
+def test_neighbouring_numbers(pii_model, text, values):
+    proposed = set(pii.proposals(text))
+    for v in values:
+        assert ("phone", text.index(v), text.index(v) + len(v)) in proposed
+    red = pii.redacted(f"call {text}", pii_model.spans(f"call {text}"))
+    assert not any(part in red for v in values for part in re.findall("[0-9]{3,}", v))
+
+
+def test_a_longer_proposal_stands_beside_its_base_span():
+    class All:
+        def probability(self, x):
+            return np.ones(len(x))
+
+    model = pii.PiiModel(All(), dict.fromkeys(pii.KINDS, 0.5))
+    text = "to j\u00fcrgen@x.de now"
+    assert pii.base_spans(text) == [("email", 5, 14)] and pii.redacted(text, model.spans(text)) == "to [EMAIL] now"
+
+
 def test_find_and_redact(spark, docs, rows, empty, pii_model):
     got = pii.find(docs, pii_model).collect()
     same([(r["doc_id"], pii.joined([tuple(s) for s in r["base"]])) for r in got],
