@@ -113,16 +113,17 @@ def drop_cut(*frames: DataFrame) -> None:
             folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def smallest_hashes(rows: DataFrame, n: int, total: int, *order: str) -> DataFrame:
+def smallest_hashes(rows: DataFrame, n: int, *order: str) -> DataFrame:
     """The ``n`` rows with the smallest hashes of the first ``order`` column,
-    ties by the others: a sample that stays the same whatever the layout. Of
-    ``total`` rows those far above the expected cut are dropped first, so a
-    task hands on a few rows, however many tasks there are."""
+    ties by the others: a sample that stays the same whatever the layout. The
+    rows below each of a row of bounds, halving from all hashes on, are counted
+    first; those above the lowest bound with at least ``n`` rows are dropped,
+    so a task hands on a few rows, however many tasks there are."""
     h = F.xxhash64(order[0])
-    share = min(1.0, (4 * n + 100) / max(total, 1))
-    if share < 1:
-        rows = rows.where(h < F.lit(int(-2 ** 63 + share * 2 ** 64)))
-    return rows.orderBy(h, *order).limit(n)
+    bounds = [-2 ** 63 + 2 ** (64 - k) for k in range(1, 41)]
+    below = rows.agg(*[F.count_if(h < F.lit(b)) for b in bounds]).first()
+    enough = [b for b, found in zip(bounds, below) if found >= n]
+    return (rows.where(h < F.lit(enough[-1])) if enough else rows).orderBy(h, *order).limit(n)
 
 
 def release(spark: SparkSession) -> None:

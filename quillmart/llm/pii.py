@@ -286,7 +286,7 @@ def fit(docs: DataFrame, contexts: int = 400, examples: int = 8000, precision: f
     ``precision`` (none: no spans of that kind are added)."""
     cut = F.substring("text", 200, 400)
     rows = text_rows(docs, id_col, text_col).where("length(text) > 100").select("doc_id", cut.alias("cut"))
-    rows = smallest_hashes(rows, contexts, docs.count(), "doc_id", "cut").collect()
+    rows = smallest_hashes(rows, contexts, "doc_id", "cut").collect()
     x, y, kinds = training_rows([r["cut"] for r in rows], examples)
     grow = np.arange(len(y)) % 4 != 3
     trees = fit_boosted(x[grow], y[grow], rounds=60)

@@ -156,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, lexicon_words:
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
     labelled = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(fold != 2)
                 .select(F.col("doc_id").cast("long"), F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")))
-    chosen = smallest_hashes(labelled, sample, labels.count(), "doc_id", "toxic")
+    chosen = smallest_hashes(labelled, sample, "doc_id", "toxic")
     rows = text_rows(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(10))
     rows = rows.withColumn("part", part)

@@ -94,6 +94,18 @@ def test_digest():
     assert pii.digest(text, model) == (1, 1, 0, 0, hashlib.sha256(b"email:2:8,ip:9:16").hexdigest(), "email:2:8,ip:9:16")
 
 
+# ----------------------------------------------------------------- samples
+def test_samples_are_full_where_few_rows_are_labelled(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    labels = spark.range(60_000).select(F.col("id").alias("doc_id"), F.expr("if(id % 50 = 0, 1, null)").alias("quality"))
+    chosen = []
+    monkeypatch.setattr(quality, "smallest_hashes", lambda *a, f=quality.smallest_hashes: chosen.append(f(*a)) or chosen[0])
+    docs = spark.range(0).selectExpr("id AS doc_id", "'' AS text")
+    quality.fit(docs, labels, sample=400)
+    ids = [r[0] for r in labels.where("quality = 1").orderBy(F.xxhash64("doc_id")).limit(400).select("doc_id").collect()]
+    assert len(ids) == 400 and [r["doc_id"] for r in chosen[0].collect()] == ids
+
+
 # ---------------------------------------------------------------- boosting
 def test_boosting_learns_an_interaction():
     rng = np.random.default_rng(0)
