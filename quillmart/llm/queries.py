@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmart.llm import (chat, decontaminate, packing, pii, quality, repeated_windows, sentence_spans, simhash,
-                           token_counts, toxicity)
+                           structure_repair, token_counts, toxicity, whitening)
 from quillmart.llm.common import map_batches, text_rows
 
 
@@ -82,6 +82,24 @@ def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_structure_repair(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations")
+    repair = structure_repair.Repair(structure_repair.damaged(rows))
+    key = structure_repair.CONV
+    found = repair.faults.join(structure_repair.digests(repair.edits), key)
+    convs = rows.select(F.col("conv_id").isNull().alias("none"), F.coalesce(F.col("conv_id").cast("long"), F.lit(0)).alias("conv_id")).distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return convs.join(found, key, "left").select(
+        F.when(~F.col("none"), F.col("conv_id")).alias("conv_id"), *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    rows = whitening.blocks(table(spark, sf, "embeddings"))
+    model = whitening.fit(rows, 8)
+    return whitening.whitened(rows, model).withColumn("identity_error", F.lit(whitening.identity_error(rows, model)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_pii": op2_pii,
@@ -93,6 +111,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_structure_repair": op11_structure_repair,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 
 # Words as ``common.words_of`` has them: lower case, punctuation as white space.
