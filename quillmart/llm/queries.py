@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.llm import (chat, decontaminate, packing, pii, quality, repeated_windows, sentence_spans, simhash,
-                           structure_repair, token_counts, toxicity, whitening)
+from quillmart.llm import (chat, context_mixing, decontaminate, packing, pii, quality, repeated_windows,
+                           sentence_spans, simhash, structure_repair, token_counts, toxicity, whitening)
 from quillmart.llm.common import map_batches, text_rows
 
 
@@ -100,6 +100,10 @@ def op12_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return whitening.whitened(rows, model).withColumn("identity_error", F.lit(whitening.identity_error(rows, model)))
 
 
+def op13_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return context_mixing.score(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_pii": op2_pii,
@@ -113,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_structure_repair": op11_structure_repair,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_lm_scoring": op13_lm_scoring,
 }
 
 # Words as ``common.words_of`` has them: lower case, punctuation as white space.
