@@ -47,7 +47,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +57,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from quillmart.llm.common import cut, row_key, ship
+from quillmart.llm.common import cut, drop_cut, release, row_key, ship
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 END = b""  # no word is empty
@@ -70,11 +70,11 @@ PRIOR = 0.4  # of either bit
 RATE, HIT_RATE = 0.01, 0.02
 LEVELS = 16  # of confidence
 LANES = 2048  # stretches that are scored side by side
-STEPS_AT_ONCE = 128  # bits whose predictions are gathered at once
+TOGETHER = 8  # bits of a stretch that are scored with the same weights
 FINAL2, FINAL1, INNER1, PIECES = 1 << 16, 2 << 16, (2 << 16) + 256, (2 << 16) + 512
-# Weights at first (no context, near context, two symbols), by what is known:
-# nothing, near context, two symbols, both.
-FIRST = np.array([[1.0, 0.0, 0.0], [0.1, 0.95, 0.0], [0.5, 0.0, 0.6], [0.05, 0.65, 0.5]], np.float32)
+# Weights at first (no context, near context, two symbols), by the gate: whether
+# the two symbols were seen before.
+FIRST = np.array([[0.1, 0.95, 0.0], [0.05, 0.65, 0.5]], np.float32)
 
 ENCODED = ("`group` int, k1 long, k2 long, chunk int, train boolean, before array<int>, symbols binary, rare binary, "
            "n_tokens long, n_known long, n_bytes long, logs double")
@@ -131,7 +131,9 @@ def log_odds(same: np.ndarray, other: np.ndarray) -> np.ndarray:
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices of the ranges that begin at ``starts``, one after the other."""
     ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+    out = np.repeat(starts - ends + lengths, lengths)
+    out += np.arange(len(out))
+    return out
 
 
 class Alphabet:
@@ -369,56 +371,56 @@ def answer(rows: pa.Table, alphabet: Alphabet) -> Iterator[tuple]:
             yield groups[i], kind, bucket, squeeze(odds[ragged(starts[p], lengths[p])] if not kind else counts[p])
 
 
-def mixed_bits(odds: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Bits that each stretch takes: ``odds`` (bits x predictors, in steps,
-    towards the bit that came), the stretches one after the other, of
-    ``lengths`` bits. Stretches of like length go on bit by bit together; each
-    has its own weights and hit rates."""
-    order = np.argsort(-lengths, kind="stable")
+def mixed_bits(odds: list[np.ndarray], lengths: np.ndarray) -> np.ndarray:
+    """Bits that each stretch takes: ``odds`` (per predictor, in steps, towards
+    the bit that came), the stretches one after the other, of ``lengths`` bits,
+    the longest first. All go on together, ``TOGETHER`` bits at a time, after
+    which weights and hit rates, each stretch's own, follow what these bits
+    were."""
+    lanes = len(lengths)
     starts = np.cumsum(lengths) - lengths
-    out = np.empty(len(lengths))
-    for at in range(0, len(order), LANES):
-        lanes = order[at:at + LANES]
-        out[lanes] = _together(odds, starts[lanes], lengths[lanes])
-    return out
-
-
-def _together(odds: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """``mixed_bits`` of some stretches, the longest first."""
-    n_steps = int(lengths[0])
-    active = len(lengths) - np.searchsorted(lengths[::-1], np.arange(n_steps), "right")
-    weights = [np.tile(FIRST[:, i], len(lengths)) for i in range(FIRST.shape[1])]
+    # By gate and predictor: the weights of all stretches.
+    weights = [[np.full(lanes, w) for w in gate] for gate in FIRST]
     # Hit rates begin as the confidence itself has them.
-    hits = np.tile(1 / (1 + np.exp(-(np.arange(LEVELS, dtype=np.float32) + 0.5) / 2)), 4 * len(lengths))
-    lane = np.arange(len(lengths)) * 4
-    cost = np.zeros(len(lengths))
+    hits = np.tile(1 / (1 + np.exp(-(np.arange(LEVELS, dtype=np.float32) + 0.5) / 2)), 2 * lanes)
+    cells = (np.arange(lanes) * (2 * LEVELS)).astype(np.float64)
+    cost = np.zeros(lanes)
     one, half, rate, hit_rate = np.float32(1), np.float32(0.5), np.float32(RATE), np.float32(HIT_RATE)
-    for begin in range(0, n_steps, STEPS_AT_ONCE):
-        n0, end = active[begin], min(begin + STEPS_AT_ONCE, n_steps)
-        at = np.minimum(starts[:n0] + np.arange(begin, end)[:, None], len(odds) - 1)
-        # One array per predictor: (steps, stretches).
-        xs = [odds[:, i][at].astype(np.float32) / np.float32(STEPS) for i in range(odds.shape[1])]
-        rows = lane[:n0] + ((xs[1] != 0) + 2 * (xs[2] != 0))
-        chance = np.ones((end - begin, n0), np.float32)
-        for t in range(end - begin):
-            n = active[begin + t]
-            row = rows[t, :n]
-            x = [v[t, :n] for v in xs]
-            w = [v.take(row, mode="clip") for v in weights]
-            dot = w[0] * x[0] + w[1] * x[1] + w[2] * x[2]
-            p = one / (one + np.exp(-np.maximum(dot, -20)))
-            step = rate * (one - p)
-            for all_of, old, value in zip(weights, w, x):
-                all_of[row] = old + step * value
-            cell = np.minimum(np.abs(dot + dot), LEVELS - 1).astype(np.int64)
-            cell += row * LEVELS
-            hit = hits.take(cell, mode="clip")
-            side = half * np.sign(dot)
-            hits[cell] = hit + hit_rate * (side + half - hit)
-            chance[t, :n] = half * (p + half) + side * (hit - half)
-        taken = np.log2(np.clip(chance, 2.0 ** -20, 1 - 2.0 ** -20))
-        taken[np.arange(end - begin)[:, None] >= lengths[:n0] - begin] = 0
-        cost[:n0] -= taken.sum(0, dtype=np.float64)
+    scale, low = np.float32(1 / STEPS), np.float32(2.0 ** -20)
+    for begin in range(0, int(lengths[0]), TOGETHER):
+        n = int(np.searchsorted(-lengths, -begin))  # stretches that are not at their end
+        at = starts[:n] + np.arange(begin, begin + TOGETHER)[:, None]
+        over = at >= starts[:n] + lengths[:n] if lengths[n - 1] < begin + TOGETHER else None
+        if over is not None:
+            at[over] = 0
+        x = [v.take(at).astype(np.float32) for v in odds]  # (bits, stretches)
+        for v in x:
+            v *= scale
+            if over is not None:
+                v[over] = 0
+        gate = (x[2] != 0).astype(np.float32)
+        shut = one - gate
+        a, b = ([w[:n] for w in ws] for ws in weights)
+        dot = shut * (a[0] * x[0] + a[1] * x[1]) + gate * (b[0] * x[0] + b[1] * x[1] + b[2] * x[2])
+        p = one / (one + np.exp(-np.maximum(dot, -20)))
+        step = rate * (one - p)
+        of_a, of_b = step * shut, step * gate
+        for i in (0, 1):
+            a[i] += (of_a * x[i]).sum(0)
+        for i in (0, 1, 2):
+            b[i] += (of_b * x[i]).sum(0)
+        cell = (np.minimum(np.abs(dot + dot), LEVELS - 1).astype(np.int8) + gate * LEVELS + cells[:n]).astype(np.int64)
+        hit = hits.take(cell)
+        side = half * np.sign(dot)
+        follow = hit_rate * (side + half - hit)
+        p = half * (p + half) + side * (hit - half)
+        np.clip(p, low, one - low, out=p)
+        np.log2(p, out=p)
+        if over is not None:
+            p[over] = 0
+            follow[over] = 0
+        np.add.at(hits, cell.ravel(), follow.ravel())
+        cost[:n] -= p.sum(0)
     return cost
 
 
@@ -433,14 +435,21 @@ def score_group(rows: pa.Table, answers: pa.Table, alphabet: Alphabet, plan: Pla
     lengths = alphabet.lengths[(distinct & np.uint64((1 << RANK_BITS) - 1)).astype(np.int64)]
     if len(of_pair) != lengths.sum():
         raise RuntimeError("a group's answers don't fit its questions")
-    starts = np.cumsum(lengths) - lengths
-    n = len(s.symbols)
+    starts, n = np.cumsum(lengths) - lengths, len(s.symbols)
+    near, pair = starts[place[:n]], starts[place[n:]]
     own = alphabet.lengths[s.symbols]
-    odds = np.stack([alphabet.odds[ragged(alphabet.starts[s.symbols], own)],
-                     of_pair[ragged(starts[place[:n]], own)], of_pair[ragged(starts[place[n:]], own)]], axis=1)
-    ends = np.concatenate(([0], np.cumsum(own)))
     edges = np.concatenate(([0], np.cumsum(s.lengths)))
-    bits = mixed_bits(odds, np.diff(ends[edges]))
+    n_bits = np.diff(np.concatenate(([0], np.cumsum(own)))[edges])
+    order = np.argsort(-n_bits, kind="stable")
+    bits = np.empty(len(order))
+    for at in range(0, len(order), LANES):  # stretches of like length
+        lanes = order[at:at + LANES]
+        some = ragged(edges[lanes], s.lengths[lanes])
+        size = own[some]
+        within = ragged(np.zeros(len(some), np.int64), size)
+        odds = [table[np.repeat(begin[some], size) + within] for table, begin in
+                ((alphabet.odds, alphabet.starts[s.symbols]), (of_pair, near), (of_pair, pair))]
+        bits[lanes] = mixed_bits(odds, n_bits[lanes])
     rare = [np.frombuffer(b.as_buffer(), "<u8") for b in rows["rare"]]
     of_rare = np.concatenate(rare) >> np.uint64(1) if rare else np.zeros(0, np.uint64)
     _, which = np.unique(of_rare, return_inverse=True)
@@ -519,33 +528,51 @@ def learn_alphabet(counts: DataFrame, words: int) -> tuple[Alphabet, int]:
     return alphabet, int(total)
 
 
-def encode(doc_id: int | None, text: str | None, k1: int, k2: int, alphabet: Alphabet, plan: Plan) -> Iterator[tuple]:
-    """Rows of ENCODED of a document, cut where ``CHUNK`` more symbols are full."""
-    words = [*tokens(text), END]
+def encode(docs: list[tuple[int | None, str | None, int, int]], alphabet: Alphabet, plan: Plan) -> list[tuple]:
+    """Rows of ENCODED of some documents (id, text, k1, k2): each is cut at the
+    first token beyond every ``CHUNK`` symbols."""
+    split = [tokens(text) for _, text, _, _ in docs]
+    n_words = np.fromiter(map(len, split), np.int64, len(docs)) + 1
+    words = list(chain.from_iterable((*w, END) for w in split))
     found = np.array(list(map(alphabet.of_word.get, words, repeat(-1))), np.int64)
     rare = np.flatnonzero(found < 0)
     rare_words = [words[i] for i in rare.tolist()]
     letters, n_letters = alphabet.spelled(rare_words)
     sizes = np.ones(len(words), np.int64)
     sizes[rare] = n_letters
-    starts = np.cumsum(sizes) - sizes
-    symbols = np.empty(int(sizes.sum()), "<i4")
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    symbols = np.empty(int(ends[-1]) if len(words) else 0, "<i4")
     symbols[starts] = found
     if len(rare):
         symbols[ragged(starts[rare], n_letters)] = letters
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, rare_words), "<u8", len(rare))
     counts = np.where(found < 0, 0, alphabet.of_symbol[found])
-    logs, known = np.concatenate(([0.0], np.cumsum(np.log10(counts + 1.0)))), np.concatenate(([0], np.cumsum(counts > 0)))
-    sizes_in_bytes = np.concatenate(([0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)))
-    first = np.flatnonzero(np.diff(starts // CHUNK, prepend=-1))  # tokens that begin a stretch
-    before = [-1, -1, -1]
-    for chunk, (a, b) in enumerate(zip(first.tolist(), [*first[1:].tolist(), len(words)])):
-        part = symbols[starts[a]:starts[b] if b < len(words) else len(symbols)]
-        here = slice(*np.searchsorted(rare, (a, b)))
-        yield ((k1 + chunk * 0x9E3779B1) % plan.groups, k1, k2, chunk, trains(doc_id), before, part.tobytes(), hashes[here].tobytes(),
-               b - a, int(known[b] - known[a]), int(sizes_in_bytes[b] - sizes_in_bytes[a]), float(logs[b] - logs[a]))
-        marks = part[alphabet.language[part]]
-        before = [int(marks[-1]) if len(marks) else before[0], *[*before[1:], *part[-2:].tolist()][-2:]]
+    # Stretches: the document of each token, and where a new stretch begins.
+    doc = np.repeat(np.arange(len(docs)), n_words)
+    first_of_doc = np.cumsum(n_words) - n_words
+    part = (starts - starts[first_of_doc][doc]) // CHUNK
+    first = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(part, prepend=-1) != 0))
+    last = np.append(first[1:], len(words))
+    sums = [np.add.reduceat(v, first).tolist() for v in
+            (counts > 0, np.fromiter(map(len, words), np.int64, len(words)) + 1, np.log10(counts + 1.0))]
+    at, to = starts[first].tolist(), ends[last - 1].tolist()
+    rare_at = np.searchsorted(rare, np.append(first, len(words))).tolist()
+    # The last very frequent word up to each place, its document's only.
+    marks = np.maximum.accumulate(np.where(alphabet.language[symbols], np.arange(len(symbols)), -1))
+    rows, now, chunk, doc_start = [], -1, 0, 0
+    for i, (d, a, b, n) in enumerate(zip(doc[first].tolist(), at, to, (last - first).tolist())):
+        if d != now:
+            now, chunk, doc_start, (doc_id, _, k1, k2) = d, 0, a, docs[d]
+            train = trains(doc_id)
+        before = [-1, -1, -1]
+        if a > doc_start:
+            near = marks[a - 1]
+            before = [int(symbols[near]) if near >= doc_start else -1, int(symbols[a - 2]) if a - 2 >= doc_start else -1, int(symbols[a - 1])]
+        rows.append(((k1 + chunk * 0x9E3779B1) % plan.groups, k1, k2, chunk, train, before, symbols[a:b].tobytes(),
+                     hashes[rare_at[i]:rare_at[i + 1]].tobytes(), n, sums[0][i], sums[1][i], sums[2][i]))
+        chunk += 1
+    return rows
 
 
 def score(docs: DataFrame, words: int = 1 << 18, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -556,22 +583,24 @@ def score(docs: DataFrame, words: int = 1 << 18, id_col: str = "doc_id", text_co
     ship(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                         *row_key(id_col, text_col))
-    alphabet, n_all = learn_alphabet(cut(word_counts(texts)), words)
+    counts = cut(word_counts(texts))
+    alphabet, n_all = learn_alphabet(counts, words)
+    drop_cut(counts)
+    release(spark)
     plan = Plan(2 * n_all)
     shared = spark.sparkContext.broadcast(alphabet)
 
     def encoded_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
+        docs, size = [], 0
         for batch in batches:
-            ids, k1, k2 = (batch.column(i).to_pylist() for i in (0, 2, 3))
-            for doc_id, text, a, b in zip(ids, batch.column(1), k1, k2):
-                for r in encode(doc_id, text.as_py(), a, b, shared.value, plan):
-                    rows.append(r)
-                    held += len(r[6])
-                    if held > 8 << 20:
-                        yield batch_of(rows, encoded_schema)
-                        rows, held = [], 0
-        yield batch_of(rows, encoded_schema)
+            for doc_id, text, k1, k2 in zip(batch.column(0).to_pylist(), batch.column(1), *(batch.column(i).to_pylist() for i in (2, 3))):
+                docs.append((doc_id, text.as_py(), k1, k2))
+                size += len(docs[-1][1] or "") + 100
+                if size > 1 << 20:
+                    yield batch_of(encode(docs, shared.value, plan), encoded_schema)
+                    docs, size = [], 0
+        if docs:
+            yield batch_of(encode(docs, shared.value, plan), encoded_schema)
 
     def batch_of(rows: list, schema: pa.Schema) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema)
@@ -581,8 +610,10 @@ def score(docs: DataFrame, words: int = 1 << 18, id_col: str = "doc_id", text_co
     encoded = texts.mapInArrow(encoded_rows, StructType.fromDDL(ENCODED))
     asks = encoded.groupBy("group").applyInArrow(
         lambda t: pa.Table.from_batches([batch_of(list(request(t, shared.value, plan)), asked_schema)]), asked)
-    answers = cut(asks.groupBy("bucket").applyInArrow(
-        lambda t: pa.Table.from_batches([batch_of(list(answer(t, shared.value)), answered_schema)]), answered))
+    answers = asks.groupBy("bucket").applyInArrow(
+        lambda t: pa.Table.from_batches([batch_of(list(answer(t, shared.value)), answered_schema)]), answered)
+    # One job: what was shuffled by group is read for the questions and again
+    # for the scores.
     scored = encoded.groupBy("group").cogroup(answers.groupBy("group")).applyInArrow(
         lambda t, a: score_group(t, a, shared.value, plan), SCORED)
     # Repeated rows have equal stretches.

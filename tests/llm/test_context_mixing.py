@@ -94,22 +94,33 @@ def brute_bits(rows, words):
             begins.add((at // cm.CHUNK, at))
             at += size
         firsts = {min(a for c, a in begins if c == k) for k in {c for c, _ in begins}}
+        done: list = []  # of the bits since the weights last changed
+
+        def follow():
+            for gate, x, p, level, hit, sign in done:
+                weights_now[gate] += cm.RATE * (1 - p) * np.array(x) * [1, 1, gate]
+                hits[gate, level] += cm.HIT_RATE * ((1 if sign > 0 else 0 if sign < 0 else 0.5) - hit)
+            done.clear()
+
         for place, (s, *known) in enumerate(contexts(line)):
             if place in firsts:
-                weights_now, hits = cm.FIRST.astype(float).copy(), np.tile(1 / (1 + np.exp(-(np.arange(cm.LEVELS) + 0.5) / 2)), (4, 1))
+                done.clear()
+                n_bits, weights_now, hits = 0, cm.FIRST.astype(float).copy(), np.tile(1 / (1 + np.exp(-(np.arange(cm.LEVELS) + 0.5) / 2)), (2, 1))
             for j, bit in enumerate(code[s]):
                 x = []
                 for k in (None, *known):
                     came, other = node[k, code[s][:j] + bit], node[k, code[s][:j] + "10"[int(bit)]]
                     x.append(np.clip(np.rint(cm.STEPS * math.log((came + cm.PRIOR) / (other + cm.PRIOR))), -127, 127) / cm.STEPS)
-                gate = (x[1] != 0) + 2 * (x[2] != 0)
+                gate = int(x[2] != 0)
                 dot = float(weights_now[gate] @ x)
                 p = 1 / (1 + math.exp(-max(dot, -20)))
-                weights_now[gate] += cm.RATE * (1 - p) * np.array(x)
                 level = min(int(abs(2 * dot)), cm.LEVELS - 1)
                 hit = hits[gate, level]
                 refined = hit if dot > 0 else 1 - hit if dot < 0 else 0.5
-                hits[gate, level] += cm.HIT_RATE * ((1 if dot > 0 else 0 if dot < 0 else 0.5) - hit)
+                done.append((gate, x, p, level, hit, dot))
+                n_bits += 1
+                if n_bits % cm.TOGETHER == 0:
+                    follow()
                 bits -= math.log2(min(max((p + refined) / 2, 2 ** -20), 1 - 2 ** -20))
         out.append(bits)
     return out
@@ -155,8 +166,8 @@ def test_empty_table_and_no_training_documents(spark, empty):
 
 
 def test_the_two_bits_have_probability_one_together():
-    odds = np.random.default_rng(3).integers(-127, 128, (500, 3)).astype(np.int8)
-    one, other = (cm.mixed_bits(o, np.ones(500, np.int64)) for o in (odds, -odds))
+    odds = np.random.default_rng(3).integers(-127, 128, (3, 500)).astype(np.int8)
+    one, other = (cm.mixed_bits(list(o), np.ones(500, np.int64)) for o in (odds, -odds))
     assert np.abs(2 ** -one + 2 ** -other - 1).max() < 1e-5
 
 
