@@ -65,7 +65,7 @@ CHUNK = 256  # symbols of a document that are scored in a row
 GROUP = 1 << 21  # symbols of a group, about
 RANK_BITS = 20
 LANGUAGE_WORDS = 64  # most frequent words that serve as context
-STEPS = 12.0  # log odds are kept in steps of one twelfth
+STEPS = 6.0  # log odds are kept in steps of one sixth
 PRIOR = 0.4  # of either bit
 RATE, HIT_RATE = 0.01, 0.02
 LEVELS = 16  # of confidence
@@ -163,19 +163,37 @@ class Alphabet:
         self.language = np.zeros(len(weights), bool)
         self.language[self.word_ranks[frequent]] = True
         self.starts = np.cumsum(self.lengths) - self.lengths
-        # Codes, left-aligned in 62 bits.
+        self.weights = weights[order]
+
+    def __getstate__(self) -> dict:
+        """What is computed on first use is not sent along."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("codes", "middle", "odds", "of_word", "of_symbol")}
+
+    @cached_property
+    def codes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Codes, left-aligned in 62 bits; and for each bit of each code its
+        symbol, its place, and the first code below the node it leaves."""
         step = (1 << (62 - self.lengths)).astype(np.int64)
         code = np.cumsum(step) - step
-        symbol = np.repeat(np.arange(len(weights)), self.lengths)
-        below = 61 - (np.arange(len(symbol)) - self.starts[symbol])  # place of the bit
-        low = code[symbol] >> (below + 1) << (below + 1)
-        one = np.int64(1)
-        self.middle = np.searchsorted(code, low + (one << below)).astype(np.int32)
-        total = np.concatenate(([0], np.cumsum(weights[order])))
-        first, last = np.searchsorted(code, low), np.searchsorted(code, low + (one << below) + ((one << below) - 1), "right")
+        symbol = np.repeat(np.arange(len(code)), self.lengths)
+        below = 61 - (np.arange(len(symbol)) - self.starts[symbol])
+        return code, symbol, below, code[symbol] >> (below + 1) << (below + 1)
+
+    @cached_property
+    def middle(self) -> np.ndarray:
+        code, _, below, low = self.codes
+        return np.searchsorted(code, low + (np.int64(1) << below)).astype(np.int32)
+
+    @cached_property
+    def odds(self) -> np.ndarray:
+        """Log odds of each bit of each code without a context."""
+        code, symbol, below, low = self.codes
+        total = np.concatenate(([0], np.cumsum(self.weights)))
+        half = np.int64(1) << below
+        first, last = np.searchsorted(code, low), np.searchsorted(code, low + half + (half - 1), "right")
         zeros, ones = total[self.middle] - total[first], total[last] - total[self.middle]
         came = symbol >= self.middle
-        self.odds = log_odds(np.where(came, ones, zeros), np.where(came, zeros, ones))
+        return log_odds(np.where(came, ones, zeros), np.where(came, zeros, ones))
 
     @cached_property
     def of_word(self) -> dict[bytes, int]:
@@ -260,7 +278,7 @@ class Plan:
 
     def __init__(self, n_symbols: int):
         self.groups = self.buckets = max(1, -(-n_symbols // GROUP))
-        self.bits = min(43, max(24, (2 * n_symbols).bit_length() + 9))  # of a context's hash
+        self.bits = min(43, max(24, (2 * n_symbols).bit_length() + 6))  # of a context's hash
 
     def cuts(self, keys: np.ndarray, bits: int) -> np.ndarray:
         """Where the keys (sorted, hashes of ``bits`` bits and ranks) go on to
@@ -483,7 +501,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
                 if trains(doc_id):
                     seen.update(found)
                     seen[END] += 1
-                if len(seen) > 300_000:
+                if len(seen) > 500_000:
                     yield counted_so_far()
                     seen, n = Counter(), 0
         yield counted_so_far()
@@ -587,7 +605,7 @@ def score(docs: DataFrame, words: int = 1 << 18, id_col: str = "doc_id", text_co
     alphabet, n_all = learn_alphabet(counts, words)
     drop_cut(counts)
     release(spark)
-    plan = Plan(2 * n_all)
+    plan = Plan(3 * n_all // 2)  # rare words are a few symbols
     shared = spark.sparkContext.broadcast(alphabet)
 
     def encoded_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
