@@ -278,7 +278,7 @@ class Plan:
 
     def __init__(self, n_symbols: int):
         self.groups = self.buckets = max(1, -(-n_symbols // GROUP))
-        self.bits = min(43, max(24, (2 * n_symbols).bit_length() + 6))  # of a context's hash
+        self.bits = min(43, max(32, (2 * n_symbols).bit_length() + 6))  # of a context's hash
 
     def cuts(self, keys: np.ndarray, bits: int) -> np.ndarray:
         """Where the keys (sorted, hashes of ``bits`` bits and ranks) go on to
