@@ -64,3 +64,27 @@ ORACLE["dedup_sink"] = ORACLE["dedup_order"]
 ORACLE["snapshot_sink"] = ORACLE["dim_user_snapshot"]
 ORACLE["calendar_sink"] = ORACLE["dim_date"]
 ORACLE["fact_orders_reload"] = ORACLE["fact_orders"]
+
+ORACLE["csv_line_breaks"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
+       c_name || ',' || chr(10) || '"' || c_mktsegment || '"' || chr(10) || CAST(c_acctbal AS VARCHAR) AS c_label, c_mktsegment FROM customer"""
+
+ORACLE["json_column_layouts"] = f"SELECT 'line' AS form, {_ORDERS} UNION ALL SELECT 'pretty', {_ORDERS}"
+
+ORACLE["html_data_frame_scan"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS unnamed_0, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders"""
+
+ORACLE["html_hand_written_scan"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS key, p_name AS part_name, p_type AS part_type FROM part
+UNION ALL
+SELECT CAST(p_partkey AS VARCHAR), 'size ' || p_size, 'size ' || p_size FROM part"""
+
+ORACLE["ingest_quarantine"] = """
+SELECT 'customer.csv' AS source, count(*) FILTER (c_custkey % 17 <> 0 AND c_custkey % 19 <> 0) AS good,
+       count(*) FILTER (c_custkey % 17 = 0 OR c_custkey % 19 = 0) AS bad, CAST(NULL AS VARCHAR) AS skipped FROM customer
+UNION ALL
+SELECT 'orders.json', count(*) FILTER (o_orderkey % 13 <> 0), count(*) FILTER (o_orderkey % 13 = 0), NULL FROM orders
+UNION ALL
+SELECT 'supplier.html', count(*) FILTER (s_suppkey % 50 % 7 <> 0), count(DISTINCT s_suppkey % 50) FILTER (s_suppkey % 50 % 7 = 0), NULL FROM supplier
+UNION ALL SELECT 'region.parquet', 0, 0, 'empty' UNION ALL SELECT 'nation.xlsx', 0, 0, 'no distributed Excel reader'"""

@@ -581,6 +581,39 @@ def q_json_column_orient_scan(spark, sf):
             .unionByName(read_source(spark, f"{path}/records.json").select(F.lit("lines").alias("form"), *cols)))
 
 
+@query("csv_line_breaks")
+def q_csv_line_breaks(spark, sf):
+    """Customers with line breaks, delimiters and doubled quotes inside fields,
+    read back from files that are cut into splits of 16 KB."""
+    from quillmart.sources.files import read_source
+    from quillmart.sources.formats import write_delimited
+    path = run_folder(spark, "csv") + "/customer.csv"
+    c = tbl(spark, sf, "customer")
+    label = F.concat(F.col("c_name"), F.lit(',\n"'), F.col("c_mktsegment"), F.lit('"\n'), F.col("c_acctbal").cast("string"))
+    write_delimited(c.select(F.col("c_custkey").cast("string").alias("c_custkey"), label.alias("c_label"), "c_mktsegment"), path, ",")
+    key, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(key, 1 << 14)
+    try:
+        return read_source(spark, path).checkpoint()
+    finally:
+        spark.conf.set(key, before)
+
+
+@query("json_column_layouts")
+def q_json_column_layouts(spark, sf):
+    """Orders as column-oriented documents on one line each and pretty-printed
+    over many lines: both give the same rows."""
+    from quillmart.sources.files import read_source
+    from quillmart.sources.formats import column_docs
+    path = run_folder(spark, "json")
+    o = tbl(spark, sf, "orders").withColumn("_chunk", F.floor(F.col("o_orderkey") / 1000))
+    out = []
+    for form in ("line", "pretty"):
+        column_docs(o, "_chunk", "o_orderkey", JSON_COLUMNS, pretty=form == "pretty").write.text(f"{path}/{form}.json")
+        out.append(read_source(spark, f"{path}/{form}.json").select(F.lit(form).alias("form"), "unnamed_0", *JSON_COLUMNS))
+    return out[0].unionByName(out[1])
+
+
 HTML_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
 
 
@@ -598,6 +631,67 @@ def q_html_table_scan(spark, sf):
     return read_source(spark, path)
 
 
+@query("html_data_frame_scan")
+def q_html_data_frame_scan(spark, sf):
+    """Orders published the way a data frame exports itself: the row index in
+    a header cell of each row, below an empty one; every other page has its
+    tags in upper case."""
+    from quillmart.sources.files import normalise_index_column, read_source
+    from quillmart.sources.formats import html_pages
+    path = run_folder(spark, "html") + "/frames.html"
+    o = tbl(spark, sf, "orders").withColumn("_chunk", F.floor(F.col("o_orderkey") / 500))
+    pages = html_pages(o, "_chunk", HTML_COLUMNS[1:], row_header="o_orderkey").withColumn("n", F.length("value") % 2)
+    value = F.col("value")
+    for tag in ("html", "body", "table", "tr", "td", "th"):
+        for mark in (f"<{tag}", f"</{tag}"):
+            value = F.replace(value, F.lit(mark), F.lit(mark.upper()))
+    pages.select(F.when(F.col("n") == 0, value).otherwise(F.col("value")).alias("value")).write.text(path)
+    return normalise_index_column(read_source(spark, path))
+
+
+@query("html_hand_written_scan")
+def q_html_hand_written_scan(spark, sf):
+    """One hand-written page per part: mixed case, end tags left out, nested
+    tags and a nested table, a cell over two columns and one over two rows, two
+    header rows, and a second table that is not read."""
+    from quillmart.sources.files import read_source
+    path = run_folder(spark, "html") + "/parts.html"
+    p = tbl(spark, sf, "part")
+    lit = F.lit
+    page = F.concat(
+        lit("<HTML>\n<Body><p>1 > 0</p><TABLE border=1>\n<tr><th rowspan=2>key<th colspan=2>part\n<TR><th>name<th><i>type</i>"
+            "<tr><td rowspan='2'>"), F.col("p_partkey").cast("string"), lit("<td><b>"), F.col("p_name"), lit("</b>\n<td> "), F.col("p_type"),
+        lit("\n<tr><td colspan=2>size <table><tr><td>"), F.col("p_size").cast("string"),
+        lit("</td></tr></table></TABLE><table><tr><td>other</table></body></HTML >"))
+    p.select(page.alias("value")).write.text(path)
+    return read_source(spark, path)
+
+
+@query("ingest_quarantine")
+def q_ingest_quarantine(spark, sf):
+    """Exports of the tables with bad records among the good ones: customers as
+    CSV with surplus fields and misplaced quotes, orders as JSON lines that
+    break off, suppliers as HTML pages some of which have no table, an empty
+    export and an unsupported one: rows read, records left out, reasons."""
+    from quillmart.sources.files import quarantine_report
+    from quillmart.sources.formats import html_pages
+    base = run_folder(spark, "quarantine")
+    k = F.col("c_custkey")
+    bad = F.when(k % 17 == 0, F.concat("c_name", F.lit(",more"))).when(k % 19 == 0, F.concat(F.lit('"'), "c_name", F.lit('"x')))
+    customers = tbl(spark, sf, "customer").select(k.cast("string").alias("c_custkey"), bad.otherwise(F.col("c_name")).alias("c_name"))
+    customers.write.option("header", True).option("quote", "\u0000").csv(f"{base}/customer.csv")
+    orders = tbl(spark, sf, "orders")
+    line = F.to_json(F.struct("o_orderkey", "o_orderstatus"))
+    orders.select(F.when(F.col("o_orderkey") % 13 == 0, F.substr(line, F.lit(1), F.length(line) - 1)).otherwise(line).alias("value")) \
+        .write.text(f"{base}/orders.json")
+    s = tbl(spark, sf, "supplier").withColumn("_chunk", F.col("s_suppkey") % 50)
+    pages = html_pages(s, "_chunk", ["s_suppkey", "s_name"]).withColumn("first", F.regexp_extract("value", "<td>(\\d+)</td>", 1).cast("int"))
+    pages.select(F.when(F.col("first") % 50 % 7 == 0, F.replace("value", F.lit("table"), F.lit("div"))).otherwise(F.col("value")).alias("value")) \
+        .write.text(f"{base}/supplier.html")
+    tbl(spark, sf, "region").where("false").write.parquet(f"{base}/region.parquet")
+    return quarantine_report(spark, {n: f"{base}/{n}" for n in ("customer.csv", "orders.json", "supplier.html", "region.parquet", "nation.xlsx")})
+
+
 @query("incremental_file_ingest")
 def q_incremental_file_ingest(spark, sf):
     """Three availableNow runs over a folder: half of the events, then the

@@ -56,6 +56,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that their
+    Python workers can import it. A package that is not a plain folder was
+    itself shipped with the application; a local master reads it in place."""
+    app, package = spark.sparkContext.applicationId, os.path.dirname(os.path.abspath(__file__))
+    if app in _SHIPPED or not os.path.isdir(package) or spark.sparkContext.master.startswith("local"):
+        return
+    with tempfile.TemporaryDirectory(prefix="package-") as folder:
+        target = os.path.join(folder, os.path.basename(package))
+        spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
+    _SHIPPED.add(app)
+
+
 def run_folder(spark: SparkSession, tag: str) -> str:
     """A fresh folder under the shared checkpoint folder for one run's files,
     removed when the Python process ends."""

@@ -11,6 +11,8 @@ import os
 import re
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,3 +72,36 @@ def read_source(spark: SparkSession, path: str) -> DataFrame:
     readers = {"parquet": lambda: spark.read.parquet(path), "csv": lambda: formats.read_csv_fallback(spark, path),
                "json": lambda: formats.read_json_any(spark, path), "html": lambda: formats.read_html_tables(spark, path)}
     return readers[FORMATS[ext]]()
+
+
+def bad_records(spark: SparkSession, path: str) -> DataFrame | None:
+    """(file, reason, record) of what ``read_source`` leaves out; a Parquet
+    export has no single records to leave out."""
+    from quillmart.sources import formats
+
+    kind = FORMATS[os.path.splitext(path.rstrip("/"))[1].lower()]
+    found = {"csv": formats.bad_csv, "json": formats.bad_json, "html": formats.bad_html}.get(kind)
+    return found(spark, path) if found else None
+
+
+def quarantine_report(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
+    """Per source (name, path) the rows read, the bad records left out, and
+    why a source was skipped as a whole: unsupported, unreadable or empty. One
+    source's fault does not stop the others."""
+    rows = []
+    for name, path in sources.items():
+        ext = os.path.splitext(path.rstrip("/"))[1].lower()
+        good = bad = 0
+        skipped = None
+        if ext not in FORMATS:
+            skipped = UNSUPPORTED.get(ext, "unknown kind of file")
+        else:
+            try:
+                good = read_source(spark, path).count()
+                left_out = bad_records(spark, path)
+                bad = left_out.count() if left_out is not None else 0
+                skipped = None if good or bad else "empty"
+            except (AnalysisException, PySparkException, Py4JJavaError):
+                skipped = "unreadable"
+        rows.append((name, good, bad, skipped))
+    return spark.createDataFrame(rows, "source string, good long, bad long, skipped string")

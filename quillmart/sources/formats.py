@@ -1,48 +1,196 @@
 """Readers (and matching writers) for the department file formats.
 
-* CSV with delimiter fallback: ',' then TAB then a sniffed delimiter; only
-  the header line is looked at on the driver.
+* CSV with delimiter fallback: ',' then TAB then a sniffed delimiter, looked for
+  outside quotes in the header. A field may hold line breaks, delimiters and
+  doubled quotes. A line begins inside a field if an odd number of quotes lie
+  before it in the file: each split counts its quotes, the counts are summed in
+  file order, and every split then knows how it begins. Fields with quotes must
+  be quoted; a record that is not well formed is a bad one.
 * JSON in records form (JSON lines or an array) or pandas' default column
-  form ``{"col": {"0": v, ...}, ...}``, told apart by how the file begins; a
-  column document per line is parsed with ``from_json`` into maps, exploded
-  and re-assembled per row index.
-* HTML: pages end at ``</html>``, whatever line breaks they hold; the rows of
-  each page's first ``<table>`` are named by that page's own header cells.
-
-Column names are metadata: only distinct header names reach the driver.
+  form ``{"col": {"0": v, ...}, ...}``, told apart by how the file begins. A
+  column document is cut at its quotes and read as a stream of cells
+  (document, column, index, value), so its size and layout don't matter; the
+  cells are put together per row by an aggregate.
+* HTML: pages end at ``</html>`` in any case; the first ``<table>`` of a page is read
+  by a tag-state parser and named by that page's own header cells.
+
+Column names are metadata: only distinct header names reach the driver. Bad
+records are left out of the rows and can be had from the ``bad_*`` functions as
+(file, reason, record).
 """
 
 from __future__ import annotations
 
+import csv
+import json
 import re
+import sys
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmart.sources.splits import HEAD, MIDDLE, TAIL, WHOLE, joined_fragments, map_splits, pieces
+
 SNIFF_CANDIDATES = [";", "|", ":"]
+BAD = "file string, reason string, record string"
 
 
 # ------------------------------------------------------------------- CSV
 
 def choose_delimiter(header: str) -> str:
     """',' if it splits the header into >1 field, else TAB, else the most
-    frequent candidate (';', '|', ':'), else ','."""
-    if len(header.split(",")) > 1:
-        return ","
-    if len(header.split("\t")) > 1:
-        return "\t"
-    counts = Counter({c: header.count(c) for c in SNIFF_CANDIDATES})
+    frequent candidate (';', '|', ':'), else ','; quoted parts don't count."""
+    bare = re.sub(r'"(?:[^"]|"")*"', "", header)
+    for sep in (",", "\t"):
+        if sep in bare:
+            return sep
+    counts = Counter({c: bare.count(c) for c in SNIFF_CANDIDATES})
     best, n = counts.most_common(1)[0]
     return best if n > 0 else ","
 
 
+def csv_fields(record: str, sep: str) -> list[str | None]:
+    """The fields of a record; an empty one is None."""
+    csv.field_size_limit(sys.maxsize)
+    fields = next(csv.reader([record], delimiter=sep, strict=True), [])
+    return [f if f != "" else None for f in fields]
+
+
+class _Quotes:
+    """Per split: whether its number of quotes is odd, and, in the first split
+    of a file, the header record and whether it ends there."""
+
+    def __init__(self, file: str, block: int):
+        self.file, self.block, self.odd = file, block, 0
+        self.header: list[str] | None = [] if block == 0 else None
+        self.done = block != 0
+
+    def piece(self, value: str) -> Iterator[tuple]:
+        self.odd ^= value.count('"') & 1
+        if not self.done and (self.header or value.strip()):
+            self.header.append(value)
+            self.done = not self.odd
+        return iter(())
+
+    def end(self) -> Iterator[tuple]:
+        yield self.file, self.block, bool(self.odd), "\n".join(self.header).rstrip("\r") if self.header else None, self.done
+
+
+class _Records:
+    """(kind, text) of a split's records, the header left out, and of the
+    fragments at its ends."""
+
+    def __init__(self, file: str, block: int, inside: bool):
+        self.file, self.block, self.lines, self.odd = file, block, [], inside
+        self.crossing, self.header = inside, block == 0
+
+    def piece(self, value: str) -> Iterator[tuple]:
+        if not self.lines and not self.odd and not value.strip():
+            return  # blank lines are no records
+        self.lines.append(value)
+        self.odd ^= value.count('"') & 1 == 1
+        if not self.odd:
+            text, kind = "\n".join(self.lines).rstrip("\r"), HEAD if self.crossing else WHOLE
+            self.lines, self.crossing = [], False
+            if self.header:
+                self.header = False
+            else:
+                yield self.file, self.block, kind, text
+
+    def end(self) -> Iterator[tuple]:
+        if self.lines:
+            yield self.file, self.block, MIDDLE if self.crossing else TAIL, "\n".join(self.lines)
+
+
+def csv_layout(lines: DataFrame) -> tuple[set[tuple[str, int]], dict[str, str], set[str]]:
+    """The splits that begin inside a field, each file's header, and the files
+    whose header goes on beyond their first split."""
+    found = map_splits(lines, _Quotes, "file string, block long, odd boolean, header string, whole boolean").collect()
+    inside, headers, cut, odd, last = set(), {}, set(), False, None
+    for r in sorted(found, key=lambda r: (r["file"], r["block"])):
+        if r["file"] != last:
+            odd, last = False, r["file"]
+        if odd:
+            inside.add((r["file"], r["block"]))
+        odd ^= r["odd"]
+        if r["header"] is not None:
+            headers[r["file"]] = r["header"]
+            if not r["whole"]:
+                cut.add(r["file"])
+    return inside, headers, cut
+
+
+def csv_records(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, str]]:
+    """(file, text) of every record below the headers, and each file's header."""
+    lines = pieces(spark, path, "\n")
+    inside, headers, cut = csv_layout(lines)
+    parts = map_splits(lines, lambda file, block: _Records(file, block, (file, block) in inside),
+                       "file string, block long, kind string, text string")
+    whole = parts.where(F.col("kind") == WHOLE).select("file", "text")
+    crossing = joined_fragments(parts.where(F.col("kind") != WHOLE), "\n").withColumn("text", F.rtrim("text", F.lit("\r")))
+    if cut:  # their headers cross splits themselves
+        first = (F.col("block") == 0) & F.col("file").isin(*cut)
+        headers |= {r["file"]: r["text"] for r in crossing.where(first).collect()}
+        crossing = crossing.where(~first)
+    return whole.unionByName(crossing.select("file", "text")), headers
+
+
+def _csv_rows(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """(file, reason, record, fields): the fields in the order of all names."""
+    records, headers = csv_records(spark, path)
+    names_of = {}
+    for header in dict.fromkeys(headers[f] for f in sorted(headers)):
+        sep = choose_delimiter(header)
+        seen: Counter = Counter()
+        names = []
+        for i, name in enumerate(csv_fields(header, sep)):
+            name = name or f"Unnamed: {i}"
+            names.append(f"{name}.{seen[name]}" if seen[name] else name)
+            seen[name] += 1
+        names_of[header] = sep, names
+    columns = list(dict.fromkeys(n for _, names in names_of.values() for n in names))
+    layouts = {h: (sep, [names.index(c) if c in names else None for c in columns], len(names)) for h, (sep, names) in names_of.items()}
+
+    class Parse:
+        def __init__(self, file: str, block: int):
+            self.file, self.layout = file, layouts.get(headers.get(file, ""))
+
+        def piece(self, value: str) -> Iterator[tuple]:
+            if self.layout is None:
+                yield self.file, "no header", value, None
+                return
+            sep, places, n = self.layout
+            try:
+                fields = csv_fields(value, sep)
+            except csv.Error as e:
+                yield self.file, str(e), value, None
+                return
+            if len(fields) > n:
+                yield self.file, "too many fields", value, None
+            else:
+                fields += [None] * (n - len(fields))
+                yield self.file, None, None, [fields[p] if p is not None else None for p in places]
+
+        def end(self) -> Iterator[tuple]:
+            return iter(())
+
+    found = records.select("file", F.lit(0).cast("long").alias("block"), F.col("text").alias("value"))
+    return map_splits(found, Parse, BAD + ", fields array<string>"), columns
+
+
 def read_csv_fallback(spark: SparkSession, path: str) -> DataFrame:
-    first = spark.read.text(path).limit(1).collect()
-    sep = choose_delimiter(first[0][0]) if first else ","
-    return (spark.read.option("header", True).option("sep", sep).option("quote", '"')
-            .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+    """The well-formed records; each file's header names its fields, a column
+    that a file lacks and a field that a record lacks are NULL."""
+    rows, columns = _csv_rows(spark, path)
+    return rows.where("reason IS NULL").select(*[F.col("fields")[i].alias(c) for i, c in enumerate(columns)])
+
+
+def bad_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Records with more fields than the header, or with misplaced quotes."""
+    return _csv_rows(spark, path)[0].where("reason IS NOT NULL").drop("fields")
 
 
 def write_delimited(df: DataFrame, path: str, sep: str) -> None:
@@ -52,27 +200,117 @@ def write_delimited(df: DataFrame, path: str, sep: str) -> None:
 
 # ------------------------------------------------------------------ JSON
 
-def column_docs(df: DataFrame, chunk: str, index: str, columns: Sequence[str]) -> DataFrame:
-    """One pandas-style column-oriented JSON document per chunk. The chunk
-    column must bound the rows per chunk (e.g. key div 1000)."""
+def column_docs(df: DataFrame, chunk: str, index: str, columns: Sequence[str], pretty: bool = False) -> DataFrame:
+    """One pandas-style column-oriented JSON document per chunk, on one line or
+    pretty-printed. The chunk column must bound the rows per chunk (e.g. key
+    div 1000)."""
     entries = [F.map_from_entries(F.collect_list(F.struct(F.col(index).cast("string"),
                                                           F.col(c).cast("string")))).alias(c)
                for c in columns]
-    return df.groupBy(chunk).agg(F.to_json(F.struct(*entries)).alias("value")).select("value")
+    return df.groupBy(chunk).agg(
+        F.to_json(F.struct(*entries), {"pretty": str(pretty).lower()}).alias("value")).select("value")
+
+
+_MARKS = re.compile(r"[{}\[\]:,]|[^\s{}\[\]:,]+")
+CELLS = "file string, doc long, col string, idx string, v string, reason string"
+
+
+class CellStream:
+    """Cells of the column documents of one file, from its text cut at quotes:
+    the pieces lie outside and inside of strings in turn; a piece that ends
+    with an odd number of backslashes is followed by a quote of the string's
+    own. A column is announced by a cell without index. The stream ends at
+    the first thing that is no column document, which gives a reason.
+
+    ``state``: what may come next ("document", "column", "index", ":" ..)."""
+
+    def __init__(self, file: str, block: int = 0):
+        self.file, self.doc, self.col, self.idx = file, -1, None, None
+        self.inside, self.buffer, self.state, self.failed = False, [], "document", False
+        self.nested, self.raw = 0, []  # of a value that is itself an object or a list
+
+    def piece(self, value: str) -> Iterator[tuple]:
+        if self.failed:
+            return
+        try:
+            if self.inside:
+                self.buffer.append(value)
+                if (len(value) - len(value.rstrip("\\"))) % 2:
+                    self.buffer.append('"')
+                    return
+                text, self.buffer, self.inside = "".join(self.buffer), [], False
+                yield from self._string(text)
+            else:
+                self.inside = True
+                for mark in _MARKS.findall(value):
+                    yield from self._mark(mark)
+        except ValueError as e:
+            self.failed = True
+            yield self.file, self.doc, None, None, None, str(e)
+
+    def end(self) -> Iterator[tuple]:
+        if not self.failed and (self.state != "document" or self.buffer or self.nested):
+            yield self.file, self.doc, None, None, None, "the document has no end"
+
+    def _cell(self, value: str | None) -> tuple:
+        self.state = "after value"
+        return self.file, self.doc, self.col, self.idx, value, None
+
+    def _string(self, text: str) -> Iterator[tuple]:
+        if self.nested:
+            self.raw.append(f'"{text}"')
+            return
+        text = json.loads(f'"{text}"', strict=False)
+        if self.state in ("column", "first column"):
+            self.col, self.state = text, "column:"
+            yield self.file, self.doc, self.col, None, None, None
+        elif self.state in ("index", "first index"):
+            self.idx, self.state = text, "index:"
+        elif self.state == "value":
+            yield self._cell(text)
+        else:
+            raise ValueError(f"unexpected string at {self.state}")
+
+    def _mark(self, mark: str) -> Iterator[tuple]:
+        if self.nested or (self.state == "value" and mark in "{["):
+            self.raw.append(mark)
+            self.nested += (mark in "{[") - (mark in "}]")
+            if not self.nested:
+                raw, self.raw = "".join(self.raw), []
+                yield self._cell(raw)
+            return
+        step = {("document", "{"): "first column", ("column:", ":"): "rows", ("rows", "{"): "first index", ("index:", ":"): "value",
+                ("after value", ","): "index", ("after value", "}"): "after rows", ("first index", "}"): "after rows",
+                ("after rows", ","): "column", ("after rows", "}"): "document", ("first column", "}"): "document"}.get((self.state, mark))
+        if step:
+            self.doc += self.state == "document"
+            self.state = step
+        elif self.state == "value" and mark not in "]}:,":
+            json.loads(mark)
+            yield self._cell(None if mark == "null" else mark)
+        else:
+            raise ValueError(f"unexpected {mark} at {self.state}")
+
+
+def json_cells(spark: SparkSession, path: str) -> DataFrame:
+    """Cells of the column documents of a path: the pieces of a file stream in
+    order through one task, which holds one piece of text (a document cannot be
+    understood from its middle); the cells then spread."""
+    cut = pieces(spark, path, '"').withColumn("at", F.monotonically_increasing_id())
+    in_order = cut.repartition("file").sortWithinPartitions("file", "block", "at")
+    return map_splits(in_order.withColumn("block", F.lit(0).cast("long")), CellStream, CELLS)
 
 
 def read_json_columns(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Parse column-oriented documents back into rows (all text, plus the
-    row index ``unnamed_0`` the index keys carry)."""
-    docs = spark.read.text(path).withColumn("_doc", F.monotonically_increasing_id())
-    parsed = docs.select("_doc", F.from_json("value", "map<string, map<string, string>>").alias("m"))
+    """The rows of column-oriented documents (all text, plus the row index
+    ``unnamed_0`` that the index keys carry). What precedes the first fault of a
+    file is read."""
+    cells = json_cells(spark, path).where("reason IS NULL")
     if columns is None:
-        names = parsed.select(F.explode(F.map_keys("m")).alias("c")).distinct().collect()
-        columns = sorted(r["c"] for r in names)
-    cells = (parsed.select("_doc", F.explode("m").alias("col", "vals"))
-             .select("_doc", "col", F.explode("vals").alias("idx", "v")))
-    rows = cells.groupBy("_doc", "idx").agg(*[F.max(F.when(F.col("col") == c, F.col("v"))).alias(c)
-                                              for c in columns])
+        names = cells.where("idx IS NULL").select("col").distinct().collect()
+        columns = sorted(r["col"] for r in names)
+    rows = cells.where("idx IS NOT NULL").groupBy("file", "doc", "idx").agg(
+        *[F.max(F.when(F.col("col") == c, F.col("v"))).alias(c) for c in columns])
     return rows.select(F.col("idx").alias("unnamed_0"), *columns)
 
 
@@ -83,13 +321,30 @@ def json_form(start: str) -> str:
     return "array" if start.lstrip().startswith("[") else "lines"
 
 
+def _json_form_of(spark: SparkSession, path: str) -> str:
+    """From the first pieces between quotes, whatever the file's layout."""
+    first = spark.read.option("lineSep", '"').text(path).where("trim(value) != ''").limit(8).collect()
+    return json_form('"'.join(r[0] for r in first) + '"')
+
+
 def read_json_any(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """A JSON export in any of the three forms."""
-    first = spark.read.text(path).where("trim(value) != ''").select(F.substring("value", 1, 4096)).limit(1).collect()
-    form = json_form(first[0][0]) if first else "lines"
+    """A JSON export in any of the three forms; records that are no JSON are
+    left out."""
+    form = _json_form_of(spark, path)
     if form == "columns":
         return read_json_columns(spark, path, columns)
-    return spark.read.option("multiLine", form == "array").option("primitivesAsString", True).json(path)
+    reader = spark.read.option("multiLine", form == "array").option("primitivesAsString", True)
+    return reader.option("mode", "DROPMALFORMED").json(path)
+
+
+def bad_json(spark: SparkSession, path: str) -> DataFrame:
+    form = _json_form_of(spark, path)
+    if form == "columns":
+        return json_cells(spark, path).where("reason IS NOT NULL").select("file", "reason", F.lit(None).cast("string").alias("record"))
+    rows = spark.read.option("multiLine", form == "array").option("columnNameOfCorruptRecord", "_corrupt").schema("_none string, _corrupt string").json(path)
+    # Spark reads the corrupt column only together with another one.
+    return rows.where("_none IS NULL").select(F.col("_metadata.file_path").alias("file"), F.lit("no JSON").alias("reason"), F.col("_corrupt").alias("record")) \
+        .where("record IS NOT NULL")
 
 
 # ------------------------------------------------------------------ HTML
@@ -100,44 +355,212 @@ def _escape(c: Column) -> Column:
     return c
 
 
-def _unescape(c: Column) -> Column:
-    for a, b in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]:
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
-
-
-def html_pages(df: DataFrame, chunk: str, columns: Sequence[str]) -> DataFrame:
+def html_pages(df: DataFrame, chunk: str, columns: Sequence[str], row_header: str | None = None) -> DataFrame:
     """One HTML page per chunk holding a <table> of the chunk's rows (the
-    chunk column bounds rows per page)."""
-    cells = F.concat(*[F.concat(F.lit("<td>"), _escape(F.coalesce(F.col(c).cast("string"), F.lit(""))),
-                                F.lit("</td>")) for c in columns])
-    row = F.concat(F.lit("<tr>"), cells, F.lit("</tr>"))
-    head = "<tr>" + "".join(f"<th>{c}</th>" for c in columns) + "</tr>"
+    chunk column bounds rows per page). With ``row_header`` each row begins
+    with that column as a header cell, below an empty one, as a data frame's
+    own export does."""
+    cells = [F.concat(F.lit("<td>"), _escape(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit("</td>")) for c in columns]
+    head = "".join(f"<th>{c}</th>" for c in columns)
+    if row_header:
+        cells.insert(0, F.concat(F.lit("<th>"), _escape(F.col(row_header).cast("string")), F.lit("</th>")))
+        head = "<th></th>" + head
+    row = F.concat(F.lit("<tr>"), *cells, F.lit("</tr>"))
     body = F.array_join(F.collect_list(row), "")
-    # one page per line, so page files stay splittable line by line
-    page = F.concat(F.lit(f"<html><body><table border=\"1\" class=\"dataframe\"><thead>{head}</thead><tbody>"),
+    page = F.concat(F.lit(f"<html><body><table border=\"1\" class=\"dataframe\"><thead><tr>{head}</tr></thead><tbody>"),
                     body, F.lit("</tbody></table></body></html>"))
     return df.groupBy(chunk).agg(page.alias("value")).select("value")
 
 
+class TableParser(HTMLParser):
+    """The first table of a page as rows of cells. A cell's text is all text
+    inside it, tags left out and white space collapsed; a table inside a cell
+    is part of that cell. Header rows are those of ``<thead>``, else the first
+    rows that hold header cells only; a header cell elsewhere is a value. A cell
+    that spans columns or rows stands in each of them."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.done, self.found = 0, False, False
+        self.in_head, self.rows, self.row, self.cell = False, [], None, None
+        self.skipped = 0  # open script and style elements
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style"):
+            self.skipped += 1
+        if self.done:
+            return
+        if tag == "table":
+            self.depth += 1
+            self.found = True
+        elif self.depth == 1:
+            if tag in ("thead", "tbody", "tfoot"):
+                self._end_row()
+                self.in_head = tag == "thead"
+            elif tag == "tr":
+                self._end_row()
+                self.row = []
+            elif tag in ("td", "th"):
+                self._end_cell()
+                if self.row is None:
+                    self.row = []
+                spans = {k: v for k, v in attrs if k in ("colspan", "rowspan")}
+                self.cell = [tag == "th", [], *(self._span(spans.get(k)) for k in ("colspan", "rowspan"))]
+            elif tag == "br":
+                self.handle_data(" ")
+        elif self.depth > 1 and tag in ("td", "th", "tr", "br"):
+            self.handle_data(" ")
+
+    @staticmethod
+    def _span(value: str | None) -> int:
+        return max(1, min(int(value), 1000)) if value and value.strip().isdigit() else 1
+
+    def handle_endtag(self, tag):
+        if tag in ("script", "style"):
+            self.skipped = max(0, self.skipped - 1)
+        if self.done or not self.depth:
+            return
+        if tag == "table":
+            if self.depth == 1:
+                self._end_row()
+                self.done = True
+            self.depth -= 1
+        elif self.depth == 1:
+            if tag in ("td", "th"):
+                self._end_cell()
+            elif tag in ("tr", "thead", "tbody", "tfoot"):
+                self._end_row()
+                self.in_head = self.in_head and tag == "tr"
+
+    def handle_data(self, data):
+        if self.cell is not None and not self.skipped:
+            self.cell[1].append(data)
+
+    def _end_cell(self):
+        if self.cell is not None:
+            header, text, wide, high = self.cell
+            self.row.append((header, " ".join("".join(text).split()) or None, wide, high))
+            self.cell = None
+
+    def _end_row(self):
+        self._end_cell()
+        if self.row:
+            self.rows.append((self.in_head, self.row))
+        self.row = None
+
+    def table(self) -> tuple[list[str | None], list[list[str | None]]]:
+        """Names and rows. Several header rows give one name of their parts."""
+        self._end_row()
+        grid, open_cells = [], {}  # column -> (header, text, rows left)
+        for in_head, row in self.rows:
+            line, cells, at = [], iter(row), 0
+            while True:
+                if at in open_cells:
+                    header, text, left = open_cells.pop(at)
+                    line.append((header, text))
+                    if left > 1:
+                        open_cells[at] = header, text, left - 1
+                    at += 1
+                    continue
+                cell = next(cells, None)
+                if cell is None:
+                    if not any(c > at for c in open_cells):
+                        break
+                    line.append((False, None))
+                    at += 1
+                    continue
+                header, text, wide, high = cell
+                for _ in range(wide):
+                    line.append((header, text))
+                    if high > 1:
+                        open_cells[at] = header, text, high - 1
+                    at += 1
+            grid.append((in_head, line))
+        n = 0
+        if any(in_head for in_head, _ in grid):
+            heads, body = [r for h, r in grid if h], [r for h, r in grid if not h]
+        else:
+            while n < len(grid) and all(header for header, _ in grid[n][1]):
+                n += 1
+            heads, body = [r for _, r in grid[:n]], [r for _, r in grid[n:]]
+        width = max((len(r) for r in heads), default=0)
+        names = []
+        for i in range(width):
+            parts = dict.fromkeys(r[i][1] for r in heads if i < len(r) and r[i][1])
+            names.append("_".join(parts) or None)
+        return names, [[text for _, text in r] for r in body]
+
+
+class _Pages:
+    """(kind, text) of a split's pages and of the fragments at its ends, from
+    pieces that end before a '>'."""
+
+    def __init__(self, file: str, block: int):
+        self.file, self.block, self.buffer, self.crossing = file, block, [], block > 0
+
+    def piece(self, value: str) -> Iterator[tuple]:
+        self.buffer.append(value)
+        if value[-16:].rstrip().lower().endswith("</html"):
+            yield self.file, self.block, HEAD if self.crossing else WHOLE, ">".join(self.buffer)
+            self.buffer, self.crossing = [], False
+
+    def end(self) -> Iterator[tuple]:
+        if self.buffer:
+            yield self.file, self.block, MIDDLE if self.crossing else TAIL, ">".join(self.buffer)
+
+
+def _html_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(file, reason, record, head, cells); a page's first row has its header
+    and no cells."""
+    parts = map_splits(pieces(spark, path, ">"), _Pages, "file string, block long, kind string, text string")
+    pages = parts.where(F.col("kind") == WHOLE).select("file", "text").unionByName(
+        joined_fragments(parts.where(F.col("kind") != WHOLE), ">").select("file", "text"))
+
+    class Parse:
+        def __init__(self, file: str, block: int):
+            self.file = file
+
+        def piece(self, value: str) -> Iterator[tuple]:
+            if not value.strip():
+                return
+            parser = TableParser()
+            parser.feed(value + ">")
+            names, rows = parser.table()
+            if not parser.found:
+                yield self.file, "no table", value[:1000], None, None
+                return
+            width = max([len(names), *map(len, rows)])
+            seen: Counter = Counter()
+            head = []
+            for i in range(width):
+                name = (names[i] if i < len(names) else None) or f"Unnamed: {i}"
+                head.append(f"{name}.{seen[name]}" if seen[name] else name)
+                seen[name] += 1
+            yield self.file, None, None, head, None
+            for row in rows:
+                yield self.file, None, None, head, row
+
+        def end(self) -> Iterator[tuple]:
+            return iter(())
+
+    found = pages.select("file", F.lit(0).cast("long").alias("block"), F.col("text").alias("value"))
+    return map_splits(found, Parse, BAD + ", head array<string>, cells array<string>")
+
+
 def read_html_tables(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows of the first <table> of every page; each page's header cells name
-    its columns, a column that a page lacks is NULL, empty cells are NULL."""
-    pages = spark.read.option("lineSep", "</html>").text(path)
-    table = F.regexp_extract("value", r"(?is)<table[^>]*>(.*?)</table>", 1)
-    trs = pages.select(F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1).alias("trs"))
-
-    def cells(tr: Column) -> Column:
-        found = F.regexp_extract_all(tr, F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), 1)
-        return F.transform(found, lambda x: F.nullif(_unescape(F.regexp_replace(x, r"^\s+|\s+$", "")), F.lit("")))
-
-    is_head = lambda tr: F.lower(tr).contains("<th")
-    pages = trs.select(cells(F.get(F.filter("trs", is_head), F.lit(0))).alias("head"),
-                       F.filter("trs", lambda tr: ~is_head(tr)).alias("trs"))
+    its columns (a nameless one is ``Unnamed: <place>``), a column that a page
+    lacks and an empty cell are NULL."""
+    rows = _html_rows(spark, path).where("reason IS NULL")
     if columns is None:
-        names = (pages.select(F.posexplode("head").alias("at", "name")).where("name IS NOT NULL")
+        names = (rows.where("cells IS NULL").select(F.posexplode("head").alias("at", "name"))
                  .groupBy("name").agg(F.min("at").alias("at")).collect())
         columns = [r["name"] for r in sorted(names, key=lambda r: (r["at"], r["name"]))]
-    rows = pages.select("head", F.explode("trs").alias("tr")).select("head", cells(F.col("tr")).alias("c"))
     place = [F.array_position("head", c) for c in columns]
-    return rows.select(*[F.when(at > 0, F.get("c", (at - 1).cast("int"))).alias(c) for c, at in zip(columns, place)])
+    return rows.where("cells IS NOT NULL").select(
+        *[F.when(at > 0, F.get("cells", (at - 1).cast("int"))).alias(c) for c, at in zip(columns, place)])
+
+
+def bad_html(spark: SparkSession, path: str) -> DataFrame:
+    """Pages without a table."""
+    return _html_rows(spark, path).where("reason IS NOT NULL").select("file", "reason", "record")

@@ -1,7 +1,9 @@
 """Ingestion helpers and file formats."""
 
+import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from quillmart.sources import files, formats, sinks
@@ -57,14 +59,149 @@ def test_audit_upsert_keeps_greatest(spark):
     assert got == [("raw", "t1", 7), ("raw", "t2", 9), ("raw", "t3", 1)]
 
 
-def test_html_pages_with_line_breaks_and_their_own_headers(spark):
-    d = tempfile.mkdtemp(dir="/tmp")
-    pages = ["<html><body>\n<table border=1>\n<tr>\n<th>id</th><th>v</th></tr>\n<tr><td>1</td>\n<td> a&amp;b\n</td></tr></table></body>\n</html>",
-             "<HTML><TABLE><TR><TH>v</TH><TH>w</TH></TR><TR><TD></TD><TD>9</TD></TR></TABLE></html>", "<html>no table</html>"]
-    with open(f"{d}/p.html", "w") as f:
-        f.write("\n".join(pages).replace("</HTML>", "</html>"))
-    got = files.read_source(spark, f"{d}/p.html").select("id", "v", "w").collect()
-    assert sorted(map(tuple, got), key=str) == sorted([("1", "a&b", None), (None, None, "9")], key=str)
+def written(text, name):
+    path = f"{tempfile.mkdtemp(dir='/tmp')}/{name}"
+    with open(path, "w", newline="") as f:
+        f.write(text)
+    return path
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    """Every file in splits of a few bytes, so that records cross them."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+    def use(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+
+    yield use
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def rows_of(df, *columns):
+    return sorted(map(tuple, (df.select(*columns) if columns else df).collect()), key=str)
+
+
+PAGES = ["<html><body>\n<table border=1>\n<tr>\n<th>id</th><th>v</th></tr>\n<tr><td>1</td>\n<td> a&amp;b\n</td></tr></table></body>\n</html>",
+         "<HTML><TABLE><TR><TH>v</TH><TH>w</TH></TR><TR><TD></TD><TD>9</TD></TR></TABLE></HTML>", "<html>no table</Html >",
+         "<html><p>1 > 0</p><table><tr><th>id<th>w<tr><td><b>2</b>nd<td><i>x</i> y</table><table><tr><td>other</td></tr></table>"]
+
+
+@pytest.mark.parametrize("size", [10 ** 6, 150, 37, 5])
+def test_html_pages_of_any_case_and_form(spark, tiny_splits, size):
+    path = written("\n".join(PAGES), "p.html")
+    tiny_splits(size)
+    assert rows_of(files.read_source(spark, path), "id", "v", "w") == sorted(
+        [("1", "a&b", None), (None, None, "9"), ("2nd", None, "x y")], key=str)
+    assert [r["reason"] for r in formats.bad_html(spark, path).collect()] == ["no table"]
+
+
+def test_html_of_a_data_frame(spark):
+    import pandas as pd
+    frame = pd.DataFrame({"id": [1, 2], "name": ["a<b", None], "two words": ["x", "y &amp; z"]})
+    got = files.read_source(spark, written(frame.to_html(), "f.html"))
+    assert got.columns == ["Unnamed: 0", "id", "name", "two words"]
+    assert rows_of(got) == [("0", "1", "a<b", "x"), ("1", "2", "None", "y &amp; z")]
+    many = pd.concat([frame, frame], axis=1, keys=["l", "r"])
+    got = files.read_source(spark, written(many.to_html(), "m.html"))
+    assert got.columns == ["Unnamed: 0", "l_id", "l_name", "l_two words", "r_id", "r_name", "r_two words"] and got.count() == 2
+
+
+def cells(page):
+    parser = formats.TableParser()
+    parser.feed(page)
+    return parser.table()
+
+
+def test_table_parser_spans_nesting_and_open_tags():
+    assert cells("<table><tr><th>a<th>b<th>c<tr><td rowspan=2>1<td colspan=2>2<tr><td>3<td>4</table>") == (
+        ["a", "b", "c"], [["1", "2", "2"], ["1", "3", "4"]])
+    assert cells("<table><thead><tr><td>a</td></tr></thead><tbody><tr><th>r</th></tr></tbody><tfoot><tr><td>t</td></tr></tfoot></table>") == (
+        ["a"], [["r"], ["t"]])
+    assert cells("<table><tr><th>a</th></tr><tr><td>x<table><tr><td>in</td><td>ner</td></tr></table>y<script>no</script></td></tr></table>") == (
+        ["a"], [["x in nery"]])
+    assert cells("<table><tr><th>a</th></tr><tr><th>all</th></tr><tr><td>1<br>2</td></tr></table>") == (["a_all"], [["1 2"]])
+    assert cells("<table><tr><td>no header</td></tr></table>") == ([], [["no header"]])
+    assert cells("<table></table>") == ([], []) and cells("nothing") == ([], [])
+    assert cells("<table><tr><th>a<th>b<tr><td rowspan=3>1<td>2<tr><td>3</table>") == (["a", "b"], [["1", "2"], ["1", "3"]])
+
+
+@pytest.mark.parametrize("size", [10 ** 6, 100, 7])
+def test_csv_fields_with_line_breaks_across_splits(spark, tiny_splits, size):
+    import csv
+    import io
+    import random
+    rng = random.Random(size)
+    rows = [[str(i), "".join(rng.choice('ab",\n\r ') for _ in range(rng.randrange(12))), rng.choice(["x", "", "y\nz"])] for i in range(60)]
+    text = io.StringIO()
+    out = csv.writer(text, lineterminator="\n")
+    out.writerows([["id", 'te,"xt', "z\nk"], *rows])
+    path = written(text.getvalue(), "a.csv")
+    tiny_splits(size)
+    got = files.read_source(spark, path)
+    assert got.columns == ["id", 'te,"xt', "z\nk"]
+    assert rows_of(got) == sorted([(a, b or None, c or None) for a, b, c in rows], key=str)
+    assert formats.bad_csv(spark, path).count() == 0
+
+
+def test_csv_headers_and_bad_records(spark):
+    path = tempfile.mkdtemp(dir="/tmp")
+    for name, text in {"1": '"a,b"\tc\tc\n1\t"line one\nline two"\t3\n\n2\n', "2": 'c;d\r\n5;6\r\n7;8;9\r\n"x"y;1\r\n;\r\n',
+                       "3": "", "4": 'c\n"never closed\nend'}.items():
+        with open(f"{path}/{name}.csv", "w", newline="") as f:
+            f.write(text)
+    got = formats.read_csv_fallback(spark, path)
+    assert got.columns == ["a,b", "c", "c.1", "d"]
+    assert rows_of(got) == sorted([("1", "line one\nline two", "3", None), ("2", None, None, None), (None, "5", None, "6"), (None,) * 4], key=str)
+    bad = sorted((r["file"][-5:], r["reason"], r["record"]) for r in formats.bad_csv(spark, path).collect())
+    assert [(f, t) for f, _, t in bad] == [("2.csv", '"x"y;1'), ("2.csv", "7;8;9"), ("4.csv", '"never closed\nend')]
+    assert formats.choose_delimiter('"a,b"\tc') == "\t" and formats.choose_delimiter('"a;b"') == ","
+
+
+@pytest.mark.parametrize("size", [10 ** 6, 60, 9])
+def test_json_column_documents_of_any_layout(spark, tiny_splits, size):
+    import json
+    import pandas as pd
+    frame = pd.DataFrame({"a": ['q"uo\\te\\', "ü\n{[,:]}", None], "b b": [1, 2.5, None], "c": [True, None, {"x": ["y", 1]}]}, dtype=object)
+    plain, pretty = frame.to_json(), json.dumps(json.loads(frame.to_json()), indent=4, ensure_ascii=False)
+    expected = [("0", 'q"uo\\te\\', "1", "true"), ("1", "ü\n{[,:]}", "2.5", None), ("2", None, None, '{"x":["y",1]}')]
+    tiny_splits(size)
+    for text, times in ((plain, 1), (pretty, 1), (plain + "\n" + pretty, 2)):
+        got = files.read_source(spark, written(text, "d.json"))
+        assert got.columns == ["unnamed_0", "a", "b b", "c"] and rows_of(got) == sorted(expected * times, key=str)
+
+
+def test_json_column_documents_with_faults(spark):
+    for text, reason, n in [('{"a": {"0": 1, "1": 2}} {"a": {"0": ', "the document has no end", 2), ('{"a": {"0": 1, "1" 2}}', "unexpected 2 at index:", 1),
+                            ('{"a": {}, "b": {"0": nope}}', None, 0), ('{"a": {"0": "x"}, "b": 3}', "unexpected 3 at rows", 1)]:
+        path = written(text, "d.json")
+        assert files.read_source(spark, path).where("a IS NOT NULL").count() == n
+        bad = formats.bad_json(spark, path).collect()
+        assert len(bad) == 1 and (reason is None or bad[0]["reason"] == reason)
+
+
+def test_json_lines_with_faults(spark):
+    path = written('{"a": 1}\n{"a": \n{"a": 3}\n', "l.json")
+    assert rows_of(files.read_source(spark, path)) == [("1",), ("3",)]
+    assert [r["record"] for r in formats.bad_json(spark, path).collect()] == ['{"a": ']
+
+
+def test_quarantine_of_a_folder(spark):
+    folder = tempfile.mkdtemp(dir="/tmp")
+    spark.range(5).write.parquet(f"{folder}/good.parquet")
+    spark.range(0).write.parquet(f"{folder}/empty.parquet")
+    os.mkdir(f"{folder}/torn.parquet")
+    for name, text in {"torn.parquet/x.parquet": "no parquet", "c.csv": "a,b\n1,2\n1,2,3\n", "j.json": '{"a": 1}\n{"a"\n', "none.csv": "",
+                       "h.html": "<html><table><tr><th>a</th></tr><tr><td>1</td></tr></table></html><html></html>", "x.pkl": "?"}.items():
+        with open(f"{folder}/{name}", "w") as f:
+            f.write(text)
+    names = ["good.parquet", "empty.parquet", "torn.parquet", "c.csv", "j.json", "none.csv", "h.html", "x.pkl"]
+    got = files.quarantine_report(spark, {n: f"{folder}/{n}" for n in names}).collect()
+    assert {r["source"]: (r["good"], r["bad"], r["skipped"]) for r in got} == {
+        "good.parquet": (5, 0, None), "empty.parquet": (0, 0, "empty"), "torn.parquet": (0, 0, "unreadable"), "c.csv": (1, 1, None),
+        "j.json": (1, 1, None), "none.csv": (0, 0, "empty"), "h.html": (1, 1, None), "x.pkl": (0, 0, "pickled Python objects are not loaded")}
 
 
 def test_json_forms(spark):
