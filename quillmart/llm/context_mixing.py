@@ -163,37 +163,29 @@ class Alphabet:
         self.language = np.zeros(len(weights), bool)
         self.language[self.word_ranks[frequent]] = True
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.weights = weights[order]
-
-    def __getstate__(self) -> dict:
-        """What is computed on first use is not sent along."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("codes", "middle", "odds", "of_word", "of_symbol")}
-
-    @cached_property
-    def codes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Codes, left-aligned in 62 bits; and for each bit of each code its
-        symbol, its place, and the first code below the node it leaves."""
+        # Codes, left-aligned in 62 bits; their bits by blocks of symbols.
         step = (1 << (62 - self.lengths)).astype(np.int64)
-        code = np.cumsum(step) - step
-        symbol = np.repeat(np.arange(len(code)), self.lengths)
-        below = 61 - (np.arange(len(symbol)) - self.starts[symbol])
-        return code, symbol, below, code[symbol] >> (below + 1) << (below + 1)
+        code, total = np.cumsum(step) - step, np.concatenate(([0], np.cumsum(weights[order])))
+        self.middle = np.empty(int(self.lengths.sum()), np.int32)
+        self.odds = np.empty(len(self.middle), np.int8)
+        for at in range(0, len(code), 1 << 15):
+            symbol = np.repeat(np.arange(at, min(at + (1 << 15), len(code))), self.lengths[at:at + (1 << 15)])
+            where = slice(int(self.starts[at]), int(self.starts[at]) + len(symbol))
+            below = 61 - (np.arange(where.start, where.stop) - self.starts[symbol])  # place of the bit
+            low, half = code[symbol] >> (below + 1) << (below + 1), np.int64(1) << below
+            middle = np.searchsorted(code, low + half)
+            first, last = np.searchsorted(code, low), np.searchsorted(code, low + half + (half - 1), "right")
+            zeros, ones, came = total[middle] - total[first], total[last] - total[middle], symbol >= middle
+            self.middle[where], self.odds[where] = middle, log_odds(np.where(came, ones, zeros), np.where(came, zeros, ones))
 
-    @cached_property
-    def middle(self) -> np.ndarray:
-        code, _, below, low = self.codes
-        return np.searchsorted(code, low + (np.int64(1) << below)).astype(np.int32)
+    def __getstate__(self) -> dict:
+        """The large tables are compressed on their way to the workers; what is
+        made on first use is not sent along."""
+        kept = {k: v for k, v in self.__dict__.items() if k not in ("of_word", "of_symbol")}
+        return kept | {k: squeeze(kept[k]) for k in ("middle", "odds", "counts")}
 
-    @cached_property
-    def odds(self) -> np.ndarray:
-        """Log odds of each bit of each code without a context."""
-        code, symbol, below, low = self.codes
-        total = np.concatenate(([0], np.cumsum(self.weights)))
-        half = np.int64(1) << below
-        first, last = np.searchsorted(code, low), np.searchsorted(code, low + half + (half - 1), "right")
-        zeros, ones = total[self.middle] - total[first], total[last] - total[self.middle]
-        came = symbol >= self.middle
-        return log_odds(np.where(came, ones, zeros), np.where(came, zeros, ones))
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ = state | {k: expand(state[k]) for k in ("middle", "odds", "counts")}
 
     @cached_property
     def of_word(self) -> dict[bytes, int]:
