@@ -62,7 +62,7 @@ from quillmart.llm.common import cut, drop_cut, release, row_key, ship
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 END = b""  # no word is empty
 CHUNK = 256  # symbols of a document that are scored in a row
-GROUP = 1 << 21  # symbols of a group, about
+GROUP = 1 << 20  # symbols of a group, about
 RANK_BITS = 20
 LANGUAGE_WORDS = 64  # most frequent words that serve as context
 STEPS = 6.0  # log odds are kept in steps of one sixth
