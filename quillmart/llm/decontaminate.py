@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import xxhash
@@ -135,13 +136,15 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = 5, share: fl
                     block: int = 20_000, block_chars: int = 20_000_000, id_col: str = "doc_id",
                     text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document and contained item: ids, the document's row key,
-    the item's shingles found and in all, and their ratio. One map pass over
-    the documents per block of items, no shuffle."""
+    the item's shingles found and in all, and their ratio; of an item id's
+    texts the best match. One map pass over the documents per block of items.
+    With several blocks an item id may lie in more than one: then the matches
+    (not the documents) are shuffled and the best one kept."""
     spark = docs.sparkSession
     ship(spark)
     rows = text_rows(docs, id_col, text_col)
     rows = rows.select("doc_id", *row_key(), "text")
-    found = None
+    parts: list[DataFrame] = []
     for items_now in item_blocks(items, block, block_chars, item_id_col, item_text_col):
         sent = spark.sparkContext.broadcast(Sketches(items_now, words, share))
 
@@ -161,11 +164,16 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = 5, share: fl
 
             return run
 
-        part = map_batches(rows, make, FOUND)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return spark.createDataFrame([], FOUND)
-    return found
+        parts.append(map_batches(rows, make, FOUND))
+    if len(parts) < 2:
+        return parts[0] if parts else spark.createDataFrame([], FOUND)
+    found = reduce(DataFrame.unionByName, (p.withColumn("block", F.lit(i)) for i, p in enumerate(parts)))
+    # A block with a match has one row for each repeated row of the document.
+    best = found.groupBy("doc_id", "k1", "k2", "item_id").agg(
+        F.max(F.struct("containment", "n_found", "n_shingles")).alias("b"),
+        (F.count("*") / F.count_distinct("block")).cast("int").alias("copies"))
+    best = best.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return best.select("doc_id", "k1", "k2", "item_id", "b.n_found", "b.n_shingles", "b.containment")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, words: int = 5, share: float = 0.8,

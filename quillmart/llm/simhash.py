@@ -119,7 +119,15 @@ def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
     """The documents with one row of each component kept, all columns as they
     are. Keepers are found by the row key; repeated rows of a keeper collapse."""
     found = near_duplicates(docs, words, max_bits)
-    keepers = found.select(F.col("keeper.k1").alias("__k1"), F.col("keeper.k2").alias("__k2")).distinct()
-    keyed = docs.withColumns(dict(zip(("__k1", "__k2"), row_key())))
-    kept = keyed.join(keepers, ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"])
-    return kept.drop("__k1", "__k2")
+    a, b = names = [_free(docs, "k1"), _free(docs, "k2")]
+    keepers = found.select(F.col("keeper.k1").alias(a), F.col("keeper.k2").alias(b)).distinct()
+    keyed = docs.withColumns(dict(zip(names, row_key())))
+    return keyed.join(keepers, names, "left_semi").dropDuplicates(names).drop(*names)
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A name that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name

@@ -151,12 +151,15 @@ def _learn_lexicon(rows: DataFrame, most: int, least_docs: int) -> Lexicon:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, lexicon_words: int = 400, rounds: int = 60,
         id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
-    """Learn from at most ``sample`` labelled rows outside the held-out fold,
-    those of the smallest hashes of their ids."""
+    """Learn from at most ``sample`` labelled rows outside the held-out fold
+    whose documents are there, those of the smallest hashes of their ids; where
+    ids have several documents, from at most four times as many, in the same
+    order. So what is broadcast and collected has these bounds."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
     labelled = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(fold != 2)
                 .select(F.col("doc_id").cast("long"), F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")))
-    chosen = smallest_hashes(labelled, sample, "doc_id", "toxic")
+    there = docs.select(F.col(id_col).cast("long").alias("doc_id"))
+    chosen = smallest_hashes(labelled.join(there, "doc_id", "left_semi"), sample, "doc_id", "toxic")
     rows = text_rows(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(10))
     rows = rows.withColumn("part", part)
@@ -169,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000, lexicon_words:
         return run
 
     got = map_batches(rows.where("part >= 3"), make, "doc_id long, toxic int, x array<double>")
-    got = sorted((tuple(r) for r in got.limit(4 * sample).collect()))
+    got = sorted((tuple(r) for r in got.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic", "x").limit(4 * sample).collect()))
     x, y = np.array([r[2] for r in got], float).reshape(-1, N_FEATURES), np.array([r[1] for r in got], int)
     # Each row's margin for the calibration comes from trees that have not seen it.
     margins, fold_of = np.zeros(len(y)), np.arange(len(y)) % 5

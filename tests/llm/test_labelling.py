@@ -100,7 +100,7 @@ def test_samples_are_full_where_few_rows_are_labelled(spark, monkeypatch):
     labels = spark.range(60_000).select(F.col("id").alias("doc_id"), F.expr("if(id % 50 = 0, 1, null)").alias("quality"))
     chosen = []
     monkeypatch.setattr(quality, "smallest_hashes", lambda *a, f=quality.smallest_hashes: chosen.append(f(*a)) or chosen[0])
-    docs = spark.range(0).selectExpr("id AS doc_id", "'' AS text")
+    docs = labels.selectExpr("doc_id", "'' AS text")
     quality.fit(docs, labels, sample=400)
     ids = [r[0] for r in labels.where("quality = 1").orderBy(F.xxhash64("doc_id")).limit(400).select("doc_id").collect()]
     assert len(ids) == 400 and [r["doc_id"] for r in chosen[0].collect()] == ids
@@ -203,3 +203,26 @@ def test_quality_edges(spark, docs, rows, empty):
         assert not any(r["kept"] and r["base_failed"] for r in got)
     rules = quality.fit(empty, labels)
     assert quality.judge(empty, rules).count() == 0 and quality.keep_good(empty, rules).count() == 0
+
+
+def test_quality_rules_reject_planted_repeats_below_the_base_rule(spark):
+    import random
+    rng = random.Random(9)
+    words = ". ".join(" ".join("".join(rng.choice("aeioustnrl") for _ in range(rng.randrange(2, 9))) for _ in range(12)) for _ in range(10))
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    planted = [(-1, words + " " + "the same few words " * 24), (-2, words)]
+    rules = quality.fit(docs, labels)
+    got = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(planted, "doc_id long, text string"), rules).collect()}
+    assert 40 < 100 * got[-1]["n_repeat_words"] / got[-1]["n_words"] < 50
+    assert not got[-1]["base_failed"] and not got[-1]["kept"] and got[-2]["kept"]
+
+
+def test_samples_come_from_labelled_documents_that_are_there(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    absent = spark.range(10 ** 6, 10 ** 6 + 500).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality", "CAST(id % 2 AS INT) AS toxic")
+    more = labels.select("doc_id", "quality", "toxic").unionByName(absent)
+    known = labels.join(docs.select("doc_id"), "doc_id", "left_semi").select("doc_id", "quality", "toxic")
+    for table in (more, known):
+        assert quality.fit(docs, table, sample=60).threshold == quality.fit(docs, known, sample=60).threshold
