@@ -209,7 +209,7 @@ def test_quality_rules_reject_planted_repeats_below_the_base_rule(spark):
     import random
     rng = random.Random(9)
     words = ". ".join(" ".join("".join(rng.choice("aeioustnrl") for _ in range(rng.randrange(2, 9))) for _ in range(12)) for _ in range(10))
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"  # about as many labelled rows as the sample takes
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
     planted = [(-1, words + " " + "the same few words " * 24), (-2, words)]
     rules = quality.fit(docs, labels)
