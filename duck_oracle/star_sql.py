@@ -162,6 +162,10 @@ ORACLE["scd2_initial"] = with_(scd_ctes("customer")[:1], "SELECT * FROM cur")
 for _n, _where in {"merge": "TRUE", "expire": "NOT is_current", "insert": "valid_from = DATE '2024-02-01'",
                    "current_view": "is_current"}.items():
     ORACLE[f"scd2_{_n}"] = with_(scd_ctes("customer"), f"SELECT * FROM done WHERE {_where}")
+_key, _tracked, _ch = RECIPES["customer"]
+ORACLE["scd2_stored_loads"] = with_(scd_ctes("customer") + [
+    f"""third AS (SELECT {_key}, {', '.join(f"CASE WHEN {_key} % 5 = 0 THEN 'OTHER' ELSE {c} END AS {c}" if c == _ch else c for c in _tracked)}
+        FROM customer)""", *merge_ctes("sk", [_key], _tracked, "done", "third", "2024-03-01", "done3")], "SELECT * FROM done3")
 for _tb in ["part", "supplier", "nation"]:
     ORACLE[f"scd2_{_tb}"] = with_(scd_ctes(_tb), "SELECT * FROM done")
 

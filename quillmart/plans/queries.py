@@ -250,6 +250,19 @@ def q_scd2_dimensions(spark, sf):
     return out
 
 
+@query("scd2_stored_loads")
+def q_scd2_stored_loads(spark, sf):
+    """The customer dimension on disk after three loads: the table, the second
+    snapshot of the recipe, and the table again with some segments renamed."""
+    from quillmart.operators.stored_scd import StoredDimension
+    v1, snap, spec = scd_inputs(spark, sf, "customer")
+    third = v1.withColumn("c_mktsegment", F.when(F.col("c_custkey") % 5 == 0, F.lit("OTHER")).otherwise(F.col("c_mktsegment")))
+    dim = StoredDimension(spark, run_folder(spark, "dim_customer"), spec, buckets=16)
+    for day, rows in (("2024-01-01", v1), ("2024-02-01", snap), ("2024-03-01", third)):
+        dim.load(rows, day)
+    return dim.all_versions()
+
+
 # -------------------------------------------------------------------- facts
 
 @query("fact_orders")
@@ -467,6 +480,21 @@ def q_ingest_audit_upsert(spark, sf):
     return audit_upsert(first, second)
 
 
+@query("ingest_audit_table")
+def q_ingest_audit_table(spark, sf):
+    """The same two runs and a third one that repeats the first, committed to
+    the stored audit table as three versions."""
+    from quillmart.sources.sinks import audit_entries, commit_audit, read_audit
+    path = run_folder(spark, "audit")
+    ev = tbl(spark, sf, "events")
+    orders = tbl(spark, sf, "orders").select(F.lit("orders").alias("t"), F.col("o_orderdate").alias("ts"))
+    first = audit_entries(ev.where(F.col("value") < 50), "raw", "event_type", "ts")
+    second = audit_entries(ev.where(~(F.col("value") < 50) | F.col("value").isNull()), "raw", "event_type", "ts")
+    for entries in (first, second.unionByName(audit_entries(orders, "raw", "t", "ts")), first):
+        commit_audit(entries, path)
+    return read_audit(spark, path)
+
+
 @query("raw_append_two_batches")
 def q_raw_append_two_batches(spark, sf):
     """Two appends to one raw table; batch 2 brings a new column. Read back

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmart.sources import versions
+
 
 def append_raw(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append one ingest batch. New columns in later batches are allowed;
@@ -58,3 +60,27 @@ def audit_upsert(audit: DataFrame, entries: DataFrame) -> DataFrame:
     ones: a union and one grouped max (partial aggregation before the shuffle)."""
     return (audit.unionByName(entries).groupBy("schema_name", "table_name")
             .agg(F.max("last_ingested_at").alias("last_ingested_at")))
+
+
+def commit_audit(entries: DataFrame, path: str, attempts: int = 20) -> int:
+    """Merge entries into the stored audit table and commit the result as its
+    next version; when another run committed meanwhile, merge again with what
+    it left, so no run's entries get lost. The version's number."""
+    spark = entries.sparkSession
+    for _ in range(attempts):
+        number, now = versions.latest(spark, path)
+        merged = audit_upsert(spark.read.parquet(f"{path}/{now['rows']}"), entries) if number else audit_upsert(entries.limit(0), entries)
+        folder = versions.new_folder(path, "rows")
+        merged.write.parquet(f"{path}/{folder}")
+        try:
+            return versions.commit(spark, path, number, {"rows": folder})
+        except versions.Conflict:
+            continue
+    raise versions.Conflict(f"{path}: {attempts} other commits came first")
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    number, now = versions.latest(spark, path)
+    if not number:
+        raise FileNotFoundError(f"{path} has no committed version")
+    return spark.read.parquet(f"{path}/{now['rows']}")
