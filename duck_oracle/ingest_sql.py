@@ -89,3 +89,4 @@ UNION ALL
 SELECT 'supplier.html', count(*) FILTER (s_suppkey % 50 % 7 <> 0), count(DISTINCT s_suppkey % 50) FILTER (s_suppkey % 50 % 7 = 0), NULL FROM supplier
 UNION ALL SELECT 'region.parquet', 0, 0, 'empty' UNION ALL SELECT 'nation.xlsx', 0, 0, 'no distributed Excel reader'"""
 ORACLE["ingest_audit_table"] = ORACLE["ingest_audit_upsert"]
+ORACLE["stream_latest_wins"] = ORACLE["dedup_order"]

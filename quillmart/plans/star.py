@@ -149,6 +149,9 @@ def fact_line_items(line_items: DataFrame, fact_orders_df: DataFrame, dim_produc
         F.col("order_id").alias("order_sk"),
         F.coalesce("product_sk", F.lit(0)).cast("bigint").alias("product_sk"),
         "merchant_sk", "user_sk", "staff_sk", "date_sk", "price", "quantity")
-    if existing is not None:
-        out = out.join(existing.select("order_sk", "line_item_id"), ["order_sk", "line_item_id"], "left_anti")
-    return out
+    return out if existing is None else not_loaded(out, existing)
+
+
+def not_loaded(lines: DataFrame, existing: DataFrame) -> DataFrame:
+    """The line facts whose (order, line) pair is not among the loaded ones."""
+    return lines.join(existing.select("order_sk", "line_item_id"), ["order_sk", "line_item_id"], "left_anti")

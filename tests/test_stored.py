@@ -93,3 +93,46 @@ def test_overlapping_audit_runs_keep_both_entries(spark, monkeypatch):
     assert rows_of(sinks.read_audit(spark, path)) == [(1, "raw", "c"), (7, "raw", "b"), (9, "raw", "a")]
     with pytest.raises(FileNotFoundError):
         sinks.read_audit(spark, folder())
+
+
+def test_an_incremental_load_skips_files(spark):
+    from quillmart.sources.stored_fact import StoredFact
+    fact = StoredFact(spark, folder(), "order_id")
+    rows = lambda a, b: spark.range(a, b).select(F.format_string("O%06d", "id").alias("order_id"), "id")
+    assert fact.files_for(rows(0, 1)) == []
+    for a in (0, 1000, 2000):
+        fact.load(rows(a, a + 1000))
+    every, met = set(fact.read().inputFiles()), fact.files_for(rows(2990, 3100))
+    assert 0 < len(met) <= len(every) / 3
+    existing = fact.loaded(rows(2990, 3100), ["order_id"])
+    assert len(existing.inputFiles()) == len(met) and existing.count() <= 1000
+    new = rows(2990, 3100).join(existing, "order_id", "left_anti")
+    assert new.count() == 100
+    fact.load(new)
+    assert fact.read().count() == 3100 and fact.read().select("order_id").distinct().count() == 3100
+    assert fact.loaded(rows(9000, 9001), ["order_id"]).count() == 0
+    fact.load(rows(0, 5), "truncate")
+    assert fact.read().count() == 5
+    with pytest.raises(ValueError):
+        fact.load(rows(0, 5), "replace")
+
+
+def test_streaming_latest_wins_equals_the_batch_form(spark):
+    import random
+    from quillmart.operators.dedup import latest_wins
+    from quillmart.streaming.latest import LatestTable, ingest_latest
+    rng = random.Random(3)
+    schema = "k int, a string, b int, t int"
+    rows = [(rng.choice([None, *range(40)]), rng.choice(["x", "y", None]), rng.choice([1, None]), rng.choice([None, 1, 2, 3])) for _ in range(400)]
+    base = folder()
+    table = LatestTable(spark, f"{base}/table", ["k"], ["a", "b"], "t", buckets=4)
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    for arrived in (rows[:150], rows[150:300], rows[300:]):
+        spark.createDataFrame(arrived, schema).repartition(3).write.mode("append").parquet(f"{base}/in")
+        assert ingest_latest(spark, f"{base}/in", table, f"{base}/checkpoint", max_files=2) > 0
+        so_far = spark.read.parquet(f"{base}/in")
+        assert rows_of(table.read()) == rows_of(latest_wins(so_far, ["k"], ["a", "b"], "t"))
+    before = versions.latest(spark, table.path)
+    table.upsert(spark.createDataFrame([(1, "other", 9, 99)], schema), before[1]["batch"])  # a batch that is run again
+    assert versions.latest(spark, table.path) == before
