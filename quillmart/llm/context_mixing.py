@@ -9,7 +9,7 @@ the training documents, given the bits of the symbol before it and
 * nothing else,
 * within a word the piece before, else the last very frequent word (which
   tells the language),
-* the two symbols before,
+* the two symbols before (behind a word's first piece: that piece),
 
 the latter two as hashed contexts. Their opinions (log odds) are added with weights
 that a gate chooses by which contexts are known; the weights follow the coding
@@ -65,12 +65,12 @@ CHUNK = 256  # symbols of a document that are scored in a row
 GROUP = 1 << 20  # symbols of a group, about
 RANK_BITS = 20
 LANGUAGE_WORDS = 64  # most frequent words that serve as context
-STEPS = 6.0  # log odds are kept in steps of one sixth
+STEPS = 2.0  # log odds are kept in steps of one half
 PRIOR = 0.4  # of either bit
 RATE, HIT_RATE = 0.01, 0.02
 LEVELS = 16  # of confidence
 LANES = 2048  # stretches that are scored side by side
-TOGETHER = 8  # bits of a stretch that are scored with the same weights
+TOGETHER = 16  # bits of a stretch that are scored with the same weights
 FINAL2, FINAL1, INNER1, PIECES = 1 << 16, 2 << 16, (2 << 16) + 256, (2 << 16) + 512
 # Weights at first (no context, near context, two symbols), by the gate: whether
 # the two symbols were seen before.
@@ -257,9 +257,11 @@ class Stretches:
         one, two, near = stream[at - 1], stream[at - 2], stream[last[at - 1]]
         inner = np.append(alphabet.inner, False)  # -1: before the document
         inside = inner[one]
-        zero = np.zeros(1, np.int32)
+        # Behind a word's first piece both contexts are that piece: one question.
+        same = inside & ~inner[two]
         self.near = hashed([np.where(inside, 1, 2), np.where(inside, one, near) + 1], bits)
-        self.pair = hashed([np.where(inside, 3, 4), one + 1, np.where(inside & ~inner[two], zero, two + 1)], bits)
+        self.pair = np.where(same, self.near, hashed([np.where(inside, 3, 4), one + 1, two + 1], bits))
+        self.counts = np.concatenate((self.train, self.train & ~same))
 
     def keys(self) -> np.ndarray:
         return np.concatenate((self.near, self.pair)) << np.uint64(RANK_BITS) | np.tile(self.symbols, 2).astype(np.uint64)
@@ -284,7 +286,7 @@ def request(rows: pa.Table, alphabet: Alphabet, plan: Plan) -> Iterator[tuple]:
     words with its own training counts."""
     group = rows["group"][0].as_py()
     s = Stretches(rows, alphabet, plan.bits)
-    flagged = np.sort(s.keys() << np.uint64(1) | np.tile(s.train, 2).astype(np.uint64))
+    flagged = np.sort(s.keys() << np.uint64(1) | s.counts.astype(np.uint64))
     for kind, flagged, bits in ((0, flagged, plan.bits + RANK_BITS), (1, None, 63)):
         if kind:
             rare = [np.frombuffer(b.as_buffer(), "<u8") for b in rows["rare"]]
@@ -429,7 +431,7 @@ def mixed_bits(odds: list[np.ndarray], lengths: np.ndarray) -> np.ndarray:
         if over is not None:
             p[over] = 0
             follow[over] = 0
-        np.add.at(hits, cell.ravel(), follow.ravel())
+        hits[cell] = hit + follow  # of bits of one confidence the last one counts
         cost[:n] -= p.sum(0)
     return cost
 

@@ -72,7 +72,8 @@ def brute_bits(rows, words):
             if one in frequent:
                 near = one
             inside = one is not None and one[0] == "inner"
-            yield s, ("in", one) if inside else ("near", near), ("two", one, two if not inside or (two and two[0] == "inner") else None, inside)
+            near_by = ("in", one) if inside else ("near", near)
+            yield s, near_by, near_by if inside and not (two and two[0] == "inner") else ("two", one, two)
 
     node = Counter()
     for s, w in zip(listed, weights):
@@ -81,7 +82,7 @@ def brute_bits(rows, words):
     for i, t in rows:
         if not held(i):
             for s, *known in contexts(symbols(t)):
-                for k in known:
+                for k in set(known):
                     for j in range(len(code[s])):
                         node[k, code[s][:j + 1]] += 1
     out = []
@@ -99,7 +100,7 @@ def brute_bits(rows, words):
         def follow():
             for gate, x, p, level, hit, sign in done:
                 weights_now[gate] += cm.RATE * (1 - p) * np.array(x) * [1, 1, gate]
-                hits[gate, level] += cm.HIT_RATE * ((1 if sign > 0 else 0 if sign < 0 else 0.5) - hit)
+                hits[gate, level] = hit + cm.HIT_RATE * ((1 if sign > 0 else 0 if sign < 0 else 0.5) - hit)
             done.clear()
 
         for place, (s, *known) in enumerate(contexts(line)):
