@@ -146,7 +146,7 @@ def test_scores_against_dictionaries_of_counts(spark, small):
     expected = sorted((str(b[0]), round(b[5], 6), bits) for b, bits in zip(base, brute_bits(small, 300)))
     found = sorted((str(r["doc_id"]), round(r["base_score"], 6), -r["score"] / math.log10(2)) for r in got)
     for e, f in zip(expected, found):
-        assert e[:2] == f[:2] and f[2] == pytest.approx(e[2], rel=2e-4)
+        assert e[:2] == f[:2] and f[2] == pytest.approx(e[2], rel=2e-3)  # single precision
 
 
 def test_groups_and_buckets_do_not_change_scores(spark, small, monkeypatch):
