@@ -11,13 +11,13 @@ from quillmart.llm.common import cut
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node sends its larger neighbours to its smallest neighbour."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
     return both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours go to the smallest of these."""
-    least = edges.groupBy("b").agg(F.min("a").alias("m"))
+    least = cut(edges.groupBy("b").agg(F.min("a").alias("m")))
     inner = edges.join(least, "b").where("a > m").select(F.col("m").alias("a"), F.col("a").alias("b"))
     return inner.union(least.select(F.col("m").alias("a"), "b")).distinct()
 
@@ -26,8 +26,10 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``edges`` (columns a, b): root is the
     smallest node that can be reached. Alternating large and small stars, all
     as aggregates and joins; each round's edges are checkpointed, and only two
-    numbers per round reach the driver. Hubs appear as skewed join keys that
-    adaptive execution splits. No edges: no rows."""
+    numbers per round reach the driver. A hub is a skewed join key; the other
+    side, one row per node, is checkpointed first, so that both sides of the
+    join are shuffled as they are and adaptive execution can split the hub. No
+    edges: no rows."""
     stars = cut(edges.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     state = None
     while True:

@@ -6,10 +6,14 @@ starts with it and the shortest that ends with it. Each sentence of a longer
 run lies in one of these inside that run, so a sentence is found as if every
 run were hashed. The hashes are joined globally, and a sentence goes if any run that is not the
 first of its hash covers it. First: the smallest document id, then the row
-key, then the place; so a passage stays in one document. Runs are counted
-before they are joined, and the join on a hash with very many runs is a plain
-equi-join with one row per hash on the other side, which adaptive execution
-splits; nothing is gathered per hash.
+key, then the place; so a passage stays in one document.
+
+A text is cut into sentences once; a small row per document (ends, hashes and
+word counts of its sentences) is checkpointed, and runs are made from that
+both times they are needed. The first runs of repeated hashes are found by an
+aggregate and checkpointed, so that the join of all runs with them is a join of
+two shuffled sides, in which adaptive execution splits a hash with very many
+runs; nothing is gathered per hash.
 
 A sentence ends after . ! or ? and white space, or at a line break; its hash
 takes its lower-case words without punctuation, so copies that differ in these
@@ -25,15 +29,19 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
+from array import array
 
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmart.llm.common import cut, map_batches, row_key, text_rows, words_of
+from quillmart.llm.common import cut, map_batches, release, row_key, text_rows, words_of
 
 _BREAK = re.compile(r"[.!?]+[\"')\]]*\s+|\s*\n\s*")
 LAST = (1 << 63) - 1
+_TWO = struct.Struct("<qq")
+SENTENCES = "d long, k1 long, ends binary, hashes binary, words binary"
 RUNS = "h1 long, h2 long, d long, k1 long, at int, until int"
 RESULT = ("doc_id long, n_sentences long, n_removed long, removed array<struct<start: long, `end`: long>>, "
           "kept_sha256 string, kept_text string")
@@ -58,54 +66,80 @@ def sentences_of(text: str) -> list[tuple[int, int, str, int]]:
     return [tuple(s) for s in out if s[1] > s[0]]
 
 
-def runs_of(found: list[tuple[int, int, str, int]], sentences: int, least_words: int) -> list[tuple[int, int, int, int]]:
+def runs_of(words: list[int], hashes: bytes, sentences: int, least_words: int) -> list[tuple[int, int, int, int]]:
     """(hash high, hash low, first sentence, sentence after the last) of the
-    shortest runs from each sentence on and up to each sentence."""
-    spans, n = set(), len(found)
-    j = words = 0
+    shortest runs from each sentence on and up to each sentence, from the number
+    of words and the 16-byte hash of each sentence."""
+    spans, n = set(), len(words)
+    j = total = 0
     for i in range(n):
-        while j < n and (j - i < sentences or words < least_words):
-            words += found[j][3]
+        while j < n and (j - i < sentences or total < least_words):
+            total += words[j]
             j += 1
-        if j - i < sentences or words < least_words:
+        if j - i < sentences or total < least_words:
             break
         spans.add((i, j))
-        words -= found[i][3]
-    i = words = 0
+        total -= words[i]
+    i = total = 0
     for j in range(1, n + 1):
-        words += found[j - 1][3]
-        while j - i > sentences and words - found[i][3] >= least_words:
-            words -= found[i][3]
+        total += words[j - 1]
+        while j - i > sentences and total - words[i] >= least_words:
+            total -= words[i]
             i += 1
-        if j - i >= sentences and words >= least_words:
+        if j - i >= sentences and total >= least_words:
             spans.add((i, j))
-    out = []
-    for i, j in sorted(spans):
-        h = xxhash.xxh3_128_digest("\n".join(s[2] for s in found[i:j]).encode())
-        out.append((int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True), i, j))
-    return out
+    digest, two = xxhash.xxh3_128_digest, _TWO.unpack
+    return [(*two(digest(hashes[16 * i:16 * j])), i, j) for i, j in sorted(spans)]
 
 
-def repeated_sentences(docs: DataFrame, sentences: int = 2, least_words: int = 20,
-                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``d, k1`` (id and row key) and ``spans`` (first sentence, sentence after
-    the last) of the runs of a document that are not the first of their hash."""
+def sentence_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row (SENTENCES) per document row: where its sentences end, in code
+    points, their hashes and numbers of words; checkpointed."""
     rows = text_rows(docs, id_col, text_col)
     keyed = rows.select(F.coalesce("doc_id", F.lit(LAST)).alias("d"), row_key()[0], "text")
 
     def make():
         def run(c: dict) -> dict:
-            out = [(h1, h2, d, k1, i, j) for d, k1, t in zip(c["d"], c["k1"], c["text"])
-                   for h1, h2, i, j in runs_of(sentences_of(t), sentences, least_words)]
+            found = [sentences_of(t) for t in c["text"]]
+            digest = xxhash.xxh3_128_digest
+            return {"d": c["d"], "k1": c["k1"], "ends": [array("q", [s[1] for s in f]).tobytes() for f in found],
+                    "hashes": [b"".join([digest(s[2].encode()) for s in f]) for f in found],
+                    "words": [array("q", [s[3] for s in f]).tobytes() for f in found]}
+
+        return run
+
+    return cut(map_batches(keyed, make, SENTENCES))
+
+
+def _runs(found: DataFrame, sentences: int, least_words: int) -> DataFrame:
+    def make():
+        def run(c: dict) -> dict:
+            out = [(h1, h2, d, k1, i, j) for d, k1, hashes, words in zip(c["d"], c["k1"], c["hashes"], c["words"])
+                   for h1, h2, i, j in runs_of(array("q", words).tolist(), hashes, sentences, least_words)]
             names = [f.split()[0] for f in RUNS.split(", ")]
             return dict(zip(names, zip(*out))) if out else {n: [] for n in names}
 
         return run
 
-    runs = map_batches(keyed, make, RUNS)
-    firsts = (runs.groupBy("h1", "h2").agg(F.min(F.struct("d", "k1", "at")).alias("first"), F.count("*").alias("n"))
-              .where("n > 1").select("h1", "h2", "first"))
-    again = runs.join(firsts, ["h1", "h2"]).where(F.struct("d", "k1", "at") != F.col("first"))
+    return map_batches(found.select("d", "k1", "hashes", "words"), make, RUNS)
+
+
+def first_runs(runs: DataFrame) -> DataFrame:
+    """The first run of each hash that has several."""
+    return (runs.groupBy("h1", "h2").agg(F.min(F.struct("d", "k1", "at")).alias("first"), F.count("*").alias("n"))
+            .where("n > 1").select("h1", "h2", "first"))
+
+
+def later_runs(runs: DataFrame, firsts: DataFrame) -> DataFrame:
+    return runs.join(firsts, ["h1", "h2"]).where(F.struct("d", "k1", "at") != F.col("first"))
+
+
+def repeated_sentences(found: DataFrame, sentences: int = 2, least_words: int = 20) -> DataFrame:
+    """``d, k1`` (id and row key) and ``spans`` (first sentence, sentence after
+    the last) of the runs of a document that are not the first of their hash."""
+    firsts = cut(first_runs(_runs(found, sentences, least_words)))
+    release(found.sparkSession)
+    again = later_runs(_runs(found, sentences, least_words), firsts)
     return again.groupBy("d", "k1").agg(F.collect_set(F.struct("at", "until")).alias("spans"))
 
 
@@ -113,19 +147,22 @@ def remove_repeats(docs: DataFrame, sentences: int = 2, least_words: int = 20,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document (RESULT): its sentences, the removed stretches in
     code points, and the kept text."""
-    repeats = cut(repeated_sentences(docs, sentences, least_words, id_col, text_col))
+    found = sentence_rows(docs, id_col, text_col)
+    repeats = cut(repeated_sentences(found, sentences, least_words))
+    release(docs.sparkSession)
     rows = text_rows(docs, id_col, text_col)
     rows = rows.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("d"), row_key()[0], "text")
+    parts = found.select("d", "k1", "ends").dropDuplicates(["d", "k1"]).join(repeats, ["d", "k1"], "left")
 
     def make():
         def run(c: dict) -> dict:
             out = []
-            for doc_id, text, spans in zip(c["doc_id"], c["text"], c["spans"]):
-                found = sentences_of(text)
+            for doc_id, text, ends, spans in zip(c["doc_id"], c["text"], c["ends"], c["spans"]):
+                ends = array("q", ends).tolist()
                 gone = sorted({s for r in spans or [] for s in range(r["at"], r["until"])})
                 kept, removed, at = [], [], 0
                 for s in gone:
-                    a, b = found[s][:2]
+                    a, b = ends[s - 1] if s else 0, ends[s]
                     if removed and removed[-1]["end"] == a:
                         removed[-1]["end"] = b
                     else:
@@ -134,11 +171,11 @@ def remove_repeats(docs: DataFrame, sentences: int = 2, least_words: int = 20,
                     kept.append(text[at:r["start"]])
                     at = r["end"]
                 kept = "".join(kept) + text[at:]
-                out.append((doc_id, len(found), len(gone), removed, hashlib.sha256(kept.encode()).hexdigest(), kept))
+                out.append((doc_id, len(ends), len(gone), removed, hashlib.sha256(kept.encode()).hexdigest(), kept))
             names = ("doc_id", "n_sentences", "n_removed", "removed", "kept_sha256", "kept_text")
             return dict(zip(names, zip(*out))) if out else {n: [] for n in names}
 
         return run
 
-    joined = rows.join(repeats, ["d", "k1"], "left").select("doc_id", "text", "spans")
+    joined = rows.join(parts, ["d", "k1"]).select("doc_id", "text", "ends", "spans")
     return map_batches(joined, make, RESULT)

@@ -116,6 +116,11 @@ def test_runs_do_not_depend_on_where_a_text_is_cut(monkeypatch, spark):
     assert [(s["start"], s["end"]) for s in got[1]] == [(0, 3000)] and [(s["start"], s["end"]) for s in got[2]] == [(9, 3009)]
 
 
+def span_runs(found):
+    hashes = b"".join(xxhash.xxh3_128_digest(s[2].encode()) for s in found)
+    return sentence_spans.runs_of([s[3] for s in found], hashes, 2, 20)
+
+
 def test_sentence_spans_against_brute_force(docs, rows, empty):
     big = 1 << 63
     found = [sentence_spans.sentences_of(t or "") for _, t in rows]
@@ -123,12 +128,12 @@ def test_sentence_spans_against_brute_force(docs, rows, empty):
         assert "".join((t or "")[a:b] for a, b, _, _ in s) == (t or "")
     first = {}
     for (i, t), s in zip(rows, found):
-        for h1, h2, a, _ in sentence_spans.runs_of(s, 2, 20):
+        for h1, h2, a, _ in span_runs(s):
             at = (big if i is None else i, a)
             first[h1, h2] = min(first.get((h1, h2), at), at)
     expected = []
     for (i, t), s in zip(rows, found):
-        gone = {k for h1, h2, a, b in sentence_spans.runs_of(s, 2, 20)
+        gone = {k for h1, h2, a, b in span_runs(s)
                 if first[h1, h2] != (big if i is None else i, a) for k in range(a, b)}
         expected.append((i, len(s), len(gone), "".join((t or "")[x:y] for k, (x, y, _, _) in enumerate(s) if k not in gone)))
     got = sentence_spans.remove_repeats(docs).select("doc_id", "n_sentences", "n_removed", "kept_text").collect()
@@ -205,3 +210,37 @@ def test_decontamination_against_brute_force(spark, docs, rows, empty):
     assert bad and decontaminate.contained_items(empty, table).count() == 0
     assert decontaminate.contained_items(docs, table.where("false")).count() == 0
     assert decontaminate.drop_contaminated(docs, table.where("false")).count() == len(rows)
+
+
+@pytest.fixture
+def tiny_skew(spark):
+    """Adaptive execution that takes a few KB for a hot partition."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def skew_is_split(df):
+    df.collect()
+    return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_run_is_split(spark, tiny_skew):
+    from quillmart.llm.common import cut
+    runs = spark.range(60_000).repartition(8).selectExpr("if(id % 3 = 0, id, 7L) AS h1", "if(id % 3 = 0, id, 7L) AS h2", "id AS d", "id AS k1", "0 AS at", "2 AS until")
+    later = sentence_spans.later_runs(cut(runs), cut(sentence_spans.first_runs(runs)))
+    assert skew_is_split(later) and later.count() == 39_999 + 1 - 1
+
+
+def test_a_hub_is_split(spark, tiny_skew, monkeypatch):
+    from quillmart.llm import graph
+    edges = graph.cut(spark.range(1, 60_000).repartition(8).selectExpr("if(id % 3 = 0, id, 0L) AS a", "id + 100000 AS b"))
+    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = graph.cut(both.groupBy("a").agg(F.min("b").alias("m")))
+    assert skew_is_split(both.where("b > a").join(least, "a"))
