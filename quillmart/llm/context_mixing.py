@@ -61,7 +61,7 @@ from quillmart.llm.common import cut, drop_cut, release, row_key, ship
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 END = b""  # no word is empty
-CHUNK = 256  # symbols of a document that are scored in a row
+CHUNK = 512  # symbols of a document that are scored in a row
 GROUP = 1 << 20  # symbols of a group, about
 RANK_BITS = 20
 LANGUAGE_WORDS = 64  # most frequent words that serve as context
@@ -69,7 +69,7 @@ STEPS = 2.0  # log odds are kept in steps of one half
 PRIOR = 0.4  # of either bit
 RATE, HIT_RATE = 0.01, 0.02
 LEVELS = 16  # of confidence
-LANES = 2048  # stretches that are scored side by side
+LANES = 1024  # stretches that are scored side by side
 TOGETHER = 16  # bits of a stretch that are scored with the same weights
 FINAL2, FINAL1, INNER1, PIECES = 1 << 16, 2 << 16, (2 << 16) + 256, (2 << 16) + 512
 # Weights at first (no context, near context, two symbols), by the gate: whether
@@ -241,7 +241,7 @@ class Stretches:
     with their two contexts."""
 
     def __init__(self, rows: pa.Table, alphabet: Alphabet, bits: int):
-        symbols = [np.frombuffer(b.as_buffer(), "<i4") for b in rows["symbols"]]
+        symbols = [expand(b) for b in rows["symbols"].to_pylist()]
         self.lengths = np.array([len(s) for s in symbols], np.int64)
         lead = np.array(rows["before"].to_pylist(), np.int32).reshape(-1, 3)
         stream = np.concatenate([x for pair in zip(lead, symbols) for x in pair])
@@ -581,7 +581,7 @@ def encode(docs: list[tuple[int | None, str | None, int, int]], alphabet: Alphab
         if a > doc_start:
             near = marks[a - 1]
             before = [int(symbols[near]) if near >= doc_start else -1, int(symbols[a - 2]) if a - 2 >= doc_start else -1, int(symbols[a - 1])]
-        rows.append(((k1 + chunk * 0x9E3779B1) % plan.groups, k1, k2, chunk, train, before, symbols[a:b].tobytes(),
+        rows.append(((k1 + chunk * 0x9E3779B1) % plan.groups, k1, k2, chunk, train, before, squeeze(symbols[a:b]),
                      hashes[rare_at[i]:rare_at[i + 1]].tobytes(), n, sums[0][i], sums[1][i], sums[2][i]))
         chunk += 1
     return rows
