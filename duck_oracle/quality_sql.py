@@ -200,3 +200,37 @@ SELECT table_name, CAST(COUNT(*) AS BIGINT) AS checks,
        CAST(COUNT(*) FILTER (WHERE severity <> 'critical' AND NOT passed) AS BIGINT) AS info_failed,
        bool_and(severity <> 'critical' OR passed) AS table_passed
 FROM ({_full()}) r GROUP BY table_name"""
+
+# The stored tables: declared lengths and Spark's type names; of the broken copy what is stored.
+LENGTHS = {
+    "campaign": {"campaign_id": 13, "campaign_name": 60, "campaign_description": 150}, "product": {"product_id": 12, "product_name": 100, "product_type": 50},
+    "line_item": {"order_id": 36, "product_name": 100, "product_id": 12},
+    "merchant": {"merchant_id": 13, "name": 40, "street": 40, "state": 27, "city": 20, "country": 52, "contact_number": 20},
+    "order": {"order_id": 36, "campaign_id": 13, "user_id": 9, "merchant_id": 13, "staff_id": 12},
+    "staff": {"staff_id": 12, "name": 40, "job_level": 20, "street": 40, "state": 27, "city": 20, "country": 52, "contact_number": 20},
+    "credit_card": {"user_id": 9, "name": 40, "issuing_bank": 20}, "user_job": {"user_id": 9, "name": 40, "job_title": 20, "job_level": 20},
+    "user": {"user_id": 9, "name": 40, "street": 40, "state": 27, "city": 20, "country": 52, "gender": 6, "device_address": 17, "user_type": 8}}
+SPARK_TYPE = {"DECIMAL(5,4)": "decimal(5,4)", "DECIMAL(10,2)": "decimal(10,2)", "INTEGER": "int", "DATE": "date", "BOOLEAN": "boolean",
+              "TIMESTAMP": "timestamp_ntz"}
+STORED_BROKEN = {"product_id": (2, "string"), "product_name": (1, "string"), "price": (3, "decimal(6,1)")}
+
+
+def _stored(table: str, i: int, c: str, place: int, kind: str | None, name: str) -> str:
+    expected = SPARK_TYPE.get(TYPES.get(c), "string")
+    longest = f"coalesce(max(length({c})), 0)" if kind == "string" else "CAST(NULL AS BIGINT)"
+    fits = f"{longest} <= {LENGTHS[table][c]}" if kind == "string" else "TRUE"
+    return f"""SELECT '{name}' AS table_name, '{c}' AS column_name, {i + 1} AS expected_ordinal, {place} AS ordinal, '{expected}' AS expected_type,
+        {f"'{kind}'" if kind else 'CAST(NULL AS VARCHAR)'} AS type, count(*) AS rows,
+        {f"count(*) FILTER (WHERE {c} IS NULL)" if kind else 'CAST(NULL AS BIGINT)'} AS missing, {longest} AS longest,
+        {str(place == i + 1 and kind == expected).upper()} AND {fits} AS passed FROM {cleaned_sql(table)} s"""
+
+
+ORACLE["dq_stored_contract"] = " UNION ALL ".join(
+    [_stored(t, i, c, i + 1, SPARK_TYPE.get(TYPES.get(c), "string"), t) for t, cols in CONTRACT.items() for i, c in enumerate(cols)]
+    + [_stored("product", i, c, *STORED_BROKEN.get(c, (0, None)), "product_broken") for i, c in enumerate(CONTRACT["product"])])
+
+ORACLE["dq_unnamed_columns"] = """
+SELECT 'raw_customer' AS table_name, 'unnamed_columns' AS check_name, 'unnamed_0,unnamed_extra' AS column_name,
+       CAST((count(c_custkey) > 0)::INT + (count(c_nationkey) > 0)::INT AS DOUBLE) AS observed, CAST(0 AS DOUBLE) AS threshold,
+       count(c_custkey) = 0 AND count(c_nationkey) = 0 AS passed, 'critical' AS severity FROM customer
+UNION ALL SELECT 'customer', 'unnamed_columns', NULL, 0, 0, TRUE, 'critical' FROM (SELECT count(*) FROM customer) c"""

@@ -155,3 +155,31 @@ def contract_rows(df: DataFrame, table: str, contract: Sequence[tuple]) -> DataF
                              F.count(F.lit(1)).cast("bigint").alias("rows"), missing.cast("bigint").alias("missing"),
                              lost.cast("bigint").alias("other_type")))
     return df.agg(F.array(*rows).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+
+
+def stored_contract_rows(df: DataFrame, table: str, contract: Sequence[tuple]) -> DataFrame:
+    """Per contract column of a stored table: its place and type there beside
+    the contract's (place 0, no type: the column is missing), its missing values
+    and its longest text beside the allowed length. ``passed``: place and type
+    are the contract's and no text is too long. One aggregate a table."""
+    found, rows = dict(df.dtypes), []
+    for i, (c, t, length) in enumerate(contract):
+        there = c in found
+        at = df.columns.index(c) + 1 if there else 0
+        longest = F.coalesce(F.max(F.length(c)), F.lit(0)) if there and found[c] == "string" else F.lit(None)
+        fits = F.lit(True) if length is None or not there else F.coalesce(longest <= F.lit(length), F.lit(True))
+        rows.append(F.struct(
+            F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.lit(i + 1).alias("expected_ordinal"), F.lit(at).alias("ordinal"),
+            F.lit(t).alias("expected_type"), F.lit(found.get(c)).cast("string").alias("type"), F.count(F.lit(1)).cast("bigint").alias("rows"),
+            (F.count_if(F.col(c).isNull()) if there else F.lit(None)).cast("bigint").alias("missing"),
+            longest.cast("bigint").alias("longest"), (F.lit(at == i + 1 and found.get(c) == t) & fits).alias("passed")))
+    return df.agg(F.array(*rows).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+
+
+def unnamed_columns(df: DataFrame, table: str) -> DataFrame:
+    """A check row: how many columns with a leftover name (``unnamed...``) hold
+    values."""
+    left = [c for c in df.columns if c.lower().startswith("unnamed")]
+    used = [(F.count(F.col(f"`{c}`")) > 0).cast("int") for c in left]
+    total = sum(used[1:], used[0]) if used else F.count(F.lit(1)) * 0
+    return single(df.agg(total.cast("double").alias("observed")), table, "unnamed_columns", ",".join(left) or None, 0, "critical")

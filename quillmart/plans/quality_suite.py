@@ -108,14 +108,24 @@ def row_reconcile(spark, sf) -> DataFrame:
 
 
 def reconcile(sources: dict[str, DataFrame], targets: dict[str, DataFrame]) -> DataFrame:
-    """Source and target row counts per table, joined on the table name."""
-    def counts(frames, name):
-        return reduce(DataFrame.unionByName, [
-            d.agg(F.count(F.lit(1)).cast("bigint").alias(name)).select(F.lit(t).alias("table_name"), name)
-            for t, d in frames.items()])
-    j = counts(sources, "source_rows").join(counts(targets, "target_rows"), "table_name", "full_outer")
-    return j.select("table_name", "source_rows", "target_rows",
-                    F.coalesce(F.col("source_rows") == F.col("target_rows"), F.lit(False)).alias("matched"))
+    """Source and target row counts per table, joined on the table name. They
+    match if the rows do too: both sides have an order-free fingerprint of all
+    rows (the sum and the exclusive or of their hashes, repeated rows included),
+    taken in the same pass as the count. Columns are compared by name; one that
+    a side lacks is a difference."""
+    def counted(frames, name):
+        return reduce(DataFrame.unionByName, [_fingerprint(d, t, name) for t, d in frames.items()])
+    j = counted(sources, "source").join(counted(targets, "target"), "table_name", "full_outer")
+    same = (F.col("source_rows") == F.col("target_rows")) & F.col("source_print").eqNullSafe(F.col("target_print"))
+    return j.select("table_name", "source_rows", "target_rows", F.coalesce(same, F.lit(False)).alias("matched"))
+
+
+def _fingerprint(rows: DataFrame, table: str, name: str) -> DataFrame:
+    cells = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000"))) for c in sorted(rows.columns)]
+    h = F.xxhash64(*cells)
+    return rows.agg(F.count(F.lit(1)).cast("bigint").alias(f"{name}_rows"),
+                    F.struct(F.sum(h.cast("decimal(38,0)")), F.bit_xor(h)).alias(f"{name}_print")).select(
+        F.lit(table).alias("table_name"), f"{name}_rows", f"{name}_print")
 
 
 def primary_keys(tables: dict[str, DataFrame], sks: dict[str, list[str]], naturals: dict[str, tuple]) -> DataFrame:
@@ -146,18 +156,54 @@ FOREIGN_KEYS = [
 
 
 def foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
-    """Per foreign key the rows whose key is missing from the referenced
-    table (anti join of the counted key values; NULL refers to nothing), and
-    the rows that refer to the unknown member 0."""
-    reports = []
-    for table, column, other, key in FOREIGN_KEYS:
-        used = tables[table].where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_k")).agg(
-            F.count(F.lit(1)).alias("_n"))
-        known = tables[other].select(F.col(key).alias("_k")).distinct()
-        total = F.coalesce(F.sum("_n"), F.lit(0)).cast("double").alias("observed")
-        reports.append(Q.single(used.join(known, "_k", "left_anti").agg(total), table, "orphans", column, 0, "critical"))
+    """Per foreign key the rows whose key is missing from the referenced table
+    (NULL refers to nothing), and the rows that refer to the unknown member 0.
+
+    Each table is read once for all its keys: a row becomes one (constraint,
+    key) pair per foreign key, counted before the shuffle. The referenced keys
+    of all tables are stacked likewise, so one anti join serves all."""
+    used, refs = [], []
+    for table in dict.fromkeys(t for t, *_ in FOREIGN_KEYS):
+        pairs = [F.struct(F.lit(i).alias("i"), F.lit(f"{o}.{k}").alias("ref"), F.col(c).cast("string").alias("key"))
+                 for i, (t, c, o, k) in enumerate(FOREIGN_KEYS) if t == table]
+        used.append(tables[table].select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("key IS NOT NULL"))
+    for other, key in dict.fromkeys((o, k) for *_, o, k in FOREIGN_KEYS):
+        refs.append(tables[other].select(F.lit(f"{other}.{key}").alias("ref"), F.col(key).cast("string").alias("key")))
+    counted = reduce(DataFrame.unionByName, used).groupBy("i", "ref", "key").agg(F.count(F.lit(1)).alias("n"))
+    known = reduce(DataFrame.unionByName, refs).distinct().withColumn("known", F.lit(True))
+    found = counted.join(known, ["ref", "key"], "left").groupBy("i").agg(
+        F.sum(F.when(F.col("known").isNull(), F.col("n"))).alias("orphans"), F.sum(F.when(F.col("key") == "0", F.col("n"))).alias("zero_refs"))
+    rows = []
+    for i, (table, column, *_) in enumerate(FOREIGN_KEYS):
+        rows.append((i, table, "orphans", column, 0.0, "critical"))
         if column.endswith("_sk") and column not in ("date_sk", "order_sk"):
-            reports.append(Q.single(used.where("_k = 0").agg(total), table, "zero_refs", column, None, "info"))
+            rows.append((i, table, "zero_refs", column, None, "info"))
+    checks = tables["fact_orders"].sparkSession.createDataFrame(
+        rows, "i int, table_name string, check_name string, column_name string, threshold double, severity string")
+    observed = F.coalesce(F.when(F.col("check_name") == "orphans", F.col("orphans")).otherwise(F.col("zero_refs")), F.lit(0)).cast("double")
+    return checks.join(found, "i", "left").withColumn("observed", observed).select(
+        "table_name", "check_name", "column_name", "observed", "threshold",
+        F.coalesce(F.col("observed") <= F.col("threshold"), F.lit(True)).alias("passed"), "severity")
+
+
+# How the stored contract check breaks a copy of the product table: a column of
+# another type and one of another precision, two columns changed places, one is missing.
+def broken_products(product: DataFrame) -> DataFrame:
+    return product.select("product_name", "product_id", F.col("price").cast("decimal(6,1)").alias("price"))
+
+
+def stored_contract(spark, sf) -> DataFrame:
+    """The nine cleaned tables as they are stored, and a broken copy of one,
+    against their contracts."""
+    from quillmart.plans.queries import cleaned
+    from quillmart.session import run_folder
+    from quillmart.sources.sinks import overwrite
+    base, reports = run_folder(spark, "contract"), []
+    for t in TABLES:
+        overwrite(cleaned(spark, sf, t).select(*contracts.columns(t)), f"{base}/{t}")
+    overwrite(broken_products(spark.read.parquet(f"{base}/product")), f"{base}/product_broken")
+    for t in [*TABLES, "product_broken"]:
+        reports.append(Q.stored_contract_rows(spark.read.parquet(f"{base}/{t}"), t, contracts.CLEANED[t.removesuffix("_broken")]))
     return Q.union_reports(reports)
 
 

@@ -86,9 +86,10 @@ def q_dim_date(spark, sf):
 
 @query("dim_date_default_usage")
 def q_dim_date_default_usage(spark, sf):
-    """The default calendar (2020-2030) with the cleaned orders of each day."""
-    return S.orders_per_day(S.dim_date(spark), cleaned(spark, sf, "order").where("transaction_date IS NOT NULL"),
-                            "transaction_date")
+    """The default calendar (2020-2030) with the users and merchants created on
+    each day."""
+    created = [cleaned(spark, sf, t).select("creation_date").where("creation_date IS NOT NULL") for t in ("user", "merchant")]
+    return S.rows_per_day(S.dim_date(spark), created[0].unionAll(created[1]), "creation_date", "created")
 
 
 # ------------------------------------------------------------------ cleaning
@@ -384,7 +385,9 @@ def star_tables(spark, sf) -> dict[str, DataFrame]:
     """All ten tables of the star."""
     p = _pipeline()
     dims = p.dimensions(spark, sf)
-    fo, fli = p.facts(spark, sf, dims)
+    # Both facts are read for several checks: cut once.
+    fo = p.fact_orders(spark, sf, dims).checkpoint()
+    fli = S.fact_line_items(deduped(spark, sf, "line_item"), fo, dims["dim_product"]).checkpoint()
     return {**dims, "dim_date": S.dim_date_spanning(tbl(spark, sf, "orders"), "o_orderdate"),
             "fact_orders": fo, "fact_line_items": fli}
 
@@ -416,6 +419,23 @@ def q_dq_schema_contract(spark, sf):
     return union_reports([contract_rows(cleaned(spark, sf, t), t, contracts.CLEANED[t]) for t in contracts.CLEANED])
 
 
+@query("dq_stored_contract")
+def q_dq_stored_contract(spark, sf):
+    return _dq().stored_contract(spark, sf)
+
+
+@query("dq_unnamed_columns")
+def q_dq_unnamed_columns(spark, sf):
+    """Customers exported with two leftover index columns, as read and as
+    cleaned: a check row each for columns that begin with ``unnamed``."""
+    from quillmart.operators.quality import union_reports, unnamed_columns
+    from quillmart.plans.clean import drop_all_unnamed
+    from quillmart.sources.files import normalise_index_column
+    c = tbl(spark, sf, "customer")
+    raw = normalise_index_column(c.select(F.col("c_custkey").alias("Unnamed: 0"), F.col("c_nationkey").alias("unnamed_extra"), "c_name"))
+    return union_reports([unnamed_columns(raw, "raw_customer"), unnamed_columns(drop_all_unnamed(raw), "customer")])
+
+
 # ---------------------------------------------------------- ingest, formats
 
 @query("raw_text_stamp")

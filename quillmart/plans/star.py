@@ -17,12 +17,12 @@ def dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALEND
     return span.select(*calendar_columns(F.col("d")))
 
 
-def orders_per_day(calendar: DataFrame, dates: DataFrame, col: str) -> DataFrame:
-    """The calendar with the number of rows dated on each day: rows are
-    counted per day before the join."""
+def rows_per_day(calendar: DataFrame, dates: DataFrame, col: str, name: str) -> DataFrame:
+    """The calendar with the number of rows dated on each day, as ``name``: rows
+    are counted per day before the join."""
     per_day = dates.groupBy(date_key(col).alias("date_sk")).agg(F.count(F.lit(1)).alias("n"))
     return calendar.join(per_day, "date_sk", "left").withColumn(
-        "orders", F.coalesce("n", F.lit(0)).cast("bigint")).drop("n")
+        name, F.coalesce("n", F.lit(0)).cast("bigint")).drop("n")
 
 
 def dim_date_spanning(dates: DataFrame, col: str) -> DataFrame:

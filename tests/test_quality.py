@@ -1,6 +1,9 @@
 """Data-quality reports and require()."""
 
+import tempfile
+
 import pytest
+from pyspark.sql import functions as F
 
 from quillmart.operators import quality as Q
 from quillmart.operators.quality import Check
@@ -59,3 +62,46 @@ def test_reports_that_can_fail(spark):
     other = Q.run_checks(spark.createDataFrame([("United States",), (None,), ("Canada",)], "country string"), "t",
                          [Check("other_value", "country", 0, value="United States")])
     assert other.collect()[0].observed == 1.0
+
+
+def test_reconcile_compares_contents(spark):
+    from quillmart.plans import quality_suite as suite
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None)], "k int, v string")
+    same = a.repartition(3).select("v", "k")
+    cases = {"same": same, "value": a.replace("x", "y"), "copies": spark.createDataFrame([(1, "x"), (2, None), (2, None)], a.schema),
+             "null": a.fillna(""), "column": a.withColumnRenamed("v", "w"), "two_swapped": spark.createDataFrame([(2, "x"), (1, "x"), (1, None)], a.schema)}
+    got = {r.table_name: (r.source_rows, r.target_rows, r.matched) for r in suite.reconcile({n: a for n in cases}, cases).collect()}
+    assert got == {n: (3, 3, n == "same") for n in cases}
+
+
+def test_stored_contract_sees_place_type_and_length(spark):
+    from quillmart.plans.quality_suite import broken_products
+    contract = [("product_id", "string", 3), ("product_name", "string", 9), ("product_type", "string", 5), ("price", "decimal(10,2)", None)]
+    df = spark.createDataFrame([("P1", "n", "t", "1.50"), ("P2000", None, "t", None)], "product_id string, product_name string, product_type string, price string")
+    df = df.withColumn("price", df.price.cast("decimal(10,2)"))
+    got = {r.column_name: (r.ordinal, r.type, r.rows, r.missing, r.longest, r.passed) for r in Q.stored_contract_rows(df, "t", contract).collect()}
+    assert got == {"product_id": (1, "string", 2, 0, 5, False), "product_name": (2, "string", 2, 1, 1, True), "product_type": (3, "string", 2, 0, 1, True),
+                   "price": (4, "decimal(10,2)", 2, 1, None, True)}
+    broken = {r.column_name: (r.ordinal, r.type, r.passed) for r in Q.stored_contract_rows(broken_products(df), "t", contract).collect()}
+    assert broken == {"product_id": (2, "string", False), "product_name": (1, "string", False), "product_type": (0, None, False), "price": (3, "decimal(6,1)", False)}
+
+
+def test_unnamed_columns(spark):
+    df = spark.createDataFrame([(1, None, "a")], "`Unnamed: 0` int, unnamed_x string, b string")
+    assert Q.unnamed_columns(df, "t").first().asDict() == {"table_name": "t", "check_name": "unnamed_columns", "column_name": "Unnamed: 0,unnamed_x",
+                                                           "observed": 1.0, "threshold": 0.0, "passed": False, "severity": "critical"}
+    assert Q.unnamed_columns(df.select("b"), "t").first().passed
+
+
+def test_foreign_keys_read_each_table_once(spark):
+    from quillmart.plans import quality_suite as suite
+    tables = {}
+    for t in dict.fromkeys([t for t, *_ in suite.FOREIGN_KEYS] + [o for *_, o, _ in suite.FOREIGN_KEYS]):
+        cols = dict.fromkeys([c for x, c, *_ in suite.FOREIGN_KEYS if x == t] + [k for *_, o, k in suite.FOREIGN_KEYS if o == t])
+        path = f"{tempfile.mkdtemp(dir='/tmp')}/{t}"
+        spark.range(5).select(*[F.col("id").alias(c) for c in cols]).write.parquet(path)
+        tables[t] = spark.read.parquet(path)
+    plan = suite.foreign_keys(tables)._jdf.queryExecution().optimizedPlan().toString()
+    uses = {t: len({c for x, c, *_ in suite.FOREIGN_KEYS if x == t}) for t in tables}
+    assert uses["fact_line_items"] == 5 and plan.count("Relation [") <= sum(1 for t in uses if uses[t]) + 9
+    assert suite.foreign_keys(tables).where("check_name = 'orphans' AND NOT passed").count() == 0
