@@ -7,6 +7,11 @@ operator on everything that the stage before it kept.
 4. personal data: its spans are replaced in the texts
 5. packing: the texts become sequences of 2048 tokens
 
+Defined results: a null or empty text fails the quality rules, so none reaches
+the later stages; a null id stays null and goes through all of them; of repeated
+rows one is kept; very long texts are taken whole; extra columns, whatever their
+names, come through to the last stage; an empty table gives no sequences.
+
 Each stage but the last returns the columns of ``documents``. No stage is SQL
 (trained rules, fingerprints, tokenizers), so there is no oracle; the tests
 hold the rows against a brute-force version.
