@@ -17,9 +17,11 @@ same anchor form a run: about one in 50 bytes.
     pass 3  digits with several different runs (the ends of shared passages):
             every window of one run of each content is ordered at full depth
 
-Each pass is an aggregate and an equi-join whose other side has one row per
-digit, so a digit of a third of all rows is pre-aggregated and split. Content
-digits are 64-bit hashes within a 64-bit anchor digit.
+Each pass is an aggregate, pre-aggregated before its shuffle, and an equi-join
+whose other side has one row per digit. That side is aggregated in the stage of
+the join, which adaptive execution does not split: the rows of a hot digit, and
+the spans of one document, meet in one task. Content digits are 64-bit hashes
+within a 64-bit anchor digit.
 
 Defined results: a null or empty text has no bytes; texts under ``depth`` bytes
 have no window; null ids are carried; repeated rows repeat each other's

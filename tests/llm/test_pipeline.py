@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     q = E.queries()
-    assert "pipeline" in q and all(any(n.startswith(f"op{i}_") for n in q) for i in range(1, 11))
+    assert "pipeline" in q and all(any(n.startswith(f"op{i}_") for n in q) for i in range(1, 14))
 
 
 def test_stages(spark):
@@ -51,3 +51,18 @@ def test_stages(spark):
     for r in corpus_pipeline.run(spark, SF).collect():
         packed[r["doc_id"]] = packed.get(r["doc_id"], 0) + r["length"]
     assert packed == tokens
+
+
+def test_stages_with_edge_rows(spark, docs, rows, empty):
+    """Null ids and texts, empty and long texts, repeated rows, clashing names."""
+    kept = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, SF)
+        assert kept.columns == docs.columns
+    kept = kept.cache()
+    texts = [r["text"] for r in kept.collect()]
+    assert all(t and t.strip() for t in texts) and len(texts) == len(set(texts))
+    packed = corpus_pipeline.STAGES[-1][1](spark, kept, SF)
+    assert packed.selectExpr("sum(length)").first()[0] > 0 and kept.select("__k1").distinct().count() == 1
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0
