@@ -4,10 +4,7 @@ and stable row keys."""
 from __future__ import annotations
 
 import gc
-import os
 import re
-import shutil
-import tempfile
 import time
 from collections.abc import Callable, Iterator
 
@@ -18,24 +15,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from quillmart.session import ensure_checkpoint_dir
+from quillmart.session import ship_package as ship
 
 ROWS_PER_CALL = 256
 _PUNCTUATION = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127))
 _TO_SPACES = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
 _WIDE_PUNCTUATION = re.compile("[\u00a1\u00a7\u00ab\u00b7\u00bb\u00bf\u2010-\u2027\u2030-\u205e\u3001-\u3003\u3008-\u3011\uff01-\uff0f]")
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that their
-    Python workers can import it. A package that is not a plain folder was
-    itself shipped with the application."""
-    app, package = spark.sparkContext.applicationId, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    if app in _SHIPPED or not os.path.isdir(package):
-        return
-    target = os.path.join(tempfile.mkdtemp(prefix="package-"), os.path.basename(package))
-    spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
-    _SHIPPED.add(app)
 
 
 def words_of(text: str) -> list[str]:

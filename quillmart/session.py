@@ -61,14 +61,16 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that their
-    Python workers can import it. A package that is not a plain folder was
-    itself shipped with the application; a local master reads it in place."""
+    Python workers can import it, whatever the master. A package that is not a
+    plain folder was itself shipped with the application. Executors fetch the
+    archive when their first task starts, so it stays until the driver ends."""
     app, package = spark.sparkContext.applicationId, os.path.dirname(os.path.abspath(__file__))
-    if app in _SHIPPED or not os.path.isdir(package) or spark.sparkContext.master.startswith("local"):
+    if app in _SHIPPED or not os.path.isdir(package):
         return
-    with tempfile.TemporaryDirectory(prefix="package-") as folder:
-        target = os.path.join(folder, os.path.basename(package))
-        spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
+    folder = tempfile.mkdtemp(prefix="package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    target = os.path.join(folder, os.path.basename(package))
+    spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
     _SHIPPED.add(app)
 
 
