@@ -6,15 +6,16 @@ task. ``dense_number`` has one way for every input:
 
 1. range-partition on (group, order) with an explicit partition count (so AQE
    never coalesces it and partition ids stay stable), sort inside each
-   partition, tag rows with ``monotonically_increasing_id`` — the partition id
-   sits in the upper bits, the position inside the partition in the lower — and
-   checkpoint the tagged rows (range bounds are sampled from an input whose row
-   order after a shuffle is not reproducible, so both uses read one copy);
-2. count rows per (partition, group) and prefix-sum those counts over earlier
-   partitions of the same group: at most #groups + #partitions rows, and one
-   per partition in a group's window;
-3. number = position - first position of the group in the partition
-   + rows of the group in earlier partitions + 1.
+   partition and checkpoint the rows (range bounds are sampled from an input
+   whose row order after a shuffle is not reproducible, so both uses read one
+   copy);
+2. each partition reports its first and last group and how many of its rows the
+   last one has: one row per partition, from which the driver, which keeps the
+   partitions anyway, knows how many rows of its first group come earlier;
+3. each partition numbers its rows as they pass in order, batch by batch.
+
+So the rows are shuffled once, and nothing is joined or held per group. A group
+is compared with its neighbour in the order by two hashes (128 bits).
 
 The result equals ``row_number() OVER (PARTITION BY group ORDER BY order)``
 when ``order`` is a total order (ties only between identical rows).
@@ -22,39 +23,91 @@ when ``order`` is a total order (ties only between identical rows).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmart.session import ensure_checkpoint_dir
+from quillmart.session import ensure_checkpoint_dir, ship_package
+
+
+def _runs(batch: pa.RecordBatch, last: tuple | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The two group hashes of a batch and where a group begins; ``last``: the
+    hashes of the row before."""
+    a, b = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("_a", "_b"))
+    begins = np.ones(len(a), bool)
+    begins[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    begins[0] = last != (a[0], b[0])
+    return a, b, begins
+
 
-_POS_BITS = 33
-_POS_MASK = (1 << _POS_BITS) - 1
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for a partition that has rows: its number, first and last group,
+    the rows of the last one, and whether it is the only one."""
+    first = last = pid = None
+    rows, single = 0, True
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        a, b, begins = _runs(batch, last)
+        if first is None:
+            first, pid = (int(a[0]), int(b[0])), batch.column("_pid")[0].as_py()
+            begins[0] = False
+        at = np.flatnonzero(begins)
+        rows = rows + len(a) if not len(at) else len(a) - int(at[-1])
+        single, last = single and not len(at), (int(a[-1]), int(b[-1]))
+    if first is not None:
+        yield pa.RecordBatch.from_pydict(dict(zip(("_pid", "fa", "fb", "la", "lb", "n", "single"), ([v] for v in (pid, *first, *last, rows, single)))))
+
+
+def _rows_before(ends: list) -> dict[int, int]:
+    """Per partition the rows of its first group in earlier partitions."""
+    before, group, rows = {}, None, 0
+    for e in sorted(ends, key=lambda e: e["_pid"]):
+        before[e["_pid"]] = rows if group == (e["fa"], e["fb"]) else 0
+        group, rows = (e["la"], e["lb"]), e["n"] + (before[e["_pid"]] if e["single"] else 0)
+    return before
 
 
 def dense_number(df: DataFrame, order: Sequence[str | Column], name: str,
                  group: Sequence[str] = (), start: int | Column = 1,
                  num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = start - 1 + row_number() OVER (PARTITION BY group ORDER BY order)."""
-    group, cols = list(group), df.columns
+    group, cols, spark = list(group), df.columns, df.sparkSession
     keys = [*map(F.col, group), *(F.col(o) if isinstance(o, str) else o for o in order)]
+    n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    ordered = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+               .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    nulls = [F.col(g).isNull() for g in group]  # NULL group keys are a group of their own
+    hashed = {"_a": F.xxhash64(F.lit(1), *group, *nulls), "_b": F.xxhash64(F.lit(2), *nulls, *group)}
+    ends = ordered.select("_pid", *[c.alias(k) for k, c in hashed.items()]).mapInArrow(
+        _ends, "_pid long, fa long, fb long, la long, lb long, n long, single boolean")
+    before = _rows_before(ends.collect())
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, rows = None, 0  # the row before: its group, and its number there
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if last is None:
+                rows = before[batch.column("_pid")[0].as_py()]
+            a, b, begins = _runs(batch, last)
+            if last is None:
+                begins[0] = False
+            at = np.arange(len(a))
+            since = np.maximum.accumulate(np.where(begins, at, -1))  # -1: the group began before the batch
+            numbers = np.where(since < 0, at + 1 + rows, at - since + 1)
+            last, rows = (a[-1], b[-1]), int(numbers[-1])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(cols))), pa.array(numbers, pa.int64())], names=[*cols, "_number"])
+
+    schema = ordered.select(*cols, F.lit(0).cast("long").alias("_number")).schema
+    numbered = ordered.select(*cols, "_pid", *[c.alias(k) for k, c in hashed.items()]).mapInArrow(number, schema)
     start_col = start if isinstance(start, Column) else F.lit(start)
-    n = num_partitions or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    ensure_checkpoint_dir(df.sparkSession)
-    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
-              .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_POS_MASK))).drop("_mid").checkpoint(eager=True))
-    stats = tagged.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-    earlier = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    stats = stats.select("_first", "_before", *[F.col(c).alias("_s" + c) for c in ["_pid", *group]])
-    cond = F.col("_pid") == F.col("_s_pid")
-    for g in group:  # NULL group keys are a group of their own
-        cond = cond & F.col(g).eqNullSafe(F.col("_s" + g))
-    number = (F.col("_pos") - F.col("_first") + F.col("_before") + start_col).cast("long")
-    return tagged.join(stats, cond).select(*cols, number.alias(name))
+    return numbered.select(*cols, (F.col("_number") - 1 + start_col).cast("long").alias(name))
 
 
 def surrogate_keys(df: DataFrame, order: Sequence[str | Column], name: str,

@@ -290,8 +290,10 @@ def q_fact_orders_incremental(spark, sf):
     from quillmart.sources.stored_fact import StoredFact
     p = _pipeline()
     dims = p.dimensions(spark, sf, p.ORDER_DIMS)
-    orders, chosen = deduped(spark, sf, "order"), [dims[n] for n in p.ORDER_DIMS]
-    fact = StoredFact(spark, run_folder(spark, "fact") + "/fact_orders", "order_id")
+    base, chosen = run_folder(spark, "fact"), [dims[n] for n in p.ORDER_DIMS]
+    deduped(spark, sf, "order").write.parquet(f"{base}/orders")  # read by both loads and the comparison
+    orders = spark.read.parquet(f"{base}/orders")
+    fact = StoredFact(spark, f"{base}/fact_orders", "order_id")
     fact.load(S.fact_orders(orders, *chosen).where("date_sk < 19980101"), "truncate")
     return S.fact_orders(orders, *chosen, existing=fact.loaded(orders.select("order_id"), ["order_id"]))
 
@@ -300,12 +302,15 @@ def q_fact_orders_incremental(spark, sf):
 def q_fact_line_items_incremental(spark, sf):
     """Second load: lines of orders dated before 1998 are in the stored fact
     table; only the other (order, line) pairs are appended (anti join with the
-    files that may hold one of the orders). Dimensions, order facts and line
-    numbers serve both loads."""
+    files that may hold one of the orders). The facts are cut once and written
+    beside the table, for both loads and the comparison."""
     from quillmart.sources.stored_fact import StoredFact
     p = _pipeline()
     _, lines = p.facts(spark, sf, p.dimensions(spark, sf, [*p.ORDER_DIMS, "dim_product"]))
-    fact = StoredFact(spark, run_folder(spark, "fact") + "/fact_line_items", "order_sk")
+    base = run_folder(spark, "fact")
+    lines.write.parquet(f"{base}/cut")
+    lines = spark.read.parquet(f"{base}/cut")
+    fact = StoredFact(spark, f"{base}/fact_line_items", "order_sk")
     fact.load(lines.where("date_sk < 19980101"), "truncate")
     return S.not_loaded(lines, fact.loaded(lines.select("order_sk"), ["order_sk", "line_item_id"]))
 
@@ -564,8 +569,10 @@ def q_fact_orders_reload(spark, sf):
     (those the table does not have): the whole fact table, once."""
     from quillmart.sources.sinks import load_fact
     p, path = _pipeline(), run_folder(spark, "fact") + "/fact_orders"
-    dims, orders = p.dimensions(spark, sf, p.ORDER_DIMS), deduped(spark, sf, "order")
-    chosen = [dims[n] for n in p.ORDER_DIMS]
+    dims = p.dimensions(spark, sf, p.ORDER_DIMS)
+    cut = run_folder(spark, "orders") + "/order"
+    deduped(spark, sf, "order").write.parquet(cut)  # read by both loads
+    orders, chosen = spark.read.parquet(cut), [dims[n] for n in p.ORDER_DIMS]
     load_fact(S.fact_orders(orders, *chosen).where("date_sk < 19980101"), path, "truncate")
     load_fact(S.fact_orders(orders, *chosen, existing=spark.read.parquet(path)), path, "append")
     return spark.read.parquet(path)

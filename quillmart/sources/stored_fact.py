@@ -56,7 +56,7 @@ class StoredFact:
         spans = (keys.select(F.col(self.key).alias("k")).where("k IS NOT NULL").repartitionByRange(SPANS, F.col("k"))
                  .groupBy(F.spark_partition_id().alias("p")).agg(F.min("k").alias("from"), F.max("k").alias("to")))
         ranges = self.spark.read.parquet(*[f"{self.path}/{f}" for f in now["ranges"]])
-        met = ranges.join(F.broadcast(spans), (F.col("low") <= F.col("to")) & (F.col("high") >= F.col("from")), "left_semi")
+        met = ranges.join(spans, (F.col("low") <= F.col("to")) & (F.col("high") >= F.col("from")), "left_semi")
         return sorted(r["file"] for r in met.select("file").collect())
 
     def loaded(self, keys: DataFrame, columns: Sequence[str]) -> DataFrame:

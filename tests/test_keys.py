@@ -44,3 +44,17 @@ def test_checkpoint_folder_must_be_shared():
     fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(fake)
+
+
+def test_numbering_shuffles_the_rows_once(spark):
+    """Groups that cross partitions, NULL parts and values of other types; the
+    numbers come without a join or another exchange."""
+    df = spark.range(0, 9000).select(
+        F.when(F.col("id") % 4 > 0, F.col("id") % 3).alias("g"), F.when(F.col("id") % 5 > 0, F.lit("x")).alias("h"), "id",
+        (F.col("id") / 7).cast("decimal(10,2)").alias("price"), F.lit("2024-01-01").cast("timestamp_ntz").alias("at"))
+    got = keys.dense_number(df, ["id"], "n", group=["g", "h"], num_partitions=13)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    expected = df.withColumn("n", F.row_number().over(Window.partitionBy("g", "h").orderBy("id")).cast("long"))
+    assert got.dtypes == expected.dtypes
+    same(got, expected)
