@@ -3,8 +3,8 @@
 One map stage turns each whole text into rule statistics. Trees of random
 splits are grown over the statistics of a bounded sample of documents labelled
 good; a document's mean path length gives its anomaly score, and the threshold
-is calibrated on labelled rows so that at most ``max_good_lost`` of the good
-ones go. A document is kept if it passes the base rules and its score stays
+is calibrated on all other labelled rows so that at most ``max_good_lost`` of
+the good ones go. A document is kept if it passes the base rules and its score stays
 below the threshold.
 
 Defined results: a null or empty text has no words and fails the base rules; a
@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmart.llm.common import filter_rows, map_batches, smallest_hashes, text_rows
+from quillmart.llm.common import cut, drop_cut, filter_rows, map_batches, smallest_hashes, text_rows
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_lines", "n_upper", "n_digits", "n_marks")
@@ -171,19 +171,21 @@ class Rules:
         return self.forest.score(features(stats)) >= self.threshold
 
 
-def calibrate(scores: np.ndarray, good: np.ndarray, max_good_lost: float) -> float:
+def calibrate(scored: DataFrame, max_good_lost: float) -> float:
     """A threshold that rejects at most that share of good rows, and none of
     them where that costs less than 1 % of the bad rows it would catch: half-way
-    between the highest good score that stays and the next bad score above."""
-    if not good.any() or good.all():
+    between the highest good score that stays and the next bad score above. Over
+    all rows (quality, score); only counts and single scores leave Spark."""
+    good, bad = scored.where("quality = 1"), scored.where("quality <> 1")
+    n, highest = good.agg(F.count(F.lit(1)), F.max("score")).first()
+    if not n or bad.isEmpty():
         return float("inf")
-    kept, bad = np.sort(scores[good]), np.sort(scores[~good])
-    caught = lambda top: int((bad > top).sum())
-    top = kept[len(kept) - 1 - int(max_good_lost * len(kept))]
-    if caught(kept[-1]) >= 0.99 * caught(top):
-        top = kept[-1]
-    above = bad[bad > top]
-    return float((top + above[0]) / 2 if len(above) else np.nextafter(top, 2.0))
+    top = good.orderBy(F.desc("score")).limit(int(max_good_lost * n) + 1).agg(F.min("score")).first()[0]
+    caught, by_highest = bad.agg(F.count_if(F.col("score") > top), F.count_if(F.col("score") > highest)).first()
+    if by_highest >= 0.99 * caught:
+        top = highest
+    above = bad.where(F.col("score") > top).agg(F.min("score")).first()[0]
+    return float((top + above) / 2 if above is not None else np.nextafter(top, 2.0))
 
 
 def _statistics_rows(rows: DataFrame) -> DataFrame:
@@ -201,28 +203,44 @@ def _statistics_rows(rows: DataFrame) -> DataFrame:
     return map_batches(rows, make, ", ".join([f"{c} {kinds[c]}" for c in extra] + [f"{n} long" for n in names]))
 
 
+def _scored(rows: DataFrame, forest: Forest) -> DataFrame:
+    """(quality, score) of rows of statistics."""
+    def make():
+        def run(c: dict) -> dict:
+            stats = np.array([c[n] for n in COUNTS + EXTRA], np.int64).T
+            return {"quality": c["quality"], "score": forest.score(features(stats))}
+
+        return run
+
+    return map_batches(rows.select("quality", *COUNTS, *EXTRA), make, f"quality {dict(rows.dtypes)['quality']}, score double")
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, trees: int = 100, points: int = 256,
         max_good_lost: float = 0.0005, id_col: str = "doc_id", text_col: str = "text") -> Rules:
-    """Grow and calibrate on at most ``sample`` labelled rows whose documents
-    are there, those of the smallest hashes of their ids (where ids have several
-    documents, on at most four times as many, in the same order; so what is
-    broadcast and collected has these bounds): half of the good ones grow the
-    trees, the other rows calibrate the threshold."""
+    """Grow the trees and calibrate the threshold on labelled rows whose
+    documents are there. A tree is by its method grown over few points: these
+    come from half of the good ones among the ``sample`` rows of the smallest
+    hashes of their ids (where ids have several documents, at most four times as
+    many, in the same order; so what is broadcast and collected has these
+    bounds). All other labelled rows, however many, calibrate the threshold;
+    they are scored and counted on the executors."""
     labelled = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long"), "quality")
     there = docs.select(F.col(id_col).cast("long").alias("doc_id"))
     chosen = smallest_hashes(labelled.join(there, "doc_id", "left_semi"), sample, "doc_id", "quality")
-    rows = text_rows(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
     names = COUNTS + EXTRA
-    ordered = _statistics_rows(rows).orderBy(F.xxhash64("doc_id"), "doc_id", "quality", *names)
-    got = ordered.select("doc_id", "quality", *names).limit(4 * sample).collect()
-    got.sort(key=lambda r: tuple(-1 if v is None else v for v in r))
-    stats = np.array([r[2:] for r in got], np.int64).reshape(-1, len(names))
-    good = np.array([r[1] == 1 for r in got], bool)
-    usable = ~failed_base(stats)
-    stats, good = stats[usable], good[usable]
-    grow = good & (np.arange(len(good)) % 2 == 0)
-    forest = grow_forest(features(stats[grow]), trees, points)
-    return Rules(forest, calibrate(forest.score(features(stats[~grow])), good[~grow], max_good_lost))
+    # Statistics before the join: no text is shuffled.
+    found = _statistics_rows(text_rows(docs, id_col, text_col).where("doc_id IS NOT NULL")).join(labelled, "doc_id")
+    usable = cut(found.where("n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words"))
+    half = (F.col("quality") == 1) & (F.pmod(F.xxhash64("doc_id", F.lit("grow")), F.lit(2)) == 0)
+    marked = usable.join(F.broadcast(chosen.select("doc_id").distinct().withColumn("chosen", F.lit(True))), "doc_id", "left")
+    marked = marked.withColumn("grows", half & F.coalesce("chosen", F.lit(False)))
+    got = marked.where("grows").orderBy(F.xxhash64("doc_id"), "doc_id", *names).limit(4 * sample).select("doc_id", *names).collect()
+    got.sort()
+    forest = grow_forest(features(np.array([r[1:] for r in got], np.int64).reshape(-1, len(names))), trees, points)
+    scored = cut(_scored(marked.where("NOT grows"), forest))
+    rules = Rules(forest, calibrate(scored, max_good_lost))
+    drop_cut(usable, scored)
+    return rules
 
 
 def judge(docs: DataFrame, rules: Rules, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

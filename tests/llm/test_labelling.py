@@ -229,3 +229,18 @@ def test_samples_come_from_labelled_documents_that_are_there(spark):
     known = labels.join(docs.select("doc_id"), "doc_id", "left_semi").select("doc_id", "quality", "toxic")
     for table in (more, known):
         assert quality.fit(docs, table, sample=60).threshold == quality.fit(docs, known, sample=60).threshold
+
+
+def test_threshold_is_calibrated_on_all_labelled_rows(spark, monkeypatch):
+    """Beyond the sampled rows too: each labelled row grows a tree or counts."""
+    from pyspark.sql import functions as F
+    docs = spark.range(900).select(F.col("id").alias("doc_id"), F.expr(
+        "concat_ws(' ', transform(sequence(1, 60), i -> concat('w', id, 'x', i, if(id % 3 = 0, '###', ''))))").alias("text"))
+    labels = docs.select("doc_id", F.when(F.col("doc_id") % 3 > 0, 1).otherwise(0).alias("quality"))
+    seen = []
+    monkeypatch.setattr(quality, "calibrate", lambda rows, lost, f=quality.calibrate: seen.append(rows.groupBy("quality").count().collect()) or f(rows, lost))
+    rules = quality.fit(docs, labels, sample=100)
+    counts = dict(map(tuple, seen[0]))
+    assert counts[0] == 300 and 500 <= counts[1] < 600
+    kept = quality.judge(docs, rules).where("kept").select(F.pmod("doc_id", F.lit(3)).alias("r")).groupBy("r").count().collect()
+    assert sorted(map(tuple, kept)) == [(1, 300), (2, 300)]
