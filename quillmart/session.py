@@ -5,7 +5,9 @@ cluster)."""
 from __future__ import annotations
 
 import atexit
+import hashlib
 import os
+import pathlib
 import shutil
 import tempfile
 import uuid
@@ -63,15 +65,23 @@ def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that their
     Python workers can import it, whatever the master. A package that is not a
     plain folder was itself shipped with the application. Executors fetch the
-    archive when their first task starts, so it stays until the driver ends."""
-    app, package = spark.sparkContext.applicationId, os.path.dirname(os.path.abspath(__file__))
-    if app in _SHIPPED or not os.path.isdir(package):
+    archive when their first task starts, so it stays until the driver ends.
+
+    An application takes a file name once, and this module may be loaded anew
+    while the application goes on: the archive is named by its content, and
+    what the application has already is not sent again."""
+    sc, package = spark.sparkContext, os.path.dirname(os.path.abspath(__file__))
+    if sc.applicationId in _SHIPPED or not os.path.isdir(package):
         return
-    folder = tempfile.mkdtemp(prefix="package-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    target = os.path.join(folder, os.path.basename(package))
-    spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
-    _SHIPPED.add(app)
+    content = hashlib.sha256()
+    for f in sorted(pathlib.Path(package).rglob("*.py")):
+        content.update(f"{f.relative_to(package)}\0".encode() + f.read_bytes() + b"\0")
+    name = f"{os.path.basename(package)}-{content.hexdigest()[:16]}"
+    if not any(os.path.basename(f) == f"{name}.zip" for f in sc.listFiles):
+        folder = tempfile.mkdtemp(prefix="package-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.addPyFile(shutil.make_archive(os.path.join(folder, name), "zip", os.path.dirname(package), os.path.basename(package)))
+    _SHIPPED.add(sc.applicationId)
 
 
 def run_folder(spark: SparkSession, tag: str) -> str:

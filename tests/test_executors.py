@@ -26,12 +26,18 @@ spark.stop()
 """
 
 
-def _read(folder: pathlib.Path, master: str) -> list[str]:
+ANEW = CHILD.replace("    print(", """    for m in [m for m in sys.modules if m.split(".")[0] == "quillmart"]:
+        del sys.modules[m]
+    from quillmart.sources.files import read_source
+    print(""")
+
+
+def _read(folder: pathlib.Path, master: str, code: str = CHILD) -> list[str]:
     for p in pathlib.Path(importlib.util.find_spec("pyspark").origin).parent.iterdir():
         if p.name != "work":  # where a cluster's executors have their folders
             (folder / "home").mkdir(exist_ok=True)
             (folder / "home" / p.name).symlink_to(p)
-    child = CHILD.format(repo=str(pathlib.Path(__file__).parents[1]), folder=folder, master=master)
+    child = code.format(repo=str(pathlib.Path(__file__).parents[1]), folder=folder, master=master)
     env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_HOME")}
     env |= {"SPARK_HOME": str(folder / "home"), "SPARK_SCALA_VERSION": "2.13", "SPARK_LOCAL_IP": "127.0.0.1", "PYSPARK_PYTHON": sys.executable}
     run = subprocess.run([sys.executable, "-c", child], cwd=folder, env=env, capture_output=True, text=True, timeout=180)
@@ -48,3 +54,7 @@ def test_readers_on_executors_without_the_package(tmp_path):
 
 def test_readers_from_another_folder(tmp_path):
     assert _read(tmp_path, "local[1]") == EXPECTED
+
+
+def test_readers_loaded_anew_in_one_application(tmp_path):
+    assert _read(tmp_path, "local-cluster[1,1,1024]", ANEW) == EXPECTED
