@@ -15,7 +15,12 @@ task. ``dense_number`` has one way for every input:
 3. each partition numbers its rows as they pass in order, batch by batch.
 
 So the rows are shuffled once, and nothing is joined or held per group. A group
-is compared with its neighbour in the order by two hashes (128 bits).
+is compared with its neighbour in the order by two hashes (128 bits). Without
+groups a row's number is its place in its partition and the rows of earlier
+partitions, so steps 2 and 3 are a count and an addition.
+
+``number_tables`` numbers several tables, each on its own, by one such
+partitioning; what it writes can be read table by table and column by column.
 
 The result equals ``row_number() OVER (PARTITION BY group ORDER BY order)``
 when ``order`` is a total order (ties only between identical rows).
@@ -30,7 +35,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmart.session import ensure_checkpoint_dir, ship_package
+from quillmart.session import ensure_checkpoint_dir, run_folder, ship_package
+
+_TASK_BITS = 33  # of monotonically_increasing_id(): the place in the partition
 
 
 def _runs(batch: pa.RecordBatch, last: tuple | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,6 +86,12 @@ def dense_number(df: DataFrame, order: Sequence[str | Column], name: str,
     keys = [*map(F.col, group), *(F.col(o) if isinstance(o, str) else o for o in order)]
     n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     ensure_checkpoint_dir(spark)
+    start_col = start if isinstance(start, Column) else F.lit(start)
+    if not group:
+        placed = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                  .withColumn("_at", F.monotonically_increasing_id()).checkpoint(eager=True))
+        number = _place(_places(placed, []).get((), []))
+        return placed.select(*cols, (number - 1 + start_col).cast("long").alias(name))
     ship_package(spark)
     ordered = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
@@ -106,10 +119,56 @@ def dense_number(df: DataFrame, order: Sequence[str | Column], name: str,
 
     schema = ordered.select(*cols, F.lit(0).cast("long").alias("_number")).schema
     numbered = ordered.select(*cols, "_pid", *[c.alias(k) for k, c in hashed.items()]).mapInArrow(number, schema)
-    start_col = start if isinstance(start, Column) else F.lit(start)
     return numbered.select(*cols, (F.col("_number") - 1 + start_col).cast("long").alias(name))
 
 
+def _places(placed: DataFrame, group: Sequence[str]) -> dict[tuple, list]:
+    """Per group (a few of them) the partitions that hold its rows, in order:
+    partition, first place, rows."""
+    task = F.shiftright("_at", _TASK_BITS)
+    found = placed.groupBy(*group, task.alias("_task")).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows")).collect()
+    out: dict[tuple, list] = {}
+    for r in sorted(found, key=lambda r: r["_task"]):
+        out.setdefault(tuple(r[g] for g in group), []).append((r["_task"], r["_first"], r["_rows"]))
+    return out
+
+
+def _place(spans: list) -> Column:
+    """A row's number (from 1) within its group, from its ``_at``."""
+    shifts, before = [0] * (spans[-1][0] - spans[0][0] + 1 if spans else 1), 1
+    for task, first, rows in spans:
+        shifts[task - spans[0][0]] = before - first
+        before += rows
+    at = F.shiftright("_at", _TASK_BITS) - F.lit(spans[0][0] if spans else 0)
+    return F.col("_at") + F.get(F.array(*[F.lit(s).cast("long") for s in shifts]), at.cast("int"))
+
+
+def number_tables(tables: dict[str, DataFrame], name: str) -> dict[str, DataFrame]:
+    """Every table with ``name`` = row_number() OVER (ORDER BY all its columns).
+
+    The tables are stacked, columns of one position and type one below the
+    other, so that one range partitioning and one write serve them all. Their
+    rows lie together in the files, so a table reads its own row groups."""
+    stacked, columns, slots = None, {}, set()
+    for i, (table, df) in enumerate(tables.items()):
+        columns[table] = {c: f"_{at}_{t}" for at, (c, t) in enumerate(df.dtypes)}
+        slots |= {(at, slot) for at, slot in enumerate(columns[table].values())}
+        part = df.select(F.lit(i).alias("_table"), *[F.col(f"`{c}`").alias(slot) for c, slot in columns[table].items()])
+        stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
+    spark, path = stacked.sparkSession, run_folder(stacked.sparkSession, "numbered") + "/rows"
+    keys = ["_table", *[f"`{slot}`" for _, slot in sorted(slots)]]
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    (stacked.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+     .withColumn("_at", F.monotonically_increasing_id()).write.parquet(path))
+    placed = spark.read.schema(stacked.withColumn("_at", F.lit(0).cast("long")).schema).parquet(path)
+    places, out = _places(placed, ["_table"]), {}
+    for i, table in enumerate(tables):
+        number = _place(places.get((i,), []))
+        out[table] = placed.where(F.col("_table") == i).select(
+            *[F.col(f"`{slot}`").alias(c) for c, slot in columns[table].items()], number.alias(name))
+    return out
+
+
 def surrogate_keys(df: DataFrame, order: Sequence[str | Column], name: str,
                    offset: int | Column = 0) -> DataFrame:
     """Dense surrogate keys offset+1, offset+2, ... in ``order`` (0 is

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmart.operators.keys import current_max, dense_number, surrogate_keys
+from quillmart.operators.keys import current_max, number_tables, surrogate_keys
 from quillmart.session import ensure_checkpoint_dir
 
 
@@ -118,23 +118,10 @@ def scd2_initial(snapshot: DataFrame, spec: ScdSpec, load_date) -> DataFrame:
 
 
 def scd2_initial_many(snapshots: dict[str, DataFrame], specs: dict[str, ScdSpec], load_date) -> dict[str, DataFrame]:
-    """The first load of several dimensions, numbered together: their rows
-    are one table grouped by dimension, so one range partitioning and one
-    checkpoint serve them all. Each gets the keys that ``scd2_initial`` gives."""
-    stacked, order = None, []
-    for i, (name, snap) in enumerate(snapshots.items()):
-        cols = [F.col(c).alias(f"_{i}_{c}") for c in specs[name].columns]
-        order += [f"_{i}_{c}" for c in specs[name].columns]
-        part = snap.select(F.lit(name).alias("_dim"), *cols)
-        stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
-    numbered = dense_number(stacked, order, "_sk", group=["_dim"])
-    out = {}
-    for i, name in enumerate(snapshots):
-        spec = specs[name]
-        mine = numbered.where(F.col("_dim") == name)
-        keyed = mine.select(F.col("_sk").alias(spec.sk), *[F.col(f"_{i}_{c}").alias(c) for c in spec.columns])
-        out[name] = _first_versions(keyed, spec, load_date)
-    return out
+    """The first load of several dimensions, numbered together by
+    ``number_tables``. Each gets the keys that ``scd2_initial`` gives."""
+    numbered = number_tables({n: snap.select(*specs[n].columns) for n, snap in snapshots.items()}, "_sk")
+    return {n: _first_versions(d.withColumnRenamed("_sk", specs[n].sk), specs[n], load_date) for n, d in numbered.items()}
 
 
 def scd2_merge(current: DataFrame, snapshot: DataFrame, spec: ScdSpec, load_date,

@@ -58,3 +58,20 @@ def test_numbering_shuffles_the_rows_once(spark):
     expected = df.withColumn("n", F.row_number().over(Window.partitionBy("g", "h").orderBy("id")).cast("long"))
     assert got.dtypes == expected.dtypes
     same(got, expected)
+
+
+def test_tables_are_numbered_without_python_and_read_by_column(spark):
+    """Several tables of other types, one empty, numbered on their own; reading
+    one takes its own columns from the files and no Python worker."""
+    ids = spark.range(0, 3000)
+    tables = {"a": ids.select(F.concat(F.lit("k"), (F.col("id") * 7919 % 3001).cast("string")).alias("k"), (F.col("id") % 5).cast("decimal(6,2)").alias("v")),
+              "b": ids.where("id < 40").select((F.col("id") * 13 % 41).alias("n"), F.when(F.col("id") % 3 > 0, F.lit("x")).alias("k")),
+              "c": ids.where("id < 0").select(F.col("id").alias("n"))}
+    got = keys.number_tables(tables, "sk")
+    for name, df in tables.items():
+        expected = df.withColumn("sk", F.row_number().over(Window.orderBy(*df.columns)).cast("long"))
+        assert got[name].dtypes == expected.dtypes
+        same(got[name], expected)
+    plan = got["a"].select("k", "sk")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "Exchange" not in plan and "decimal" not in plan
+    assert "MapInArrow" not in keys.surrogate_keys(tables["a"], ["k"], "sk")._jdf.queryExecution().executedPlan().toString()
