@@ -93,18 +93,22 @@ def surplus_duplicates(spark, sf) -> DataFrame:
 def row_reconcile(spark, sf) -> DataFrame:
     """Per raw table the rows of its source and of the table as ingested:
     each source is appended batch by batch to a raw table in the shared
-    folder, and that table is read back and counted."""
+    folder, and that table is read back and counted. The linked orders, an
+    aggregate and a join, are made once for both appends and the count."""
     from quillmart.plans.clean import RAW_OF
-    from quillmart.plans.standins import STAMP1, STAMP2, raw_table
+    from quillmart.plans.standins import STAMP1, STAMP2, STANDINS, raw_table, source_rows
     from quillmart.session import run_folder
     from quillmart.sources.sinks import append_raw, read_raw
-    base, loaded = run_folder(spark, "reconcile"), {}
+    base, sources, loaded = run_folder(spark, "reconcile"), {}, {}
+    linked = f"{base}/orders_linked"
+    source_rows(spark, sf, "orders_linked").write.parquet(linked)
     for raw in RAW_OF.values():
-        src = raw_table(spark, sf, raw)
+        made = spark.read.parquet(linked) if STANDINS[raw].source == "orders_linked" else None
+        sources[raw] = src = raw_table(spark, sf, raw, source=made)
         for stamp in (STAMP1, STAMP2):
             append_raw(src.where(F.col("ingested_at") == F.lit(stamp).cast("timestamp_ntz")), f"{base}/{raw}")
         loaded[raw] = read_raw(spark, f"{base}/{raw}")
-    return reconcile({raw: raw_table(spark, sf, raw) for raw in RAW_OF.values()}, loaded)
+    return reconcile(sources, loaded)
 
 
 def reconcile(sources: dict[str, DataFrame], targets: dict[str, DataFrame]) -> DataFrame:

@@ -224,13 +224,13 @@ def orders_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.join(agg, o.o_orderkey == agg.l_orderkey, "left").drop("l_orderkey")
 
 
-def _source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+def source_rows(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     if source == "orders_linked":
         return orders_linked(spark, sf_dir)
     return read_for_row_work(spark, sf_dir, source)
 
 
-def raw_table(spark: SparkSession, sf_dir: str, name: str, batches: bool = True) -> DataFrame:
+def raw_table(spark: SparkSession, sf_dir: str, name: str, batches: bool = True, source: DataFrame | None = None) -> DataFrame:
     """The raw table as ingested: all text columns + ``ingested_at``.
 
     Batches: every row at STAMP1; exact copies (key % 7) at STAMP1; a changed
@@ -238,9 +238,10 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str, batches: bool = True)
     a copy with a NULL key (key % 17) at STAMP2.
 
     One scan: each source row is expanded to its list of batch tags with
-    ``explode`` (no union of repeated scans/joins)."""
+    ``explode`` (no union of repeated scans/joins). ``source``: the rows of
+    ``source_rows``, where a caller has them already."""
     st = STANDINS[name]
-    src = _source(spark, sf_dir, st.source)
+    src = source if source is not None else source_rows(spark, sf_dir, st.source)
     if not batches or st.change_col is None:
         return src.select(*_single_batch_columns(name))
     tag, out = _batch_columns(name)

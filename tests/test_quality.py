@@ -105,3 +105,12 @@ def test_foreign_keys_read_each_table_once(spark):
     uses = {t: len({c for x, c, *_ in suite.FOREIGN_KEYS if x == t}) for t in tables}
     assert uses["fact_line_items"] == 5 and plan.count("Relation [") <= sum(1 for t in uses if uses[t]) + 9
     assert suite.foreign_keys(tables).where("check_name = 'orphans' AND NOT passed").count() == 0
+
+
+def test_reconciliation_makes_the_linked_orders_once(spark, monkeypatch):
+    from quillmart.plans import quality_suite, standins
+    made, linked = [], standins.orders_linked
+    monkeypatch.setattr(standins, "orders_linked", lambda *a: made.append(a) or linked(*a))
+    got = {r.table_name: r for r in quality_suite.row_reconcile(spark, "/root/testdata/sf0.001").collect()}
+    assert len(made) == 1 and all(r.matched for r in got.values())
+    assert got["raw_order"].source_rows == standins.raw_table(spark, "/root/testdata/sf0.001", "raw_order").count()
