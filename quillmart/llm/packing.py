@@ -244,7 +244,7 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1, sh
 
         return run
 
-    encoded = cut(map_batches(text_rows(docs, id_col, text_col), make_ids, "doc_id long, ids binary", rows_per_call=128))
+    encoded = cut(map_batches(text_rows(docs, id_col, text_col), make_ids, "doc_id long, ids binary", rows_per_call=1024))
     corpus = corpus_of(encoded, size)
     ranks = corpus.ranks()
 

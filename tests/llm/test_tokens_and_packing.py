@@ -1,9 +1,11 @@
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -49,6 +51,28 @@ def test_a_full_memo_changes_nothing(random_texts):
         assert [x.tolist() for x in small.encode(random_texts[i:i + 7])] == [x.tolist() for x in large.encode(random_texts[i:i + 7])]
 
 
+def test_chunks_of_latin_letters_and_marks_equal_the_library():
+    t = Tokenizer.from_file(BYTE)
+    words = ["Été", "été.", "a×", "×", "÷b", "Ã", "éà,", "ñ!", "ÿ÷", "e\u0301", "a.,", "don't", "x2", "\nword", "\nçà;", "日本"]
+    texts = [" ".join(words[i:] + words[:i]).replace(" \n", "\n") for i in range(len(words))] + ["", " ", "\n", "été", "a "]
+    for encoder in (ByteEncoder(BYTE), ByteEncoder(BYTE, memo=3)):
+        for _ in range(2):
+            for text, ids in zip(texts, encoder.encode(texts)):
+                assert ids.tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_a_memo_of_many_chunks_is_small():
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(1000)) for _ in range(60)]
+    encoder = ByteEncoder(BYTE)
+    arrow = pa.total_allocated_bytes()
+    tracemalloc.start()
+    encoder.encode(texts)
+    used = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+    tracemalloc.stop()
+    assert used < 100 * 60_000  # 60,000 distinct chunks
+
+
 def test_overlapping_pairs_merge_left_to_right():
     m = RankMerger(BYTE)
     for n in (0, 1, 2, 3, 5, 8, 13):
