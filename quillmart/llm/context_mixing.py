@@ -44,13 +44,13 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -473,6 +473,20 @@ def score_group(rows: pa.Table, answers: pa.Table, alphabet: Alphabet, plan: Pla
         "logs": pa.array(rows["logs"].to_numpy() + sums(np.log10(counts + 1.0)), pa.float64()), "bits": pa.array(bits, pa.float64())})
 
 
+def words_in(ids: pa.Array, texts: pa.Array) -> tuple[pa.Table, int]:
+    """(word, n) over the training documents among some documents, the end as
+    the empty word, and the number of all their tokens."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array([t or "" for t in texts.to_pylist()], pa.large_string())))
+    flat = lists.flatten()
+    real = pc.not_equal(flat, "")
+    training = np.array([trains(i) for i in ids.to_pylist()], bool)
+    counted = pc.value_counts(flat.filter(pc.and_(real, pa.array(training[pc.list_parent_indices(lists).to_numpy()]))))
+    words, n = counted.field("values").cast(pa.large_binary()).cast(pa.binary()), counted.field("counts")
+    if training.any():
+        words, n = pa.concat_arrays([words, pa.array([END], pa.binary())]), pa.concat_arrays([n, pa.array([training.sum()], pa.int64())])
+    return pa.table({"word": words, "n": n}), pc.sum(real, min_count=0).as_py() + len(texts)
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over the training documents, the end as the empty word; null
     is the number of all tokens of all documents. A task adds up before the
@@ -482,27 +496,40 @@ def word_counts(texts: DataFrame) -> DataFrame:
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        n = 0
+        seen, rows, n = [], 0, 0
 
-        def counted_so_far() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([None, *seen], pa.binary()), pa.array([n, *seen.values()], pa.int64())], schema=arrow)
+        def added_up() -> pa.Table:
+            return pa.concat_tables(seen).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = tokens(text.as_py())
-                n += len(found) + 1
-                if trains(doc_id):
-                    seen.update(found)
-                    seen[END] += 1
-                if len(seen) > 500_000:
-                    yield counted_so_far()
-                    seen, n = Counter(), 0
-        yield counted_so_far()
+            for part in in_parts(batch):
+                found, some = words_in(part.column(0), part.column(1))
+                seen, rows, n = [*seen, found], rows + len(found), n + some
+                if rows > 500_000:
+                    seen = [added_up()]
+                    rows = len(seen[0])
+                    if rows > 400_000:
+                        yield from seen[0].select(["word", "n"]).cast(arrow).to_batches()
+                        seen, rows = [], 0
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([n], pa.int64())], schema=arrow)
+        if seen:
+            yield from added_up().select(["word", "n"]).cast(arrow).to_batches()
 
     return texts.select("doc_id", "text").mapInArrow(run, out).groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def in_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of (id, text) of some MB of text each, one document at
+    the least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64) + 100)
+    begin = 0
+    while begin < batch.num_rows:
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + (1 << 22), "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def learn_alphabet(counts: DataFrame, words: int) -> tuple[Alphabet, int]:
     """The alphabet, with at most ``words`` words besides the end, and the
     number of all tokens. Words that occur once are spelled, so that spelling

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillmart.llm import context_mixing as cm
@@ -26,6 +27,21 @@ def brute_base(rows):
             for i, t in rows for w in [words_of(t)]]
 
 
+def test_words_counted_as_arrays():
+    texts = ["", None, "  a\tB\x0b\x0cc ", "\x1c x\x1f", "É é", "\x85a\xa0b", "ÀA\n\n", *["b a " * i for i in range(30)], "long " * 10 ** 6, "a"]
+    ids = [None if i == 3 else i for i in range(len(texts))]
+    parts = list(cm.in_parts(pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts)], names=["doc_id", "text"]).slice(1)))
+    assert len(parts) > 1
+    found, n = Counter(), 0
+    for part in parts:
+        words, some = cm.words_in(part.column(0), part.column(1))
+        found.update(dict(zip(words["word"].to_pylist(), words["n"].to_pylist())))
+        n += some
+    expected = list(zip(ids, texts))[1:]
+    assert found == Counter(w for i, t in expected if not held(i) for w in words_of(t))
+    assert n == sum(len(words_of(t)) for _, t in expected)
+
+
 def pieces(word):
     out = [("inner", word[i:i + 2]) for i in range(0, len(word), 2)]
     return [*out[:-1], ("final", out[-1][1])]
