@@ -22,6 +22,11 @@ partitions, so steps 2 and 3 are a count and an addition.
 ``number_tables`` numbers several tables, each on its own, by one such
 partitioning; what it writes can be read table by table and column by column.
 
+``number_small_groups`` is for groups that are small as a rule (the lines of an
+order): they are numbered by a window, whose partitioning a join on the group
+goes on to use, and without Python. Groups that turn out to be large go to
+``dense_number``.
+
 The result equals ``row_number() OVER (PARTITION BY group ORDER BY order)``
 when ``order`` is a total order (ties only between identical rows).
 """
@@ -29,10 +34,12 @@ when ``order`` is a total order (ties only between identical rows).
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmart.session import ensure_checkpoint_dir, run_folder, ship_package
@@ -122,6 +129,45 @@ def dense_number(df: DataFrame, order: Sequence[str | Column], name: str,
     return numbered.select(*cols, (F.col("_number") - 1 + start_col).cast("long").alias(name))
 
 
+HOT_ROWS, BUCKETS = 100_000, 1 << 16
+
+
+def _key(column: str) -> Column:
+    return F.col(f"`{column}`")
+
+
+def _hot_groups(rows: DataFrame, group: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """The groups with more than ``hot_rows`` rows, or None. Rows are counted by
+    bucket of the group's hash first, so the groups themselves are counted only
+    in buckets with as many rows as a hot group has."""
+    bucket = F.pmod(F.xxhash64(*map(_key, group)), F.lit(BUCKETS)).alias("_bucket")
+    large = rows.select(bucket).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    buckets = [r["_bucket"] for r in large.collect()]
+    if not buckets:
+        return None
+    some = rows.select(*map(_key, group), bucket).where(F.col("_bucket").isin(buckets)).drop("_bucket")
+    found = some.groupBy(*map(_key, group)).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).drop("_n").checkpoint()
+    return found if found.take(1) else None
+
+
+def number_small_groups(df: DataFrame, order: Sequence[str], name: str, group: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """As ``dense_number``, for groups that are small as a rule. The rows are
+    written once, their groups counted from there; a window numbers those of up
+    to ``hot_rows`` rows, ``dense_number`` the others, if there are any."""
+    spark, cols = df.sparkSession, df.columns
+    ensure_checkpoint_dir(spark)
+    path = run_folder(spark, "groups") + "/rows"
+    df.toDF(*[f"_{i}" for i in range(len(cols))]).write.parquet(path)
+    rows = spark.read.parquet(path).toDF(*cols)
+    place = F.row_number().over(Window.partitionBy(*map(_key, group)).orderBy(*map(_key, order))).cast("long").alias(name)
+    hot = _hot_groups(rows, group, hot_rows)
+    if hot is None:
+        return rows.select(*map(_key, cols), place)
+    same = reduce(and_, [F.col(f"r.`{g}`").eqNullSafe(F.col(f"h.`{g}`")) for g in group])
+    part = {how: rows.alias("r").join(hot.alias("h"), same, how) for how in ("left_anti", "left_semi")}
+    return part["left_anti"].select(*map(_key, cols), place).unionByName(dense_number(part["left_semi"], order, name, group))
+
+
 def _places(placed: DataFrame, group: Sequence[str]) -> dict[tuple, list]:
     """Per group (a few of them) the partitions that hold its rows, in order:
     partition, first place, rows."""

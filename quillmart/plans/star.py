@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillmart.functions.calendar import calendar_columns, date_key
 from quillmart.functions.fixed_values import CALENDAR_END, CALENDAR_START
-from quillmart.operators.keys import dense_number
+from quillmart.operators.keys import number_small_groups
 
 
 def dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
@@ -133,13 +133,14 @@ def fact_line_items(line_items: DataFrame, fact_orders_df: DataFrame, dim_produc
     orders dropped) and the current product version; (order, line) pairs
     already loaded are skipped.
 
-    Line numbers come from ``dense_number``: a hot order is spread over
-    several range partitions instead of one window task."""
+    Line numbers come from ``number_small_groups``: a window that leaves the
+    lines partitioned for the join; a hot order is spread over several range
+    partitions instead of one window task."""
     # Numbering first: an order's lines are all kept or all dropped by the
     # inner join (one fact row per order), so the numbers are the same, and
     # the numbering does not have to carry the order facts' lineage.
-    numbered = dense_number(line_items, ["product_id", "price", "quantity", "product_name"],
-                            "line_item_id", group=["order_id"])
+    numbered = number_small_groups(line_items, ["product_id", "price", "quantity", "product_name"],
+                                   "line_item_id", group=["order_id"])
     numbered = numbered.join(fact_orders_df.select(
         "order_id", "merchant_sk", "user_sk", "staff_sk", "date_sk"), "order_id", "inner")
     p = _current(dim_product, ["product_id", "product_sk"])

@@ -75,3 +75,26 @@ def test_tables_are_numbered_without_python_and_read_by_column(spark):
     plan = got["a"].select("k", "sk")._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" not in plan and "Exchange" not in plan and "decimal" not in plan
     assert "MapInArrow" not in keys.surrogate_keys(tables["a"], ["k"], "sk")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_groups_are_numbered_without_python_and_stay_partitioned(spark):
+    """No Python worker, and no shuffle of the rows for a join on the group; the
+    result is the window's, also for groups that are too large for it."""
+    df = spark.range(0, 4000).select(
+        F.when(F.col("id") < 900, F.lit("hot")).when(F.col("id") < 1700, F.lit(None)).otherwise((F.col("id") % 300).cast("string")).alias("g"),
+        (F.col("id") * 7919 % 4001).alias("o.o"), F.lit("x y").alias("a b"))
+    expected = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("`o.o`")).cast("long"))
+    got = keys.number_small_groups(df, ["o.o"], "n", ["g"])
+    assert got.dtypes == expected.dtypes
+    same(got, expected)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = got.join(df.select("g").distinct(), "g")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "MapInArrow" not in plan and plan.count("Exchange") == 2  # the window's, the other side's
+    plain = df.toDF("g", "o", "a")
+    hot = keys.number_small_groups(plain, ["o"], "n", ["g"], hot_rows=500)
+    assert "_pid" in hot._jdf.queryExecution().optimizedPlan().toString()
+    same(hot, expected.toDF("g", "o", "a", "n"))
+    same(keys.number_small_groups(plain.where("false"), ["o"], "n", ["g"]), expected.where("false").toDF("g", "o", "a", "n"))
