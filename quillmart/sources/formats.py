@@ -8,9 +8,9 @@
   be quoted; a record that is not well formed is a bad one.
 * JSON in records form (JSON lines or an array) or pandas' default column
   form ``{"col": {"0": v, ...}, ...}``, told apart by how the file begins. A
-  column document is cut at its quotes and read as a stream of cells
-  (document, column, index, value), so its size and layout don't matter; the
-  cells are put together per row by an aggregate.
+  column document is cut at its commas and read as a stream of cells, so its
+  size and layout don't matter; the rows of a document of some megabytes are put
+  together where it is read, those of a larger one by an aggregate.
 * HTML: pages end at ``</html>`` in any case; the first ``<table>`` of a page is read
   by a tag-state parser and named by that page's own header cells.
 
@@ -32,7 +32,8 @@ from html.parser import HTMLParser
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmart.sources.splits import HEAD, MIDDLE, TAIL, WHOLE, joined_fragments, map_splits, pieces
+from quillmart.session import run_folder
+from quillmart.sources.splits import HEAD, MIDDLE, TAIL, WHOLE, joined_fragments, map_splits, pieces, texts
 
 SNIFF_CANDIDATES = [";", "|", ":"]
 BAD = "file string, reason string, record string"
@@ -212,106 +213,223 @@ def column_docs(df: DataFrame, chunk: str, index: str, columns: Sequence[str], p
 
 
 _MARKS = re.compile(r"[{}\[\]:,]|[^\s{}\[\]:,]+")
-CELLS = "file string, doc long, col string, idx string, v string, reason string"
+_QUOTED = re.compile(r'"(?:[^"\\]++|\\.)*+"', re.DOTALL)
+
+
+def _runs_of_cells() -> dict[str, re.Pattern]:
+    """By state, what takes as many flat cells as follow one another, or the value
+    of a cell; what is not written as JSON demands it does not match."""
+    string, blank = r'"(?:[^"\\]++|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+"', r"[ \t\n\r]*+"
+    number = r"-?(?:0|[1-9][0-9]{0,99})(?:\.[0-9]{1,99})?+(?:[eE][-+]?[0-9]{1,9})?+"
+    value = rf"{blank}:{blank}(?:{string}|(?:null|true|false|{number})(?=[ \t\n\r,}}]))"
+    run = rf"({string}{value}(?:{blank},{blank}{string}{value})*+)"
+    first = re.compile(blank + run)
+    return {"first index": first, "index": first, "index:": re.compile(f"({value})"), "after value": re.compile(f"{blank},{blank}{run}")}
+
+
+_RUNS = _runs_of_cells()
+_DECODE = json.JSONDecoder(object_pairs_hook=list, parse_int=str, parse_float=str, strict=False).decode
+#: Characters of a document that a task holds before its cells go on as they are, and cells of a block.
+HELD, BLOCK = 8 << 20, 16384
+BLOCKS = "file string, doc long, whole boolean, cols array<string>, idx array<string>, vals array<array<string>>, reason string"
+PACKED = (".gz", ".bz2", ".deflate", ".lz4", ".snappy", ".zst")
 
 
 class CellStream:
-    """Cells of the column documents of one file, from its text cut at quotes:
-    the pieces lie outside and inside of strings in turn; a piece that ends
-    with an odd number of backslashes is followed by a quote of the string's
-    own. A column is announced by a cell without index. The stream ends at
-    the first thing that is no column document, which gives a reason.
+    """Blocks of rows of the column documents of one file, from its text cut at
+    some of its commas. Cells in a row are taken together where they are flat;
+    all else goes by marks and strings. A document of up to ``HELD`` characters
+    gives whole rows; of a larger one, parts of single columns are handed on,
+    and an aggregate puts the rows together. A column without cells is named
+    too. The stream ends at the first thing that is no column document, which
+    gives a reason; what precedes it counts.
 
     ``state``: what may come next ("document", "column", "index", ":" ..)."""
 
-    def __init__(self, file: str, block: int = 0):
-        self.file, self.doc, self.col, self.idx = file, -1, None, None
-        self.inside, self.buffer, self.state, self.failed = False, [], "document", False
+    def __init__(self, file: str, size: int = -1):
+        self.file, self.doc, self.idx = file, -1, None
+        self.state, self.failed = "document", False
+        self.text, self.waiting, self.enough = [], 0, 0  # not yet taken, its length, and the length to wait for
+        self.left = size if not file.endswith(PACKED) else -1  # bytes of the file beyond the pieces
         self.nested, self.raw = 0, []  # of a value that is itself an object or a list
+        self.columns, self.held, self.whole = [], 0, True  # of the document: (name, indexes, values)
 
     def piece(self, value: str) -> Iterator[tuple]:
         if self.failed:
             return
-        try:
-            if self.inside:
-                self.buffer.append(value)
-                if (len(value) - len(value.rstrip("\\"))) % 2:
-                    self.buffer.append('"')
-                    return
-                text, self.buffer, self.inside = "".join(self.buffer), [], False
-                yield from self._string(text)
-            else:
-                self.inside = True
-                for mark in _MARKS.findall(value):
-                    yield from self._mark(mark)
-        except ValueError as e:
-            self.failed = True
-            yield self.file, self.doc, None, None, None, str(e)
+        self.left -= len(value.encode()) + 1
+        self.text.append(value)
+        self.waiting += len(value)
+        if self.waiting >= self.enough:
+            yield from self._take(",".join(self.text))
 
     def end(self) -> Iterator[tuple]:
-        if not self.failed and (self.state != "document" or self.buffer or self.nested):
-            yield self.file, self.doc, None, None, None, "the document has no end"
+        if self.failed:
+            return
+        if self.left in (0, 3):  # a comma at the very end (of a file with a mark of byte order) ends no piece
+            self.text.append("")
+        yield from self._take(",".join(self.text))
+        if self.failed:
+            return
+        outside, _, string = self.text[0].partition('"')
+        open_string = string.endswith('"') or (len(string) - len(string.rstrip("\\"))) % 2 == 1
+        try:
+            yield from self._marks(outside)
+            if string and not open_string:
+                yield from self._string(string)
+            if open_string or self.nested or self.state != "document":
+                raise ValueError("the document has no end")
+        except ValueError as e:
+            yield from self._fault(str(e))
 
-    def _cell(self, value: str | None) -> tuple:
+    def _take(self, text: str) -> Iterator[tuple]:
+        """Up to the last whole string; the rest waits for as much text again."""
+        at = 0
+        try:
+            while True:
+                run = _RUNS[self.state].match(text, at) if self.state in _RUNS and not self.nested else None
+                if run:
+                    at = run.end()
+                    yield from self._run(run[1])
+                    continue
+                quote = text.find('"', at)
+                string = _QUOTED.match(text, quote) if quote >= 0 else None
+                if not string:
+                    break
+                yield from self._marks(text[at:quote])
+                at = string.end()
+                yield from self._string(text[quote + 1:at - 1])
+        except ValueError as e:
+            yield from self._fault(str(e))
+        self.text, self.waiting, self.enough = [text[at:]], len(text) - at, 2 * (len(text) - at)
+
+    def _fault(self, reason: str) -> Iterator[tuple]:
+        self.failed = True
+        yield from self._rows()
+        yield self.file, self.doc, None, None, None, None, reason
+
+    def _rows(self, ended: bool = True) -> Iterator[tuple]:
+        """What is held of the document, which ends here or goes on."""
+        if self.whole and ended:
+            found = [merged(self.columns)] if self.columns else []
+        else:
+            self.whole = False
+            found = [([name], idx, [values]) for name, idx, values in self.columns]
+        for names, idx, values in found:
+            step = max(1, BLOCK // len(names))
+            for k in range(0, len(idx) or 1, step):
+                yield self.file, self.doc, self.whole, names, idx[k:k + step], [v[k:k + step] for v in values], None
+        self.columns, self.held = [] if ended else [(self.columns[-1][0], [], [])], 0
+
+    def _cells(self, idx: Sequence[str], values: Sequence[str | None], length: int) -> Iterator[tuple]:
+        self.columns[-1][1].extend(idx)
+        self.columns[-1][2].extend(values)
         self.state = "after value"
-        return self.file, self.doc, self.col, self.idx, value, None
+        self.held += length
+        if self.held > HELD:
+            yield from self._rows(ended=False)
+
+    def _run(self, text: str) -> Iterator[tuple]:
+        idx, values = zip(*_DECODE(f'{{""{text}}}' if self.state == "index:" else f"{{{text}}}"))
+        if self.state == "index:":
+            idx = [self.idx]
+        if "true" in text or "false" in text:
+            values = [str(v).lower() if isinstance(v, bool) else v for v in values]
+        return self._cells(idx, values, len(text))
 
     def _string(self, text: str) -> Iterator[tuple]:
         if self.nested:
             self.raw.append(f'"{text}"')
             return
-        text = json.loads(f'"{text}"', strict=False)
+        value = json.loads(f'"{text}"', strict=False)
         if self.state in ("column", "first column"):
-            self.col, self.state = text, "column:"
-            yield self.file, self.doc, self.col, None, None, None
+            self.state = "column:"
+            self.columns.append((value, [], []))
         elif self.state in ("index", "first index"):
-            self.idx, self.state = text, "index:"
+            self.idx, self.state = value, "index:"
         elif self.state == "value":
-            yield self._cell(text)
+            yield from self._cells([self.idx], [value], len(self.idx) + len(text))
         else:
             raise ValueError(f"unexpected string at {self.state}")
 
+    def _marks(self, text: str) -> Iterator[tuple]:
+        for mark in _MARKS.findall(text):
+            yield from self._mark(mark)
+
     def _mark(self, mark: str) -> Iterator[tuple]:
         if self.nested or (self.state == "value" and mark in "{["):
             self.raw.append(mark)
             self.nested += (mark in "{[") - (mark in "}]")
             if not self.nested:
                 raw, self.raw = "".join(self.raw), []
-                yield self._cell(raw)
+                yield from self._cells([self.idx], [raw], len(self.idx) + len(raw))
             return
         step = {("document", "{"): "first column", ("column:", ":"): "rows", ("rows", "{"): "first index", ("index:", ":"): "value",
                 ("after value", ","): "index", ("after value", "}"): "after rows", ("first index", "}"): "after rows",
                 ("after rows", ","): "column", ("after rows", "}"): "document", ("first column", "}"): "document"}.get((self.state, mark))
         if step:
-            self.doc += self.state == "document"
+            if self.state == "document":
+                self.doc, self.whole = self.doc + 1, True
             self.state = step
+            if step == "document":
+                yield from self._rows()
         elif self.state == "value" and mark not in "]}:,":
             json.loads(mark)
-            yield self._cell(None if mark == "null" else mark)
+            yield from self._cells([self.idx], [None if mark == "null" else mark], len(self.idx) + len(mark))
         else:
             raise ValueError(f"unexpected {mark} at {self.state}")
 
 
-def json_cells(spark: SparkSession, path: str) -> DataFrame:
-    """Cells of the column documents of a path: the pieces of a file stream in
-    order through one task, which holds one piece of text (a document cannot be
-    understood from its middle); the cells then spread."""
-    cut = pieces(spark, path, '"').withColumn("at", F.monotonically_increasing_id())
-    in_order = cut.repartition("file").sortWithinPartitions("file", "block", "at")
-    return map_splits(in_order.withColumn("block", F.lit(0).cast("long")), CellStream, CELLS)
+def merged(columns: list[tuple[str, list, list]]) -> tuple[list[str], list[str], list[list]]:
+    """Names, indexes and the values of each name by index, from columns with
+    their cells in any order; of several values of a cell, the greatest."""
+    names, first = list(dict.fromkeys(name for name, _, _ in columns)), columns[0][1]
+    if len(names) == len(columns) and all(idx == first for _, idx, _ in columns) and len(set(first)) == len(first):
+        return names, first, [values for _, _, values in columns]
+    place: dict[str, int] = {}
+    for _, idx, _ in columns:
+        for i in idx:
+            place.setdefault(i, len(place))
+    out: dict[str, list] = {name: [None] * len(place) for name in names}
+    for name, idx, values in columns:
+        mine = out[name]
+        for i, v in zip(idx, values):
+            at = place[i]
+            if v is not None and (mine[at] is None or v > mine[at]):
+                mine[at] = v
+    return names, list(place), list(out.values())
+
+
+def json_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """Blocks of rows of the column documents of a path: the text of a file
+    streams in order through one task, which holds one document, or of a large
+    one a part (a document cannot be understood from its middle)."""
+    in_order = texts(spark, path, ",").repartition("file").sortWithinPartitions("file", "block", "at")
+    whole_files = in_order.withColumn("block", F.col("size"))  # one reader per file, which is told the size
+    return map_splits(whole_files, CellStream, BLOCKS, at_once=16)
 
 
 def read_json_columns(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """The rows of column-oriented documents (all text, plus the row index
     ``unnamed_0`` that the index keys carry). What precedes the first fault of a
-    file is read."""
-    cells = json_cells(spark, path).where("reason IS NULL")
+    file is read. The text is read once: its blocks are written to the shared
+    folder, from where the names and then the rows are taken."""
+    written = run_folder(spark, "cells") + "/blocks"
+    json_blocks(spark, path).where("reason IS NULL").drop("reason").write.parquet(written)
+    blocks = spark.read.schema(BLOCKS).parquet(written)
+    found = blocks.select(F.explode("cols").alias("col"), "whole").distinct().collect()
     if columns is None:
-        names = cells.where("idx IS NULL").select("col").distinct().collect()
-        columns = sorted(r["col"] for r in names)
-    rows = cells.where("idx IS NOT NULL").groupBy("file", "doc", "idx").agg(
-        *[F.max(F.when(F.col("col") == c, F.col("v"))).alias(c) for c in columns])
-    return rows.select(F.col("idx").alias("unnamed_0"), *columns)
+        columns = sorted({r["col"] for r in found})
+    place = [F.array_position("cols", c) for c in columns]
+    none = F.array().cast("array<string>")
+    values = [F.coalesce(F.when(at > 0, F.get("vals", (at - 1).cast("int"))), none) for at in place]
+    rows = blocks.where("whole").select(F.inline(F.arrays_zip("idx", *values)))
+    if not all(r["whole"] for r in found):
+        cells = blocks.where("NOT whole").select("file", "doc", F.col("cols")[0], F.inline(F.arrays_zip("idx", F.col("vals")[0])))
+        cells = cells.toDF("file", "doc", "col", "idx", "v").groupBy("file", "doc", "idx").agg(
+            *[F.max(F.when(F.col("col") == c, F.col("v"))) for c in columns])
+        rows = rows.union(cells.drop("file", "doc"))
+    return rows.toDF("unnamed_0", *columns)
 
 
 def json_form(start: str) -> str:
@@ -340,7 +458,7 @@ def read_json_any(spark: SparkSession, path: str, columns: Sequence[str] | None
 def bad_json(spark: SparkSession, path: str) -> DataFrame:
     form = _json_form_of(spark, path)
     if form == "columns":
-        return json_cells(spark, path).where("reason IS NOT NULL").select("file", "reason", F.lit(None).cast("string").alias("record"))
+        return json_blocks(spark, path).where("reason IS NOT NULL").select("file", "reason", F.lit(None).cast("string").alias("record"))
     rows = spark.read.option("multiLine", form == "array").option("columnNameOfCorruptRecord", "_corrupt").schema("_none string, _corrupt string").json(path)
     # Spark reads the corrupt column only together with another one.
     return rows.where("_none IS NULL").select(F.col("_metadata.file_path").alias("file"), F.lit("no JSON").alias("reason"), F.col("_corrupt").alias("record")) \

@@ -17,7 +17,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -26,6 +28,7 @@ from pyspark.sql.types import StructType
 from quillmart.session import ship_package
 
 ROWS_AT_ONCE = 4096
+TEXT_BYTES = 8192
 WHOLE, HEAD, TAIL, MIDDLE = "whole", "head", "tail", "middle"
 
 
@@ -44,8 +47,32 @@ def pieces(spark: SparkSession, path: str, sep: str) -> DataFrame:
     return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
 
 
-def map_splits(found: DataFrame, make: Callable[[str, int], Reader], schema: str) -> DataFrame:
-    """One ``make(file, block)`` reader per split; its rows."""
+def texts(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """(file, size, block, at, value): the pieces of the files of a path, put
+    together again to texts of some 8 KB, which are cheaper to move; with ``sep``
+    between them, the texts of a file in order of (block, at) are the file.
+    ``size`` is the file's."""
+    cut = pieces(spark, path, sep).withColumn("size", F.col("_metadata.file_size")).select("file", "size", "block", "value")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, (file, _, block, value) = batch.num_rows, batch.columns
+            if not n:
+                continue
+            text = pc.binary_length(value).to_numpy().cumsum(dtype="int64") // TEXT_BYTES
+            begins = np.ones(n, dtype=bool)
+            begins[1:] = (text[1:] != text[:-1]) | pc.not_equal(block[1:], block[:-1]).to_numpy(False) | pc.not_equal(file[1:], file[:-1]).to_numpy(False)
+            first = np.flatnonzero(begins)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, n), pa.int32()), value)
+            kept = [c.take(pa.array(first)) for c in batch.columns[:3]]
+            yield pa.RecordBatch.from_arrays([*kept, pc.binary_join(lists, pa.scalar(sep, value.type))], names=["file", "size", "block", "value"])
+
+    return cut.mapInArrow(run, cut.schema).withColumn("at", F.monotonically_increasing_id())
+
+
+def map_splits(found: DataFrame, make: Callable[[str, int], Reader], schema: str, at_once: int = ROWS_AT_ONCE) -> DataFrame:
+    """One ``make(file, block)`` reader per split; its rows, handed on when
+    there are ``at_once``."""
     ship_package(found.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
@@ -62,7 +89,7 @@ def map_splits(found: DataFrame, make: Callable[[str, int], Reader], schema: str
                         rows += reader.end()
                     now, reader = (file, block), make(file, block)
                 rows += reader.piece(value)
-                if len(rows) >= ROWS_AT_ONCE:
+                if len(rows) >= at_once:
                     yield out()
                     rows = []
         if reader:

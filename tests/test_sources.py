@@ -182,6 +182,63 @@ def test_json_column_documents_with_faults(spark):
         assert len(bad) == 1 and (reason is None or bad[0]["reason"] == reason)
 
 
+def test_json_column_documents_give_whole_rows_where_they_are_read(spark):
+    """The text is understood once, and no cell of a document of usual size is shuffled."""
+    path = tempfile.mkdtemp(dir="/tmp")
+    for name, text in {"1": '{"a": {"1": "x", "0": null}, "b": {"0": 2, "2": true}}\n{"b": {}, "a": {}}', "2": '{"a": {"1": "y"}, "a": {"1": "z", "3": ""}}\n'}.items():
+        with open(f"{path}/{name}.json", "w") as f:
+            f.write(text)
+    got = formats.read_json_columns(spark, path)
+    assert got.columns == ["unnamed_0", "a", "b"]
+    assert rows_of(got) == sorted([("1", "x", None), ("0", None, "2"), ("2", None, "true"), ("1", "z", None), ("3", "", None)], key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in ("Exchange", "Sort", "MapInArrow", "Aggregate") if x in plan]
+
+
+def test_json_column_document_larger_than_a_task_holds(spark, tiny_splits):
+    n, long = 3000, "x, \"" * 1000
+    import json
+    document = {"a": {str(i): f"{i}{long}" for i in range(n)}, "b": {str(i): i for i in range(0, n, 2)}, "c": {}}
+    assert len(json.dumps(document)) > formats.HELD
+    tiny_splits(1 << 20)
+    got = files.read_source(spark, written(json.dumps(document) + '{"b": {"0": "other"}}', "d.json"))
+    assert got.columns == ["unnamed_0", "a", "b", "c"]
+    short = got.withColumn("a", F.concat(F.regexp_extract("a", "^[0-9]+", 0), F.lit(" "), F.length("a").cast("string")))
+    assert rows_of(short) == sorted([(str(i), f"{i} {len(long) + len(str(i))}", str(i) if i % 2 == 0 else None, None) for i in range(n)]
+                                    + [("0", None, "other", None)], key=str)
+
+
+def stream(text, per_piece, held, monkeypatch):
+    """Rows (document, index, values), names and reasons of a text that is cut at its commas."""
+    monkeypatch.setattr(formats, "HELD", held)
+    reader, cut = formats.CellStream("f", len(text.encode())), text.split(",")
+    cut = cut[:-1] if not cut[-1] else cut  # as Spark cuts it
+    blocks = [b for k in range(0, len(cut), per_piece) for b in reader.piece(",".join(cut[k:k + per_piece]))] + list(reader.end())
+    rows, names, reasons = {}, set(), [b[-1] for b in blocks if b[-1] is not None]
+    for _, doc, _, cols, idx, vals, _ in (b for b in blocks if b[-1] is None):
+        names.update(cols)
+        for k, i in enumerate(idx):
+            row = rows.setdefault((doc, i), {})
+            row.update({c: v[k] for c, v in zip(cols, vals) if v[k] is not None})
+    return rows, names, reasons
+
+
+@pytest.mark.parametrize("held", [0, 20, 10 ** 6])
+@pytest.mark.parametrize("per_piece", [1, 3, 1000])
+def test_cell_stream(monkeypatch, per_piece, held):
+    import functools
+    read = functools.partial(stream, per_piece=per_piece, held=held, monkeypatch=monkeypatch)
+    text = '{"a": {"0": "x,\\"y\\u00fc", "1" : 1.50, "2":-2e5 , "3": true}, "b": {"3": {"k": ["v,", 1]}, "2": NaN, "0": null}} {} {"c": {}}\n'
+    rows = {(0, "0"): {"a": 'x,"yü'}, (0, "1"): {"a": "1.50"}, (0, "2"): {"a": "-2e5", "b": "NaN"}, (0, "3"): {"a": "true", "b": '{"k":["v,",1]}'}}
+    assert read(text) == (rows, {"a", "b", "c"}, [])
+    assert read(text.strip() + ",") == (rows, {"a", "b", "c"}, ["unexpected , at document"])
+    assert read('{"a": {"0": "x", "1": "y,z') == ({(0, "0"): {"a": "x"}, (0, "1"): {"a": "y,z"}}, {"a"}, ["the document has no end"])
+    assert read('{"a": {"0": "x", "1": "y\\"') == ({(0, "0"): {"a": "x"}}, {"a"}, ["the document has no end"])
+    assert read('{"a": {"0": "x", "1": 1 2}}') == ({(0, "0"): {"a": "x"}, (0, "1"): {"a": "1"}}, {"a"}, ["unexpected 2 at after value"])
+    found, _, reasons = read('{"a": {"0": "x", "1": "\\q"}}')
+    assert found == {(0, "0"): {"a": "x"}} and len(reasons) == 1
+
+
 def test_json_lines_with_faults(spark):
     path = written('{"a": 1}\n{"a": \n{"a": 3}\n', "l.json")
     assert rows_of(files.read_source(spark, path)) == [("1",), ("3",)]
